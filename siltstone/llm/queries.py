@@ -8,7 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode
-from .common import table
+from .common import held_out, table
+from .langid import fit_language_model, predict_languages
+from .quality import fit_quality_model, score_quality
+from .toxicity import fit_toxicity_model, score_toxicity
+
+
+def labelled(spark: SparkSession, sf_dir: str, label: str, folds: int, fold: int) -> DataFrame:
+    """(id, text, label, lang) of the labelled documents that may be learned from. Repeated labels count once."""
+    docs = table(spark, sf_dir, "documents").where(~held_out("doc_id", folds, fold))
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(label).alias("label"))
+    return docs.join(labels, "doc_id").select(F.col("doc_id").alias("id"), "text", F.col("label").cast("int").alias("label"), "lang")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = fit_toxicity_model(labelled(spark, sf_dir, "toxic", 5, 0))
+    scored = score_toxicity(table(spark, sf_dir, "documents"), model)
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def language_model(docs: DataFrame):
+    known = docs.where(~held_out("doc_id", 5, 0) & F.col("lang").isNotNull())
+    return fit_language_model(known.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("label")))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = predict_languages(docs, language_model(docs))
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +43,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_decode(encoded).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = fit_quality_model(labelled(spark, sf_dir, "quality", 4, 2))
+    scored = score_quality(table(spark, sf_dir, "documents"), model)
+    return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_bpe": op7_bpe}
+    return {f.__name__: f for f in (op1_toxicity, op3_language_id, op7_bpe, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
