@@ -24,7 +24,7 @@ from .common import map_arrow
 
 NONE = np.int32(2**31 - 1)
 LONG = 64
-CACHE_WORDS = 700_000
+CACHE_WORDS = 200_000
 #: White space of the Unicode standard; str.split() would also cut at U+001C to U+001F.
 SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 ODD = regex.compile(r"[\x1c-\x1f]")
@@ -143,7 +143,7 @@ class WordBpe:
         out: list[bytes] = [b""] * len(raw)
         for low, high in ((1, 4), (5, 8), (9, 12), (13, 16), (17, 24), (25, 40), (41, LONG)):
             where = np.flatnonzero((length >= low) & (length <= high))
-            for some in np.array_split(where, max(1, len(where) // 50_000)):
+            for some in np.array_split(where, max(1, len(where) // 20_000)):
                 if not len(some):
                     continue
                 n = length[some]
@@ -194,7 +194,7 @@ class WordBpe:
         at = 0
         while at < len(texts):
             some, chars = [], 0
-            while at < len(texts) and chars < 2_000_000:
+            while at < len(texts) and chars < 400_000:
                 some.append(split_words(texts[at] or ""))
                 chars, at = chars + len(texts[at] or ""), at + 1
             new = set().union(*some)
