@@ -24,8 +24,14 @@ BITS = 16
 FEATURES = (len(SIZES) + 1) << BITS
 
 
-def word_buckets(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+def word_buckets(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Bucket of each word; a word that repeats the one before it in its text is the feature in bucket 0."""
+    out = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    again = np.zeros(len(hashes), bool)
+    again[1:] = hashes[1:] == hashes[:-1]
+    again[first[:-1][first[:-1] < len(hashes)]] = False
+    out[again] = 0
+    return out
 
 
 @dataclass
@@ -41,7 +47,7 @@ class QualityModel:
         for a, b in groups(clean):
             words, first = text_words(clean[a:b], lower=False)
             run = np.zeros(len(words) + 1)
-            np.cumsum(self.tables[-1][word_buckets(words)], dtype=np.float64, out=run[1:])
+            np.cumsum(self.tables[-1][word_buckets(words, first)], dtype=np.float64, out=run[1:])
             sums[a:b] += run[first[1:]] - run[first[:-1]]
             counts[a:b] += first[1:] - first[:-1]
         return 1 / (1 + np.exp(-(sums / np.maximum(counts, 1) + self.bias)))
@@ -51,7 +57,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     found = []
     for codes, _, _, _ in char_pieces([text], max(SIZES) - 1, limit=1 << 40):
         found += [char_ngrams(codes, s, BITS).astype(np.int64) + (k << BITS) for k, s in enumerate(SIZES)]
-    found.append(word_buckets(text_words([text], lower=False)[0]) + (len(SIZES) << BITS))
+    found.append(word_buckets(*text_words([text], lower=False)) + (len(SIZES) << BITS))
     ids, n = np.unique(np.concatenate(found), return_counts=True)
     return ids, n / max(1, n.sum())
 
