@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode
 from .common import held_out, table
+from .idfiles import read_token_files, write_token_files
 from .langid import fit_language_model, predict_languages
 from .quality import fit_quality_model, score_quality
 from .toxicity import fit_toxicity_model, score_toxicity
@@ -43,6 +44,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_decode(encoded).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest, by_rank = write_token_files(table(spark, sf_dir, "documents"))
+    return read_token_files(manifest, by_rank).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_quality_model(labelled(spark, sf_dir, "quality", 4, 2))
     scored = score_quality(table(spark, sf_dir, "documents"), model)
@@ -50,7 +56,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_language_id, op7_bpe, op10_quality)}
+    return {f.__name__: f for f in (op1_toxicity, op3_language_id, op7_bpe, op9_token_files, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
