@@ -24,7 +24,7 @@ def attempt_suffix() -> str:
 def writing(uri: str) -> Iterator:
     store, path = resolve(uri)
     store.create_dir(path.rpartition("/")[0], recursive=True)
-    with store.open_output_stream(path) as out:
+    with store.open_output_stream(path, compression=None) as out:
         yield out
 
 

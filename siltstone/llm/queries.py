@@ -13,6 +13,7 @@ from .idfiles import read_token_files, write_token_files
 from .langid import fit_language_model, predict_languages
 from .quality import fit_quality_model, score_quality
 from .toxicity import fit_toxicity_model, score_toxicity
+from .warc import read_warc, write_warc
 
 
 def labelled(spark: SparkSession, sf_dir: str, label: str, folds: int, fold: int) -> DataFrame:
@@ -28,6 +29,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = read_warc(write_warc(table(spark, sf_dir, "pages")))
+    last = chunks.where(F.col("chunk_no") == F.col("n_chunks") - 1)
+    # for a response, the digest is the one carried along the chunks that were read back
+    digest = F.when(F.col("record_type") == "response", F.col("running_digest")).otherwise(F.col("payload_digest"))
+    return last.select(F.col("record_id").alias("page_id"), "payload_bytes", digest.alias("payload_digest"), "record_type", "refers_to")
+
+
 def language_model(docs: DataFrame):
     known = docs.where(~held_out("doc_id", 5, 0) & F.col("lang").isNotNull())
     return fit_language_model(known.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("label")))
@@ -56,7 +65,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_language_id, op7_bpe, op9_token_files, op10_quality)}
+    return {f.__name__: f for f in (op1_toxicity, op2_warc, op3_language_id, op7_bpe, op9_token_files, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
