@@ -53,14 +53,14 @@ def term_frequencies(text: str) -> tuple[np.ndarray, np.ndarray]:
     return ids, n / max(1, n.sum())
 
 
-def fit_language_model(rows: DataFrame, per_language: int = 400, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-4) -> LanguageModel:
-    """rows(id, text, label). ``per_language`` bounds the labelled rows that are used for each language."""
-    sample, _ = labelled_sample(rows, per_language)
-    languages = sorted({label for _, label in sample})
+def fit_language_model(texts: DataFrame, labels: DataFrame, per_language: int = 400, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-4) -> LanguageModel:
+    """texts(id, text), labels(id, label). ``per_language`` bounds the labelled rows that are used for each language."""
+    sample, _ = labelled_sample(texts, labels.select("id", "label", F.lit("").alias("group")), per_language)
+    languages = sorted({label for _, label, _ in sample})
     features = len(SIZES) << BITS
     if not sample:
         return LanguageModel([], [], np.zeros(0))
-    found = [(*term_frequencies(t), languages.index(label)) for t, label in sample if t]
+    found = [(*term_frequencies(t), languages.index(label)) for t, label, _ in sample if t]
     train, tune = [x for i, x in enumerate(found) if i % 5], [x for i, x in enumerate(found) if not i % 5]
     df = np.zeros(features)
     for ids, _, _ in train:

@@ -62,14 +62,14 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return ids, n / max(1, n.sum())
 
 
-def fit_quality_model(rows: DataFrame, per_label: int = 1500, dim: int = 8, epochs: int = 6, rate: float = 0.3) -> QualityModel:
-    """rows(id, text, label in 0, 1). ``per_label`` bounds the labelled rows that are used for each label."""
-    sample, counts = labelled_sample(rows, per_label)
+def fit_quality_model(texts: DataFrame, labels: DataFrame, per_label: int = 1500, dim: int = 8, epochs: int = 6, rate: float = 0.3) -> QualityModel:
+    """texts(id, text), labels(id, label in 0, 1). ``per_label`` bounds the labelled rows that are used for each label."""
+    sample, counts = labelled_sample(texts, labels.select("id", "label", F.lit("").alias("group")), per_label)
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
     prior = float(np.log((n1 + 1) / (n0 + 1)))
     if not n0 or not n1:
         return QualityModel([np.zeros(1 << BITS, np.float32) for _ in range(len(SIZES) + 1)], prior)
-    found = [(*features(t), int(y)) for t, y in sample]
+    found = [(*features(t), int(y)) for t, y, _ in sample]
     used = [sum(y == k for _, _, y in found) for k in (0, 1)]
     rng = np.random.default_rng(0)
     vectors = rng.normal(0, 0.1, (FEATURES, dim)).astype(np.float32)

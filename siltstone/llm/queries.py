@@ -16,15 +16,15 @@ from .toxicity import fit_toxicity_model, score_toxicity
 from .warc import read_warc, write_warc
 
 
-def labelled(spark: SparkSession, sf_dir: str, label: str, folds: int, fold: int) -> DataFrame:
-    """(id, text, label, lang) of the labelled documents that may be learned from. Repeated labels count once."""
-    docs = table(spark, sf_dir, "documents").where(~held_out("doc_id", folds, fold))
-    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(label).alias("label"))
-    return docs.join(labels, "doc_id").select(F.col("doc_id").alias("id"), "text", F.col("label").cast("int").alias("label"), "lang")
+def learnable(spark: SparkSession, sf_dir: str, label: str, folds: int, fold: int) -> tuple[DataFrame, DataFrame]:
+    """texts(id, text) and labels(id, label, group) of documents outside the held-out fold. Repeated labels count once."""
+    docs = table(spark, sf_dir, "documents").where(~held_out("doc_id", folds, fold)).withColumnRenamed("doc_id", "id")
+    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("id")).agg(F.max(label).cast("int").alias("label"))
+    return docs.select("id", "text"), docs.select("id", F.col("lang").alias("group")).join(labels, "id").select("id", "label", "group")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = fit_toxicity_model(labelled(spark, sf_dir, "toxic", 5, 0))
+    model = fit_toxicity_model(*learnable(spark, sf_dir, "toxic", 5, 0))
     scored = score_toxicity(table(spark, sf_dir, "documents"), model)
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -38,8 +38,8 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_model(docs: DataFrame):
-    known = docs.where(~held_out("doc_id", 5, 0) & F.col("lang").isNotNull())
-    return fit_language_model(known.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("label")))
+    known = docs.where(~held_out("doc_id", 5, 0) & F.col("lang").isNotNull()).select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("label"))
+    return fit_language_model(known.select("id", "text"), known.select("id", "label"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = fit_quality_model(labelled(spark, sf_dir, "quality", 4, 2))
+    model = fit_quality_model(*learnable(spark, sf_dir, "quality", 4, 2))
     scored = score_quality(table(spark, sf_dir, "documents"), model)
     return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 

@@ -6,30 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def labelled_sample(rows: DataFrame, per_label: int, seed: int = 7) -> tuple[list[tuple[str, object]], dict[object, int]]:
-    """(text, label) of up to ``per_label`` rows for each label of ``rows(id, text, label)``, and the count of each label.
-
-    Counts cover all rows. The choice depends on the id and seed alone, so it is the same however rows are dealt out;
-    rows without a label or text don't count. What comes to the driver is bounded by ``per_label`` times the labels."""
-    rows = rows.where(F.col("label").isNotNull() & F.col("text").isNotNull())
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+def labelled_sample(texts: DataFrame, labels: DataFrame, per_label: int, seed: int = 7) -> tuple[list[tuple[str, object, object]], dict[object, int]]:
+    """(text, label, group) of up to ``per_label`` rows for each label, and how many rows have each label.
+
+    ``texts(id, text)``, ``labels(id, label, group)``. Counts cover all labels. The choice depends on id and seed
+    alone, so it is the same however rows are dealt out. Ids are chosen from the narrow table first; the texts of the
+    chosen few, at most ``per_label`` times the number of labels, are then fetched by a broadcast join. Rows without
+    an id, label or text don't count."""
+    labels = labels.where(F.col("label").isNotNull() & F.col("id").isNotNull())
+    counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return [], {}
     unit = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.lit(0.0)
     for label, n in counts.items():
-        share = F.when(F.col("label") == F.lit(label), F.lit(1.1 * per_label / n)).otherwise(share)
-    got = rows.select("text", "label", unit.alias("unit")).where(F.col("unit") < share).collect()
-    got.sort(key=lambda r: (r["unit"], r["text"]))
-    out, taken = [], dict.fromkeys(counts, 0)
-    for r in got:
-        if taken[r["label"]] < per_label:
+        share = F.when(F.col("label") == F.lit(label), F.lit(1.2 * per_label / n)).otherwise(share)
+    near = labels.withColumn("unit", unit).where(F.col("unit") < share).collect()
+    taken, chosen = dict.fromkeys(counts, 0), {}
+    for r in sorted(near, key=lambda r: (r["unit"], str(r["id"]))):
+        if taken[r["label"]] < per_label and r["id"] not in chosen:
             taken[r["label"]] += 1
-            out.append((r["text"], r["label"]))
-    return out, counts
-
-
-def sigmoid(x: float) -> float:
-    import math
-
-    return 1 / (1 + math.exp(-x)) if x >= 0 else 1 - 1 / (1 + math.exp(x))
+            chosen[r["id"]] = (r["unit"], r["label"], r["group"])
+    few = texts.sparkSession.createDataFrame([(i,) for i in chosen], texts.select("id").schema)
+    got = texts.where(F.col("text").isNotNull()).join(F.broadcast(few), "id").dropDuplicates(["id"]).collect()
+    rows = sorted(((*chosen[r["id"]], r["text"]) for r in got), key=lambda x: (x[0], x[3]))
+    return [(text, label, group) for _, label, group, text in rows], counts
