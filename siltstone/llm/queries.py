@@ -11,6 +11,7 @@ from .bpe import bpe_decode, bpe_encode
 from .common import held_out, table
 from .idfiles import read_token_files, write_token_files
 from .langid import fit_language_model, predict_languages
+from .passages import remove_repeats
 from .quality import fit_quality_model, score_quality
 from .toxicity import fit_toxicity_model, score_toxicity
 from .warc import read_warc, write_warc
@@ -48,6 +49,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe_encode(table(spark, sf_dir, "documents"))
     return bpe_decode(encoded).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -65,7 +71,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_warc, op3_language_id, op7_bpe, op9_token_files, op10_quality)}
+    return {f.__name__: f for f in (op1_toxicity, op2_warc, op3_language_id, op4_passages, op7_bpe, op9_token_files, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
