@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .bpe import bpe_decode, bpe_encode
 from .common import held_out, table
 from .idfiles import read_token_files, write_token_files
+from .jaccard import near_duplicates
 from .langid import fit_language_model, predict_languages
 from .passages import remove_repeats
 from .quality import fit_quality_model, score_quality
@@ -54,6 +55,10 @@ def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe_encode(table(spark, sf_dir, "documents"))
     return bpe_decode(encoded).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -71,7 +76,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_warc, op3_language_id, op4_passages, op7_bpe, op9_token_files, op10_quality)}
+    return {f.__name__: f for f in (op1_toxicity, op2_warc, op3_language_id, op4_passages, op6_jaccard_join, op7_bpe, op9_token_files, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
