@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode
 from .common import held_out, table
+from .decontam import find_leaks
 from .idfiles import read_token_files, write_token_files
 from .jaccard import near_duplicates
 from .langid import fit_language_model, predict_languages
+from .media import read_media, store_media
 from .passages import remove_repeats
 from .quality import fit_quality_model, score_quality
 from .toxicity import fit_toxicity_model, score_toxicity
@@ -55,6 +57,10 @@ def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -64,6 +70,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_decode(encoded).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_media(*store_media(table(spark, sf_dir, "documents")))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest, by_rank = write_token_files(table(spark, sf_dir, "documents"))
     return read_token_files(manifest, by_rank).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -76,7 +86,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_warc, op3_language_id, op4_passages, op6_jaccard_join, op7_bpe, op9_token_files, op10_quality)}
+    return {f.__name__: f for f in (op1_toxicity, op2_warc, op3_language_id, op4_passages, op5_decontamination, op6_jaccard_join, op7_bpe, op8_media, op9_token_files, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
