@@ -120,3 +120,18 @@ def predict_languages(df: DataFrame, model: LanguageModel, id_col: str = "doc_id
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return map_arrow(rows, run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def keep_identified(df: DataFrame, model: LanguageModel, text_col: str = "text", least_score: float = 0.3) -> DataFrame:
+    """Rows of ``df``, all columns, whose text has a letter and a language of ``least_score`` or more."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                part = batch.slice(i, 1024)
+                langs, scores = shared.value.predict(part.column(at).to_pylist())
+                yield part.filter(pa.array([lang != "und" and s >= least_score for lang, s in zip(langs, scores, strict=True)], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

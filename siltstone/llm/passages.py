@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 from .hashing import WORD_BASE, WORD_BASE_INV, groups, mix, powers, text_words, window_hashes
-from .repeats import KeyFilter, repeated_items
+from .repeats import KeyFilter, repeated_items, split_by_filter
 
 GRAM = 5
 #: Words that a shard's automaton holds at once at most.
@@ -119,19 +119,6 @@ def keyed(df: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("text_hash"), text.alias("text"), *more)
 
 
-def passing(df: DataFrame, keys: KeyFilter, through: bool) -> DataFrame:
-    """Rows whose first column passes the filter, or those that don't (null ids never pass)."""
-    shared = df.sparkSession.sparkContext.broadcast(keys)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0)
-            ok = shared.value.passes(ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(ok == through))
-
-    return df.mapInArrow(run, df.schema)
-
-
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13) -> DataFrame:
     """(doc long, text_hash long, spans binary): word ranges to remove as little-endian 64-bit pairs (begin, end).
 
@@ -150,7 +137,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     repeated = materialize(repeated_items(docs, extract).withColumnRenamed("owner", "doc"), "passage-anchors")
     lists = repeated.groupBy("doc").agg(F.collect_list("packed").alias("packed"))  # as many as the document's own anchors at most
-    joined = passing(docs, KeyFilter.build(repeated.select("doc")), True).join(lists, "doc").select("doc", "text_hash", "text", "packed")
+    joined = split_by_filter(docs, "doc", KeyFilter.build(repeated.select("doc")))[0].join(lists, "doc").select("doc", "text_hash", "text", "packed")
 
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,8 +245,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     touched = KeyFilter.build(spans.select("doc"))
     more = F.struct(*[F.col(c) for c in carry]).alias("more") if carry else F.lit(0).alias("more")
     rows = keyed(df, id_col, text_col, more)
-    plain = passing(rows, touched, False).withColumn("spans", F.lit(None).cast("binary"))
-    joined = passing(rows, touched, True).join(spans, ["doc", "text_hash"], "left")
+    doubtful, clear = split_by_filter(rows, "doc", touched)
+    plain = clear.withColumn("spans", F.lit(None).cast("binary"))
+    joined = doubtful.join(spans, ["doc", "text_hash"], "left")
     both = plain.unionByName(joined.select(*plain.columns)).select("doc", "text", "spans", "more")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

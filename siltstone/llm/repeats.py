@@ -143,3 +143,29 @@ class KeyFilter:
             a = r["block"] << (cls.BLOCK - 3)
             bitmap[a : a + (1 << (cls.BLOCK - 3))] |= np.frombuffer(r["bits"], np.uint8)
         return cls(bitmap)
+
+
+def split_by_filter(df: DataFrame, id_col: str, keys: KeyFilter) -> tuple[DataFrame, DataFrame]:
+    """(rows whose id may be among the keys, rows whose id is not); a null id is not. All columns pass through."""
+    shared = df.sparkSession.sparkContext.broadcast(keys)
+    at = df.columns.index(id_col)
+
+    def side(through: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column(at)
+                ok = shared.value.passes(ids.fill_null(0).cast(pa.int64()).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(ok == through))
+
+        return df.mapInArrow(run, df.schema)
+
+    return side(True), side(False)
+
+
+def without(df: DataFrame, id_col: str, dropped: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose id is not in the one long column of ``dropped``. Rows with a null id stay.
+
+    Only rows that a filter of fixed size cannot clear are shuffled for the exact anti-join."""
+    ids = dropped.toDF(id_col).distinct()
+    doubtful, clear = split_by_filter(df, id_col, KeyFilter.build(ids))
+    return clear.unionByName(doubtful.join(ids, id_col, "left_anti").select(*df.columns))
