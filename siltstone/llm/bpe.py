@@ -3,14 +3,15 @@
 Method: contiguous rank arrays. Each short word is a row of parts with the ranks of adjacent pairs beside it; the
 lowest rank of the row is found by a scan, its boundary is deleted and the two neighbouring ranks are refreshed. Rows
 of equal width are handled together in numpy; words of more than LONG parts use a heap over a linked list instead,
-as a scan for each merge would be quadratic. Words are encoded once and kept in a bounded cache of the worker.
+as a scan for each merge would be quadratic. Words that a worker has encoded are found again by hash in tables of bounded
+size, for many texts at once.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
-import re
+import os
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,16 +23,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow
+from .hashing import LOWER, NOT_ALNUM, WHITE, groups, joined, word_hashes, word_spans
+
+#: Spark's tasks are the parallelism; threads of the library's own would only contend with them.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+ALNUM = ~NOT_ALNUM & (np.arange(256) < 0x80)
 
 NONE = np.int32(2**31 - 1)
 LONG = 64
-CACHE_WORDS = 200_000
-#: White space of the Unicode standard; str.split() would also cut at U+001C to U+001F.
-SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-ODD = re.compile(r"[\x1c-\x1f]")
-#: Anything but an ASCII or Latin letter or a digit in front of a full stop or comma: the two may be one piece.
-CLUSTER = re.compile(r"[^\sA-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f][.,]")
-
+#: Two tables of so many words that were encoded before, and ids that these may hold together.
+SLOT_BITS, POOL_IDS = 19, 4_000_000
+#: Words that are encoded at once when they are new.
+NEW_WORDS = 20_000
+GROUP_CHARS = 500_000
 
 
 def default_path() -> str:
@@ -40,19 +44,6 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def split_words(text: str) -> list[str]:
-    """Words between Unicode white space. Two rewritings leave the ids as they are and make fewer different words:
-    ASCII in lower case, and a space before full stops and commas that are pieces of their own anyway."""
-    if "<|" not in text:
-        if text.isascii():
-            text = text.lower()
-        if not CLUSTER.search(text) and not ODD.search(text):
-            text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
-    if ODD.search(text):
-        return [w for w in SPACE.split(text) if w]
-    return text.split()
-
-
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -89,7 +80,7 @@ class WordBpe:
         self.tokens = [""] * self.size
         for token, i in (vocab | self.special).items():
             self.tokens[i] = token
-        self.cache: dict[str, bytes] = {}
+        self._forget(POOL_IDS)
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a.astype(np.int64) * self.size + b
@@ -187,67 +178,106 @@ class WordBpe:
             word = unicodedata.normalize("NFC", word).replace("Σ", "σ")
         return self.pieces.findall(word.lower())
 
-    def learn(self, words: set[str]) -> None:
-        """Put words into the cache."""
-        if not words:
-            return
-        if len(self.cache) + len(words) > CACHE_WORDS:
-            self.cache.clear()
-        split = {w: self.word_pieces(w) for w in words}
-        pieces = list({p for x in split.values() for p in x if isinstance(p, str)})
+    def _forget(self, room: int) -> None:
+        self.tags = np.zeros((2, 1 << SLOT_BITS), np.uint64)
+        self.at = np.zeros((2, 1 << SLOT_BITS), np.int64)
+        self.length = np.zeros((2, 1 << SLOT_BITS), np.int32)
+        self.pool, self.used = np.empty(room, np.uint32), 0
+
+    def new_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are in no table."""
+        split = [self.word_pieces(w) for w in words]
+        pieces = list({p for x in split for p in x if isinstance(p, str)})
         known: dict[str | int, bytes] = dict(zip(pieces, self.encode_pieces(pieces), strict=True))
-        for w, x in split.items():
-            self.cache[w] = known[x[0]] if len(x) == 1 and isinstance(x[0], str) else b"".join([known[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in x])
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers, some MB of text at a time."""
-        at = 0
-        while at < len(texts):
-            some, chars = [], 0
-            while at < len(texts) and chars < 400_000:
-                some.append(split_words(texts[at] or ""))
-                chars, at = chars + len(texts[at] or ""), at + 1
-            new = set().union(*some)
-            if len(new) > CACHE_WORDS // 2:  # one huge text: its words don't fit beside the cache
-                for words in some:
-                    out = []
-                    for i in range(0, len(words), 100_000):
-                        part = words[i : i + 100_000]
-                        self.learn({w for w in part if w not in self.cache})
-                        self.learn({w for w in part if w not in self.cache})
-                        out.append(b"".join([self.cache[w] for w in part]))
-                    yield b"".join(out)
-                continue
-            fresh = {w for w in new if w not in self.cache}
-            if len(self.cache) + len(fresh) > CACHE_WORDS:
-                self.cache.clear()
-                fresh = new
-            self.learn(fresh)
-            get = self.cache.__getitem__
-            for words in some:
-                yield b"".join(map(get, words))
+        return [known[x[0]] if len(x) == 1 and isinstance(x[0], str) else b"".join([known[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in x]) for x in split]
+
+    def _words(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes, begins and ends of words, and the index of each text's first word.
+
+        Words lie between ASCII white space (other white space stays in words, where the pattern drops it). Two
+        rewritings leave the ids as they are and make fewer different words: ASCII letters in lower case, and a
+        border before a full stop or comma that follows an ASCII letter or digit and ends a word."""
+        data, offsets = joined(texts)
+        low = LOWER[data]
+        for i, t in enumerate(texts):
+            if t and "<|" in t:  # special tokens are told by case
+                low[offsets[i] : offsets[i + 1]] = data[offsets[i] : offsets[i + 1]]
+        gap = WHITE[low]
+        stop = np.flatnonzero((low[1:-1] == 0x2E) | (low[1:-1] == 0x2C)) + 1 if len(low) > 2 else np.empty(0, np.int64)
+        stop = stop[gap[stop + 1] & ALNUM[low[stop - 1]]]
+        begin, end = word_spans(low, np.concatenate([offsets[:-1][offsets[:-1] < offsets[1:]], stop]))
+        return low, begin, end, np.searchsorted(begin, offsets)
+
+    def encode_group(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin (one more entry for the end)."""
+        data, begin, end, first = self._words(texts)
+        if not len(begin):
+            return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+        h = np.maximum(word_hashes(data, begin, end), np.uint64(1))
+        slots = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64), ((h >> np.uint64(20)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+        hit = self.tags[0][slots[0]] == h
+        at, n = np.where(hit, self.at[0][slots[0]], 0), np.where(hit, self.length[0][slots[0]], 0)
+        rest = np.flatnonzero(~hit)
+        again = self.tags[1][slots[1][rest]] == h[rest]
+        some = rest[again]
+        at[some], n[some] = self.at[1][slots[1][some]], self.length[1][slots[1][some]]
+        missing = rest[~again]
+        if len(missing):
+            _, index, inverse = np.unique(h[missing], return_index=True, return_inverse=True)
+            fresh = missing[index]
+            raw: list[bytes] = []
+            for a in range(0, len(fresh), NEW_WORDS):
+                part = fresh[a : a + NEW_WORDS]
+                raw += self.new_ids([data[b:e].tobytes().decode("utf-8", "surrogatepass") for b, e in zip(begin[part].tolist(), end[part].tolist(), strict=True)])
+            ids = np.frombuffer(b"".join(raw), "<u4")
+            if self.used + len(ids) > len(self.pool):
+                hits = self._gather(at, n)
+                self._forget(max(POOL_IDS, len(ids) + len(hits)))
+                # what this group found in the old pool moves to the new one, unnamed
+                self.pool[: len(hits)], self.used = hits, len(hits)
+                at = np.concatenate([[0], np.cumsum(n)[:-1]])
+            size = np.array([len(x) // 4 for x in raw], np.int32)
+            where = self.used + np.concatenate([[0], np.cumsum(size)[:-1]])
+            self.pool[self.used : self.used + len(ids)] = ids
+            self.used += len(ids)
+            at[missing], n[missing] = where[inverse], size[inverse]
+            for k in (0, 1):
+                slot = slots[k][fresh]
+                free = self.tags[k][slot] == 0 if k == 0 else np.ones(len(slot), bool)
+                for table, value in ((self.tags, h[fresh]), (self.at, where), (self.length, size)):
+                    table[k][slot[free]] = value[free]
+        bounds = np.zeros(len(h) + 1, np.int64)
+        np.cumsum(n, out=bounds[1:])
+        return self._gather(at, n), bounds[first]
+
+    def _gather(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        total = np.cumsum(n)
+        return self.pool[np.repeat(at - (total - n), n) + np.arange(int(total[-1]))]
+
+    def encode(self, texts: list[str | None], kind: str = "<u4") -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned integers, some texts at a time."""
+        for a, b in groups(texts, GROUP_CHARS):
+            ids, bounds = self.encode_group(texts[a:b])
+            raw, width = ids.astype(kind).tobytes(), np.dtype(kind).itemsize
+            yield from (raw[x:y] for x, y in zip((bounds[:-1] * width).tolist(), (bounds[1:] * width).tolist(), strict=True))
 
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 class LibraryBpe(WordBpe):
-    """The same with the ``tokenizers`` library for words that are not in the cache."""
+    """The same with the ``tokenizers`` library for words that are in no table."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__(path)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self._forget(POOL_IDS)
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.cache) + len(words) > CACHE_WORDS:
-            self.cache.clear()
-        todo = list(words)
-        for word, found in zip(todo, self.library.encode_batch_fast(todo, add_special_tokens=False), strict=True):
-            self.cache[word] = np.array(found.ids, "<u4").tobytes()
+    def new_ids(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=1)

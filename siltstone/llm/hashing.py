@@ -57,13 +57,25 @@ def word_spans(data: np.ndarray, starts: np.ndarray, gap: np.ndarray = WHITE) ->
     return np.flatnonzero(first), np.flatnonzero(last)
 
 
-def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range."""
+def _range_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
     return mix((sums[end] - sums[begin]) * powers(BASE_INV, len(data) + 1)[begin] + (end - begin).astype(np.uint64))
 
 
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte range; ranges are in order. Long data are hashed some ranges at a time."""
+    if len(data) <= 2 * BLOCK:
+        return _range_hashes(data, begin, end)
+    out, i = np.empty(len(begin), np.uint64), 0
+    while i < len(begin):
+        j = max(i + 1, int(np.searchsorted(end, begin[i] + BLOCK, "right")))
+        a, b = begin[i], end[j - 1]
+        out[i:j] = _range_hashes(data[a:b], begin[i:j] - a, end[i:j] - a)
+        i = j
+    return out
+
+
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` consecutive word hashes (also those that cross texts)."""
     if len(words) < size:

@@ -61,13 +61,15 @@ def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts hold ``end_id`` alone; null ids come first; rows with equal ids follow each other in the order of a hash of
     their ids. Ranks come from the counts of all documents; their table is bounded by the vocabulary."""
     spark, path = df.sparkSession, path or default_path()
+    kind = "<u2" if max(worker_library(path).library.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+    width = np.dtype(kind).itemsize
 
     def encode(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        end = end_id.to_bytes(4, "little")
+        end = end_id.to_bytes(width, "little")
         library = worker_library(path)
         for i in range(0, batch.num_rows, 512):
             part = batch.slice(i, 512)
-            ids = [x + end for x in library.encode(part.column(1).to_pylist())]
+            ids = [x + end for x in library.encode(part.column(1).to_pylist(), kind)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["id", "ids"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -77,7 +79,7 @@ def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         total = np.zeros(0, np.int64)
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
-                found = np.bincount(np.frombuffer(b"".join(batch.column(0).slice(i, 512).to_pylist()), "<u4"))
+                found = np.bincount(np.frombuffer(b"".join(batch.column(0).slice(i, 512).to_pylist()), kind))
                 if len(found) > len(total):
                     total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
                 total[: len(found)] += found
@@ -90,19 +92,6 @@ def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rank_of[by_rank] = np.arange(len(by_rank))
     shared = spark.sparkContext.broadcast(rank_of)
 
-    def code(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for i in range(0, batch.num_rows, 512):
-            part = batch.slice(i, 512)
-            control, data, n = [], [], []
-            for x in part.column(1).to_pylist():
-                ids = np.frombuffer(x, "<u4")
-                c, d = encode_ranks(shared.value[ids])
-                control.append(c)
-                data.append(d)
-                n.append(len(ids))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())], names=["id", "tie", "n", "control", "data"])
-
-    coded = map_arrow(encoded.select("id", "ids", F.xxhash64("ids").alias("tie")), code, "id long, tie long, n long, control binary, data binary")
     folder = new_path(spark, "token-files")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,13 +105,13 @@ def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
             nonlocal seq, size, held
             at = f"{folder}/{attempt_suffix()}-{seq:05d}.bin"
             n_docs = sum(b.num_rows for b in held)
-            control = [x for b in held for x in b.column(3).to_pylist()]
-            data = [x for b in held for x in b.column(4).to_pylist()]
+            coded = [encode_ranks(shared.value[np.frombuffer(x, kind)]) for b in held for x in b.column(1).to_pylist()]
+            control, data = [c for c, _ in coded], [d for _, d in coded]
             with writing(at) as out:
                 out.write(MAGIC + np.array([n_docs, sum(map(len, control)), sum(map(len, data))], "<i8").tobytes())
                 ids = np.concatenate([b.column(0).fill_null(0).to_numpy(zero_copy_only=False) for b in held])
                 nulls = np.concatenate([b.column(0).is_null().to_numpy(zero_copy_only=False) for b in held])
-                lengths = np.concatenate([b.column(2).to_numpy() for b in held])
+                lengths = np.concatenate([b.column(2).to_numpy() for b in held]) // width
                 out.write(ids.astype("<i8").tobytes() + nulls.astype(np.uint8).tobytes() + lengths.astype("<i8").tobytes())
                 for x in (*control, *data):
                     out.write(x)
@@ -134,14 +123,15 @@ def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 held.append(part)
-                size += int(part.column(2).to_numpy().sum())
+                size += int(part.column(2).to_numpy().sum()) // width
                 if size >= ids_per_file:
                     yield flush()
         if held:
             yield flush()
 
-    ordered = coded.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "tie")
-    files = materialize(ordered.mapInArrow(write, "file string, part long, seq long, docs long, ids long"), "token-manifest")
+    ordered = encoded.repartitionByRange(F.col("id").asc_nulls_first()).withColumn("tie", F.xxhash64("ids")).sortWithinPartitions(F.col("id").asc_nulls_first(), "tie")
+    coded = ordered.select("id", "ids", F.octet_length("ids").cast("long").alias("n"))
+    files = materialize(coded.mapInArrow(write, "file string, part long, seq long, docs long, ids long"), "token-manifest")
     listed = sorted(files.collect(), key=lambda r: (r["part"], r["seq"]))  # a row for each file
     starts = np.concatenate([[0], np.cumsum([r["ids"] for r in listed])])
     schema = "file string, part long, seq long, docs long, ids long, start long"
