@@ -2,10 +2,11 @@
 
 1. Anchors. Of the word k-grams in each window the one with the smallest hash is its anchor, so equal windows have
    equal anchors wherever they stand. Anchors that several documents have are found with one shuffle.
-2. Recurring passages are confirmed: the stretch of words under each repeated anchor goes to the shard of that anchor,
-   where windows that several documents have become the shard's phrases, each with the smallest document id.
+2. Recurring passages are confirmed: the stretch of words under each repeated anchor goes to the shard of that anchor.
+   Equal stretches are copies of one passage; of stretches that differ, the windows that several documents have become
+   the shard's phrases, each with the smallest document id.
 3. Each shard compiles its phrases into an Aho-Corasick automaton (a word is one code point of the shard's own
-   alphabet) and all stretches of the shard stream through it: every occurrence of every phrase is located.
+   alphabet) and all its stretches that hold one stream through it: every occurrence of every phrase is located.
 4. Occurrences in documents with a larger id are merged into spans of words to remove.
 """
 
@@ -25,7 +26,7 @@ from .repeats import KeyFilter, repeated_items, split_by_filter
 
 GRAM = 5
 #: Words that a shard's automaton holds at once at most.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 200_000
 
 
 def anchors(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -48,11 +49,30 @@ def locate(doc: np.ndarray, place: np.ndarray, n: np.ndarray, codes: np.ndarray,
     """One shard of stretches: document, place of the first word, number of words, and the codes of all words in a row.
 
     Returns (stretch, place) of each window that a smaller document has as well."""
+    start = np.concatenate([[0], np.cumsum(n)])[:-1]
+    # equal stretches: in documents other than the smallest that has one, all its windows go
+    whole = stretch_hashes(mix(codes.astype(np.uint64) + np.uint64(1)), start, n)
+    order = np.lexsort((doc, whole))
+    new = np.ones(len(order), bool)
+    new[1:] = whole[order][1:] != whole[order][:-1]
+    copies = np.zeros(len(order), bool)
+    copies[order] = doc[order] != doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    who = np.flatnonzero(copies)
+    many = n[who] - size + 1
+    copy_row = np.repeat(who, many)
+    copy_place = np.repeat(place[who] - np.concatenate([[0], np.cumsum(many)])[:-1], many) + np.arange(int(many.sum()))
+    own = np.flatnonzero(~copies)
+    row, at = differing(doc[own], place[own], n[own], codes[np.repeat(~copies, n)], size)
+    return np.concatenate([copy_row, own[row]]), np.concatenate([copy_place, at])
+
+
+def differing(doc: np.ndarray, place: np.ndarray, n: np.ndarray, codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for stretches of which none is a copy: they have only some windows in common."""
     none = np.empty(0, np.int64), np.empty(0, np.int64)
     start = np.concatenate([[0], np.cumsum(n)])[:-1]
-    count = np.maximum(n - size + 1, 0)
+    count = n - size + 1
     row = np.repeat(np.arange(len(n)), count)
-    at = np.repeat(start - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(int(count.sum()))
+    at = np.repeat(start - np.concatenate([[0], np.cumsum(count)])[:-1], count) + np.arange(int(count.sum()))
     if not len(at):
         return none
     whole = window_hashes(mix(codes.astype(np.uint64) + np.uint64(1)), size)[at]
@@ -64,6 +84,13 @@ def locate(doc: np.ndarray, place: np.ndarray, n: np.ndarray, codes: np.ndarray,
     if not recurring.any():
         return none
     phrase_at, phrase_owner = at[order[begin[recurring]]], least[recurring]
+    # stretches without a recurring window need not be streamed
+    busy = np.zeros(len(n), bool)
+    busy[row[order][np.repeat(recurring, np.diff(np.append(begin, len(order))))]] = True
+    keep_rows, keep_codes = np.flatnonzero(busy), np.repeat(busy, n)
+    moved = np.cumsum(keep_codes) - 1
+    phrase_at, codes, n, place, doc = moved[phrase_at], codes[keep_codes], n[busy], place[busy], doc[busy]
+    start = np.concatenate([[0], np.cumsum(n)])[:-1]
     alphabet, letter = np.unique(codes, return_inverse=True)
     letter = letter.astype(np.uint32) + 1
     letter[letter >= 0xD800] += 0x800
@@ -82,7 +109,7 @@ def locate(doc: np.ndarray, place: np.ndarray, n: np.ndarray, codes: np.ndarray,
     hit_row = np.searchsorted(begins, found[:, 0], "right") - 1
     later = doc[hit_row] > phrase_owner[found[:, 1]]
     hit_row = hit_row[later]
-    return hit_row, place[hit_row] + found[later, 0] - size + 1 - begins[hit_row]
+    return keep_rows[hit_row], place[hit_row] + found[later, 0] - size + 1 - begins[hit_row]
 
 
 def merge_spans(places: np.ndarray, size: int) -> np.ndarray:

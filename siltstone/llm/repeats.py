@@ -11,16 +11,22 @@ from pyspark.sql import functions as F
 
 from .hashing import mix
 
+#: Items of a row at most, so that the rows follow the items and not the number of partitions.
+PACKED = 4
 SCHEMA = "item long, owner long, known boolean, packed binary"
 
 
-def pack(owners: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """Each owner with its items as little-endian 64-bit integers."""
+def pack(owners: np.ndarray, items: np.ndarray, most: int = PACKED) -> tuple[np.ndarray, list[bytes]]:
+    """Each owner with its items as little-endian 64-bit integers; an owner of more than ``most`` items comes again."""
     order = np.argsort(owners, kind="stable")
     owners, items = owners[order], items[order].astype("<i8")
-    who, first = np.unique(owners, return_index=True)
+    new = np.ones(len(owners), bool)
+    new[1:] = owners[1:] != owners[:-1]
+    begin = np.flatnonzero(new)
+    nth = np.arange(len(owners)) - begin[np.cumsum(new) - 1]
+    first = np.flatnonzero(nth % most == 0)
     raw, cut = items.tobytes(), [*(first * 8).tolist(), len(items) * 8]
-    return who, [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+    return owners[first], [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)]
 
 
 def distinct_pairs(items: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,7 +71,7 @@ def repeated_items(df: DataFrame, extract: Callable[[pa.RecordBatch], Iterator[t
             first = many & new
             if first.any():
                 yield rows(items[first], owners[first], True, None)
-                who, packed = pack(owners[many], items[many])
+                who, packed = pack(owners[many], items[many], 1 << 30)
                 yield rows(mix(who.view(np.uint64)).view(np.int64), who, True, packed)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +125,7 @@ class KeyFilter:
 
     @classmethod
     def build(cls, keys: DataFrame) -> KeyFilter:
-        """From a DataFrame with one long column. Places are deduplicated in each batch, then by block of bits."""
+        """From a DataFrame with one long column. Keys and then places are deduplicated before they meet by block of bits."""
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
