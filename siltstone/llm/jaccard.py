@@ -29,6 +29,8 @@ PART, WHOLE = 80, 100
 #: Sets and shingles of a block of a group that is too large for one task.
 BLOCK_SETS, BLOCK_SHINGLES = 8192, 2_000_000
 HOT_DOCS = 1 / 200
+#: Shingles of a row at most, so that the rows follow the shingles and not the number of partitions.
+PACKED = 8
 COMMON = np.int64(1) << np.int64(62)
 
 
@@ -142,9 +144,12 @@ def frequent_sets(docs: DataFrame, survivors: KeyFilter, hot: np.ndarray) -> Dat
         token, key, n, df = (x[df > 1] for x in (token, key, n, df))
         order = np.argsort(key, kind="stable")
         token, key, n, df = token[order], key[order], n[order], df[order]
-        who, first = np.unique(key, return_index=True)
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        nth = np.arange(len(key)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+        first = np.flatnonzero(nth % PACKED == 0)
         raw, cut = np.stack([df, token], axis=1).astype("<i8").tobytes(), [*(first * 16).tolist(), len(key) * 16]
-        yield out(who, n[first], [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)])
+        yield out(key[first], n[first], [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
