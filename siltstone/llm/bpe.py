@@ -35,7 +35,7 @@ LONG = 64
 SLOT_BITS, POOL_IDS = 19, 4_000_000
 #: Words that are encoded at once when they are new.
 NEW_WORDS = 20_000
-GROUP_CHARS = 500_000
+GROUP_CHARS = 400_000
 
 
 def default_path() -> str:
@@ -77,9 +77,6 @@ class WordBpe:
         self.keys, self.ranks = keys[order], order.astype(np.int32)
         self.merged = np.array([vocab[a + b] for a, b in merges], np.int32)
         self.pair = dict(zip(keys.tolist(), range(len(keys)), strict=True))
-        self.tokens = [""] * self.size
-        for token, i in (vocab | self.special).items():
-            self.tokens[i] = token
         self._forget(POOL_IDS)
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -261,8 +258,9 @@ class WordBpe:
             raw, width = ids.astype(kind).tobytes(), np.dtype(kind).itemsize
             yield from (raw[x:y] for x, y in zip((bounds[:-1] * width).tolist(), (bounds[1:] * width).tolist(), strict=True))
 
-    def decode(self, ids: bytes) -> str:
-        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+def decode(ids: bytes, tokens: list[str]) -> str:
+    return " ".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 class LibraryBpe(WordBpe):
@@ -285,7 +283,19 @@ def worker_library(path: str) -> LibraryBpe:
     return LibraryBpe(path)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
+def worker_tokens(path: str) -> list[str]:
+    """The token of each id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    named = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    out = [""] * (max(named.values()) + 1)
+    for token, i in named.items():
+        out[i] = token
+    return out
+
+
+@lru_cache(maxsize=1)
 def worker_bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
@@ -316,7 +326,7 @@ def bpe_decode(df: DataFrame, ids_col: str = "ids", out_col: str = "decoded", pa
 
     @F.pandas_udf("string")
     def decoded(ids):
-        bpe = worker_bpe(path)
-        return ids.map(lambda x: bpe.decode(x or b""))
+        tokens = worker_tokens(path)
+        return ids.map(lambda x: decode(x or b"", tokens))
 
     return df.withColumn(out_col, decoded(F.col(ids_col)))

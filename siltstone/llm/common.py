@@ -22,12 +22,25 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1 / 200
 
 
+#: Bytes of an Arrow batch that a task hands to Python at once; rows of text differ too much for a count to bound them.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_BYTES at most, unless the session asks for smaller ones."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only if that is unset."""
+    bound_batches(spark)
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
@@ -48,6 +61,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with a function of one batch."""
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

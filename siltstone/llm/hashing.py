@@ -10,7 +10,8 @@ BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 BASE_INV = pow(BASE, -1, 2**64)
 WORD_BASE = 0xD1342543DE82EF95
 WORD_BASE_INV = pow(WORD_BASE, -1, 2**64)
-BLOCK = 1_000_000
+#: Characters that are handled at once: temporary arrays have a few times 8 bytes for each.
+BLOCK = 300_000
 
 _powers: dict[int, np.ndarray] = {}
 

@@ -143,7 +143,7 @@ class KeyFilter:
             if blocks:
                 yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int64()), pa.array([x.tobytes() for x in blocks.values()], pa.binary())], names=["block", "bits"])
 
-        found = keys.mapInArrow(spread, "block long, at long").distinct().repartition(F.col("block")).mapInArrow(collect, "block long, bits binary").collect()
+        found = keys.distinct().mapInArrow(spread, "block long, at long").distinct().repartition(F.col("block")).mapInArrow(collect, "block long, bits binary").collect()
         bitmap = np.zeros(1 << (cls.BITS - 3), np.uint8)
         for r in found:  # 64 blocks at most
             a = r["block"] << (cls.BLOCK - 3)
