@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .bpe import bpe_decode, bpe_encode
 from .common import held_out, table
 from .decontam import find_leaks
@@ -90,4 +91,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": oracles.WARC, "op4_passages": oracles.PASSAGES, "op5_decontamination": oracles.LEAKS, "op6_jaccard_join": oracles.JACCARD}

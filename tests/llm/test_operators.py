@@ -1,0 +1,502 @@
+"""Training-data operators against brute force, exact round trips and odd rows."""
+
+import base64
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from siltstone.llm import bpe, decontam, hashing, idfiles, jaccard, langid, media, passages, quality, repeats, toxicity, warc
+from siltstone.llm.common import attach
+from siltstone.llm.components import connected_components
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, ids string, doc string, score string, n_tokens string, kept string"
+
+
+def docs(spark, rows, schema=SCHEMA):
+    """(doc_id, text) rows with other columns, some of which are called like the operators' own."""
+    width = len(schema.split(", ")) - 2
+    return spark.createDataFrame([(*r, *[None] * width) for r in rows], schema)
+
+
+def odd_rows():
+    long = " ".join(f"w{k % 977}" for k in range(60_000))
+    return [(1, "one two three"), (2, None), (3, ""), (None, "no id at all"), (4, "one two three"), (4, "one two three"), (4, "other text, same id"), (5, " \t\n "), (6, "x" * 400_000), (7, long), (8, "Ünï ©ode 日本語 \U0001f600 \x1c"), (9, "$$$ 123")]
+
+
+# Hashes and repeats --------------------------------------------------------------------------------------------------
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aB é日\t\n\x1c.", max_size=30), max_size=6))
+def test_words_are_what_split_gives(texts):
+    hashes, first = hashing.text_words(texts, lower=False)
+    assert [b - a for a, b in zip(first, first[1:])] == [len(t.encode().split()) for t in texts]
+    words = [w for t in texts for w in t.encode().split()]
+    assert len(set(words)) == len(set(hashes.tolist()))
+    again = {}
+    for w, h in zip(words, hashes.tolist(), strict=True):
+        assert again.setdefault(w, h) == h
+
+
+def test_hashes_do_not_depend_on_blocks(monkeypatch):
+    texts = [" ".join(f"w{k}" for k in range(3000)), "y" * 5000, None, ""]
+    whole, _ = hashing.text_words(texts)
+    grams, counts = hashing.ngram_sums([t or "" for t in texts], [1, 3], 8, [np.arange(256.0), np.arange(256.0)])
+    monkeypatch.setattr(hashing, "BLOCK", 700)
+    assert (hashing.text_words(texts)[0] == whole).all()
+    pieces = list(hashing.char_pieces(["abcdef"], 2, limit=2))
+    assert ["".join(map(chr, c)) for c, *_ in pieces] == ["abcd", "cdef", "ef"]
+    assert counts.tolist() == [2 * len(texts[0]) - 2, 9998, 0, 0] and grams.shape == (4, 1)
+
+
+def test_repeated_items_and_filter(spark):
+    rng = random.Random(1)
+    pairs = [(rng.randrange(40), rng.randrange(300)) for _ in range(400)] + [(k, 7_000) for k in range(40)]
+    df = spark.createDataFrame(pairs, "owner long, item long").repartition(5)
+
+    def extract(batch):
+        yield batch.column(1).to_numpy(), batch.column(0).to_numpy()
+
+    got = defaultdict(set)
+    for r in repeats.repeated_items(df, extract).collect():
+        got[r["owner"]] |= set(np.frombuffer(r["packed"], "<i8").tolist())
+    owners = defaultdict(set)
+    for o, i in pairs:
+        owners[i].add(o)
+    expected = defaultdict(set)
+    for o, i in pairs:
+        if len(owners[i]) > 1:
+            expected[o].add(i)
+    assert got == expected
+    keys = repeats.KeyFilter.build(spark.range(0, 5000, 5))
+    ids = np.arange(20_000)
+    assert keys.passes(ids)[:5000:5].all() and keys.passes(ids).sum() < 1100
+    assert repeats.KeyFilter.build(spark.range(0)).passes(ids).sum() == 0
+    rows = docs(spark, odd_rows())
+    left = repeats.without(rows, "doc_id", spark.createDataFrame([(4,), (9,), (None,)], "k long"))
+    assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(map(str, [1, 2, 3, None, 5, 6, 7, 8])) and left.columns == rows.columns
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(110)] + [(1000, k) for k in range(1001, 1200)] + [(k, k + 1) for k in range(2000, 2040)] + [(5, 5)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+    got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {x: find(x) for x in list(parent)}
+    assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_attach_sends_hot_keys_apart(spark):
+    df = spark.createDataFrame([("hot", k) for k in range(900)] + [(f"k{k}", k) for k in range(100)], "k string, v long")
+    groups = df.groupBy("k").agg(F.max("v").alias("top"), F.count("*").alias("n"))
+    assert {(r["k"], r["top"]) for r in attach(df, "k", groups, "n", 1000).collect()} == {("hot", 899), *((f"k{k}", k) for k in range(100))}
+
+
+# 7 and 9: tokens -----------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(bpe.default_path())
+
+
+PIECES = ["the", "Is", "ñandú", "É", "İ", "Σ", "'re", "'LL", "...", "., ", " . ", ", ", "<|endoftext|>", "<|startoftext|>", "<|", "日本", "١٢", "½", "\x1c", "\x85", "\xa0", " ", "\n", "\U0001f600", "́", "ẞ", "K"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.sampled_from(PIECES), st.text(max_size=5)), max_size=12).map("".join), min_size=1, max_size=4))
+def test_bpe_equals_the_library(library, texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    tokens = bpe.worker_tokens(bpe.default_path())
+    for encoder in (bpe.worker_bpe(bpe.default_path()), bpe.worker_library(bpe.default_path())):
+        for t, got in zip(texts, encoder.encode(texts), strict=True):
+            expected = library.encode(t, add_special_tokens=False).ids
+            assert np.frombuffer(got, "<u4").tolist() == expected
+            assert bpe.decode(got, tokens) == library.decode(expected, skip_special_tokens=False)
+
+
+def test_bpe_long_words_and_small_tables(library, monkeypatch):
+    monkeypatch.setattr(bpe, "POOL_IDS", 50)
+    encoder = bpe.WordBpe(bpe.default_path())
+    rng = random.Random(5)
+    texts = ["a" * 3000 + "b" * 500, "ab" * 900, *(" ".join("".join(rng.choices("abcdef", k=rng.randint(1, 9))) for _ in range(80)) for _ in range(30))]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_bpe_operator_on_odd_rows(spark, library):
+    rows = odd_rows()
+    got = bpe.bpe_decode(bpe.bpe_encode(docs(spark, rows))).collect()
+    expected = sorted(((i, library.encode(t or "", add_special_tokens=False).ids) for i, t in rows), key=str)
+    assert sorted(((r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist()) for r in got), key=str) == expected
+    assert all(r["decoded"] == library.decode(np.frombuffer(r["ids"], "<u4").tolist(), skip_special_tokens=False) and r["n_tokens"] == len(r["ids"]) // 4 for r in got)
+    assert bpe.bpe_decode(bpe.bpe_encode(docs(spark, []))).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2**32 - 1), max_size=9), min_size=1, max_size=5))
+def test_rank_coding_round_trip(lists):
+    coded = [idfiles.encode_ranks(np.array(x, np.uint32)) for x in lists]
+    control, data = (np.frombuffer(b"".join(c[k] for c in coded), np.uint8) for k in (0, 1))
+    got, at = idfiles.decode_ranks(control, data), 0
+    for x in lists:
+        assert got[at : at + len(x)].tolist() == x
+        at += -(-len(x) // 4) * 4
+
+
+def test_token_files_on_odd_rows(spark, library):
+    rows = odd_rows()
+    manifest, by_rank = idfiles.write_token_files(docs(spark, rows).repartition(3), ids_per_file=1000)
+    assert manifest.count() > 1
+    got = sorted(idfiles.read_token_files(manifest, by_rank, ids_at_once=500).collect(), key=lambda r: r["start"])
+    at = 0
+    for r in got:
+        assert r["start"] == at and r["n_tokens"] == len(r["ids"]) // 4
+        at += r["n_tokens"]
+    expected = sorted((str(i), library.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in rows)
+    assert sorted((str(r["doc_id"]), np.frombuffer(r["ids"], "<u4").tolist()) for r in got) == expected
+    ids = [r["doc_id"] for r in got]
+    assert ids[0] is None and ids[1:] == sorted(ids[1:])
+    empty, ranks = idfiles.write_token_files(docs(spark, []))
+    assert idfiles.read_token_files(empty, ranks).count() == 0
+
+
+# 2: archives ---------------------------------------------------------------------------------------------------------
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(i, u, h, "x", 1) for i, u, h in rows], "page_id long, url string, html string, payload string, n long")
+
+
+def test_archives(spark):
+    big = "".join(random.Random(1).choices("abc é\r\n", k=20_000))
+    rows = [(5, "https://e.org/a", big), (3, None, big), (1, "https://e.org/ b", ""), (2, "u", None), (7, "u", "x\r\n\r\nWARC/1.1\r\n"), (8, "v", big + "z"), (None, "n", big), (5, "https://e.org/a", big)]
+    manifest = warc.write_warc(pages(spark, rows), bytes_per_file=3000)
+    assert manifest.count() > 1 and manifest.agg(F.sum("records")).first()[0] == len(rows)
+    chunks = warc.read_warc(manifest, chunk_bytes=777).collect()
+    by = defaultdict(list)
+    for c in chunks:
+        by[(c["record_id"], c["record_type"], c["refers_to"])].append(c)
+    first = {}
+    for i, _, h in rows:
+        if i is not None:
+            first[h or ""] = min(i, first.get(h or "", i))
+    assert {k[:3] for k in by} == {(i, "response" if first[h or ""] == i else "revisit", None if first[h or ""] == i else first[h or ""]) for i, _, h in rows if i is not None} | {(None, "response", None)}
+    for (i, kind, _), cs in by.items():
+        raw = next((h or "") for j, _, h in rows if j == i).encode()
+        assert {(c["payload_bytes"], c["payload_digest"]) for c in cs} == {(len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode())}
+        if kind == "response":
+            cs.sort(key=lambda c: c["chunk_no"])
+            assert b"".join(c["data"] for c in cs) == raw and max(len(c["data"]) for c in cs) <= 777
+            assert [c["running_digest"] for c in cs] == [base64.b32encode(hashlib.sha1(raw[: 777 * (k + 1)]).digest()).decode() for k in range(len(cs))]
+            assert cs[0]["n_chunks"] == len(cs)
+    assert warc.read_warc(warc.write_warc(pages(spark, []))).count() == 0
+    kinds = warc.read_warc(warc.write_warc(pages(spark, rows), least_bytes=1)).where("payload_bytes = 0").select("record_type").distinct().collect()
+    assert [r[0] for r in kinds] == ["response"]
+
+
+def test_a_damaged_archive_fails(spark, tmp_path):
+    manifest = warc.write_warc(pages(spark, [(1, "u", "payload " * 50)]))
+    path = manifest.first()["file"].removeprefix("file://")
+    import gzip
+
+    raw = gzip.decompress(open(path, "rb").read()).replace(b"payload payload", b"payload PAYLOAD", 1)
+    (tmp_path / "bad.warc.gz").write_bytes(gzip.compress(raw))
+    bad = spark.createDataFrame([(str(tmp_path / "bad.warc.gz"), 1)], "file string, records long")
+    with pytest.raises(Exception, match="digest of record 1"):
+        warc.read_warc(bad).collect()
+
+
+# 4: passages ---------------------------------------------------------------------------------------------------------
+
+
+def brute_passages(rows, size):
+    windows = {}
+    for i, t in rows:
+        w = (t or "").encode().split()
+        if i is not None:
+            for k in range(len(w) - size + 1):
+                windows[tuple(w[k : k + size])] = min(i, windows.get(tuple(w[k : k + size]), i))
+    out = []
+    for i, t in rows:
+        w = (t or "").encode().split()
+        gone = [False] * len(w)
+        for k in range(len(w) - size + 1):
+            if i is not None and windows[tuple(w[k : k + size])] < i:
+                gone[k : k + size] = [True] * size
+        out.append((i, len(w), sum(gone), b" ".join(x for x, g in zip(w, gone, strict=True) if not g).decode()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_passages_equal_brute_force(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    monkeypatch.setattr(passages, "SHARD_WORDS", 60)
+    base = [" ".join(rng.choices("abcdefgh", k=60)) for _ in range(4)]
+    rows = []
+    for i in rng.sample(range(200), 60):
+        if rng.random() < 0.3:
+            t = rng.choice(base)
+        else:
+            parts = [" ".join(rng.choices("abcdefgh", k=rng.randint(0, 30)))]
+            for _ in range(rng.randint(0, 2)):
+                w = rng.choice(base).split()
+                a = rng.randint(0, 40)
+                parts += [" ".join(w[a : a + rng.randint(8, 30)]), " ".join(rng.choices("xyz", k=rng.randint(0, 9)))]
+            t = "\n".join(parts)
+        rows.append((i, t))
+    rows += [(None, base[0]), (300, None), (301, ""), (302, base[1]), (302, base[1]), (302, base[2] + " tail"), (0, base[3] + " " + base[3])]
+    got = passages.remove_repeats(docs(spark, rows).repartition(5), carry=["source"])
+    assert got.columns == ["doc_id", "n_words", "n_removed", "kept", "source"]
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got.collect()), key=str) == brute_passages(rows, 13)
+
+
+def test_passages_on_odd_rows(spark):
+    rows = odd_rows() + [(10, odd_rows()[9][1]), (11, "x" * 400_000)]
+    got = passages.remove_repeats(docs(spark, rows))
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got.collect()), key=str) == brute_passages(rows, 13)
+    assert passages.remove_repeats(docs(spark, [])).count() == 0
+
+
+# 6: similar documents ------------------------------------------------------------------------------------------------
+
+
+def brute_components(rows):
+    low = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().translate(low).split()
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set())
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                parent[find(a)] = find(b)
+    names = defaultdict(list)
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            names[find(k)].append(i)
+    return sorted(((i, len(sets[k]), min(names[find(k)], default=None) if sets[k] else i) for k, (i, _) in enumerate(rows)), key=str)
+
+
+def similar_rows(seed):
+    rng = random.Random(seed)
+    rows, i = [], 0
+    for _ in range(12):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.randint(3, 120))]
+        for _ in range(rng.choice([1, 2, 3, 25])):
+            w = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2, 3])):
+                w[rng.randrange(len(w))] = f"e{rng.randrange(10**6)}"
+            if rng.random() < 0.3:
+                w += [f"t{rng.randrange(10**6)}" for _ in range(rng.randint(0, 25))]
+            rows.append((i, " ".join(w).upper() if rng.random() < 0.2 else "\n".join(w)))
+            i += 1
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("blocks", [8192, 5])
+def test_components_equal_brute_force(spark, monkeypatch, blocks):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", blocks)
+    rows = similar_rows(blocks) + [(None, "a b c d e f"), (None, "a b c d e f"), (900, None), (901, ""), (902, "a b"), (903, "A B"), (904, "a")]
+    got = jaccard.near_duplicates(docs(spark, rows).repartition(4))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows)
+
+
+def test_components_on_odd_rows(spark):
+    got = jaccard.near_duplicates(docs(spark, odd_rows()))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(odd_rows())
+    assert jaccard.near_duplicates(docs(spark, [])).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 12), min_size=1, max_size=10), min_size=2, max_size=12))
+def test_prefix_tree_joins_what_is_linked(sets):
+    arrays = [np.array(sorted(s), np.int64) for s in sets]
+    found = jaccard.PrefixTree(arrays, np.array([len(s) for s in sets])).links()
+
+    def classes(links):
+        label = list(range(len(sets)))
+        for a, b in links:
+            label = [label[a] if x == label[b] else x for x in label]
+        return sorted(sorted(k for k, x in enumerate(label) if x == y) for y in set(label))
+
+    linked = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert all((max(p), min(p)) in linked for p in found)
+    assert classes(found) == classes(linked)
+
+
+# 5: benchmark items --------------------------------------------------------------------------------------------------
+
+
+def brute_leaks(rows, items):
+    import re
+
+    words = lambda t: re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").encode().lower() if (t or "").isascii() else re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))
+    out = []
+    for i, t in rows:
+        w = words(t)
+        for j, q in items:
+            x = words(q)
+            width = min(5, len(x))
+            if not width:
+                continue
+            need = {tuple(x[k : k + width]) for k in range(len(x) - width + 1)}
+            have = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)}
+            if 100 * len(need & have) >= 80 * len(need):
+                out.append((i, j, len(need), len(need & have)))
+    return sorted(out, key=str)
+
+
+def test_leaks_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(4)
+    items = [(k, " ".join(f"w{rng.randrange(200)}" for _ in range(n))) for k, n in enumerate([1, 3, 4, 5, 6, 9, 30, 31, 64, 200])] + [(50, None), (51, " .. "), (None, "lone item of six plain words"), (9, "w1 w2 w3 w4 w5 w6 w7")]
+    rows = odd_rows() + [(60, "lone item of six plain words"), (61, "Lone, ITEM: of (six) plain words!")]
+    for i in range(100, 160):
+        w = [f"w{rng.randrange(200)}" for _ in range(rng.randint(0, 400))]
+        q = (rng.choice(items)[1] or "").split()
+        for _ in range(rng.randint(0, 2)):
+            if q:
+                q[rng.randrange(len(q))] = "edit"
+        at = rng.randint(0, len(w))
+        rows.append((i, " ".join(w[:at] + q + w[at:])))
+    table = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, id int")
+    for chars in (8_000_000, 500):
+        monkeypatch.setattr(decontam, "BLOCK_CHARS", chars)
+        got = decontam.find_leaks(docs(spark, rows), table).collect()
+        assert sorted(((r["doc_id"], r["item_id"], r["n_shingles"], r["n_shared"]) for r in got), key=str) == brute_leaks(rows, items)
+        assert all(r["containment"] == r["n_shared"] / r["n_shingles"] for r in got)
+    assert decontam.find_leaks(docs(spark, []), table).count() == 0
+    assert decontam.find_leaks(docs(spark, rows), table.where("false")).count() == 0
+
+
+# 8: media ------------------------------------------------------------------------------------------------------------
+
+
+def test_gear_cuts_equal_a_rolling_hash():
+    data = random.Random(3).randbytes(300_000)
+    cuts, begin, h = [], 0, 0
+    for k, b in enumerate(data):
+        h = ((h << 1) + int(media.GEAR[b])) & 0xFFFFFFFF
+        n = k + 1 - begin
+        if (n >= media.LEAST and h >> (32 - media.MASK_BITS) == 0) or n == media.MOST:
+            cuts.append(k + 1)
+            begin = k + 1
+    if begin < len(data):
+        cuts.append(len(data))
+    own = media.gear_cuts(data)
+    assert own == cuts and len(own) > 40
+    moved = media.gear_cuts(data[:50_000] + b"!" + data[50_000:])
+    assert len({c - 1 for c in moved} & set(own)) > 20
+    assert media.gear_cuts(b"") == [0] and media.gear_cuts(b"x" * 100_000)[0] == media.MOST
+
+
+def test_media_round_trip(spark):
+    rng = random.Random(8)
+    shared = "".join(rng.choices("abcdefghij ", k=60_000))
+    rows = odd_rows() + [(20 + k, shared) for k in range(30)] + [(60, shared[:20_000] + "new" + shared[20_000:]), (61, "q" * 192), (62, "é" * 96)]
+    store, chunks = media.store_media(docs(spark, rows))
+    assert chunks.count() == chunks.select("digest").distinct().count() > 0
+    got = media.read_media(store, chunks).collect()
+    expected = []
+    for i, t in rows:
+        raw = (t or "").encode()
+        p = raw + b" " * (-len(raw) % 192 if raw else 192)
+        wav = media.to_wav(p)
+        expected.append((i, len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:]), len(wav), hashlib.sha256(wav).hexdigest()))
+    assert sorted((tuple(r)[:7] for r in got), key=str) == sorted(expected, key=str)
+    by = defaultdict(set)
+    for r in got:
+        by[r["payload_sha256"]].add(r["feature"])
+    assert all(len(f) == 1 for f in by.values())
+    inline = store.select(F.sum(F.aggregate("own", F.lit(0), lambda a, c: a + F.coalesce(F.length(c), F.lit(0))))).first()[0]
+    assert inline < sum(e[5] for e in expected) - 29 * 60_000
+    assert media.read_media(*media.store_media(docs(spark, []))).count() == 0
+
+
+# 1, 3 and 10: classifiers --------------------------------------------------------------------------------------------
+
+
+def labelled(spark, name, label):
+    sf = "/root/testdata/sf0.01"
+    d = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("doc_id", "id")
+    rows = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("id"), F.col(label).alias("label"))
+    return d.select("id", "text"), d.select("id", F.col("lang").alias("group")).join(rows, "id").select("id", "label", "group")
+
+
+def test_language_id(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    known = d.where(~held).select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("label"))
+    model = langid.fit_language_model(known.select("id", "text"), known.select("id", "label"))
+    got = langid.predict_languages(d.where(held), model).join(d, "doc_id")
+    assert got.where("lang_pred = lang").count() > 0.97 * got.count()
+    odd = {str(r["doc_id"]): r for r in langid.predict_languages(docs(spark, odd_rows()), model).collect()}
+    assert all(odd[k]["lang_pred"] == "und" and odd[k]["score"] == 0 for k in "2359") and odd["8"]["lang_pred"] in model.languages
+    assert all(0 <= r["score"] <= 1 for r in odd.values())
+    assert langid.predict_languages(docs(spark, []), model).count() == 0
+    kept = langid.keep_identified(docs(spark, odd_rows()), model)
+    assert {r["doc_id"] for r in kept.collect()}.isdisjoint({2, 3, 5, 9}) and kept.columns[:2] == ["doc_id", "text"]
+    nothing = langid.fit_language_model(known.select("id", "text").where("false"), known.select("id", "label").where("false"))
+    assert {r["lang_pred"] for r in langid.predict_languages(docs(spark, odd_rows()), nothing).collect()} == {"und"}
+    whole, parts = model.predict(["la casa " * 50_000])[1], model.predict(["la casa " * 50])[1]
+    assert abs(whole[0] - parts[0]) < 0.05
+
+
+def test_quality(spark):
+    texts, labels = labelled(spark, "quality", "quality")
+    model = quality.fit_quality_model(texts, labels.where("id % 4 <> 0"))
+    got = quality.score_quality(texts.where("id % 4 = 0"), model, "id").join(labels, "id")
+    assert got.where((F.col("score") >= 0.7) == (F.col("label") == 1)).count() > 0.9 * got.count()
+    odd = quality.score_quality(docs(spark, odd_rows()), model).collect()
+    assert len(odd) == len(odd_rows()) and all(0 <= r["score"] <= 1 for r in odd)
+    assert len({r["score"] for r in odd if r["doc_id"] in (2, 3)}) == 1
+    none = quality.fit_quality_model(texts, labels.where("label = 1"))
+    assert {0 <= s <= 1 for s in none.score(["a", None, ""])} == {True}
+    assert quality.score_quality(docs(spark, []), model).count() == 0
+
+
+def test_toxicity(spark):
+    texts, labels = labelled(spark, "toxic", "toxic")
+    model = toxicity.fit_toxicity_model(texts, labels.where("id % 4 <> 0"))
+    got = toxicity.score_toxicity(texts.where("id % 4 = 0"), model, "id").join(labels, "id")
+    assert got.where((F.col("score") >= 0.5) == (F.col("label") == 1)).count() > 0.88 * got.count()
+    odd = toxicity.score_toxicity(docs(spark, odd_rows()), model).collect()
+    assert len(odd) == len(odd_rows()) and all(0 <= r["score"] <= 1 for r in odd)
+    assert toxicity.score_toxicity(docs(spark, []), model).count() == 0
+    # one text scores alike alone, in company and convolved in pieces
+    text = [t for t, in texts.orderBy("id").select("text").limit(40).collect()]
+    whole = model.score(text)
+    assert np.allclose(whole, [model.score([t])[0] for t in text], atol=1e-6)
+    words, toxicity.WORDS = toxicity.WORDS, 57
+    assert np.allclose(whole, model.score(text), atol=1e-6)
+    toxicity.WORDS = words
+    assert len(toxicity.fit_toxicity_model(texts.where("false"), labels.where("false")).score(["a", None])) == 2

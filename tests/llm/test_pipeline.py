@@ -1,0 +1,62 @@
+"""The corpus pipeline and the registered queries."""
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from siltstone.llm import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in docs.orderBy("doc_id").collect()]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+    base = rows[3][1].split()
+    passage = " ".join(f"planted{k}" for k in range(60))
+    planted = [(9001, rows[3][1]), (9002, " ".join([*base[:-1], "edited"])), (9003, None), (9004, ""), (9005, "12 34 $$"), (9006, f"clean start here {item} and the end of it"), (9007, f"the first of two {passage} with its own end"), (9008, f"another opening {passage} quite different tail"), (9009, "a clean and simple document of the language that is known here")]
+    before = spark.createDataFrame([*rows, *((i, t, "en", "src0", len(t or "")) for i, t in planted)], docs.schema)
+    stages = dict(corpus_pipeline.STAGES)
+    after = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = corpus_pipeline.materialize(stage(spark, before, SF), name)
+        after[name] = {r["doc_id"]: r for r in before.collect()}
+        if name != "bpe":
+            assert before.columns == corpus_pipeline.COLUMNS
+    assert len(stages) == 5
+    assert not {9003, 9004, 9005} & set(after["language_id"]) and {9001, 9006, 9009} <= set(after["language_id"])
+    assert not {9001, 9002} & set(after["jaccard_join"]) and {3, 9007, 9008} <= set(after["jaccard_join"])
+    assert after["substring_dedup"][9007]["text"] == f"the first of two {passage} with its own end"
+    assert after["substring_dedup"][9008]["text"] == "another opening quite different tail"
+    assert after["substring_dedup"][9008]["n_chars"] == len("another opening quite different tail")
+    assert 9006 not in after["decontamination"] and {9007, 9009} <= set(after["decontamination"])
+    assert set(after["bpe"]) == set(after["decontamination"]) and after["bpe"][9009]["n_tokens"] > 5
+
+
+def test_stages_without_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.materialize(stage(spark, docs, SF), name)
+        assert docs.count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df = queries.queries()[name](spark, SF)
+    columns = sorted(df.columns)
+    found = con.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in found.description]
+    assert sorted(names) == columns
+    expected = sorted(repr(tuple(r[names.index(c)] for c in columns)) for r in found.fetchall())
+    assert sorted(repr(tuple(r[c] for c in columns)) for r in df.collect()) == expected
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))
+def test_query_has_a_row_for_each_document(spark, name):
+    df = queries.queries()[name](spark, SF)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert df.count() == df.select("doc_id").distinct().count() == docs.count()
