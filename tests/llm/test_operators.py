@@ -445,8 +445,7 @@ def test_media_round_trip(spark):
 # 1, 3 and 10: classifiers --------------------------------------------------------------------------------------------
 
 
-def labelled(spark, name, label):
-    sf = "/root/testdata/sf0.01"
+def labelled(spark, name, label, sf="/root/testdata/sf0.01"):
     d = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("doc_id", "id")
     rows = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("id"), F.col(label).alias("label"))
     return d.select("id", "text"), d.select("id", F.col("lang").alias("group")).join(rows, "id").select("id", "label", "group")
@@ -485,10 +484,11 @@ def test_quality(spark):
 
 
 def test_toxicity(spark):
-    texts, labels = labelled(spark, "toxic", "toxic")
+    # sf0.01 has 51 toxic rows, too few to learn ten words in four languages from
+    texts, labels = labelled(spark, "toxic", "toxic", "/root/testdata/sf0.1")
     model = toxicity.fit_toxicity_model(texts, labels.where("id % 4 <> 0"))
     got = toxicity.score_toxicity(texts.where("id % 4 = 0"), model, "id").join(labels, "id")
-    assert got.where((F.col("score") >= 0.5) == (F.col("label") == 1)).count() > 0.88 * got.count()
+    assert got.where((F.col("score") >= 0.5) == (F.col("label") == 1)).count() > 0.96 * got.count()
     odd = toxicity.score_toxicity(docs(spark, odd_rows()), model).collect()
     assert len(odd) == len(odd_rows()) and all(0 <= r["score"] <= 1 for r in odd)
     assert toxicity.score_toxicity(docs(spark, []), model).count() == 0
