@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.strings import merge_unique, some
 from ..functions.texts import accepted_article, fallback_text, longer_text, with_references
+from .delta import cap_per_group
 
 MOST_ARTICLES = 3
 
@@ -18,7 +19,8 @@ def thread_texts(rows: DataFrame, key: str, handle: str | None = None, most: int
     if handle is not None:
         rows = rows.where(F.col("author").isNull() | (F.lower("author") == F.lower(F.lit(handle))))
     once = rows.groupBy(key, F.substring("text", 1, 100).alias("head")).agg(F.min(F.struct("ord", "text")).alias("first"))
-    return once.groupBy(key).agg(F.array_join(F.transform(F.slice(F.array_sort(F.collect_list("first")), 1, most), lambda x: x["text"]), "\n\n---\n\n").alias("thread_text"))
+    shown = cap_per_group(once, key, [F.col("first")], most)  # before anything is collected
+    return shown.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list("first")), lambda x: x["text"]), "\n\n---\n\n").alias("thread_text"))
 
 
 def article(url: Column, primary: Column, fallback: Column, images: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import best_row
+from .skew import attach, best_row
 
 
 def first_seen(df: DataFrame, key: str, *order: str) -> DataFrame:
@@ -41,12 +41,11 @@ def keep_richest_notes(notes: DataFrame) -> DataFrame:
 
 
 def dedupe_report(notes: DataFrame) -> DataFrame:
-    """(norm_url, kept, moved array) for each address with several notes."""
+    """(norm_url, kept, moved): a row for each note that has to give way to the richest of its address."""
     kept = keep_richest_notes(notes).select("norm_url", F.col("path").alias("kept"))
-    groups = duplicate_groups(notes, "norm_url").drop("n")
-    several = notes.join(groups, "norm_url").join(kept, "norm_url")
-    moved = several.where(F.col("path") != F.col("kept")).groupBy("norm_url", "kept")
-    return moved.agg(F.transform(F.array_sort(F.collect_list(F.struct(path_order(F.col("path")).alias("order"), "path"))), lambda x: x["path"]).alias("moved"))
+    sizes = notes.groupBy("norm_url").agg(F.count("*").alias("rows_of_key")).where("rows_of_key > 1")
+    several = attach(notes.select("norm_url", "path"), "norm_url", sizes.join(kept, "norm_url"))
+    return several.where(F.col("path") != F.col("kept")).select("norm_url", "kept", F.col("path").alias("moved"))
 
 
 def dedupe_summary(notes: DataFrame) -> DataFrame:

@@ -17,10 +17,9 @@ def attach(df: DataFrame, key: str, groups: DataFrame, how: str = "inner") -> Da
     hot = F.col("rows_of_key") >= max(2, int(total * HOT_SHARE))
     few, many = groups.where(hot).drop("rows_of_key"), groups.where(~hot).drop("rows_of_key")
     values = [c for c in few.columns if c != key]
-    first = df.join(F.broadcast(few.select(key, F.lit(True).alias("is_hot"), *[F.col(c).alias(f"hot_{c}") for c in values])), key, "left")
-    both = first.join(many.withColumn("is_cold", F.lit(True)), key, "left")
-    out = both.select(*df.columns, *[F.when(F.col("is_hot"), F.col(f"hot_{c}")).otherwise(F.col(c)).alias(c) for c in values], (F.col("is_hot") | F.col("is_cold")).alias("matched"))
-    return out.where("matched").drop("matched") if how == "inner" else out.drop("matched")
+    ours = [*df.columns, *values]
+    rest = df.join(F.broadcast(few.select(key)), key, "left_anti")  # hot rows are not shuffled
+    return df.join(F.broadcast(few), key).select(*ours).unionByName(rest.join(many, key, how).select(*ours))
 
 
 def best_row(df: DataFrame, key: str, order: Column) -> DataFrame:

@@ -84,7 +84,7 @@ def duplicate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("html").alias("bytes"),
         F.lit("2024-01-01").cast("timestamp").alias("modified"),
     )
-    return dedupe_report(rows).select("norm_url", "kept", F.array_join("moved", ",").alias("moved"))
+    return dedupe_report(rows)
 
 
 def first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,7 +393,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, title, CASE WHEN {SLUG} = '' THEN 'untitled' ELSE {SLUG} END || '-' || substring(sha1('https://example.org/' || doc_id), 1, 10) || '.md' AS note_name FROM titled""",
         "repeated_texts": "SELECT md5(text) AS text_md5, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
         "duplicate_pages": PAGES + """, ordered AS (SELECT norm_url, 'pages/' || lpad(page_id::VARCHAR, 8, '0') || '.md' AS path, row_number() OVER (PARTITION BY norm_url ORDER BY length(html) DESC, strlen(html) DESC, page_id) AS k FROM normal)
-            SELECT norm_url, max(CASE WHEN k = 1 THEN path END) AS kept, string_agg(path, ',' ORDER BY path) FILTER (WHERE k > 1) AS moved FROM ordered GROUP BY norm_url HAVING count(*) > 1""",
+            SELECT a.norm_url, b.path AS kept, a.path AS moved FROM ordered a JOIN ordered b ON a.norm_url = b.norm_url AND b.k = 1 WHERE a.k > 1""",
         "first_events": "SELECT user_id || '/' || event_type AS key, arg_min(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1",
         "delta_documents": "SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
         "known_customers": "SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders) AS is_known FROM customer",
