@@ -1,7 +1,7 @@
 """Quality classifier: supervised subword embeddings.
 
-Vectors of hashed words and character n-grams are learned, averaged over a document and given to a softmax, all by
-stochastic gradient descent in numpy. As the average and the output layer are linear, scoring needs one number for
+Vectors of hashed words and character n-grams are learned, averaged over a document (words and n-grams each, so that
+the many n-grams do not drown the words) and given to a softmax, all by stochastic gradient descent in numpy. As the average and the output layer are linear, scoring needs one number for
 each bucket, looked up for every feature of the whole text.
 """
 
@@ -43,14 +43,14 @@ class QualityModel:
         """Probability of label 1; texts without a feature get the share of label 1 among the labels."""
         clean = [t or "" for t in texts]
         sums, counts = ngram_sums(clean, SIZES, BITS, self.tables[:-1])
-        sums = sums[:, 0]
+        sums, word_sums, word_counts = sums[:, 0], np.zeros(len(clean)), np.zeros(len(clean), np.int64)
         for a, b in groups(clean):
             words, first = text_words(clean[a:b], lower=False)
             run = np.zeros(len(words) + 1)
             np.cumsum(self.tables[-1][word_buckets(words, first)], dtype=np.float64, out=run[1:])
-            sums[a:b] += run[first[1:]] - run[first[:-1]]
-            counts[a:b] += first[1:] - first[:-1]
-        return 1 / (1 + np.exp(-(sums / np.maximum(counts, 1) + self.bias)))
+            word_sums[a:b] = run[first[1:]] - run[first[:-1]]
+            word_counts[a:b] = first[1:] - first[:-1]
+        return 1 / (1 + np.exp(-(sums / np.maximum(counts, 1) + word_sums / np.maximum(word_counts, 1) + self.bias)))
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +59,8 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
         found += [char_ngrams(codes, s, BITS).astype(np.int64) + (k << BITS) for k, s in enumerate(SIZES)]
     found.append(word_buckets(*text_words([text], lower=False)) + (len(SIZES) << BITS))
     ids, n = np.unique(np.concatenate(found), return_counts=True)
-    return ids, n / max(1, n.sum())
+    is_word = ids >= len(SIZES) << BITS
+    return ids, n / np.where(is_word, max(1, n[is_word].sum()), max(1, n[~is_word].sum()))
 
 
 def fit_quality_model(texts: DataFrame, labels: DataFrame, per_label: int = 1500, dim: int = 8, epochs: int = 6, rate: float = 0.3) -> QualityModel:
