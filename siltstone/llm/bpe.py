@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import map_arrow
 from .hashing import LOWER, NOT_ALNUM, WHITE, groups, joined, word_hashes, word_spans
@@ -34,8 +35,8 @@ LONG = 64
 #: Two tables of so many words that were encoded before, and ids that these may hold together.
 SLOT_BITS, POOL_IDS = 19, 4_000_000
 #: Words that are encoded at once when they are new.
-NEW_WORDS = 20_000
-GROUP_CHARS = 400_000
+NEW_WORDS = 10_000
+GROUP_CHARS = 250_000
 
 
 def default_path() -> str:
@@ -139,7 +140,7 @@ class WordBpe:
         out: list[bytes] = [b""] * len(raw)
         for low, high in ((1, 4), (5, 8), (9, 12), (13, 16), (17, 24), (25, 40), (41, LONG)):
             where = np.flatnonzero((length >= low) & (length <= high))
-            for some in np.array_split(where, max(1, len(where) // 20_000)):
+            for some in np.array_split(where, max(1, len(where) // 5_000)):
                 if not len(some):
                     continue
                 n = length[some]
@@ -324,9 +325,14 @@ def bpe_decode(df: DataFrame, ids_col: str = "ids", out_col: str = "decoded", pa
     """Adds ``out_col``: the tokens joined by one space, as the vocabulary file names no decoder; null ids give ''."""
     path = path or default_path()
 
-    @F.pandas_udf("string")
-    def decoded(ids):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = worker_tokens(path)
-        return ids.map(lambda x: decode(x or b"", tokens))
-
-    return df.withColumn(out_col, decoded(F.col(ids_col)))
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                texts = pa.array([decode(x or b"", tokens) for x in part.column(at).to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, out_col])
+
+    at = df.columns.index(ids_col)
+    df = df.drop(out_col) if out_col != ids_col else df
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out_col, T.StringType())]))

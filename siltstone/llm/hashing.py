@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+
+
+def give_back_memory() -> None:
+    """Have freed arrays, numpy's and Arrow's, go back to the system at once: workers live on, and what they keep adds up."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 4 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+give_back_memory()
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 BASE_INV = pow(BASE, -1, 2**64)

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import attach, materialize
 from .components import connected_components
 from .hashing import groups, mix, text_words, window_hashes
-from .repeats import KeyFilter, pack, repeated_items
+from .repeats import PART_BITS, KeyFilter, part_of, repeated_items
 
 GRAM = 5
 #: Similarity as a fraction: links have 100 * |intersection| >= 80 * |union|.
@@ -128,8 +127,12 @@ def frequent_sets(docs: DataFrame, survivors: KeyFilter, hot: np.ndarray) -> Dat
             held.append(tuple(batch.column(k).to_numpy()[~whole] for k in (0, 1, 2)))
         if not held:
             return
-        token, key, n = (np.concatenate([h[k] for h in held]) for k in (0, 1, 2))
-        del held
+        for part in range(1 << PART_BITS):
+            rows_of = [part_of(h[0]) == part for h in held]
+            token, key, n = (np.concatenate([h[k][r] for h, r in zip(held, rows_of, strict=True)]) for k in (0, 1, 2))
+            yield from counted(token, key, n, out)
+
+    def counted(token: np.ndarray, key: np.ndarray, n: np.ndarray, out) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((key, token))
         token, key, n = token[order], key[order], n[order]
         new = np.ones(len(token), bool)
@@ -245,15 +248,12 @@ class PrefixTree:
         return [(self.order[a], self.order[b]) for a, b in found]
 
 
-def join_group(frame: pd.DataFrame) -> pd.DataFrame:
+def join_group(rows: pa.Table) -> pa.Table:
     """One group or pair of blocks: rows (key, n, tokens, block). Returns links (u, v) between keys."""
-    keys = frame["key"].to_numpy()
-    sets = [np.frombuffer(t, "<i8") for t in frame["tokens"]]
-    tree = PrefixTree(sets, frame["n"].to_numpy())
-    block = frame["block"].to_numpy()
-    across = block[tree.order] if block.min() != block.max() else None
-    found = tree.links(across)
-    return pd.DataFrame({"u": [int(keys[a]) for a, _ in found], "v": [int(keys[b]) for _, b in found]}, dtype="int64")
+    keys, n, block = (rows[c].to_numpy() for c in ("key", "n", "block"))
+    tree = PrefixTree([np.frombuffer(t, "<i8") for t in rows["tokens"].to_pylist()], n)
+    found = tree.links(block[tree.order] if block.min() != block.max() else None)
+    return pa.table({"u": pa.array([int(keys[a]) for a, _ in found], pa.int64()), "v": pa.array([int(keys[b]) for _, b in found], pa.int64())})
 
 
 def similar_sets(docs: DataFrame, profiled: DataFrame) -> DataFrame:
@@ -283,11 +283,13 @@ def similar_sets(docs: DataFrame, profiled: DataFrame) -> DataFrame:
     survivors = materialize(classes.join(shared, "key").where(F.col("shared") >= need).select("key"), "jaccard-survivors")
     frequent = materialize(frequent_sets(docs, KeyFilter.build(survivors), hot), "jaccard-sets")
 
-    @F.pandas_udf("array<long>")
-    def first_tokens(tokens, prefix):
-        return pd.Series([np.frombuffer(t, "<i8")[:p] for t, p in zip(tokens, prefix, strict=True)])
+    def prefix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = np.minimum(batch.column(2).to_numpy(), [len(t) // 8 for t in batch.column(1).to_pylist()])
+            token = np.frombuffer(b"".join([t[: 8 * p] for t, p in zip(batch.column(1).to_pylist(), prefix.tolist(), strict=True)]), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), prefix), pa.int64()), pa.array(token, pa.int64())], names=["u", "token"])
 
-    entries = materialize(frequent.select(F.col("key").alias("u"), F.explode(first_tokens("tokens", "prefix")).alias("token")), "jaccard-prefixes")
+    entries = materialize(frequent.select("key", "tokens", "prefix").mapInArrow(prefix_rows, "u long, token long"), "jaccard-prefixes")
     hubs = entries.groupBy("token").agg(F.min("u").alias("v"), F.count("*").alias("n")).where("n > 1")
     grouped = connected_components(attach(entries, "token", hubs, "n", entries.count()).select("u", "v"))
 
@@ -300,7 +302,7 @@ def similar_sets(docs: DataFrame, profiled: DataFrame) -> DataFrame:
     # a group of several blocks meets block by block: each set goes once to each block
     dealt = placed.select("key", "n", "tokens", "cluster", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("key", "n", "tokens", "cluster", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    links = dealt.groupBy("cluster", "i", "j").applyInPandas(join_group, "u long, v long")
+    links = dealt.groupBy("cluster", "i", "j").applyInArrow(join_group, "u long, v long")
     return connected_components(links)
 
 

@@ -16,6 +16,14 @@ PACKED = 4
 SCHEMA = "item long, owner long, known boolean, packed binary"
 
 
+#: A task sorts its items in so many parts (a power of two), so that what sorting needs stays small.
+PART_BITS = 3
+
+
+def part_of(items: np.ndarray) -> np.ndarray:
+    return (items >> np.int64(20)) & ((1 << PART_BITS) - 1)
+
+
 def pack(owners: np.ndarray, items: np.ndarray, most: int = PACKED) -> tuple[np.ndarray, list[bytes]]:
     """Each owner with its items as little-endian 64-bit integers; an owner of more than ``most`` items comes again."""
     order = np.argsort(owners, kind="stable")
@@ -84,8 +92,11 @@ def repeated_items(df: DataFrame, extract: Callable[[pa.RecordBatch], Iterator[t
             held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False)[~direct] for k in (0, 1, 2)))
         if not held:
             return
-        items, owners, known = (np.concatenate([h[k] for h in held]) for k in (0, 1, 2))
-        del held
+        for part in range(1 << PART_BITS):
+            rows_of = [part_of(h[0]) == part for h in held]
+            yield from told(*(np.concatenate([h[k][r] for h, r in zip(held, rows_of, strict=True)]) for k in (0, 1, 2)))
+
+    def told(items: np.ndarray, owners: np.ndarray, known: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((owners, items))
         items, owners, known = items[order], owners[order], known[order].astype(bool)
         if not len(items):
