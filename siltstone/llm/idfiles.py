@@ -120,10 +120,12 @@ def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
             return pa.RecordBatch.from_arrays([pa.array(row[0], pa.string()), *(pa.array(x, pa.int64()) for x in row[1:])], names=["file", "part", "seq", "docs", "ids"])
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                held.append(part)
-                size += int(part.column(2).to_numpy().sum()) // width
+            lengths, i = batch.column(2).to_numpy() // width, 0
+            while i < batch.num_rows:  # up to the document that fills the file
+                reach = np.cumsum(lengths[i:])
+                k = min(int(np.searchsorted(reach, ids_per_file - size)) + 1, len(reach))
+                held.append(batch.slice(i, k))
+                size, i = size + int(reach[k - 1]), i + k
                 if size >= ids_per_file:
                     yield flush()
         if held:
