@@ -81,6 +81,6 @@ def attach(df: DataFrame, key: str, groups: DataFrame, size_col: str, total: int
     ``size_col`` of groups says how many rows of ``df`` have the key. At most 1/HOT_SHARE keys can hold HOT_SHARE
     of the rows each, so those few go by broadcast and the others by a shuffled join."""
     hot = F.col(size_col) >= F.lit(max(2, int(total * HOT_SHARE)))
-    few = groups.where(hot)
-    many = df.join(groups.where(~hot), key)
-    return many.unionByName(df.join(F.broadcast(few), key))
+    few = F.broadcast(groups.where(hot))
+    many = df.join(F.broadcast(groups.where(hot).select(key)), key, "left_anti").join(groups.where(~hot), key)
+    return many.unionByName(df.join(few, key))

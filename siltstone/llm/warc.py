@@ -45,9 +45,11 @@ def mark_revisits(df: DataFrame, id_col: str, url_col: str, payload_col: str, le
     hot = F.col("n") >= max(2, int(total * HOT_SHARE))
     few = F.broadcast(groups.where(hot).select("sha1", F.col("first").alias("first_hot")))
     many = groups.where(~hot).select("sha1", F.col("first").alias("first_cold"))
-    joined = rows.join(few, "sha1", "left").join(many, "sha1", "left")
-    first = F.coalesce("first_hot", "first_cold")
-    return joined.select("id", "url", "payload", "sha1", F.when(first != F.col("id"), first).alias("refers_to"))
+    marked = rows.join(few, "sha1", "left")
+    hot_rows = marked.where("first_hot IS NOT NULL").withColumnRenamed("first_hot", "first")
+    others = marked.where("first_hot IS NULL").drop("first_hot").join(many, "sha1", "left").withColumnRenamed("first_cold", "first")
+    both = hot_rows.unionByName(others)
+    return both.select("id", "url", "payload", "sha1", F.when(F.col("first") != F.col("id"), F.col("first")).alias("refers_to"))
 
 
 def write_warc(df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0, chunk_bytes: int = CHUNK, bytes_per_file: int = 64 << 20) -> DataFrame:
