@@ -13,6 +13,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +30,9 @@ BATCH_BYTES = 8 << 20
 def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of BATCH_BYTES at most, unless the session asks for smaller ones."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+    given = spark.conf.get(name).lower().rstrip("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(given[-1:], 1)
+    if int(given.rstrip("kmg")) * unit > BATCH_BYTES or int(given.rstrip("kmg")) <= 0:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
@@ -42,10 +45,13 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only if that is unset."""
     bound_batches(spark)
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    return (base or local_dir(spark.sparkContext.applicationId)).rstrip("/")
+
+
+@lru_cache(maxsize=1)
+def local_dir(application: str) -> str:
+    """A folder of this machine, for sessions of one machine that name no shared one."""
+    return "file://" + tempfile.mkdtemp(prefix="spark-")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
