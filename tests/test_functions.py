@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.enrichment import parse_answer, takeaway_of, three_bullets, word_count
 from siltstone.functions.strict import rewrite
-from siltstone.functions.strings import find_urls, merge_unique, strip
-from siltstone.functions.texts import NOISE_PASSAGES, accepted_article, clean_text, fallback_text, is_noise, longer_text, redact_tokens, title_of
+from siltstone.functions.strings import find_urls, first_filled, merge_unique, strip
+from siltstone.functions.texts import NOISE_PASSAGES, accepted_article, card_text, clean_text, fallback_text, is_noise, longer_text, redact_tokens, title_of
 from siltstone.functions.times import epoch_time, post_time, relative_time, status_time
 from siltstone.functions.urls import normalize_url, slug, stable_id, status_url, valid_url
 
@@ -113,6 +113,8 @@ def test_times(spark):
 
 
 def test_strings(spark):
+    assert apply(spark, lambda v: first_filled(v, F.lit("b")), ["a", "", None]) == ["a", "b", "b"]
+    assert apply(spark, card_text, [" a\n\u00a0 b\t", None]) == ["a b", None]
     assert apply(spark, strip, [" \n x \t", None]) == ["x", None]
     assert apply(spark, lambda v: merge_unique(v, F.array(F.lit("b"), F.lit("c"))), [["a", "", "b", "a"], None], "array<string>") == [["a", "b", "c"], ["b", "c"]]
     assert apply(spark, find_urls, ['see (https://a.b/c) and "http://d.e" <x>']) == [["https://a.b/c", "http://d.e"]]

@@ -140,7 +140,17 @@ def test_notes(spark, tmp_path):
     assert (tmp_path / "backup/linkedin/thin.md").exists() and (tmp_path / "backup/linkedin/thin.json").exists() and not (tmp_path / "linkedin/thin.md").exists()
 
 
+def test_yaml_heads(spark):
+    texts = ["---\ntitle: 'A: b'\ntags: [x, y]\nn: 3\n---\nbody", "no head", "---\n- list\n---\n", "---\n: : [\n---\n", "---\nopen", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got = [r["h"] for r in rows.select("k", notes.yaml_head(F.col("text")).alias("h")).orderBy("k").collect()]
+    assert got == [{"title": '"A: b"', "tags": '["x", "y"]', "n": "3"}, None, None, None, None, None]
+    assert [r["t"] for r in rows.select("k", notes.head_value(F.col("text"), "title").alias("t")).orderBy("k").collect()][:2] == ["A: b", None]
+
+
 def test_state_files(spark, tmp_path):
+    (tmp_path / "rows.jsonl").write_text('{"a": 1}\nbroken\n{"a": 2}\n')
+    assert [r["a"] for r in notes.read_json_lines(spark, str(tmp_path / "rows.jsonl"), "a int").collect()] == [1, 2]
     (tmp_path / "dead.jsonl").write_text('{"error": "good"}\n{bad json\n\n{"error": "also_good"}\n')
     assert [r["error"] for r in notes.read_dead_letters(spark, str(tmp_path / "dead.jsonl")).collect()] == ["good", "also_good"]
     (tmp_path / "c.txt").write_text("# comment\n.e.org\tTRUE\t/\tFALSE\t12\tname\tvalue\nshort\tline\n.e.org\tTRUE\t/\tTRUE\tx\tn\tv\n\n")
