@@ -61,6 +61,7 @@ class WordBpe:
     """Encoder for a vocabulary file with word ends (NFC, white space dropped, lower case, split by a pattern)."""
 
     def __init__(self, path: str):
+        self.path, self.splitter = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, suffix = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
@@ -162,6 +163,15 @@ class WordBpe:
             out[i] = np.array(self.merge_long(ids), "<u4").tobytes()
         return out
 
+    def pieces_of_new_characters(self, word: str) -> list[str]:
+        """Characters that Python does not know yet are cut as the vocabulary's own library knows them."""
+        from tokenizers import Tokenizer
+
+        if self.splitter is None:
+            self.splitter = Tokenizer.from_file(self.path)
+        text = self.splitter.normalizer.normalize_str(word)
+        return [text[a:b] for _, (a, b) in self.splitter.pre_tokenizer.pre_tokenize_str(text)]
+
     def word_pieces(self, word: str) -> list[str | int]:
         """Pieces of a word; an int is the id of a special token that stands in the word."""
         if "<|" in word and self.at_special.search(word):
@@ -174,6 +184,8 @@ class WordBpe:
             return out
         if not word.isascii():
             word = unicodedata.normalize("NFC", word).replace("Σ", "σ")
+        if not word.isascii() and any(unicodedata.category(c) == "Cn" for c in word):
+            return self.pieces_of_new_characters(word)
         return self.pieces.findall(word.lower())
 
     def _forget(self, room: int) -> None:

@@ -135,6 +135,14 @@ def test_bpe_equals_the_library(library, texts):
             assert bpe.decode(got, tokens) == library.decode(expected, skip_special_tokens=False)
 
 
+def test_bpe_on_every_character(library):
+    points = [c for c in range(0x80, 0x110000, 7) if not 0xD800 <= c < 0xE000] + [0x1C89, 0x1E5D0, 0x3D000, 0x2EBF0]
+    texts = [f":{chr(c)}a{chr(c)}!" for c in points]
+    encoder = bpe.worker_bpe(bpe.default_path())
+    wrong = [c for c, e, g in zip(points, library.encode_batch(texts, add_special_tokens=False), encoder.encode(texts), strict=True) if np.frombuffer(g, "<u4").tolist() != e.ids]
+    assert not wrong
+
+
 def test_bpe_long_words_and_small_tables(library, monkeypatch):
     monkeypatch.setattr(bpe, "POOL_IDS", 50)
     encoder = bpe.WordBpe(bpe.default_path())
