@@ -7,6 +7,9 @@
    the shard's phrases, each with the smallest document id.
 3. Each shard compiles its phrases into an Aho-Corasick automaton (a word is one code point of the shard's own
    alphabet) and all its stretches that hold one stream through it: every occurrence of every phrase is located.
+   An anchor with more words than one shard takes is dealt over several: what its documents have in common is then
+   found by an aggregate over window hashes, and each shard is told which of its own windows recur and in which
+   document first.
 4. Occurrences in documents with a larger id are merged into spans of words to remove.
 """
 
@@ -25,7 +28,7 @@ from .hashing import WORD_BASE, WORD_BASE_INV, groups, mix, powers, text_words,
 from .repeats import KeyFilter, repeated_items, split_by_filter
 
 GRAM = 5
-#: Words that a shard's automaton holds at once at most.
+#: Words that a shard's automaton holds at once. Only one stretch, which is never cut, can be longer.
 SHARD_WORDS = 200_000
 
 
@@ -45,10 +48,11 @@ def anchors(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray
     return at, low[at].view(np.int64), text
 
 
-def locate(doc: np.ndarray, place: np.ndarray, n: np.ndarray, codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def locate(doc: np.ndarray, place: np.ndarray, n: np.ndarray, codes: np.ndarray, size: int, told: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """One shard of stretches: document, place of the first word, number of words, and the codes of all words in a row.
 
-    Returns (stretch, place) of each window that a smaller document has as well."""
+    Returns (stretch, place) of each window that a smaller document has as well. ``told`` are the recurring windows
+    (hashes in order, smallest documents) of an anchor that has other shards too."""
     start = np.concatenate([[0], np.cumsum(n)])[:-1]
     # equal stretches: in documents other than the smallest that has one, all its windows go
     whole = stretch_hashes(mix(codes.astype(np.uint64) + np.uint64(1)), start, n)
@@ -62,25 +66,37 @@ def locate(doc: np.ndarray, place: np.ndarray, n: np.ndarray, codes: np.ndarray,
     copy_row = np.repeat(who, many)
     copy_place = np.repeat(place[who] - np.concatenate([[0], np.cumsum(many)])[:-1], many) + np.arange(int(many.sum()))
     own = np.flatnonzero(~copies)
-    row, at = differing(doc[own], place[own], n[own], codes[np.repeat(~copies, n)], size)
+    row, at = differing(doc[own], place[own], n[own], codes[np.repeat(~copies, n)], size, told)
     return np.concatenate([copy_row, own[row]]), np.concatenate([copy_place, at])
 
 
-def differing(doc: np.ndarray, place: np.ndarray, n: np.ndarray, codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same for stretches of which none is a copy: they have only some windows in common."""
-    none = np.empty(0, np.int64), np.empty(0, np.int64)
+def windows_of(n: np.ndarray, codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows inside stretches: (stretch, first word, hash)."""
     start = np.concatenate([[0], np.cumsum(n)])[:-1]
     count = n - size + 1
     row = np.repeat(np.arange(len(n)), count)
     at = np.repeat(start - np.concatenate([[0], np.cumsum(count)])[:-1], count) + np.arange(int(count.sum()))
+    return row, at, window_hashes(mix(codes.astype(np.uint64) + np.uint64(1)), size)[at]
+
+
+def differing(doc: np.ndarray, place: np.ndarray, n: np.ndarray, codes: np.ndarray, size: int, told: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The same for stretches of which none is a copy: they have only some windows in common."""
+    none = np.empty(0, np.int64), np.empty(0, np.int64)
+    row, at, whole = windows_of(n, codes, size)
     if not len(at):
         return none
-    whole = window_hashes(mix(codes.astype(np.uint64) + np.uint64(1)), size)[at]
     order = np.argsort(whole, kind="stable")
     begin = np.flatnonzero(np.concatenate([[True], np.diff(whole[order]) != 0]))
-    owner = doc[row[order]]
-    least, most = np.minimum.reduceat(owner, begin), np.maximum.reduceat(owner, begin)
-    recurring = least < most
+    if told is None:
+        owner = doc[row[order]]
+        least, most = np.minimum.reduceat(owner, begin), np.maximum.reduceat(owner, begin)
+        recurring = least < most
+    elif len(told[0]):
+        distinct = whole[order[begin]]
+        known = np.minimum(np.searchsorted(told[0], distinct), len(told[0]) - 1)
+        recurring, least = told[0][known] == distinct, told[1][known]
+    else:
+        return none
     if not recurring.any():
         return none
     phrase_at, phrase_owner = at[order[begin[recurring]]], least[recurring]
@@ -253,8 +269,51 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if held:
             yield from flush()
 
-    travelling = joined.mapInArrow(stretches, STRETCH)
-    located = travelling.repartition(F.col("anchor")).sortWithinPartitions("anchor").mapInArrow(shard, "doc long, text_hash long, places binary")
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows of a batch's stretches, each once for a shard, with the smallest and the largest document."""
+        for batch in batches:
+            anchor, salt, doc, n = (batch.column(k).to_numpy().astype(np.int64) for k in (0, 1, 2, 5))
+            row, _, whole = windows_of(n, np.frombuffer(b"".join(batch.column(6).to_pylist()), "<u4"), size)
+            if not len(row):
+                continue
+            order = np.lexsort((whole, salt[row], anchor[row]))
+            row, whole = row[order], whole[order].view(np.int64)
+            a, s, d = anchor[row], salt[row], doc[row]
+            first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (s[1:] != s[:-1]) | (whole[1:] != whole[:-1])]))
+            columns = (a[first], s[first], whole[first], np.minimum.reduceat(d, first), np.maximum.reduceat(d, first))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["anchor", "salt", "window", "least", "most"])
+
+    def shard_of_many(stretches: pa.Table) -> pa.Table:
+        """A shard of an anchor that has several: rows with place -2 tell a recurring window and its smallest document."""
+        tells = stretches.column("place").to_numpy() == -2
+        phrases, own = stretches.filter(pa.array(tells)), stretches.filter(pa.array(~tells))
+        window = phrases.column("text_hash").to_numpy().view(np.uint64)
+        order = np.argsort(window)
+        doc, text_hash, place, n = (own.column(c).to_numpy().astype(np.int64) for c in ("doc", "text_hash", "place", "n"))
+        codes = np.frombuffer(b"".join(own.column("codes").to_pylist()), "<u4")
+        who, places = locate(doc, place, n, codes, size, (window[order], phrases.column("doc").to_numpy()[order]))
+        d, h, blob = packed_places(who, doc, text_hash, places) if len(who) else ([], [], [])
+        return pa.table([pa.array(d, pa.int64()), pa.array(h, pa.int64()), pa.array(blob, pa.binary())], names=["doc", "text_hash", "places"])
+
+    def dealt(heavy: DataFrame) -> DataFrame:
+        """Anchors in ``heavy(anchor, shards)``: their stretches in so many shards each."""
+        salt = F.pmod(F.xxhash64("doc", "text_hash", "place"), F.col("shards")).alias("salt")
+        salted = travelling.where("place >= 0").join(F.broadcast(heavy), "anchor").select("anchor", salt, "doc", "text_hash", "place", "n", "codes")
+        found = salted.mapInArrow(seen, "anchor long, salt long, window long, least long, most long")
+        found = materialize(found.groupBy("anchor", "salt", "window").agg(F.min("least").alias("least"), F.max("most").alias("most")), "passage-windows")
+        recurring = found.groupBy("anchor", "window").agg(F.min("least").alias("doc"), F.max("most").alias("most")).where("doc < most")
+        tell = found.select("anchor", "salt", "window").join(recurring, ["anchor", "window"])
+        tell = tell.select("anchor", "salt", "doc", F.col("window").alias("text_hash"), F.lit(-2).alias("place"), F.lit(0).alias("n"), F.lit(b"").alias("codes"))
+        return salted.unionByName(tell).groupBy("anchor", "salt").applyInArrow(shard_of_many, "doc long, text_hash long, places binary")
+
+    travelling = materialize(joined.mapInArrow(stretches, STRETCH), "passage-stretches")
+    # twice as many shards as the words need, as stretches are dealt by hash
+    words = travelling.where("place >= 0").groupBy("anchor").agg(F.sum("n").alias("words")).where(F.col("words") > SHARD_WORDS)
+    heavy = materialize(words.select("anchor", F.ceil(F.col("words") * 2 / SHARD_WORDS).cast("long").alias("shards")), "passage-heavy")
+    some = not heavy.isEmpty()
+    light = travelling.join(F.broadcast(heavy), "anchor", "left").where("shards IS NULL OR place < 0").drop("shards") if some else travelling
+    located = light.repartition(F.col("anchor")).sortWithinPartitions("anchor").mapInArrow(shard, "doc long, text_hash long, places binary")
+    located = located.unionByName(dealt(heavy)) if some else located
 
     @F.pandas_udf("binary")
     def spans(lists):

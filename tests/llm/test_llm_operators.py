@@ -279,6 +279,24 @@ def test_passages_equal_brute_force(spark, monkeypatch, seed):
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got.collect()), key=str) == brute_passages(rows, 13)
 
 
+def test_a_common_anchor_is_dealt_over_shards(spark, monkeypatch):
+    rng, limit, whole = random.Random(5), 2000, passages.locate
+    grams = [rng.choices(range(10_000), k=5) for _ in range(20_000)]
+    hashes = hashing.window_hashes(hashing.text_words([" ".join(f"w{k}" for g in grams for k in g)], lower=False)[0], 5)[::5]
+    anchor = " ".join(f"w{k}" for k in grams[int(hashes.argmin())])
+    ends = [" ".join(f"e{rng.randrange(10_000)}" for _ in range(8)) for _ in range(7)]
+    rows = [(i, " ".join([*(f"w{rng.randrange(10_000)}" for _ in range(8)), anchor, rng.choice(ends)])) for i in rng.sample(range(10_000), 500)]
+
+    def bounded(doc, place, n, codes, *more):
+        assert len(codes) <= limit, f"{len(codes)} words in one shard"
+        return whole(doc, place, n, codes, *more)
+
+    monkeypatch.setattr(passages, "SHARD_WORDS", limit)
+    monkeypatch.setattr(passages, "locate", bounded)
+    got = passages.remove_repeats(docs(spark, rows).repartition(5)).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=str) == brute_passages(rows, 13)
+
+
 def test_passages_on_odd_rows(spark):
     rows = odd_rows() + [(10, odd_rows()[9][1]), (11, "x" * 400_000)]
     got = passages.remove_repeats(docs(spark, rows))
