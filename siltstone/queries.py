@@ -21,7 +21,7 @@ from .plans.ingest import Options, would_process
 from .plans.render import notes
 from .sources.feeds import at, bookmarks_from_posts, bookmarks_from_statuses, last_cursor, outside_links, post_elements, posts, statuses
 from .sources.html import html_images, html_links, html_posts, html_text, page_content
-from .streaming.frontier import ROCKSDB, new_before_known
+from .streaming.frontier import ROCKSDB, run_in_order
 
 def now() -> Column:
     """A fixed time, so that results repeat."""
@@ -125,12 +125,8 @@ def frontier_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     try:
-        given = table(spark, sf_dir, "events")
-        folder_of, _, name = given.inputFiles()[0].rpartition("/")  # the table is one file or a folder of files
-        events = spark.readStream.schema(given.schema).option("pathGlobFilter", name if name == "events.parquet" else "*.parquet").parquet(folder_of)
-        rows = events.select(F.col("user_id").cast("string").alias("source"), F.col("event_id").alias("seq"), F.col("event_id").cast("string").alias("url"), F.col("event_type").isin("view", "click").alias("is_known"))
-        writer = new_before_known(rows, 2).writeStream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
-        writer.start(path=f"{folder}/rows", format="parquet").awaitTermination()
+        rows = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("source"), F.col("event_id").alias("seq"), F.col("event_id").cast("string").alias("url"), F.col("event_type").isin("view", "click").alias("is_known"))
+        run_in_order(rows, 2, folder)
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
     return spark.read.schema("source string, seq long, url string").parquet(f"{folder}/rows").select(F.col("seq").alias("event_id"), F.col("source").cast("long").alias("user_id"))

@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 STATE = T.StructType([T.StructField("streak", T.IntegerType()), T.StructField("matched", T.BooleanType()), T.StructField("recent", T.ArrayType(T.StringType()))])
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Rows that one micro-batch of ``run_in_order`` holds at most, and so one source's frame.
+BLOCK_ROWS = 1_000_000
 
 
 class KnownSequence(StatefulProcessor):
     """Rows of one source in the order of ``seq``: emits unknown rows until ``stop_after`` known ones came in a row.
 
     An address among the last ``recent_limit`` ones neither lengthens nor breaks a run. Rows of a micro-batch are
-    sorted before they change the state."""
+    sorted before they change the state: one source's rows of a micro-batch are one pandas frame, so whoever starts the
+    stream has to bound its micro-batches, as ``run_in_order`` does."""
 
     def __init__(self, stop_after: int, recent_limit: int):
         self.stop_after, self.recent_limit = stop_after, recent_limit
@@ -49,3 +53,31 @@ def new_before_known(stream: DataFrame, stop_after: int, recent_limit: int = 20)
     """stream(source, seq, url, is_known) -> (source, seq, url) of new rows. Needs ROCKSDB as the state store provider."""
     schema = "source string, seq long, url string"
     return stream.groupBy("source").transformWithStateInPandas(KnownSequence(stop_after, recent_limit), schema, "Append", "none")
+
+
+def run_in_order(rows: DataFrame, stop_after: int, folder: str, block_rows: int = BLOCK_ROWS) -> list[int]:
+    """``new_before_known`` over all of rows(source, seq, url, is_known), into Parquet in ``folder``/rows.
+
+    Rows are dealt by ranges of ``seq``, written as blocks of ``block_rows`` rows at most (rows of one ``seq`` stay
+    together). A block is put into the stream's folder when the one before it has been worked off; state is carried over
+    in the checkpoint. Returns the number of rows of each micro-batch."""
+    from pyspark.ml.feature import Bucketizer
+
+    spark, total = rows.sparkSession, rows.count()
+    n = max(1, -(-total * 5 // (4 * block_rows)))  # quantiles may err by an eighth of a block on either side
+    cuts = sorted(set(rows.approxQuantile("seq", [k / n for k in range(1, n)], 1 / (10 * n)))) if n > 1 else []
+    ranged = rows.withColumn("block", F.lit(0))
+    if cuts:
+        bucket = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="at", outputCol="block_at", handleInvalid="keep")
+        dealt = bucket.transform(rows.repartitionByRange(n, "seq").withColumn("at", F.col("seq").cast("double")))
+        ranged = dealt.withColumn("block", F.col("block_at").cast("int")).drop("at", "block_at")
+    ranged.write.partitionBy("block").parquet(f"{folder}/blocks")
+    blocks = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("block", T.IntegerType())])).parquet(f"{folder}/blocks")
+    sizes = []
+    for k in range(len(cuts) + 2 if cuts else 1):  # the last block has the rows without a seq
+        blocks.where(F.col("block") == k).drop("block").write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        query = new_before_known(stream, stop_after).writeStream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start(path=f"{folder}/rows", format="parquet")
+        query.awaitTermination()
+        sizes += [p["numInputRows"] for p in query.recentProgress]
+    return sizes

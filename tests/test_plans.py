@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from siltstone import queries
 from siltstone.plans import ingest, render, sinks
 from siltstone.sources import notes as note_files
-from siltstone.streaming.frontier import ROCKSDB, new_before_known
+from siltstone.streaming.frontier import ROCKSDB, new_before_known, run_in_order
 from siltstone.streaming.ingest import once_per_url, run
 
 SF = "/root/testdata/sf0.001"
@@ -86,6 +86,17 @@ def test_streams(spark, tmp_path):
     assert got == [1, 4, 6]
 
 
+def test_a_long_feed_comes_in_blocks(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    known = {40, 80, 81, 120}
+    rows = [("x", k, f"x{k}", k in known) for k in range(200)] + [("y", k, f"y{k}", False) for k in range(50)]
+    df = spark.createDataFrame(rows[::-1], "source string, seq long, url string, is_known boolean").repartition(3)
+    sizes = run_in_order(df, 2, str(tmp_path), block_rows=120)
+    assert sum(sizes) == 250 and max(sizes) <= 120
+    got = sorted((r["source"], r["seq"]) for r in spark.read.parquet(str(tmp_path / "rows")).collect())
+    assert got == [("x", k) for k in range(80) if k not in known] + [("y", k) for k in range(50)]
+
+
 def test_catch_up_run(spark, tmp_path):
     schema = "url string, fail boolean"
     for urls in (["https://e.org/a", "https://e.org/a/?utm_source=x"], ["https://E.org/a", "https://e.org/b"]):
