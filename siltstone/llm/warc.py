@@ -1,8 +1,8 @@
 """WARC archives written and read as a table of record chunks.
 
 A payload larger than ``chunk_bytes`` is streamed: rows (record, chunk number, bytes) with the SHA-1 of the payload up
-to and including the chunk, so neither writer nor reader ever builds a whole record of its own, and the last chunk's
-digest is the payload's. Records are gzip members of their own, as archive tools expect. Records with a payload that
+to and including the chunk, and the last chunk's digest is the payload's. Right after the scan, which has to hold a value
+whole, payloads become chunk rows; from there on neither writer nor reader holds a whole record. Records are gzip members of their own, as archive tools expect. Records with a payload that
 an earlier record (the smallest id) holds become revisits without a payload.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import HOT_SHARE, materialize, new_path
 from .files import attempt_suffix, reading, writing
+from .repeats import without
 
 CHUNK = 1 << 20
 DATE = "1970-01-01T00:00:00Z"
@@ -35,11 +36,33 @@ def record_urn(record_id: int | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'record-{record_id}')}>"
 
 
-def mark_revisits(df: DataFrame, id_col: str, url_col: str, payload_col: str, least_bytes: int) -> DataFrame:
-    """(id, url, payload, sha1, refers_to): refers_to is the smallest id with the same payload, null for that record itself."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("sha1", F.unhex(F.sha1("payload")))
-    groups = materialize(rows.where(F.octet_length("payload") >= least_bytes).groupBy("sha1").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1"), "warc-groups")
+CHUNK_ROWS = "row long, id long, url string, bytes long, n_chunks long, chunk_no long, data binary, sha1 string"
+
+
+def chunk_rows(df: DataFrame, id_col: str, url_col: str, payload_col: str, chunk_bytes: int) -> DataFrame:
+    """The payloads in chunks, at least one each; ``row`` tells records apart, ``sha1`` is that up to and including the chunk."""
+    rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
+    rows = rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("n_chunks", F.greatest(F.lit(1), F.ceil(F.col("bytes") / chunk_bytes)).cast("long"))
+    each = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_chunks") - 1)).alias("chunk_no"))
+    data = F.substring(F.col("payload"), (F.col("chunk_no") * chunk_bytes + 1).cast("int"), F.lit(chunk_bytes)).alias("data")
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sha1 = hashlib.sha1()
+        for batch in batches:  # chunks of a record follow each other
+            running = []
+            for k, chunk_no in enumerate(batch.column(5).to_pylist()):
+                if chunk_no == 0:
+                    sha1 = hashlib.sha1()
+                sha1.update(batch.column(6)[k].as_buffer())
+                running.append(base32(sha1.digest()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(running, pa.string())], names=[x.split()[0] for x in CHUNK_ROWS.split(", ")])
+
+    return materialize(each.select("row", "id", "url", "bytes", "n_chunks", "chunk_no", data).mapInArrow(digests, CHUNK_ROWS), "warc-chunks")
+
+
+def mark_revisits(rows: DataFrame, least_bytes: int) -> DataFrame:
+    """rows(row, id, url, bytes, n_chunks, sha1) with refers_to: the smallest id with the same payload, null for that record itself."""
+    groups = materialize(rows.where(F.col("bytes") >= least_bytes).groupBy("sha1").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1"), "warc-groups")
     total = rows.count()
     # only digests with several records are joined: the others keep refers_to null
     hot = F.col("n") >= max(2, int(total * HOT_SHARE))
@@ -49,7 +72,7 @@ def mark_revisits(df: DataFrame, id_col: str, url_col: str, payload_col: str, le
     hot_rows = marked.where("first_hot IS NOT NULL").withColumnRenamed("first_hot", "first")
     others = marked.where("first_hot IS NULL").drop("first_hot").join(many, "sha1", "left").withColumnRenamed("first_cold", "first")
     both = hot_rows.unionByName(others)
-    return both.select("id", "url", "payload", "sha1", F.when(F.col("first") != F.col("id"), F.col("first")).alias("refers_to"))
+    return both.select(*rows.columns, F.when(F.col("first") != F.col("id"), F.col("first")).alias("refers_to"))
 
 
 def write_warc(df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0, chunk_bytes: int = CHUNK, bytes_per_file: int = 64 << 20) -> DataFrame:
@@ -62,38 +85,37 @@ def write_warc(df: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seq, done = 0, []
-        out = opened = at = None
+        out = opened = at = zipper = None
         records = 0
         for batch in batches:
             for k in range(batch.num_rows):
+                record_id, url, n, n_chunks, chunk_no, sha1, refers_to = (batch.column(i)[k].as_py() for i in (1, 2, 3, 4, 5, 7, 8))
                 if out is None:
                     at, records = f"{folder}/{attempt_suffix()}-{seq:05d}.warc.gz", 0
                     opened = writing(at)
                     out = opened.__enter__()
                     seq += 1
-                record_id, url, refers_to = batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), batch.column(4)[k].as_py()
-                payload = memoryview(batch.column(2)[k].as_buffer())
-                sha1, n = base32(batch.column(3)[k].as_py()), len(payload)
-                http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n".encode()
-                kind = "response" if refers_to is None else "revisit"
-                head = [
-                    "WARC/1.1",
-                    f"WARC-Type: {kind}",
-                    f"WARC-Record-ID: {record_urn(record_id)}",
-                    f"WARC-Target-URI: {' '.join((url or '').split())}",
-                    f"WARC-Date: {DATE}",
-                    f"WARC-Payload-Digest: sha1:{sha1}",
-                    f"X-Row-Id: {'' if record_id is None else record_id}",
-                    "Content-Type: application/http; msgtype=response",
-                    f"Content-Length: {len(http) + (n if refers_to is None else 0)}",
-                ]
-                if refers_to is not None:
-                    head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_urn(refers_to)}", f"X-Refers-To-Row-Id: {refers_to}"]
-                zipper = zlib.compressobj(3, zlib.DEFLATED, 31)
-                out.write(zipper.compress("\r\n".join(head).encode() + b"\r\n\r\n" + http))
-                if refers_to is None:
-                    for a in range(0, n, chunk_bytes):
-                        out.write(zipper.compress(payload[a : a + chunk_bytes]))
+                if chunk_no < 0 or n_chunks == 1:
+                    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n".encode()
+                    kind = "response" if refers_to is None else "revisit"
+                    head = [
+                        "WARC/1.1",
+                        f"WARC-Type: {kind}",
+                        f"WARC-Record-ID: {record_urn(record_id)}",
+                        f"WARC-Target-URI: {' '.join((url or '').split())}",
+                        f"WARC-Date: {DATE}",
+                        f"WARC-Payload-Digest: sha1:{sha1}",
+                        f"X-Row-Id: {'' if record_id is None else record_id}",
+                        "Content-Type: application/http; msgtype=response",
+                        f"Content-Length: {len(http) + (n if refers_to is None else 0)}",
+                    ]
+                    if refers_to is not None:
+                        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_urn(refers_to)}", f"X-Refers-To-Row-Id: {refers_to}"]
+                    zipper = zlib.compressobj(3, zlib.DEFLATED, 31)
+                    out.write(zipper.compress("\r\n".join(head).encode() + b"\r\n\r\n" + http))
+                out.write(zipper.compress(batch.column(6)[k].as_buffer()))
+                if chunk_no < n_chunks - 1:
+                    continue
                 out.write(zipper.compress(b"\r\n\r\n") + zipper.flush())
                 records += 1
                 if out.tell() >= bytes_per_file:
@@ -106,8 +128,20 @@ def write_warc(df: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
         if done:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], pa.string()), pa.array([x[1] for x in done], pa.int64())], names=["file", "records"])
 
-    marked = mark_revisits(df, id_col, url_col, payload_col, least_bytes)
-    return materialize(marked.mapInArrow(write, "file string, records long"), "warc-manifest")
+    chunks = chunk_rows(df, id_col, url_col, payload_col, chunk_bytes)
+    marked = mark_revisits(chunks.where("chunk_no = n_chunks - 1").select("row", "id", "url", "bytes", "n_chunks", "sha1"), least_bytes)
+    marked = materialize(marked, "warc-records")
+    columns = [*chunks.columns, "refers_to"]
+    none = F.lit(None).cast("long").alias("refers_to")
+    again = marked.where("refers_to IS NOT NULL")
+    # revisits need no payload; records of one chunk are not shuffled; those of several are led by a row with the digest
+    revisits = again.withColumns({"n_chunks": F.lit(1).cast("long"), "chunk_no": F.lit(0).cast("long"), "data": F.lit(b"")}).select(*columns)
+    small = without(chunks.where("n_chunks = 1"), "row", again.where("n_chunks = 1").select("row")).select("*", none)
+    leads = marked.where("refers_to IS NULL AND n_chunks > 1").withColumns({"chunk_no": F.lit(-1).cast("long"), "data": F.lit(b"")}).select(*columns)
+    large = chunks.where("n_chunks > 1").join(again.where("n_chunks > 1").select("row"), "row", "left_anti").select("*", none)
+    large = large.select(*columns).unionByName(leads).repartition(F.col("row")).sortWithinPartitions("row", "chunk_no")
+    rows = small.select(*columns).unionByName(revisits).unionByName(large)
+    return materialize(rows.mapInArrow(write, "file string, records long"), "warc-manifest")
 
 
 class GzipText:

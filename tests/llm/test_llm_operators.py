@@ -223,6 +223,22 @@ def test_archives(spark):
     assert [r[0] for r in kinds] == ["response"]
 
 
+def test_large_payloads_are_written_from_chunk_rows(spark, monkeypatch):
+    rng = random.Random(2)
+    big = ["".join(rng.choices("abc é", k=5000 + 777 * k)) for k in range(6)]
+    rows = [(k, f"u{k}", big[k % 6]) for k in range(9)] + [(20, "v", "small"), (21, "v", "small"), (22, None, None)]
+    kept, whole = {}, warc.materialize
+    monkeypatch.setattr(warc, "materialize", lambda df, label: kept.setdefault(label, whole(df, label)))
+    got = warc.read_warc(warc.write_warc(pages(spark, rows), chunk_bytes=500), chunk_bytes=500).orderBy("record_id", "chunk_no").collect()
+    assert kept["warc-chunks"].agg(F.max(F.octet_length("data"))).first()[0] == 500
+    assert {label for label, df in kept.items() if set(df.columns) & {"data", "payload"}} == {"warc-chunks"}
+    for i, _, h in rows:
+        cs, raw = [c for c in got if c["record_id"] == i], (h or "").encode()
+        first = min(j for j, _, x in rows if x == h)
+        assert {(c["refers_to"], c["payload_bytes"], c["payload_digest"]) for c in cs} == {(None if first == i else first, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode())}
+        assert b"".join(c["data"] for c in cs) == (raw if first == i else b"")
+
+
 def test_a_damaged_archive_fails(spark, tmp_path):
     manifest = warc.write_warc(pages(spark, [(1, "u", "payload " * 50)]))
     path = manifest.first()["file"].removeprefix("file://")
