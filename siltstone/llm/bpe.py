@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,16 +20,21 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import map_arrow
-from .hashing import LOWER, NOT_ALNUM, WHITE, groups, joined, word_hashes, word_spans
+from .hashing import FIRST_BYTES, LOWER, WHITE, eights, groups, joined, mix, word_spans
 
 #: Spark's tasks are the parallelism; threads of the library's own would only contend with them.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-ALNUM = ~NOT_ALNUM & (np.arange(256) < 0x80)
+#: ASCII bytes by what the vocabulary's pattern makes of them; other bytes, white space and controls have 0.
+LETTERS, DIGITS, SIGNS = 1, 2, 3
+KIND = np.array([0 if b >= 0x7F or b <= 0x20 else LETTERS if chr(b).isalpha() else DIGITS if chr(b).isdigit() else SIGNS for b in range(256)], np.uint8)
+#: Words that normalisation leaves alone and the pattern does not cut: ASCII and Latin-1 letters in lower case.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 NONE = np.int32(2**31 - 1)
 LONG = 64
@@ -189,79 +195,105 @@ class WordBpe:
         return self.pieces.findall(word.lower())
 
     def _forget(self, room: int) -> None:
-        self.tags = np.zeros((2, 1 << SLOT_BITS), np.uint64)
-        self.at = np.zeros((2, 1 << SLOT_BITS), np.int64)
-        self.length = np.zeros((2, 1 << SLOT_BITS), np.int32)
+        shape = (2, 1 << SLOT_BITS)
+        self.keys_of = [np.zeros(shape, np.uint64) for _ in range(3)]  # head, tail, length of the word in each slot
+        self.at, self.length = np.zeros(shape, np.int64), np.zeros(shape, np.int32)
         self.pool, self.used = np.empty(room, np.uint32), 0
 
-    def new_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of words that are in no table."""
-        split = [self.word_pieces(w) for w in words]
+    def new_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are in no table, in a row, and how many each has."""
+        split = [self.word_pieces(w.decode("utf-8", "surrogatepass")) for w in words]
         pieces = list({p for x in split for p in x if isinstance(p, str)})
         known: dict[str | int, bytes] = dict(zip(pieces, self.encode_pieces(pieces), strict=True))
-        return [known[x[0]] if len(x) == 1 and isinstance(x[0], str) else b"".join([known[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in x]) for x in split]
+        raw = [known[x[0]] if len(x) == 1 and isinstance(x[0], str) else b"".join([known[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in x]) for x in split]
+        return np.frombuffer(b"".join(raw), "<u4"), np.array([len(x) // 4 for x in raw], np.int32)
 
     def _words(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Bytes, begins and ends of words, and the index of each text's first word.
 
         Words lie between ASCII white space (other white space stays in words, where the pattern drops it). Two
-        rewritings leave the ids as they are and make fewer different words: ASCII letters in lower case, and a
-        border before a full stop or comma that follows an ASCII letter or digit and ends a word."""
+        rewritings leave the ids as they are and make fewer different words: ASCII letters in lower case, and borders
+        where the pattern cuts anyway: between ASCII letters, digits and signs, and between digits. There is none after
+        an apostrophe, which may begin a contraction."""
         data, offsets = joined(texts)
         low = LOWER[data]
+        kind = KIND[low]
         for i, t in enumerate(texts):
-            if t and "<|" in t:  # special tokens are told by case
+            if t and "<|" in t:  # special tokens are told by case, and stay in one word
                 low[offsets[i] : offsets[i + 1]] = data[offsets[i] : offsets[i + 1]]
-        gap = WHITE[low]
-        stop = np.flatnonzero((low[1:-1] == 0x2E) | (low[1:-1] == 0x2C)) + 1 if len(low) > 2 else np.empty(0, np.int64)
-        stop = stop[gap[stop + 1] & ALNUM[low[stop - 1]]]
-        begin, end = word_spans(low, np.concatenate([offsets[:-1][offsets[:-1] < offsets[1:]], stop]))
+                kind[offsets[i] : offsets[i + 1]] = 0
+        before, here = kind[:-1], kind[1:]
+        cut = (before != 0) & (here != 0) & ((before != here) | (here == DIGITS)) & ((low[:-1] != 0x27) | (here != LETTERS))
+        begin, end = word_spans(low, np.concatenate([offsets[:-1][offsets[:-1] < offsets[1:]], np.flatnonzero(cut) + 1]))
         return low, begin, end, np.searchsorted(begin, offsets)
 
+    @staticmethod
+    def _keys(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Head, tail and length of words: the first eight and the last eight bytes, which are all of a word of up to 16;
+        a longer word's tail is a hash of all of it."""
+        at, size = eights(data), end - begin
+        head = at[begin] & FIRST_BYTES[np.minimum(size, 8)]
+        tail = at[np.maximum(end - 8, begin)] & FIRST_BYTES[np.minimum(size, 8)]
+        long = np.flatnonzero(size > 16)
+        if len(long):
+            raw = data.tobytes()
+            tail[long] = [xxhash.xxh3_64_intdigest(raw[b:e]) for b, e in zip(begin[long].tolist(), end[long].tolist(), strict=True)]
+        return head, tail, size.astype(np.uint64)
+
     def encode_group(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin (one more entry for the end)."""
         data, begin, end, first = self._words(texts)
         if not len(begin):
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        h = np.maximum(word_hashes(data, begin, end), np.uint64(1))
+        keys = self._keys(data, begin, end)
+        h = mix(keys[0] + mix(keys[1] + keys[2] * np.uint64(0x9E3779B97F4A7C15)))
         slots = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64), ((h >> np.uint64(20)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
-        hit = self.tags[0][slots[0]] == h
-        at, n = np.where(hit, self.at[0][slots[0]], 0), np.where(hit, self.length[0][slots[0]], 0)
-        rest = np.flatnonzero(~hit)
-        again = self.tags[1][slots[1][rest]] == h[rest]
-        some = rest[again]
-        at[some], n[some] = self.at[1][slots[1][some]], self.length[1][slots[1][some]]
-        missing = rest[~again]
-        if len(missing):
-            _, index, inverse = np.unique(h[missing], return_index=True, return_inverse=True)
-            fresh = missing[index]
-            raw: list[bytes] = []
+        at, n = np.zeros(len(h), np.int64), np.zeros(len(h), np.int32)
+        rest = np.arange(len(h))
+        for k in (0, 1):
+            slot = slots[k][rest]
+            hit = np.ones(len(rest), bool)
+            for stored, own in zip(self.keys_of, keys, strict=True):
+                hit &= stored[k][slot] == own[rest]
+            at[rest[hit]], n[rest[hit]] = self.at[k][slot[hit]], self.length[k][slot[hit]]
+            rest = rest[~hit]
+        if len(rest):
+            _, index, inverse = np.unique(h[rest], return_index=True, return_inverse=True)
+            # a word with the hash of another one counts as a word of its own
+            odd = np.flatnonzero(np.any([own[rest] != own[rest[index[inverse]]] for own in keys], axis=0))
+            inverse[odd] = len(index) + np.arange(len(odd))
+            fresh = rest[np.concatenate([index, odd])]
+            found = []
+            raw = data.tobytes()
             for a in range(0, len(fresh), NEW_WORDS):
                 part = fresh[a : a + NEW_WORDS]
-                raw += self.new_ids([data[b:e].tobytes().decode("utf-8", "surrogatepass") for b, e in zip(begin[part].tolist(), end[part].tolist(), strict=True)])
-            ids = np.frombuffer(b"".join(raw), "<u4")
+                found.append(self.new_ids([raw[b:e] for b, e in zip(begin[part].tolist(), end[part].tolist(), strict=True)]))
+            ids, size = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
             if self.used + len(ids) > len(self.pool):
                 hits = self._gather(at, n)
                 self._forget(max(POOL_IDS, len(ids) + len(hits)))
                 # what this group found in the old pool moves to the new one, unnamed
                 self.pool[: len(hits)], self.used = hits, len(hits)
-                at = np.concatenate([[0], np.cumsum(n)[:-1]])
-            size = np.array([len(x) // 4 for x in raw], np.int32)
-            where = self.used + np.concatenate([[0], np.cumsum(size)[:-1]])
+                at = np.cumsum(n) - n
+            where = self.used + np.cumsum(size) - size
             self.pool[self.used : self.used + len(ids)] = ids
             self.used += len(ids)
-            at[missing], n[missing] = where[inverse], size[inverse]
+            at[rest], n[rest] = where[inverse], size[inverse]
             for k in (0, 1):
                 slot = slots[k][fresh]
-                free = self.tags[k][slot] == 0 if k == 0 else np.ones(len(slot), bool)
-                for table, value in ((self.tags, h[fresh]), (self.at, where), (self.length, size)):
-                    table[k][slot[free]] = value[free]
+                free = self.keys_of[2][k][slot] == 0 if k == 0 else np.ones(len(slot), bool)
+                # of several words for one slot the last stands there, in each table
+                _, last = np.unique(slot[free][::-1], return_index=True)
+                put = np.flatnonzero(free)[len(slot[free]) - 1 - last]
+                for stored, own in zip(self.keys_of, keys, strict=True):
+                    stored[k][slot[put]] = own[fresh[put]]
+                self.at[k][slot[put]], self.length[k][slot[put]] = where[put], size[put]
         bounds = np.zeros(len(h) + 1, np.int64)
         np.cumsum(n, out=bounds[1:])
         return self._gather(at, n), bounds[first]
 
     def _gather(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
-        total = np.cumsum(n)
+        total = np.cumsum(n, dtype=np.int64)
         return self.pool[np.repeat(at - (total - n), n) + np.arange(int(total[-1]))]
 
     def encode(self, texts: list[str | None], kind: str = "<u4") -> Iterator[bytes]:
@@ -277,18 +309,50 @@ def decode(ids: bytes, tokens: list[str]) -> str:
 
 
 class LibraryBpe(WordBpe):
-    """The same with the ``tokenizers`` library for words that are in no table."""
+    """The same with the ``tokenizers`` library for words that are in no table.
+
+    Words that the vocabulary's normaliser and pattern leave whole go to the library's model many at a time, parted by
+    blanks, in the symbols that stand for their bytes; each ends with a token that has the word end, so the ids tell
+    which word they belong to."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = Tokenizer(self.library.model)
+        self.model.normalizer, self.model.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        suffix = self.library.model.end_of_word_suffix
+        self.ends = np.zeros(self.library.get_vocab_size(), bool)
+        for token, i in self.library.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = bool(suffix) and token.endswith(suffix)
+        self.symbols = str.maketrans({chr(b): s for b, s in enumerate(byte_symbols()) if b >= 0x80})
         self._forget(POOL_IDS)
 
-    def new_ids(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+    def plain_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """None if the library finds more or fewer word ends than words."""
+        lines = [b" ".join(words[i : i + 100]).decode("latin-1").translate(self.symbols) for i in range(0, len(words), 100)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(lines, add_special_tokens=False)])
+        ends = np.flatnonzero(self.ends[ids])
+        return (ids, np.diff(ends, prepend=-1).astype(np.int32)) if len(ends) == len(words) and ends[-1] == len(ids) - 1 else None
+
+    def new_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.array([PLAIN.fullmatch(w) is not None for w in words], bool)
+        found = self.plain_ids([w for w, p in zip(words, plain.tolist(), strict=True) if p]) if plain.any() else None
+        if found is None:
+            plain[:] = False
+        others = [w.decode("utf-8", "surrogatepass") for w, p in zip(words, plain.tolist(), strict=True) if not p]
+        lists = [e.ids for e in self.library.encode_batch_fast(others, add_special_tokens=False)]
+        ids, size = np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists], np.int32)
+        if found is None:
+            return ids, size
+        # back into the order of the words
+        all_ids, sizes = np.concatenate([found[0], ids]), np.concatenate([found[1], size])
+        begin = np.cumsum(sizes) - sizes
+        back = np.argsort(np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)]), kind="stable")
+        n, at = sizes[back], begin[back]
+        return all_ids[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
 
 
 @lru_cache(maxsize=1)

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 
 
 def give_back_memory() -> None:
@@ -20,11 +21,11 @@ def give_back_memory() -> None:
         pass
 
 
-give_back_memory()
+if TaskContext.get() is not None:  # in Spark's workers only, never in the user's own process
+    give_back_memory()
 
-BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-BASE_INV = pow(BASE, -1, 2**64)
-WORD_BASE = 0xD1342543DE82EF95
+BASE = 0x9E3779B97F4A7C15
+WORD_BASE = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2**64
 WORD_BASE_INV = pow(WORD_BASE, -1, 2**64)
 #: Characters that are handled at once: temporary arrays have a few times 8 bytes for each.
 BLOCK = 300_000
@@ -74,27 +75,35 @@ def word_spans(data: np.ndarray, starts: np.ndarray, gap: np.ndarray = WHITE) ->
     return np.flatnonzero(first), np.flatnonzero(last)
 
 
-def _range_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
-    return mix((sums[end] - sums[begin]) * powers(BASE_INV, len(data) + 1)[begin] + (end - begin).astype(np.uint64))
+#: Masks of the first 0 to 8 bytes of a little-endian 64-bit integer.
+FIRST_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on (zeros after the end), as little-endian 64-bit integers."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
 
 
 def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range; ranges are in order. Long data are hashed some ranges at a time."""
-    if len(data) <= 2 * BLOCK:
-        return _range_hashes(data, begin, end)
-    out, i = np.empty(len(begin), np.uint64), 0
-    while i < len(begin):
-        j = max(i + 1, int(np.searchsorted(end, begin[i] + BLOCK, "right")))
-        a, b = begin[i], end[j - 1]
-        out[i:j] = _range_hashes(data[a:b], begin[i:j] - a, end[i:j] - a)
-        i = j
+    """64-bit hash of each byte range. Every eight bytes are mixed with their place before they are added up, so that no
+    arrangement of letters has an equal one by construction."""
+    at, size = eights(data), end - begin
+    out = mix((at[begin] & FIRST_BYTES[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * np.uint64(BASE)))
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        pieces = (size[long] - 1) // 8
+        row = np.repeat(np.arange(len(long)), pieces)
+        first = np.cumsum(pieces) - pieces
+        nth = np.arange(len(row)) - first[row] + 1
+        value = at[begin[long][row] + 8 * nth] & FIRST_BYTES[np.minimum(size[long][row] - 8 * nth, 8)]
+        out[long] = mix(out[long] + np.add.reduceat(mix(value + nth.astype(np.uint64) * np.uint64(WORD_BASE)), first))
     return out
 
 
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """Hash of each run of ``size`` consecutive word hashes (also those that cross texts)."""
+    """Hash of each run of ``size`` (a small number) consecutive word hashes (also those that cross texts)."""
     if len(words) < size:
         return np.empty(0, np.uint64)
     sums = np.zeros(len(words) + 1, np.uint64)
@@ -115,9 +124,9 @@ def groups(texts: list[str | None], limit: int = BLOCK) -> Iterator[tuple[int, i
         yield at, len(texts)
 
 
-def joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def joined(texts: list[str | bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of the texts in one array, and where each begins (one more entry for the end)."""
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    raw = [t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass") for t in texts]
     offsets = np.zeros(len(raw) + 1, np.int64)
     np.cumsum([len(x) for x in raw], out=offsets[1:])
     return np.frombuffer(b"".join(raw), np.uint8), offsets

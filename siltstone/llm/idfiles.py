@@ -6,7 +6,8 @@ rows gives all lengths of four ranks at once and decoding is a few numpy gathers
 
 File: magic, then little-endian 64-bit counts (documents, control bytes, data bytes), then for each document its id
 (64-bit), whether it is null (8-bit) and its number of ids (64-bit), then control bytes, then data bytes. Each document begins a new
-control byte. A manifest in Parquet, written by Spark's commit protocol, names the files that count.
+control byte. A manifest and the table of ranks, in Parquet written by Spark's commit protocol, stand beside the files; only files that
+the manifest names count.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import default_path, worker_library
-from .common import map_arrow, materialize, new_path
+from .common import bound_batches, materialize, new_path
 from .files import attempt_suffix, reading, writing
 
 MAGIC = b"RANKVB1\n"
@@ -54,39 +55,50 @@ def decode_ranks(control: np.ndarray, data: np.ndarray) -> np.ndarray:
     return out
 
 
-def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = 2, ids_per_file: int = 4_000_000) -> tuple[DataFrame, np.ndarray]:
+def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = 2, ids_per_file: int = 4_000_000) -> str:
     """Encode whole texts, append ``end_id`` to each and write files in ascending id order.
 
-    Returns the manifest (file, part, seq, docs, ids, start: ids in all files before it) and the id of each rank. Null
-    texts hold ``end_id`` alone; null ids come first; rows with equal ids follow each other in the order of a hash of
-    their ids. Ranks come from the counts of all documents; their table is bounded by the vocabulary."""
+    Returns the folder that holds all a reader needs: the files, ``manifest`` (file, part, seq, docs, ids, start: ids in
+    all files before it) and ``ranks`` (the id of each rank). Null texts hold ``end_id`` alone; null ids come first; rows
+    with equal ids follow each other in the order of a hash of their ids. Ranks come from the counts of all documents;
+    their table is bounded by the vocabulary. An empty table has an empty manifest."""
     spark, path = df.sparkSession, path or default_path()
     kind = "<u2" if max(worker_library(path).library.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
     width = np.dtype(kind).itemsize
+    columns = ["id", "ids", "counts"]
 
-    def encode(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of ids, and at the end of the task one row that says how often each id occurred."""
         end = end_id.to_bytes(width, "little")
-        library = worker_library(path)
-        for i in range(0, batch.num_rows, 512):
-            part = batch.slice(i, 512)
-            ids = [x + end for x in library.encode(part.column(1).to_pylist(), kind)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["id", "ids"])
+        library, total = worker_library(path), np.zeros(end_id + 1, np.int64)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                ids = [x + end for x in library.encode(part.column(1).to_pylist(), kind)]
+                found = np.bincount(np.frombuffer(b"".join(ids), kind))
+                if len(found) > len(total):
+                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
+                total[: len(found)] += found
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names=columns)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=columns)
 
+    bound_batches(spark)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    encoded = materialize(map_arrow(rows, encode, "id long, ids binary"), "token-ids")
+    written = materialize(rows.mapInArrow(encode, "id long, ids binary, counts binary"), "token-ids")
+    encoded = written.where("ids IS NOT NULL").select("id", "ids")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                found = np.bincount(np.frombuffer(b"".join(batch.column(0).slice(i, 512).to_pylist()), kind))
+            for x in batch.column(0).to_pylist():
+                found = np.frombuffer(x, "<i8")
                 if len(found) > len(total):
                     total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
                 total[: len(found)] += found
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
-    counts = encoded.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = written.where("counts IS NOT NULL").select("counts").mapInArrow(add_up, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     by_rank = np.array([r["id"] for r in sorted(counts, key=lambda r: (-r["n"], r["id"]))], np.uint32)
     rank_of = np.zeros(int(by_rank.max()) + 1 if len(by_rank) else 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank))
@@ -133,19 +145,27 @@ def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ordered = encoded.repartitionByRange(F.col("id").asc_nulls_first()).withColumn("tie", F.xxhash64("ids")).sortWithinPartitions(F.col("id").asc_nulls_first(), "tie")
     coded = ordered.select("id", "ids", F.octet_length("ids").cast("long").alias("n"))
-    files = materialize(coded.mapInArrow(write, "file string, part long, seq long, docs long, ids long"), "token-manifest")
-    listed = sorted(files.collect(), key=lambda r: (r["part"], r["seq"]))  # a row for each file
-    starts = np.concatenate([[0], np.cumsum([r["ids"] for r in listed])])
-    schema = "file string, part long, seq long, docs long, ids long, start long"
-    manifest = spark.createDataFrame([(*r, int(s)) for r, s in zip(listed, starts, strict=False)], schema)
-    return manifest, by_rank
+    files = materialize(coded.mapInArrow(write, "file string, part long, seq long, docs long, ids long"), "token-file-list")
+    # ids before a part: a sum over one row for each task of the writing stage; then before each file of a part
+    parts = files.groupBy("part").agg(F.sum("ids").alias("of_part"))
+    before = parts.select("part", (F.sum("of_part").over(Window.orderBy("part")) - F.col("of_part")).alias("before"))
+    in_part = F.sum("ids").over(Window.partitionBy("part").orderBy("seq")) - F.col("ids")
+    manifest = files.withColumn("start", in_part).join(before, "part").select("file", "part", "seq", "docs", "ids", (F.col("start") + F.col("before")).alias("start"))
+    manifest.write.parquet(f"{folder}/manifest")
+    ranks = spark.createDataFrame(list(enumerate(by_rank.tolist())), "rank long, id long")
+    ranks.coalesce(1).write.parquet(f"{folder}/ranks")
+    return folder
+
+
+MANIFEST = "file string, part long, seq long, docs long, ids long, start long"
 
 
-def read_token_files(manifest: DataFrame, by_rank: np.ndarray, id_col: str = "doc_id", ids_at_once: int = 500_000) -> DataFrame:
+def read_token_files(spark: SparkSession, folder: str, id_col: str = "doc_id", ids_at_once: int = 500_000) -> DataFrame:
     """Per document: id, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids`` (little-endian unsigned
-    32-bit integers), decoded from the files that the manifest names."""
-    spark = manifest.sparkSession
-    shared = spark.sparkContext.broadcast(by_rank)
+    32-bit integers), decoded from what ``write_token_files`` left in the folder."""
+    manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+    ranks = spark.read.schema("rank long, id long").parquet(f"{folder}/ranks").collect()  # bounded by the vocabulary
+    shared = spark.sparkContext.broadcast(np.array([r["id"] for r in sorted(ranks)], np.uint32))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

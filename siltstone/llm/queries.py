@@ -76,8 +76,8 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest, by_rank = write_token_files(table(spark, sf_dir, "documents"))
-    return read_token_files(manifest, by_rank).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    folder = write_token_files(table(spark, sf_dir, "documents"))
+    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
