@@ -1,16 +1,18 @@
 """Repeated passages: words covered by a window of ``size`` words that a document with a smaller id has too.
 
 1. Anchors. Of the word k-grams in each window the one with the smallest hash is its anchor, so equal windows have
-   equal anchors wherever they stand. Anchors that several documents have are found with one shuffle.
-2. Recurring passages are confirmed: the stretch of words under each repeated anchor goes to the shard of that anchor.
-   Equal stretches are copies of one passage; of stretches that differ, the windows that several documents have become
-   the shard's phrases, each with the smallest document id.
-3. Each shard compiles its phrases into an Aho-Corasick automaton (a word is one code point of the shard's own
-   alphabet) and all its stretches that hold one stream through it: every occurrence of every phrase is located.
-   An anchor with more words than one shard takes is dealt over several: what its documents have in common is then
-   found by an aggregate over window hashes, and each shard is told which of its own windows recur and in which
-   document first.
-4. Occurrences in documents with a larger id are merged into spans of words to remove.
+   equal anchors wherever they stand. Anchors that several documents have are found with one shuffle. The stretches of
+   words under repeated anchors, each once for all documents of a batch that have it, go to the shard of their anchor.
+2. Recurring passages are confirmed in the shard: windows that several documents have, each with the smallest document.
+   Neighbouring windows that only one stretch has are one passage; windows of several stretches are passages of their own.
+3. Each shard compiles its passages into an Aho-Corasick automaton (a word is one code point of the shard's own
+   alphabet), and all stretches that hold one stream through it: every occurrence of every passage is located, word for
+   word. Nothing else makes a word go.
+4. The occurrences go back to all documents that have the stretch; those in documents with a larger id than the
+   passage's first one are merged into spans of words to remove.
+
+An anchor with more words than a shard takes is dealt over several: an aggregate over window hashes finds what its
+documents have in common, and each shard is told which of its own windows recur, and in which document first.
 """
 
 from __future__ import annotations
@@ -20,16 +22,17 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
-from .hashing import WORD_BASE, WORD_BASE_INV, groups, mix, powers, text_words, window_hashes
+from .common import attach, materialize
+from .hashing import groups, joined, mix, text_words, window_hashes, word_hashes, word_spans
 from .repeats import KeyFilter, repeated_items, split_by_filter
 
 GRAM = 5
-#: Words that a shard's automaton holds at once. Only one stretch, which is never cut, can be longer.
-SHARD_WORDS = 200_000
+#: Words of the different stretches that a shard holds at once. Only one stretch, which is never cut, can be longer.
+SHARD_WORDS = 100_000
 
 
 def anchors(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -48,113 +51,127 @@ def anchors(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray
     return at, low[at].view(np.int64), text
 
 
-def locate(doc: np.ndarray, place: np.ndarray, n: np.ndarray, codes: np.ndarray, size: int, told: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """One shard of stretches: document, place of the first word, number of words, and the codes of all words in a row.
+def window_groups(codes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """The number of each window's group of equal windows. Hashes form the groups, words are compared."""
+    h = window_hashes(mix(codes.astype(np.uint64) + np.uint64(1)), size)[at]
+    _, index, group = np.unique(h, return_index=True, return_inverse=True)
+    for j in range(size):
+        if (codes[at + j] != codes[at[index[group]] + j]).any():
+            return np.unique(np.stack([codes[at + k] for k in range(size)], axis=1), axis=0, return_inverse=True)[1].reshape(-1)
+    return group
 
-    Returns (stretch, place) of each window that a smaller document has as well. ``told`` are the recurring windows
-    (hashes in order, smallest documents) of an anchor that has other shards too."""
-    start = np.concatenate([[0], np.cumsum(n)])[:-1]
-    # equal stretches: in documents other than the smallest that has one, all its windows go
-    whole = stretch_hashes(mix(codes.astype(np.uint64) + np.uint64(1)), start, n)
-    order = np.lexsort((doc, whole))
-    new = np.ones(len(order), bool)
-    new[1:] = whole[order][1:] != whole[order][:-1]
-    copies = np.zeros(len(order), bool)
-    copies[order] = doc[order] != doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-    who = np.flatnonzero(copies)
-    many = n[who] - size + 1
-    copy_row = np.repeat(who, many)
-    copy_place = np.repeat(place[who] - np.concatenate([[0], np.cumsum(many)])[:-1], many) + np.arange(int(many.sum()))
-    own = np.flatnonzero(~copies)
-    row, at = differing(doc[own], place[own], n[own], codes[np.repeat(~copies, n)], size, told)
-    return np.concatenate([copy_row, own[row]]), np.concatenate([copy_place, at])
-
-
-def windows_of(n: np.ndarray, codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all windows inside stretches: (stretch, first word, hash)."""
-    start = np.concatenate([[0], np.cumsum(n)])[:-1]
+
+def two_hashes(texts: list[bytes], n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of texts of n words each: (text, two hashes of 64 bits that have nothing to do with each other)."""
+    words, first = text_words(texts, lower=False)
+    count = np.maximum(n - size + 1, 0)
+    row = np.repeat(np.arange(len(n)), count)
+    at = np.repeat(first[:-1] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+    return row, window_hashes(words, size)[at], window_hashes(mix(words ^ np.uint64(0xA0761D6478BD642F)), size)[at]
+
+
+def locate(texts: list[bytes], least: np.ndarray, most: np.ndarray, size: int, told: dict[bytes, tuple[int, int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One shard of different stretches, words parted by a blank, with the smallest and the largest document of each.
+
+    Returns (stretch, first window, number of windows, first document) of each passage found in a stretch that a later
+    document has. ``told`` says which windows (by their hashes) of an anchor that has other shards too recur, and their
+    smallest and largest documents."""
+    none = tuple(np.empty(0, np.int64) for _ in range(4))
+    alphabet: dict[bytes, int] = {}
+    listed: list[int] = []
+    n = np.zeros(len(texts), np.int64)
+    for i, t in enumerate(texts):
+        words = t.split(b" ")
+        n[i] = len(words)
+        listed += [alphabet.setdefault(w, len(alphabet)) for w in words]
+    codes = np.array(listed, np.int64)
+    if len(alphabet) > 1_100_000:
+        raise ValueError("a shard has more words than there are code points")
     count = n - size + 1
     row = np.repeat(np.arange(len(n)), count)
-    at = np.repeat(start - np.concatenate([[0], np.cumsum(count)])[:-1], count) + np.arange(int(count.sum()))
-    return row, at, window_hashes(mix(codes.astype(np.uint64) + np.uint64(1)), size)[at]
-
-
-def differing(doc: np.ndarray, place: np.ndarray, n: np.ndarray, codes: np.ndarray, size: int, told: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The same for stretches of which none is a copy: they have only some windows in common."""
-    none = np.empty(0, np.int64), np.empty(0, np.int64)
-    row, at, whole = windows_of(n, codes, size)
+    at = np.repeat(np.cumsum(n) - n - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
     if not len(at):
         return none
-    order = np.argsort(whole, kind="stable")
-    begin = np.flatnonzero(np.concatenate([[True], np.diff(whole[order]) != 0]))
-    if told is None:
-        owner = doc[row[order]]
-        least, most = np.minimum.reduceat(owner, begin), np.maximum.reduceat(owner, begin)
-        recurring = least < most
-    elif len(told[0]):
-        distinct = whole[order[begin]]
-        known = np.minimum(np.searchsorted(told[0], distinct), len(told[0]) - 1)
-        recurring, least = told[0][known] == distinct, told[1][known]
-    else:
-        return none
-    if not recurring.any():
+    # confirm: which windows recur, and where first
+    group = window_groups(codes, at, size)
+    order = np.argsort(group, kind="stable")
+    begin = np.flatnonzero(np.concatenate([[True], np.diff(group[order]) != 0]))
+    owner, last = np.minimum.reduceat(least[row[order]], begin), np.maximum.reduceat(most[row[order]], begin)
+    if told is not None:
+        _, one, other = two_hashes(texts, n, size)
+        names = np.stack([one[order[begin]], other[order[begin]]], axis=1).astype("<u8").tobytes()
+        known = [told.get(names[16 * k : 16 * k + 16], (0, 0)) for k in range(len(begin))]
+        owner, last = np.array([k[0] for k in known], np.int64), np.array([k[1] for k in known], np.int64)
+    recurs = owner < last
+    if not recurs.any():
         return none
-    phrase_at, phrase_owner = at[order[begin[recurring]]], least[recurring]
-    # stretches without a recurring window need not be streamed
-    busy = np.zeros(len(n), bool)
-    busy[row[order][np.repeat(recurring, np.diff(np.append(begin, len(order))))]] = True
-    keep_rows, keep_codes = np.flatnonzero(busy), np.repeat(busy, n)
-    moved = np.cumsum(keep_codes) - 1
-    phrase_at, codes, n, place, doc = moved[phrase_at], codes[keep_codes], n[busy], place[busy], doc[busy]
-    start = np.concatenate([[0], np.cumsum(n)])[:-1]
-    alphabet, letter = np.unique(codes, return_inverse=True)
-    letter = letter.astype(np.uint32) + 1
+    times = np.diff(np.append(begin, len(order)))
+    alone = (recurs & (times == 1))[group]
+    goes_on = np.zeros(len(at), bool)
+    goes_on[1:] = alone[1:] & alone[:-1] & (row[1:] == row[:-1]) & (owner[group[1:]] == owner[group[:-1]])
+    opens = np.flatnonzero(alone & ~goes_on)
+    run = np.diff(np.append(np.flatnonzero(~goes_on), len(at)))[(np.cumsum(~goes_on) - 1)[opens]]
+    shared = order[begin[recurs & (times > 1)]]
+    phrase_at = np.concatenate([at[opens], at[shared]])
+    phrase_windows = np.concatenate([run, np.ones(len(shared), np.int64)])
+    phrase_owner = np.concatenate([owner[group[opens]], owner[group[shared]]])
+    # compile; a separator after each stretch, so that no passage runs over its end
+    row_of = np.repeat(np.arange(len(n)), n)
+    letter = (codes + 1).astype(np.uint32)
     letter[letter >= 0xD800] += 0x800
-    if len(alphabet) > 1_100_000:
-        raise ValueError("a shard has more words than there are code points")
-    # a separator after each stretch, so that no phrase runs over its end
-    spaced = np.zeros(len(letter) + len(n), np.uint32)
-    spaced[np.arange(len(letter)) + np.repeat(np.arange(len(n)), n)] = letter
+    spaced = np.zeros(len(codes) + len(n), np.uint32)
+    spaced[np.arange(len(codes)) + row_of] = letter
     text = spaced.astype("<u4").tobytes().decode("utf-32-le")
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for i, a in enumerate((phrase_at + np.searchsorted(start, phrase_at, "right") - 1).tolist()):
-        automaton.add_word(text[a : a + size], i)
+    for k, (a, w) in enumerate(zip((phrase_at + row_of[phrase_at]).tolist(), phrase_windows.tolist(), strict=True)):
+        automaton.add_word(text[a : a + w + size - 1], k)
     automaton.make_automaton()
-    found = np.fromiter((x for hit in automaton.iter(text) for x in hit), np.int64).reshape(-1, 2)
-    begins = start + np.arange(len(n))
-    hit_row = np.searchsorted(begins, found[:, 0], "right") - 1
-    later = doc[hit_row] > phrase_owner[found[:, 1]]
-    hit_row = hit_row[later]
-    return keep_rows[hit_row], place[hit_row] + found[later, 0] - size + 1 - begins[hit_row]
-
-
-def merge_spans(places: np.ndarray, size: int) -> np.ndarray:
-    """Begin and end of the word ranges that windows at these places cover."""
-    places = np.unique(places)
-    if not len(places):
+    # stream; a stretch without a recurring window has no occurrence
+    busy = np.zeros(len(n), bool)
+    busy[row[recurs[group]]] = True
+    begins = np.cumsum(n + 1) - (n + 1)
+    hits = []
+    for lo, hi in zip(begins[busy].tolist(), (begins + n)[busy].tolist(), strict=True):
+        hits += automaton.iter(text, lo, hi)
+    found = np.array(hits, np.int64).reshape(-1, 2)
+    windows = phrase_windows[found[:, 1]]
+    start = found[:, 0] - windows - size + 2
+    hit_row = np.searchsorted(begins, start, "right") - 1
+    later = most[hit_row] > phrase_owner[found[:, 1]]
+    return hit_row[later], (start - begins[hit_row])[later], windows[later], phrase_owner[found[later, 1]]
+
+
+def merge_spans(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Ranges in order, those that touch or overlap as one."""
+    if not len(begin):
         return np.empty((0, 2), np.int64)
-    cut = np.flatnonzero(np.diff(places) > size)
-    return np.stack([places[np.concatenate([[0], cut + 1])], places[np.concatenate([cut, [len(places) - 1]])] + size], axis=1)
+    order = np.argsort(begin, kind="stable")
+    begin, reach = begin[order], np.maximum.accumulate(end[order])
+    new = np.concatenate([[True], begin[1:] > reach[:-1]])
+    return np.stack([begin[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(reach) - 1)]], axis=1)
 
 
-#: place is -1 in rows that tell windows to remove (``codes`` holds their places) instead of a stretch.
-STRETCH = "anchor long, doc long, text_hash long, place int, n int, codes binary"
+def packed(keys: list[np.ndarray], values: np.ndarray) -> tuple[list[np.ndarray], list[bytes]]:
+    """Rows of 64-bit values by keys: the different keys, and the rows of each in a row."""
+    order = np.lexsort(keys[::-1])
+    keys, raw, width = [k[order] for k in keys], values[order].astype("<i8").tobytes(), 8 * values.shape[1]
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    cut = [*(np.flatnonzero(new) * width).tolist(), len(raw)]
+    return [k[new] for k in keys], [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)]
 
 
-def packed_places(who: np.ndarray, doc: np.ndarray, text_hash: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Places of the rows in ``who`` by (document, text)."""
-    order = np.lexsort((text_hash[who], doc[who]))
-    who, place = who[order], place[order].astype("<i8")
-    d, h = doc[who], text_hash[who]
-    first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])])) if len(who) else np.empty(0, np.int64)
-    cut = [*first.tolist(), len(who)]
-    return d[first], h[first], [place[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
+#: A stretch of words once for a batch: its key, how many rows have it, its smallest and largest document, and
+#: (document, text, place) of all who have it.
+STRETCH = "anchor long, key binary, n long, least long, most long, words binary, who binary"
+#: What a shard reads: stretches, and before them (without words) the windows that it is told of.
+SHARD = "anchor long, salt long, key binary, least long, most long, words binary"
 
 
-def stretch_hashes(words: np.ndarray, head: np.ndarray, n: np.ndarray) -> np.ndarray:
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * powers(WORD_BASE, len(words)), out=sums[1:])
-    return mix((sums[head + n] - sums[head]) * powers(WORD_BASE_INV, len(words) + 1)[head] + n.astype(np.uint64))
+def batch_of(columns: list, schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    names = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, names, strict=True)], names=[n for n, _ in names])
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
@@ -180,146 +197,150 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     repeated = materialize(repeated_items(docs, extract).withColumnRenamed("owner", "doc"), "passage-anchors")
     lists = repeated.groupBy("doc").agg(F.collect_list("packed").alias("packed"))  # as many as the document's own anchors at most
-    joined = split_by_filter(docs, "doc", KeyFilter.build(repeated.select("doc")))[0].join(lists, "doc").select("doc", "text_hash", "text", "packed")
+    chosen = split_by_filter(docs, "doc", KeyFilter.build(repeated.select("doc")))[0].join(lists, "doc").select("doc", "text_hash", "text", "packed")
 
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes, texts, packed = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist(), batch.column(3)
+            ids, hashes, texts, listed = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist(), batch.column(3)
+            found, known, lengths = [], {}, []
             for a, b in groups(texts):
-                words, first = text_words(texts[a:b], lower=False)
-                at, anchor, text = anchors(words, first, size)
+                data, offsets = joined([b" ".join(t.encode("utf-8", "surrogatepass").split()) for t in texts[a:b]])
+                begin, end = word_spans(data, offsets[:-1][offsets[:-1] < offsets[1:]])
+                first = np.searchsorted(begin, offsets)
+                at, anchor, text = anchors(word_hashes(data, begin, end), first, size)
                 keep = np.zeros(len(at), bool)
                 cut = np.searchsorted(text, np.arange(b - a + 1))
                 for i in range(b - a):
                     if cut[i] < cut[i + 1]:
-                        keep[cut[i] : cut[i + 1]] = np.isin(anchor[cut[i] : cut[i + 1]], np.frombuffer(b"".join(packed[a + i].as_py()), "<i8"))
+                        keep[cut[i] : cut[i + 1]] = np.isin(anchor[cut[i] : cut[i + 1]], np.frombuffer(b"".join(listed[a + i].as_py()), "<i8"))
                 at, anchor, text = at[keep], anchor[keep], text[keep]
-                if len(at):
-                    yield from settle_here(words, at, anchor, text, first, ids[a:b], hashes[a:b])
-
-    def settle_here(words, at, anchor, text, first, ids, hashes) -> Iterator[pa.RecordBatch]:
-        """Neighbouring windows with one anchor make a stretch. Of equal stretches only that of the smallest document
-        travels; the others are windows to remove already."""
-        new = np.ones(len(at), bool)
-        new[1:] = (np.diff(at) != 1) | (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
-        begin = np.flatnonzero(new)
-        last = np.concatenate([begin[1:], [len(at)]]) - 1
-        head, n, owner = at[begin], at[last] - at[begin] + size, text[begin]
-        doc, text_hash, place, whole = ids[owner], hashes[owner], head - first[owner], stretch_hashes(words, head, n)
-        order = np.lexsort((doc, whole))
-        edge = np.ones(len(order), bool)
-        edge[1:] = whole[order][1:] != whole[order][:-1]
-        least = doc[order][np.flatnonzero(edge)][np.cumsum(edge) - 1]
-        travels = np.zeros(len(order), bool)
-        travels[order] = doc[order] == least
-
-        def out(key, d, h, p, k, blob) -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((key, d, h, p, k, blob), kinds, strict=True)], names=[x.split()[0] for x in STRETCH.split(", ")])
-
-        code = (words >> np.uint64(32)).astype("<u4")
-        go = np.flatnonzero(travels)
-        yield out(anchor[begin[go]], doc[go], text_hash[go], place[go], n[go], [code[h : h + k].tobytes() for h, k in zip(head[go].tolist(), n[go].tolist(), strict=True)])
-        stay = np.flatnonzero(~travels)
-        if len(stay):
-            many = n[stay] - size + 1
-            each = np.repeat(place[stay] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(int(many.sum()))
-            d, h, blob = packed_places(np.repeat(stay, many), doc, text_hash, each)
-            yield out(mix(d.view(np.uint64)).view(np.int64), d, h, np.full(len(d), -1), np.zeros(len(d), np.int64), blob)
+                if not len(at):
+                    continue
+                # neighbouring windows with one anchor make a stretch
+                new = np.ones(len(at), bool)
+                new[1:] = (np.diff(at) != 1) | (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+                opens = np.flatnonzero(new)
+                head, n = at[opens], np.diff(np.append(opens, len(at))) + size - 1
+                raw = data.tobytes()
+                number = [known.setdefault(raw[x:y], len(known)) for x, y in zip(begin[head].tolist(), end[head + n - 1].tolist(), strict=True)]
+                lengths += [0] * (len(known) - len(lengths))
+                for k, m in zip(number, n.tolist(), strict=True):
+                    lengths[k] = m
+                owner = text[opens]
+                found.append((np.array(number, np.int64), anchor[opens], ids[a:b][owner], hashes[a:b][owner], head - first[owner]))
+            if found:
+                number, anchor, doc, text_hash, place = (np.concatenate(x) for x in zip(*found, strict=True))
+                order = np.argsort(number, kind="stable")
+                start = np.searchsorted(number[order], np.arange(len(known)))
+                _, who = packed([number], np.stack([doc, text_hash, place], axis=1))
+                names = list(known)
+                columns = [anchor[order[start]], [xxhash.xxh3_128_digest(w) for w in names], lengths, np.minimum.reduceat(doc[order], start), np.maximum.reduceat(doc[order], start), names, who]
+                for i in range(0, len(names), 20_000):
+                    yield batch_of([c[i : i + 20_000] for c in columns], STRETCH)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        words_held, last_anchor = 0, None
-
-        def out(d, h, blob) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(h, pa.int64()), pa.array(blob, pa.binary())], names=["doc", "text_hash", "places"])
+        index: dict[bytes, int] = {}
+        told: dict[bytes, tuple[int, int]] = {}
+        keys, least, most, uses = [], [], [], []
+        words_held, current = 0, None
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, words_held
-            doc, text_hash, place, n, codes = (np.concatenate(x) for x in zip(*held, strict=True))
-            held, words_held = [], 0
-            who, places = locate(doc, place, n, codes, size)
-            if len(who):
-                yield out(*packed_places(who, doc, text_hash, places))
+            nonlocal index, keys, least, most, uses, words_held
+            row, place, windows, owner = locate(list(index), np.array(least, np.int64), np.array(most, np.int64), size, told if current[1] >= 0 else None)
+            if len(row):
+                order = np.lexsort((place, row))
+                row, place, windows, owner = row[order], place[order], windows[order], owner[order]
+                # neighbouring finds with one first document are one
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (owner[1:] != owner[:-1]) | (place[1:] > (place + windows)[:-1])
+                at = np.flatnonzero(new)
+                many = np.maximum.reduceat(place + windows, at) - place[at]
+                (who,), hits = packed([row[at]], np.stack([place[at], many, owner[at]], axis=1))
+                yield batch_of([[keys[k] for k in who.tolist()], [uses[k] for k in who.tolist()], hits], "key binary, uses long, hits binary")
+            index, keys, least, most, uses, words_held = {}, [], [], [], [], 0
 
         for batch in batches:
-            told = batch.column(3).to_numpy() < 0
-            if told.any():
-                mask = pa.array(told)
-                yield out(batch.column(1).filter(mask), batch.column(2).filter(mask), batch.column(5).filter(mask))
-            batch = batch.filter(pa.array(~told))
-            if not batch.num_rows:
-                continue
-            anchor, doc, text_hash = (batch.column(k).to_numpy() for k in (0, 1, 2))
-            place, n = (batch.column(k).to_numpy().astype(np.int64) for k in (3, 4))
-            codes = np.frombuffer(b"".join(batch.column(5).to_pylist()), "<u4")
-            edge = np.concatenate([[0], np.cumsum(n)])
-            # rows come in the order of anchors, and a shard ends only where an anchor ends
-            ends = np.concatenate([np.flatnonzero(np.diff(anchor)) + 1, [len(anchor)]])
-            lo = 0
-            if held and words_held >= SHARD_WORDS and last_anchor != anchor[0]:
-                yield from flush()
-            while lo < len(anchor):
-                room = edge[lo] + max(1, SHARD_WORDS - words_held)
-                hi = int(ends[min(np.searchsorted(ends, np.searchsorted(edge, room)), len(ends) - 1)])
-                held.append((doc[lo:hi], text_hash[lo:hi], place[lo:hi], n[lo:hi], codes[edge[lo] : edge[hi]]))
-                words_held, last_anchor, lo = words_held + int(edge[hi] - edge[lo]), anchor[hi - 1], hi
-                if words_held >= SHARD_WORDS and lo < len(anchor):
-                    yield from flush()
-        if held:
+            for anchor, salt, key, low, high, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (anchor, salt) != current:
+                    if index and (words_held >= SHARD_WORDS // 2 or salt >= 0 or current[1] >= 0):
+                        yield from flush()
+                    current, told = (anchor, salt), {}
+                if words is None:
+                    told[key] = (low, high)
+                elif (k := index.get(words)) is None:
+                    index[words] = len(index)
+                    keys.append(key)
+                    least.append(low)
+                    most.append(high)
+                    uses.append(1)
+                    words_held += words.count(b" ") + 1
+                else:
+                    least[k], most[k], uses[k] = min(least[k], low), max(most[k], high), uses[k] + 1
+        if index:
             yield from flush()
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Windows of a batch's stretches, each once for a shard, with the smallest and the largest document."""
         for batch in batches:
-            anchor, salt, doc, n = (batch.column(k).to_numpy().astype(np.int64) for k in (0, 1, 2, 5))
-            row, _, whole = windows_of(n, np.frombuffer(b"".join(batch.column(6).to_pylist()), "<u4"), size)
-            if not len(row):
-                continue
-            order = np.lexsort((whole, salt[row], anchor[row]))
-            row, whole = row[order], whole[order].view(np.int64)
-            a, s, d = anchor[row], salt[row], doc[row]
-            first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (s[1:] != s[:-1]) | (whole[1:] != whole[:-1])]))
-            columns = (a[first], s[first], whole[first], np.minimum.reduceat(d, first), np.maximum.reduceat(d, first))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["anchor", "salt", "window", "least", "most"])
-
-    def shard_of_many(stretches: pa.Table) -> pa.Table:
-        """A shard of an anchor that has several: rows with place -2 tell a recurring window and its smallest document."""
-        tells = stretches.column("place").to_numpy() == -2
-        phrases, own = stretches.filter(pa.array(tells)), stretches.filter(pa.array(~tells))
-        window = phrases.column("text_hash").to_numpy().view(np.uint64)
-        order = np.argsort(window)
-        doc, text_hash, place, n = (own.column(c).to_numpy().astype(np.int64) for c in ("doc", "text_hash", "place", "n"))
-        codes = np.frombuffer(b"".join(own.column("codes").to_pylist()), "<u4")
-        who, places = locate(doc, place, n, codes, size, (window[order], phrases.column("doc").to_numpy()[order]))
-        d, h, blob = packed_places(who, doc, text_hash, places) if len(who) else ([], [], [])
-        return pa.table([pa.array(d, pa.int64()), pa.array(h, pa.int64()), pa.array(blob, pa.binary())], names=["doc", "text_hash", "places"])
+            anchor, salt, low, high = (batch.column(k).to_numpy() for k in (0, 1, 3, 4))
+            texts = batch.column(5).to_pylist()
+            row, one, other = two_hashes(texts, np.array([t.count(b" ") + 1 for t in texts], np.int64), size)
+            a, s, one, other, low, high = anchor[row], salt[row], one.view(np.int64), other.view(np.int64), low[row], high[row]
+            order = np.lexsort((other, one, s, a))
+            a, s, one, other, low, high = (x[order] for x in (a, s, one, other, low, high))
+            new = np.ones(len(order), bool)
+            new[1:] = np.any([x[1:] != x[:-1] for x in (a, s, one, other)], axis=0)
+            start = np.flatnonzero(new)
+            names = np.stack([one[start], other[start]], axis=1).astype("<i8").tobytes()
+            yield batch_of([a[start], s[start], [names[16 * k : 16 * k + 16] for k in range(len(start))], np.minimum.reduceat(low, start), np.maximum.reduceat(high, start)], "anchor long, salt long, key binary, least long, most long")
 
     def dealt(heavy: DataFrame) -> DataFrame:
-        """Anchors in ``heavy(anchor, shards)``: their stretches in so many shards each."""
-        salt = F.pmod(F.xxhash64("doc", "text_hash", "place"), F.col("shards")).alias("salt")
-        salted = travelling.where("place >= 0").join(F.broadcast(heavy), "anchor").select("anchor", salt, "doc", "text_hash", "place", "n", "codes")
-        found = salted.mapInArrow(seen, "anchor long, salt long, window long, least long, most long")
-        found = materialize(found.groupBy("anchor", "salt", "window").agg(F.min("least").alias("least"), F.max("most").alias("most")), "passage-windows")
-        recurring = found.groupBy("anchor", "window").agg(F.min("least").alias("doc"), F.max("most").alias("most")).where("doc < most")
-        tell = found.select("anchor", "salt", "window").join(recurring, ["anchor", "window"])
-        tell = tell.select("anchor", "salt", "doc", F.col("window").alias("text_hash"), F.lit(-2).alias("place"), F.lit(0).alias("n"), F.lit(b"").alias("codes"))
-        return salted.unionByName(tell).groupBy("anchor", "salt").applyInArrow(shard_of_many, "doc long, text_hash long, places binary")
-
-    travelling = materialize(joined.mapInArrow(stretches, STRETCH), "passage-stretches")
-    # twice as many shards as the words need, as stretches are dealt by hash
-    words = travelling.where("place >= 0").groupBy("anchor").agg(F.sum("n").alias("words")).where(F.col("words") > SHARD_WORDS)
-    heavy = materialize(words.select("anchor", F.ceil(F.col("words") * 2 / SHARD_WORDS).cast("long").alias("shards")), "passage-heavy")
-    some = not heavy.isEmpty()
-    light = travelling.join(F.broadcast(heavy), "anchor", "left").where("shards IS NULL OR place < 0").drop("shards") if some else travelling
-    located = light.repartition(F.col("anchor")).sortWithinPartitions("anchor").mapInArrow(shard, "doc long, text_hash long, places binary")
-    located = located.unionByName(dealt(heavy)) if some else located
+        """Stretches of the anchors in ``heavy(anchor, shards)``, in so many shards each, and what these are told."""
+        salt = F.pmod(F.xxhash64("key"), F.col("shards")).alias("salt")
+        salted = travelling.join(heavy, "anchor").select("anchor", salt, "key", "least", "most", "words")
+        windows = salted.mapInArrow(seen, "anchor long, salt long, key binary, least long, most long")
+        windows = materialize(windows.groupBy("anchor", "salt", "key").agg(F.min("least").alias("least"), F.max("most").alias("most")), "passage-windows")
+        recurring = windows.groupBy("anchor", "key").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least < most")
+        tell = windows.select("anchor", "salt", "key").join(recurring, ["anchor", "key"])
+        return salted.unionByName(tell.select("anchor", "salt", "key", "least", "most", F.lit(None).cast("binary").alias("words")))
+
+    travelling = materialize(chosen.mapInArrow(stretches, STRETCH), "passage-stretches")
+    # anchors with more than half of what a shard holds; more shards than the words need, as stretches are dealt by hash
+    words = travelling.groupBy("anchor").agg(F.sum("n").alias("words")).where(F.col("words") > SHARD_WORDS // 2)
+    heavy = materialize(words.select("anchor", F.ceil(F.col("words") * 4 / SHARD_WORDS).cast("long").alias("shards")), "passage-heavy")
+    rows = travelling.select("anchor", F.lit(-1).cast("long").alias("salt"), "key", "least", "most", "words")
+    if not heavy.isEmpty():
+        # read from files, so Spark knows its size and broadcasts it only while it is small
+        rows = rows.join(heavy.select("anchor"), "anchor", "left_anti").unionByName(dealt(heavy))
+    ordered = rows.repartition(F.col("anchor"), F.col("salt")).sortWithinPartitions("anchor", "salt", F.col("words").isNotNull())
+    found = materialize(ordered.mapInArrow(shard, "key binary, uses long, hits binary"), "passage-hits")
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Occurrences in all documents that have a stretch and come after the passage's first."""
+        for batch in batches:
+            parts = []
+            for who, hits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                w, h = np.frombuffer(who, "<i8").reshape(-1, 3), np.frombuffer(hits, "<i8").reshape(-1, 3)
+                i, j = np.nonzero(w[:, :1] > h[:, 2])
+                begin = w[i, 2] + h[j, 0]
+                parts.append(np.stack([w[i, 0], w[i, 1], begin, begin + h[j, 1] + size - 1], axis=1))
+            rows = np.concatenate(parts) if parts else np.empty((0, 4), np.int64)
+            if len(rows):
+                (doc, text_hash), blobs = packed([rows[:, 0], rows[:, 1]], rows[:, 2:])
+                yield batch_of([doc, text_hash, blobs], "doc long, text_hash long, spans binary")
+
+    placed = attach(travelling.select("key", "who"), "key", found, "uses", travelling.count())
+    located = placed.select("who", "hits").mapInArrow(expand, "doc long, text_hash long, spans binary")
 
     @F.pandas_udf("binary")
-    def spans(lists):
-        return lists.map(lambda x: merge_spans(np.frombuffer(b"".join(x), "<i8"), size).astype("<i8").tobytes())
+    def merged(lists):
+        def one(parts) -> bytes:
+            both = np.frombuffer(b"".join(parts), "<i8").reshape(-1, 2)
+            return merge_spans(both[:, 0], both[:, 1]).astype("<i8").tobytes()
+
+        return lists.map(one)
 
-    return located.groupBy("doc", "text_hash").agg(F.collect_list("places").alias("places")).select("doc", "text_hash", spans("places").alias("spans"))
+    return located.groupBy("doc", "text_hash").agg(F.collect_list("spans").alias("spans")).select("doc", "text_hash", merged("spans").alias("spans"))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13, carry: list[str] | None = None) -> DataFrame:

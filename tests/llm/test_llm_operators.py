@@ -3,8 +3,11 @@
 import base64
 import hashlib
 import random
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -120,7 +123,7 @@ def library():
     return Tokenizer.from_file(bpe.default_path())
 
 
-PIECES = ["the", "Is", "ñandú", "É", "İ", "Σ", "'re", "'LL", "...", "., ", " . ", ", ", "<|endoftext|>", "<|startoftext|>", "<|", "日本", "١٢", "½", "\x1c", "\x85", "\xa0", " ", "\n", "\U0001f600", "́", "ẞ", "K"]
+PIECES = ["the", "Is", "ñandú", "É", "İ", "Σ", "'re", "'LL", "...", "., ", " . ", ", ", "<|endoftext|>", "<|startoftext|>", "<|", "日本", "١٢", "½", "\x1c", "\x85", "\xa0", " ", "\n", "'", "'s", "s", "4", "$$$", "a", "\U0001f600", "́", "ẞ", "K"]
 
 
 @settings(max_examples=150, deadline=None)
@@ -152,6 +155,30 @@ def test_bpe_long_words_and_small_tables(library, monkeypatch):
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def thue_morse(n):
+    """A word over a and b, and the one with a and b exchanged: sums of powers of a base modulo 2**64 are equal for both."""
+    word = "".join("ab"[k.bit_count() & 1] for k in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_simple_hashes_confuse(library):
+    one, other = thue_morse(2048)
+    hashes, _ = hashing.text_words([f"{one} {other}"])
+    assert hashes[0] != hashes[1]
+    for encoder in (bpe.WordBpe(bpe.default_path()), bpe.LibraryBpe(bpe.default_path())):
+        for text in (f"{one} {other}", other, one):
+            assert np.frombuffer(next(encoder.encode([text])), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_bpe_with_equal_slots(library, monkeypatch):
+    """All words share a slot and a hash: they are told apart by their bytes."""
+    monkeypatch.setattr(bpe, "mix", lambda h: np.zeros_like(h))
+    text = "alpha beta gamma alpha a_rather_long_word_of_many_letters beta another_rather_long_word_of_letters"
+    for encoder in (bpe.WordBpe(bpe.default_path()), bpe.LibraryBpe(bpe.default_path())):
+        for _ in range(3):
+            assert np.frombuffer(next(encoder.encode([text])), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_operator_on_odd_rows(spark, library):
     rows = odd_rows()
     got = bpe.bpe_decode(bpe.bpe_encode(docs(spark, rows))).collect()
@@ -174,9 +201,9 @@ def test_rank_coding_round_trip(lists):
 
 def test_token_files_on_odd_rows(spark, library):
     rows = odd_rows()
-    manifest, by_rank = idfiles.write_token_files(docs(spark, rows).repartition(3), ids_per_file=1000)
-    assert manifest.count() > 1
-    got = sorted(idfiles.read_token_files(manifest, by_rank, ids_at_once=500).collect(), key=lambda r: r["start"])
+    folder = idfiles.write_token_files(docs(spark, rows).repartition(3), ids_per_file=1000)
+    assert spark.read.parquet(f"{folder}/manifest").count() > 1
+    got = sorted(idfiles.read_token_files(spark, folder, ids_at_once=500).collect(), key=lambda r: r["start"])
     at = 0
     for r in got:
         assert r["start"] == at and r["n_tokens"] == len(r["ids"]) // 4
@@ -185,8 +212,21 @@ def test_token_files_on_odd_rows(spark, library):
     assert sorted((str(r["doc_id"]), np.frombuffer(r["ids"], "<u4").tolist()) for r in got) == expected
     ids = [r["doc_id"] for r in got]
     assert ids[0] is None and ids[1:] == sorted(ids[1:])
-    empty, ranks = idfiles.write_token_files(docs(spark, []))
-    assert idfiles.read_token_files(empty, ranks).count() == 0
+    assert idfiles.read_token_files(spark, idfiles.write_token_files(docs(spark, []))).count() == 0
+
+
+def test_token_files_are_read_in_a_fresh_session(spark, tmp_path):
+    """All that a reader needs is in the folder: a new process decodes it."""
+    folder = idfiles.write_token_files(docs(spark, [(2, "one two"), (1, "three")]))
+    code = f"""
+from pyspark.sql import SparkSession
+from siltstone.llm.idfiles import read_token_files
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.local.dir", "{tmp_path}").getOrCreate()
+print([(r["doc_id"], r["start"], r["ids"].hex()) for r in read_token_files(spark, {folder!r}).orderBy("start").collect()])
+"""
+    said = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], capture_output=True, text=True, timeout=300)
+    expected = [(r["doc_id"], r["start"], r["ids"].hex()) for r in idfiles.read_token_files(spark, folder).orderBy("start").collect()]
+    assert said.stdout.strip() == str(expected) and [x[:2] for x in expected] == [(1, 0), (2, len(expected[0][2]) // 8)]
 
 
 # 2: archives ---------------------------------------------------------------------------------------------------------
@@ -303,9 +343,10 @@ def test_a_common_anchor_is_dealt_over_shards(spark, monkeypatch):
     ends = [" ".join(f"e{rng.randrange(10_000)}" for _ in range(8)) for _ in range(7)]
     rows = [(i, " ".join([*(f"w{rng.randrange(10_000)}" for _ in range(8)), anchor, rng.choice(ends)])) for i in rng.sample(range(10_000), 500)]
 
-    def bounded(doc, place, n, codes, *more):
-        assert len(codes) <= limit, f"{len(codes)} words in one shard"
-        return whole(doc, place, n, codes, *more)
+    def bounded(texts, *more):
+        n = sum(len(t.split()) for t in texts)
+        assert n <= limit, f"{n} words in one shard"
+        return whole(texts, *more)
 
     monkeypatch.setattr(passages, "SHARD_WORDS", limit)
     monkeypatch.setattr(passages, "locate", bounded)
@@ -313,6 +354,28 @@ def test_a_common_anchor_is_dealt_over_shards(spark, monkeypatch):
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=str) == brute_passages(rows, 13)
 
 
+def test_passages_that_hashes_confuse(spark, monkeypatch):
+    """Words with equal upper halves of some hash, Thue-Morse words, and windows whose hashes are all equal."""
+    tail = [f"z{k}" for k in range(12)]
+    one, other = thue_morse(2048)
+    rows = []
+    for a, b in (("w153549", "w379826"), (one, other)):
+        for k in range(5):
+            rows += [(len(rows) + 1, " ".join([*tail[:k], a, *tail[k:]])), (len(rows) + 2, " ".join([*tail[:k], b, *tail[k:]]))]
+    rows += [(90, rows[0][1]), (91, rows[3][1])]
+    for confused in (False, True):
+        if confused:
+            monkeypatch.setattr(passages, "window_hashes", lambda words, size: np.full(max(0, len(words) - size + 1), 7, np.uint64))
+        got = passages.remove_repeats(docs(spark, rows)).collect()
+        assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=str) == brute_passages(rows, 13)
+
+
+def test_spans_are_merged():
+    begin, end = np.array([5, 0, 2, 20]), np.array([9, 3, 5, 21])
+    assert passages.merge_spans(begin, end).tolist() == [[0, 9], [20, 21]]
+    assert passages.merge_spans(begin[:0], end[:0]).tolist() == []
+
+
 def test_passages_on_odd_rows(spark):
     rows = odd_rows() + [(10, odd_rows()[9][1]), (11, "x" * 400_000)]
     got = passages.remove_repeats(docs(spark, rows))
