@@ -17,7 +17,9 @@ documents have in common, and each shard is told which of its own windows recur,
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import ahocorasick
 import numpy as np
@@ -33,6 +35,8 @@ from .repeats import KeyFilter, repeated_items, split_by_filter
 GRAM = 5
 #: Words of the different stretches that a shard holds at once. Only one stretch, which is never cut, can be longer.
 SHARD_WORDS = 100_000
+#: Pairs of a document and a find that are handled at once (those of one stretch in one batch always are).
+PAIRS_AT_ONCE = 300_000
 
 
 def anchors(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,19 +81,14 @@ def locate(texts: list[bytes], least: np.ndarray, most: np.ndarray, size: int, t
     document has. ``told`` says which windows (by their hashes) of an anchor that has other shards too recur, and their
     smallest and largest documents."""
     none = tuple(np.empty(0, np.int64) for _ in range(4))
-    alphabet: dict[bytes, int] = {}
-    listed: list[int] = []
-    n = np.zeros(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        words = t.split(b" ")
-        n[i] = len(words)
-        listed += [alphabet.setdefault(w, len(alphabet)) for w in words]
-    codes = np.array(listed, np.int64)
+    alphabet: dict[bytes, int] = defaultdict(count().__next__)
+    n = np.array([t.count(b" ") + 1 for t in texts], np.int64)
+    codes = np.fromiter(map(alphabet.__getitem__, b" ".join(texts).split(b" ")), np.int64)
     if len(alphabet) > 1_100_000:
         raise ValueError("a shard has more words than there are code points")
-    count = n - size + 1
-    row = np.repeat(np.arange(len(n)), count)
-    at = np.repeat(np.cumsum(n) - n - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+    many = n - size + 1
+    row = np.repeat(np.arange(len(n)), many)
+    at = np.repeat(np.cumsum(n) - n - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
     if not len(at):
         return none
     # confirm: which windows recur, and where first
@@ -318,16 +317,23 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Occurrences in all documents that have a stretch and come after the passage's first."""
         for batch in batches:
-            parts = []
-            for who, hits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                w, h = np.frombuffer(who, "<i8").reshape(-1, 3), np.frombuffer(hits, "<i8").reshape(-1, 3)
-                i, j = np.nonzero(w[:, :1] > h[:, 2])
-                begin = w[i, 2] + h[j, 0]
-                parts.append(np.stack([w[i, 0], w[i, 1], begin, begin + h[j, 1] + size - 1], axis=1))
-            rows = np.concatenate(parts) if parts else np.empty((0, 4), np.int64)
-            if len(rows):
-                (doc, text_hash), blobs = packed([rows[:, 0], rows[:, 1]], rows[:, 2:])
-                yield batch_of([doc, text_hash, blobs], "doc long, text_hash long, spans binary")
+            who, hits = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            n_who, n_hits = (np.array([len(x) // 24 for x in lists], np.int64) for lists in (who, hits))
+            reach = np.cumsum(n_who * n_hits)
+            lo = 0
+            while lo < len(who):
+                hi = max(lo + 1, int(np.searchsorted(reach, (reach[lo - 1] if lo else 0) + PAIRS_AT_ONCE, "right")))
+                w, h = (np.frombuffer(b"".join(lists[lo:hi]), "<i8").reshape(-1, 3) for lists in (who, hits))
+                nw, nh = n_who[lo:hi], n_hits[lo:hi]
+                row = np.repeat(np.arange(hi - lo), nw * nh)
+                nth = np.arange(len(row)) - np.repeat(np.cumsum(nw * nh) - nw * nh, nw * nh)
+                i, j = (np.cumsum(nw) - nw)[row] + nth // nh[row], (np.cumsum(nh) - nh)[row] + nth % nh[row]
+                later = w[i, 0] > h[j, 2]
+                i, j, lo = i[later], j[later], hi
+                if len(i):
+                    begin = w[i, 2] + h[j, 0]
+                    (doc, text_hash), blobs = packed([w[i, 0], w[i, 1]], np.stack([begin, begin + h[j, 1] + size - 1], axis=1))
+                    yield batch_of([doc, text_hash, blobs], "doc long, text_hash long, spans binary")
 
     placed = attach(travelling.select("key", "who"), "key", found, "uses", travelling.count())
     located = placed.select("who", "hits").mapInArrow(expand, "doc long, text_hash long, spans binary")
