@@ -42,9 +42,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only if that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. A session of one machine that names none gets
+    a local folder; on a cluster that fails."""
     bound_batches(spark)
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return (base or local_dir(spark.sparkContext.applicationId)).rstrip("/")
 
 
@@ -84,9 +87,12 @@ def held_out(id_col: str, buckets: int, remainder: int) -> Column:
 def attach(df: DataFrame, key: str, groups: DataFrame, size_col: str, total: int) -> DataFrame:
     """Left rows joined with one row per key of ``groups`` (inner), with no hot key in one task.
 
-    ``size_col`` of groups says how many rows of ``df`` have the key. At most 1/HOT_SHARE keys can hold HOT_SHARE
-    of the rows each, so those few go by broadcast and the others by a shuffled join."""
+    ``size_col`` of groups says how many rows of ``df`` have the key; ``groups`` is read several times, so it should be a
+    written table. At most 1/HOT_SHARE keys can hold HOT_SHARE of the rows each, so those few go by broadcast and the
+    others by a shuffled join."""
     hot = F.col(size_col) >= F.lit(max(2, int(total * HOT_SHARE)))
+    if groups.where(hot).isEmpty():
+        return df.join(groups, key)
     few = F.broadcast(groups.where(hot))
     many = df.join(F.broadcast(groups.where(hot).select(key)), key, "left_anti").join(groups.where(~hot), key)
     return many.unionByName(df.join(few, key))

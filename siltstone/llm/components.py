@@ -11,7 +11,7 @@ from .common import attach, materialize
 def _star(edges: DataFrame, total: int, large: bool) -> DataFrame:
     """edges(u, v). Large star: neighbours above u go to the smallest of u and its neighbours; small star: those below."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+    least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n")), "stars")
     joined = attach(both, "u", least, "n", 2 * total)
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -1,10 +1,18 @@
 """Similarity join on word n-grams: documents whose shingle sets have a Jaccard similarity of 0.8 or more.
 
 Equal sets are one class from the start. Classes that can have a partner are found by two exact filters, each one
-shuffle of shingles; the last one gives document frequencies. Under the rare-first order of shingles two similar sets
-must share a shingle of their prefixes, so classes fall into groups that no link leaves. In each group the sets are
-stored in a prefix tree in one global order; each set walks the tree, sharing the overlap of common prefixes, and
-leaves subtrees that their remaining lengths keep below the threshold. Links are exact; their components are classes.
+shuffle of shingles; the last one gives document frequencies, and with them one global order, rare first. Two similar
+sets share a shingle of their prefixes in that order. The sets that have a prefix shingle are stored in a prefix tree;
+each set walks the tree, sharing the overlap of common prefixes, and leaves subtrees that their remaining lengths keep
+below the threshold. All links that a tree finds are exact, and components of links are what counts, so trees come in
+two passes:
+
+1. Each set goes to the trees of SEEDS of its prefix shingles, those with the lowest hashes. Copies and near copies meet
+   here, and their components are formed.
+2. A prefix shingle whose sets are all in one component has nothing more to tell. For the others, each list of sets once,
+   however many shingles have that list, trees look for links between different components.
+
+Long lists are dealt in blocks: the sets of the commonest component go to one block each, the others to all of them.
 """
 
 from __future__ import annotations
@@ -20,13 +28,17 @@ from pyspark.sql import functions as F
 from .common import attach, materialize
 from .components import connected_components
 from .hashing import groups, mix, text_words, window_hashes
-from .repeats import PART_BITS, KeyFilter, part_of, repeated_items
+from .repeats import KeyFilter, repeated_items
 
 GRAM = 5
 #: Similarity as a fraction: links have 100 * |intersection| >= 80 * |union|.
 PART, WHOLE = 80, 100
-#: Sets and shingles of a block of a group that is too large for one task.
-BLOCK_SETS, BLOCK_SHINGLES = 8192, 2_000_000
+#: Sets and shingles that one tree takes; longer lists are dealt in blocks.
+BLOCK_SETS, BLOCK_SHINGLES = 4096, 1_000_000
+#: Trees that each set goes to in the first pass.
+SEEDS = 2
+#: Document frequencies count to this; commoner shingles are ordered by their hash alone.
+MOST_DOCS = 10_000
 HOT_DOCS = 1 / 200
 #: Shingles of a row at most, so that the rows follow the shingles and not the number of partitions.
 PACKED = 8
@@ -110,11 +122,38 @@ def frequent_sets(docs: DataFrame, survivors: KeyFilter, hot: np.ndarray) -> Dat
                 yield pa.RecordBatch.from_arrays([pa.array(token, pa.int64()), pa.array(np.full(n + 1, key), pa.int64()), pa.array(np.full(n + 1, len(s)), pa.int64()), blob], names=["token", "key", "n", "hot"])
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        """Rows in the order of shingles. The sets of the shingle that a batch ends with are carried into the next until
+        there are MOST_DOCS of them."""
 
         def out(key: np.ndarray, n: np.ndarray, blobs: list[bytes]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(blobs, pa.binary())], names=["key", "n", "packed"])
 
+        def counted(token: np.ndarray, key: np.ndarray, n: np.ndarray, many: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """Sets of whole shingles, those in ``many`` with MOST_DOCS sets or more."""
+            order = np.lexsort((key, token))
+            token, key, n = token[order], key[order], n[order]
+            new = np.ones(len(token), bool)
+            new[1:] = token[1:] != token[:-1]
+            keep = new.copy()
+            keep[1:] |= key[1:] != key[:-1]
+            token, key, n, new = token[keep], key[keep], n[keep], new[keep]
+            if not len(token):
+                return
+            group = np.cumsum(new) - 1
+            df = np.minimum(np.bincount(group)[group], MOST_DOCS)
+            df[np.isin(token, many)] = MOST_DOCS
+            token, key, n, df = (x[df > 1] for x in (token, key, n, df))
+            order = np.argsort(key, kind="stable")
+            token, key, n, df = token[order], key[order], n[order], df[order]
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            nth = np.arange(len(key)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+            first = np.flatnonzero(nth % PACKED == 0)
+            raw, cut = np.stack([df, token], axis=1).astype("<i8").tobytes(), [*(first * 16).tolist(), len(key) * 16]
+            yield out(key[first], n[first], [raw[x:y] for x, y in zip(cut, cut[1:], strict=False)])
+
+        held = tuple(np.empty(0, np.int64) for _ in range(3))
+        many = np.empty(0, np.int64)  # the held shingle, once it has many sets
         for batch in batches:
             whole = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
             if whole.any():
@@ -124,35 +163,17 @@ def frequent_sets(docs: DataFrame, survivors: KeyFilter, hot: np.ndarray) -> Dat
                     t = np.frombuffer(x, "<i8")
                     blobs.append(np.stack([np.full(len(t), COMMON), t], axis=1).astype("<i8").tobytes())
                 yield out(some.column(1), some.column(2), blobs)
-            held.append(tuple(batch.column(k).to_numpy()[~whole] for k in (0, 1, 2)))
-        if not held:
-            return
-        for part in range(1 << PART_BITS):
-            rows_of = [part_of(h[0]) == part for h in held]
-            token, key, n = (np.concatenate([h[k][r] for h, r in zip(held, rows_of, strict=True)]) for k in (0, 1, 2))
-            yield from counted(token, key, n, out)
-
-    def counted(token: np.ndarray, key: np.ndarray, n: np.ndarray, out) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((key, token))
-        token, key, n = token[order], key[order], n[order]
-        new = np.ones(len(token), bool)
-        new[1:] = token[1:] != token[:-1]
-        keep = new.copy()
-        keep[1:] |= key[1:] != key[:-1]
-        token, key, n, new = token[keep], key[keep], n[keep], new[keep]
-        if not len(token):
-            return
-        group = np.cumsum(new) - 1
-        df = np.bincount(group)[group]
-        token, key, n, df = (x[df > 1] for x in (token, key, n, df))
-        order = np.argsort(key, kind="stable")
-        token, key, n, df = token[order], key[order], n[order], df[order]
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        nth = np.arange(len(key)) - np.flatnonzero(new)[np.cumsum(new) - 1]
-        first = np.flatnonzero(nth % PACKED == 0)
-        raw, cut = np.stack([df, token], axis=1).astype("<i8").tobytes(), [*(first * 16).tolist(), len(key) * 16]
-        yield out(key[first], n[first], [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)])
+            token, key, n = (np.concatenate([h, batch.column(k).to_numpy()[~whole]]) for k, h in enumerate(held))
+            if not len(token):
+                continue
+            last = int(np.searchsorted(token, token[-1]))
+            if len(token) - last >= MOST_DOCS or token[-1] in many:
+                many = np.union1d(many, token[-1:])
+                last = len(token)
+            yield from counted(token[:last], key[:last], n[:last], many)
+            many = many[many == token[-1]]
+            held = token[last:], key[last:], n[last:]
+        yield from counted(*held, many)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,7 +193,7 @@ def frequent_sets(docs: DataFrame, survivors: KeyFilter, hot: np.ndarray) -> Dat
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)], names=["key", "n", "tokens", "prefix"])
 
     spread_rows = docs.mapInArrow(spread, "token long, key long, n long, hot binary")
-    settled = spread_rows.repartition(F.col("token")).mapInArrow(settle, "key long, n long, packed binary")
+    settled = spread_rows.repartition(F.col("token")).sortWithinPartitions("token").mapInArrow(settle, "key long, n long, packed binary")
     by_key = settled.groupBy("key").agg(F.max("n").alias("n"), F.collect_list("packed").alias("packed"))  # a set's own shingles
     return by_key.mapInArrow(choose, "key long, n long, tokens binary, prefix long")
 
@@ -217,11 +238,11 @@ class PrefixTree:
                 at = stop
         return root[0]
 
-    def links(self, group: np.ndarray | None = None) -> list[tuple[int, int]]:
+    def links(self, label: np.ndarray | None = None) -> list[tuple[int, int]]:
         """Links that join all linked sets (not those whose ends other links join already).
 
-        With ``group``, only links between different groups are looked for."""
-        label = np.arange(len(self.sets))
+        Sets of one ``label`` count as joined."""
+        label = np.arange(len(self.sets)) if label is None else np.unique(label[self.order], return_inverse=True)[1]
         found = []
         own = np.zeros(self.alphabet, bool)
         for x in range(1, len(self.sets)):
@@ -240,7 +261,7 @@ class PrefixTree:
                     continue
                 first_child = min((c[1] for c in children), default=hi)
                 for y in range(lo, min(first_child, x)):
-                    if label[y] != label[x] and (group is None or group[y] != group[x]) and (PART + WHOLE) * overlap >= PART * (n + int(self.sizes[y])):
+                    if label[y] != label[x] and (PART + WHOLE) * overlap >= PART * (n + int(self.sizes[y])):
                         found.append((y, x))
                         label[label == label[x]] = label[y]
                 stack += [(c, overlap) for c in children]
@@ -248,12 +269,43 @@ class PrefixTree:
         return [(self.order[a], self.order[b]) for a, b in found]
 
 
-def join_group(rows: pa.Table) -> pa.Table:
-    """One group or pair of blocks: rows (key, n, tokens, block). Returns links (u, v) between keys."""
-    keys, n, block = (rows[c].to_numpy() for c in ("key", "n", "block"))
-    tree = PrefixTree([np.frombuffer(t, "<i8") for t in rows["tokens"].to_pylist()], n)
-    found = tree.links(block[tree.order] if block.min() != block.max() else None)
-    return pa.table({"u": pa.array([int(keys[a]) for a, _ in found], pa.int64()), "v": pa.array([int(keys[b]) for _, b in found], pa.int64())})
+def tree_links(rows: DataFrame) -> DataFrame:
+    """rows(token, i, j, key, n, tokens, root): one tree for each (token, i, j). Returns links (u, v) between roots.
+
+    Trees of a task follow each other; only one is in memory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+
+        def grown() -> Iterator[pa.RecordBatch]:
+            n, root = (np.concatenate([x[k] for x in held]) for k in (0, 2))
+            if len(n) > 1 and (root != root[0]).any():
+                tree = PrefixTree([np.frombuffer(t, "<i8") for x in held for t in x[1]], n)
+                found = tree.links(root)
+                if found:
+                    a, b = np.array(found).T
+                    yield pa.RecordBatch.from_arrays([pa.array(root[a], pa.int64()), pa.array(root[b], pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            token, i, j, n, root = (batch.column(k).to_numpy() for k in (0, 1, 2, 4, 6))
+            tokens = batch.column(5).to_pylist()
+            cut = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(token)], strict=True):
+                if current != (token[a], i[a], j[a]):
+                    if held:
+                        yield from grown()
+                    current, held = (token[a], i[a], j[a]), []
+                held.append((n[a:b], tokens[a:b], root[a:b]))
+        if held:
+            yield from grown()
+
+    dealt = rows.select("token", "i", "j", "key", "n", "tokens", "root").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return dealt.mapInArrow(run, "u long, v long")
+
+
+def blocks_of(sets, shingles):
+    """How many blocks a list of so many sets and shingles has."""
+    return F.greatest(F.ceil(sets / F.lit(BLOCK_SETS)), F.ceil(shingles / F.lit(BLOCK_SHINGLES)), F.lit(1)).cast("int")
 
 
 def similar_sets(docs: DataFrame, profiled: DataFrame) -> DataFrame:
@@ -283,27 +335,58 @@ def similar_sets(docs: DataFrame, profiled: DataFrame) -> DataFrame:
     survivors = materialize(classes.join(shared, "key").where(F.col("shared") >= need).select("key"), "jaccard-survivors")
     frequent = materialize(frequent_sets(docs, KeyFilter.build(survivors), hot), "jaccard-sets")
 
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The prefix shingles with the lowest hashes, for as many hashes as there are SEEDS."""
+        for batch in batches:
+            prefix = np.minimum(batch.column(3).to_numpy(), [len(t) // 8 for t in batch.column(2).to_pylist()])
+            token, row = [], []
+            for k, (t, p) in enumerate(zip(batch.column(2).to_pylist(), prefix.tolist(), strict=True)):
+                own = np.frombuffer(t, "<i8", p).view(np.uint64)
+                for x in {int(own[mix(own + np.uint64(seed)).argmin()].view(np.int64)) for seed in range(SEEDS)} if p else ():
+                    token.append(x)
+                    row.append(k)
+            at = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(token, pa.int64()), *(batch.column(k).take(at) for k in (0, 1, 2))], names=["token", "key", "n", "tokens"])
+
+    # first pass: near copies meet
+    picks = materialize(frequent.mapInArrow(chosen, "token long, key long, n long, tokens binary"), "jaccard-picks")
+    lists = picks.groupBy("token").agg(F.count("*").alias("sets"), F.sum(F.octet_length("tokens") / 8).alias("shingles")).where("sets > 1")
+    lists = materialize(lists.select("token", "sets", blocks_of(F.col("sets"), F.col("shingles")).alias("blocks")), "jaccard-lists")
+    placed = attach(picks, "token", lists, "sets", picks.count())
+    first = tree_links(placed.select("token", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("i"), F.lit(0).alias("j"), "key", "n", "tokens", F.col("key").alias("root")))
+    known_roots = materialize(connected_components(first), "jaccard-first")
+
+    # second pass: prefix shingles that sets of different components have
+    rooted = frequent.join(known_roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    rooted = materialize(rooted, "jaccard-rooted")
+
     def prefix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prefix = np.minimum(batch.column(2).to_numpy(), [len(t) // 8 for t in batch.column(1).to_pylist()])
             token = np.frombuffer(b"".join([t[: 8 * p] for t, p in zip(batch.column(1).to_pylist(), prefix.tolist(), strict=True)]), "<i8")
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), prefix), pa.int64()), pa.array(token, pa.int64())], names=["u", "token"])
-
-    entries = materialize(frequent.select("key", "tokens", "prefix").mapInArrow(prefix_rows, "u long, token long"), "jaccard-prefixes")
-    hubs = entries.groupBy("token").agg(F.min("u").alias("v"), F.count("*").alias("n")).where("n > 1")
-    grouped = connected_components(attach(entries, "token", hubs, "n", entries.count()).select("u", "v"))
-
-    members = frequent.join(grouped.withColumnRenamed("node", "key"), "key").select("key", "n", "tokens", F.col("root").alias("cluster"))
-    members = materialize(members, "jaccard-members")
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum(F.octet_length("tokens") / 8).alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    sizes = sizes.where("sets > 1").withColumn("blocks", blocks)
-    placed = attach(members, "cluster", sizes, "sets", members.count()).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    # a group of several blocks meets block by block: each set goes once to each block
-    dealt = placed.select("key", "n", "tokens", "cluster", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("key", "n", "tokens", "cluster", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    links = dealt.groupBy("cluster", "i", "j").applyInArrow(join_group, "u long, v long")
-    return connected_components(links)
+            cols = [pa.array(token, pa.int64()), *(pa.array(np.repeat(batch.column(k).to_numpy(), prefix), pa.int64()) for k in (0, 3)), pa.array(np.repeat([len(t) // 8 for t in batch.column(1).to_pylist()], prefix), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["token", "key", "root", "shingles"])
+
+    entries = materialize(rooted.select("key", "tokens", "prefix", "root").mapInArrow(prefix_rows, "token long, key long, root long, shingles long"), "jaccard-prefixes")
+    by_root = entries.groupBy("token", "root").agg(F.count("*").alias("sets"), F.sum("shingles").alias("shingles"), F.bit_xor(F.xxhash64("key")).alias("one"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("other"))
+    open_lists = by_root.groupBy("token").agg(F.sum("sets").alias("sets"), F.sum("shingles").alias("shingles"), F.max_by("root", "sets").alias("commonest"), F.max("sets").alias("most"), F.bit_xor("one").alias("one"), F.bit_xor("other").alias("other"), F.count("*").alias("roots")).where("roots > 1")
+    # one shingle for each list of sets
+    once = open_lists.groupBy("one", "other", "sets").agg(F.min_by(F.struct("token", "shingles", "commonest", "most"), "token").alias("l"))
+    once = once.select("l.token", "sets", "l.commonest", (F.col("sets") - F.col("l.most")).alias("others"), blocks_of(F.col("sets"), F.col("l.shingles")).alias("blocks"))
+    once = materialize(once, "jaccard-open")
+    members = materialize(attach(entries.select("token", "key", "root"), "token", once, "sets", entries.count()), "jaccard-open-sets")
+    block, all_blocks = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
+    # few outside the commonest component: they go to all its blocks; else blocks meet by pairs
+    spread = F.when((F.col("others") <= BLOCK_SETS) & (F.col("root") == F.col("commonest")), F.array(F.struct(block.alias("i"), F.lit(-1).alias("j"))))
+    spread = spread.when(F.col("others") <= BLOCK_SETS, F.transform(all_blocks, lambda k: F.struct(k.alias("i"), F.lit(-1).alias("j"))))
+    spread = spread.otherwise(F.transform(all_blocks, lambda k: F.struct(F.least(k, block).alias("i"), F.greatest(k, block).alias("j"))))
+    wide = members.select("token", "key", F.explode(spread).alias("at")).join(rooted.select("key", "n", "tokens", "root"), "key")
+    second = tree_links(wide.select("token", "at.i", "at.j", "key", "n", "tokens", "root"))
+    merged = materialize(connected_components(second), "jaccard-second").select(F.col("node").alias("root"), F.col("root").alias("top"))
+    grouped = known_roots.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    # components of one set that the second pass joined
+    alone = merged.join(known_roots.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
+    return grouped.unionByName(alone)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -319,8 +402,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc").alias("first"), F.count("*").alias("copies"))
     rooted = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     rooted = materialize(rooted, "jaccard-roots")
-    names = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("classes"))
-    named = attach(rooted, "root", names, "classes", rooted.count()).select("key", "copies", "component_id")
+    names = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("classes")), "jaccard-names")
+    named = materialize(attach(rooted, "root", names, "classes", rooted.count()).select("key", "copies", "component_id"), "jaccard-named")
     placed = attach(rows.where(F.col("key").isNotNull()), "key", named, "copies", rows.count())
     alone = rows.where(F.col("key").isNull()).select("doc", "n", F.col("doc").alias("component_id"))
     both = placed.select("doc", "n", "component_id").unionByName(alone)

@@ -16,14 +16,6 @@ PACKED = 4
 SCHEMA = "item long, owner long, known boolean, packed binary"
 
 
-#: A task sorts its items in so many parts (a power of two), so that what sorting needs stays small.
-PART_BITS = 3
-
-
-def part_of(items: np.ndarray) -> np.ndarray:
-    return (items >> np.int64(20)) & ((1 << PART_BITS) - 1)
-
-
 def pack(owners: np.ndarray, items: np.ndarray, most: int = PACKED) -> tuple[np.ndarray, list[bytes]]:
     """Each owner with its items as little-endian 64-bit integers; an owner of more than ``most`` items comes again."""
     order = np.argsort(owners, kind="stable")
@@ -83,64 +75,69 @@ def repeated_items(df: DataFrame, extract: Callable[[pa.RecordBatch], Iterator[t
                 yield rows(mix(who.view(np.uint64)).view(np.int64), who, True, packed)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        """Rows in the order of items. Of the item that a batch ends with one row is carried into the next: its owner
+        while there is only one, and then that it has several, so that a common item is never held."""
+        carry = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))
         for batch in batches:
             direct = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
             if direct.any():
                 mask = pa.array(direct)
                 yield pa.RecordBatch.from_arrays([batch.column(1).filter(mask), batch.column(3).filter(mask)], names=["owner", "packed"])
-            held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False)[~direct] for k in (0, 1, 2)))
-        if not held:
-            return
-        for part in range(1 << PART_BITS):
-            rows_of = [part_of(h[0]) == part for h in held]
-            yield from told(*(np.concatenate([h[k][r] for h, r in zip(held, rows_of, strict=True)]) for k in (0, 1, 2)))
-
-    def told(items: np.ndarray, owners: np.ndarray, known: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((owners, items))
-        items, owners, known = items[order], owners[order], known[order].astype(bool)
-        if not len(items):
-            return
-        new = np.ones(len(items), bool)
-        new[1:] = items[1:] != items[:-1]
-        start = np.flatnonzero(new)
-        several = (np.minimum.reduceat(owners, start) != np.maximum.reduceat(owners, start)) | np.logical_or.reduceat(known, start)
-        tell = several[np.cumsum(new) - 1] & ~known
-        if tell.any():
-            who, packed = pack(owners[tell], items[tell])
-            for a in range(0, len(who), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(who[a : a + 100_000], pa.int64()), pa.array(packed[a : a + 100_000], pa.binary())], names=["owner", "packed"])
-
-    return df.mapInArrow(spread, SCHEMA).repartition(F.col("item")).mapInArrow(settle, "owner long, packed binary")
+            own = tuple(batch.column(k).to_numpy(zero_copy_only=False)[~direct] for k in (0, 1, 2))
+            items, owners, known = (np.concatenate([c, o]) for c, o in zip(carry, own, strict=True))
+            known = known.astype(bool)
+            if not len(items):
+                continue
+            new = np.ones(len(items), bool)
+            new[1:] = items[1:] != items[:-1]
+            start = np.flatnonzero(new)
+            several = (np.minimum.reduceat(owners, start) != np.maximum.reduceat(owners, start)) | np.logical_or.reduceat(known, start)
+            tell = several[np.cumsum(new) - 1] & ~known
+            if tell.any():
+                who, packed = pack(owners[tell], items[tell])
+                for a in range(0, len(who), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(who[a : a + 100_000], pa.int64()), pa.array(packed[a : a + 100_000], pa.binary())], names=["owner", "packed"])
+            carry = (items[-1:], owners[-1:], several[-1:])
+
+    return df.mapInArrow(spread, SCHEMA).repartition(F.col("item")).sortWithinPartitions("item").mapInArrow(settle, "owner long, packed binary")
 
 
 class KeyFilter:
-    """A Bloom filter with one hash of a fixed 4 MB: passes all keys it was built from, and few others.
+    """A Bloom filter: passes all keys it was built from, and few others.
 
-    Its size does not grow with the data. On very large inputs more foreign keys pass; whoever uses it must treat
-    those rightly, so only speed depends on it."""
+    Its size follows the number of keys, BITS_PER_KEY for each, up to MOST_BITS (16 MB). Beyond what fits it is no filter
+    any more: ``bitmap`` is None and all keys pass, so that whoever uses it joins all rows. Results never depend on it."""
 
-    BITS = 25
-    BLOCK = 19
+    LEAST_BITS, MOST_BITS, BITS_PER_KEY, HASHES = 20, 27, 8, 3
+    BLOCK = 17
 
-    def __init__(self, bitmap: np.ndarray):
-        self.bitmap = bitmap
+    def __init__(self, bitmap: np.ndarray | None, bits: int = LEAST_BITS):
+        self.bitmap, self.bits = bitmap, bits
 
-    @staticmethod
-    def places(keys: np.ndarray) -> np.ndarray:
-        return (mix(np.ascontiguousarray(keys).view(np.uint64)) >> np.uint64(64 - KeyFilter.BITS)).astype(np.int64)
+    @classmethod
+    def places(cls, keys: np.ndarray, bits: int) -> np.ndarray:
+        """(hash, key): where the bits of each key are."""
+        h = mix(np.ascontiguousarray(keys).view(np.uint64))
+        step = mix(h ^ np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+        return np.stack([((h + np.uint64(k) * step) >> np.uint64(64 - bits)).astype(np.int64) for k in range(cls.HASHES)])
 
     def passes(self, keys: np.ndarray) -> np.ndarray:
-        at = self.places(keys)
-        return (self.bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        if self.bitmap is None:
+            return np.ones(len(keys), bool)
+        at = self.places(keys, self.bits)
+        return ((self.bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1).all(axis=0)
 
     @classmethod
     def build(cls, keys: DataFrame) -> KeyFilter:
-        """From a DataFrame with one long column. Keys and then places are deduplicated before they meet by block of bits."""
+        """From a DataFrame with one long column, which is read twice. Places are deduplicated before they meet by block of bits."""
+        n = keys.agg(F.approx_count_distinct(keys.columns[0], 0.05)).first()[0]
+        bits = max(cls.LEAST_BITS, int(1.2 * n * cls.BITS_PER_KEY).bit_length())
+        if bits > cls.MOST_BITS:
+            return cls(None)
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                at = np.unique(cls.places(batch.column(0).drop_null().to_numpy()))
+                at = np.unique(cls.places(np.unique(batch.column(0).drop_null().to_numpy()), bits))
                 yield pa.RecordBatch.from_arrays([pa.array(at >> cls.BLOCK, pa.int64()), pa.array(at, pa.int64())], names=["block", "at"])
 
         def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,21 +146,25 @@ class KeyFilter:
                 block, at = batch.column(0).to_numpy(), batch.column(1).to_numpy()
                 for b in np.unique(block).tolist():
                     inside = at[block == b] & ((1 << cls.BLOCK) - 1)
-                    bits = blocks.setdefault(b, np.zeros(1 << (cls.BLOCK - 3), np.uint8))
-                    np.bitwise_or.at(bits, inside >> 3, np.left_shift(1, inside & 7).astype(np.uint8))
+                    own = blocks.setdefault(b, np.zeros(1 << (cls.BLOCK - 3), np.uint8))
+                    np.bitwise_or.at(own, inside >> 3, np.left_shift(1, inside & 7).astype(np.uint8))
             if blocks:
                 yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int64()), pa.array([x.tobytes() for x in blocks.values()], pa.binary())], names=["block", "bits"])
 
-        found = keys.distinct().mapInArrow(spread, "block long, at long").distinct().repartition(F.col("block")).mapInArrow(collect, "block long, bits binary").collect()
-        bitmap = np.zeros(1 << (cls.BITS - 3), np.uint8)
-        for r in found:  # 64 blocks at most
+        found = keys.mapInArrow(spread, "block long, at long").distinct().repartition(F.col("block")).mapInArrow(collect, "block long, bits binary").collect()
+        bitmap = np.zeros(1 << (bits - 3), np.uint8)
+        for r in found:  # 2 ** (MOST_BITS - BLOCK) blocks at most
             a = r["block"] << (cls.BLOCK - 3)
             bitmap[a : a + (1 << (cls.BLOCK - 3))] |= np.frombuffer(r["bits"], np.uint8)
-        return cls(bitmap)
+        return cls(bitmap, bits)
 
 
 def split_by_filter(df: DataFrame, id_col: str, keys: KeyFilter) -> tuple[DataFrame, DataFrame]:
-    """(rows whose id may be among the keys, rows whose id is not); a null id is not. All columns pass through."""
+    """(rows whose id may be among the keys, rows whose id is not); a null id is not. All columns pass through.
+
+    Without a filter (there were too many keys for one) the first half is all rows with an id, and no Python is run."""
+    if keys.bitmap is None:
+        return df.where(F.col(id_col).isNotNull()), df.where(F.col(id_col).isNull())
     shared = df.sparkSession.sparkContext.broadcast(keys)
     at = df.columns.index(id_col)
 
@@ -182,7 +183,7 @@ def split_by_filter(df: DataFrame, id_col: str, keys: KeyFilter) -> tuple[DataFr
 def without(df: DataFrame, id_col: str, dropped: DataFrame) -> DataFrame:
     """Rows of ``df`` whose id is not in the one long column of ``dropped``. Rows with a null id stay.
 
-    Only rows that a filter of fixed size cannot clear are shuffled for the exact anti-join."""
+    Only rows that a filter cannot clear are shuffled for the exact anti-join."""
     ids = dropped.toDF(id_col).distinct()
     doubtful, clear = split_by_filter(df, id_col, KeyFilter.build(ids))
     return clear.unionByName(doubtful.join(ids, id_col, "left_anti").select(*df.columns))

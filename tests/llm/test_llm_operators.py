@@ -428,7 +428,36 @@ def similar_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize("blocks", [8192, 5])
+def chained_rows(seed):
+    """Documents that share stretches with their neighbours, so that prefix shingles join all of them; few are similar."""
+    rng = random.Random(seed)
+    stretch = [" ".join(f"s{k}w{j}" for j in range(10)) for k in range(60)]
+    rows = [(k, " ".join(stretch[k : k + 6])) for k in range(54)] + [(100 + k, " ".join(stretch[k : k + 12])) for k in range(0, 48, 5)]
+    for k in range(200, 240):
+        w = rng.choice(rows[:54])[1].split()
+        w[rng.randrange(len(w))] = f"edit{k % 7}"
+        rows.append((k, " ".join(w)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("blocks", [4096, 3])
+def test_one_group_of_prefixes(spark, monkeypatch, blocks):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", blocks)
+    monkeypatch.setattr(jaccard, "MOST_DOCS", 6)
+    rows = chained_rows(blocks)
+    got = jaccard.near_duplicates(docs(spark, rows).repartition(4))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows)
+
+
+def test_words_that_hashes_confuse_are_not_similar(spark):
+    one, other = thue_morse(2048)
+    rows = [(1, one), (2, other), (3, f"a b c {one} d e"), (4, f"a b c {other} d e"), (5, f"a b c {other} d e")]
+    got = jaccard.near_duplicates(docs(spark, rows))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows)
+
+
+@pytest.mark.parametrize("blocks", [4096, 5])
 def test_components_equal_brute_force(spark, monkeypatch, blocks):
     monkeypatch.setattr(jaccard, "BLOCK_SETS", blocks)
     rows = similar_rows(blocks) + [(None, "a b c d e f"), (None, "a b c d e f"), (900, None), (901, ""), (902, "a b"), (903, "A B"), (904, "a")]
@@ -457,6 +486,10 @@ def test_prefix_tree_joins_what_is_linked(sets):
     linked = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     assert all((max(p), min(p)) in linked for p in found)
     assert classes(found) == classes(linked)
+    label = np.array([k % 3 for k in range(len(sets))])
+    across = jaccard.PrefixTree(arrays, np.array([len(s) for s in sets])).links(label)
+    same = [(a, b) for a in range(len(sets)) for b in range(a) if label[a] == label[b]]
+    assert all(label[a] != label[b] for a, b in across) and classes(across + same) == classes(linked + same)
 
 
 # 5: benchmark items --------------------------------------------------------------------------------------------------
