@@ -1,6 +1,6 @@
 """The canonical address as Python's urllib would write it: repeated parameters stand together, escapes are rewritten.
 
-Slower than ``urls.normalize_url``; for stores whose keys were written that way."""
+An address that urllib cannot read stays as it is. Slower than ``urls.normalize_url``; for stores whose keys were written that way."""
 
 from __future__ import annotations
 
@@ -16,13 +16,17 @@ def rewrite(url: str | None) -> str | None:
 
     if url is None:
         return None
-    parts = urlsplit(url)
+    try:
+        parts = urlsplit(url)
+        name = parts.hostname
+    except ValueError:  # brackets that hold no address, for one: no rows to lose over it
+        return url
     values: dict[str, list[str]] = {}
-    for name, value in parse_qsl(parts.query, keep_blank_values=True):
-        if name not in TRACKING_PARAMS:
-            values.setdefault(name, []).append(value)
+    for key, value in parse_qsl(parts.query, keep_blank_values=True):
+        if key not in TRACKING_PARAMS:
+            values.setdefault(key, []).append(value)
     query = urlencode(values, doseq=True)
-    host = (parts.hostname or parts.netloc).lower()
+    host = (name or parts.netloc).lower()
     return f"{parts.scheme}://{host}{parts.path.rstrip('/') or '/'}{'?' + query if query else ''}" if parts.scheme else url
 
 

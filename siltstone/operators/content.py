@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.strings import merge_unique, some
+from ..functions.strings import merge_unique, some, strip
 from ..functions.texts import accepted_article, fallback_text, longer_text, with_references
-from .delta import cap_per_group
+from .skew import attach
 
 MOST_ARTICLES = 3
 
 
-def thread_texts(rows: DataFrame, key: str, handle: str | None = None, most: int = 10) -> DataFrame:
+def thread_texts(rows: DataFrame, key: str, handle: str | None = None, least: int = 11) -> DataFrame:
     """(key, thread_text) of rows (key, ord, author, text): posts of the thread's author in order, joined by rules.
 
-    Posts whose first 100 characters repeat count once; an unknown author passes."""
+    Texts are taken without white space around them and count from ``least`` characters on; those whose first 100
+    characters repeat count once; an unknown author passes. A thread's text is one value, as in a page."""
     if handle is not None:
         rows = rows.where(F.col("author").isNull() | (F.lower("author") == F.lower(F.lit(handle))))
-    once = rows.groupBy(key, F.substring("text", 1, 100).alias("head")).agg(F.min(F.struct("ord", "text")).alias("first"))
-    shown = cap_per_group(once, key, [F.col("first")], most)  # before anything is collected
-    return shown.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list("first")), lambda x: x["text"]), "\n\n---\n\n").alias("thread_text"))
+    shown = rows.withColumn("text", strip(F.col("text"))).where(F.length("text") >= least)
+    once = shown.groupBy(key, F.substring("text", 1, 100).alias("head")).agg(F.min(F.struct("ord", "text")).alias("first"))
+    return once.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list("first")), lambda x: x["text"]), "\n\n---\n\n").alias("thread_text"))
 
 
 def article(url: Column, primary: Column, fallback: Column, images: Column) -> Column:
@@ -42,18 +43,20 @@ def articles_of(bookmarks: DataFrame, pages: DataFrame) -> DataFrame:
     missing there has failed."""
     none = F.array().cast("array<string>")
     kinds = F.concat(
-        F.transform(F.slice(F.coalesce("referenced_urls", none), 1, MOST_ARTICLES), lambda u: F.struct(F.lit(True).alias("post"), u.alias("page_url"))),
+        F.transform(F.slice(F.coalesce("referenced_tweet_urls", none), 1, MOST_ARTICLES), lambda u: F.struct(F.lit(True).alias("post"), u.alias("page_url"))),
         F.transform(F.slice(F.coalesce("external_urls", none), 1, MOST_ARTICLES), lambda u: F.struct(F.lit(False).alias("post"), u.alias("page_url"))),
     )
     wanted = bookmarks.select("url", F.posexplode(kinds).alias("place", "want")).select("url", "place", "want.post", "want.page_url")
-    found = wanted.join(pages, "page_url", "left")
+    # a page that many bookmarks link to is not one task's group
+    sizes = wanted.groupBy("page_url").agg(F.count("*").alias("rows_of_key"))
+    found = attach(wanted, "page_url", sizes.join(pages, "page_url", "left"))
     built = F.when(F.col("post"), referenced_article(F.col("page_url"), F.col("thread_text"), F.col("image_urls"))).otherwise(article(F.col("page_url"), F.col("full_text"), F.col("fallback_text"), F.col("image_urls")))
     lists = found.groupBy("url").agg(F.array_sort(F.collect_list(F.struct("place", built.alias("article")))).alias("articles"))
     return lists.select("url", F.transform("articles", lambda x: x["article"]).alias("external_articles"))
 
 
-def with_content(bookmarks: DataFrame, pages: DataFrame) -> DataFrame:
-    """(bookmark, content): the struct of each bookmark beside what was extracted for it.
+def with_content(bookmarks: DataFrame, pages: DataFrame, now: Column | None = None) -> DataFrame:
+    """(bookmark, content): the struct of each bookmark beside what was extracted for it at ``now``.
 
     A post of the first feed takes the thread's text if it is longer and lists what it links to. A post of the second
     takes its page's text, or the other extractor's if that is better; without any it keeps its own text alone."""
@@ -61,7 +64,7 @@ def with_content(bookmarks: DataFrame, pages: DataFrame) -> DataFrame:
     rows = bookmarks.join(own, "url", "left").join(articles_of(bookmarks, pages), "url", "left")
     post = F.coalesce("post_text", "title", F.lit(""))
     thread = longer_text(post, F.col("thread_text"))
-    feed_text = with_references(thread, F.col("external_urls"), F.col("referenced_urls"))
+    feed_text = with_references(thread, F.col("external_urls"), F.col("referenced_tweet_urls"))
     page_text = fallback_text(F.col("full_text"), F.col("fallback_text"))
     is_feed = F.col("source") == "x"
     method = (
@@ -72,6 +75,6 @@ def with_content(bookmarks: DataFrame, pages: DataFrame) -> DataFrame:
         .otherwise("trafilatura")
     )
     images = some(merge_unique(F.col("image_urls"), F.col("page_images")))
-    content = F.struct("url", F.when(is_feed, feed_text).otherwise(page_text).alias("full_text"), "post_text", method.alias("extraction_method"), "external_articles", images.alias("image_urls"))
+    content = F.struct("url", F.when(is_feed, feed_text).otherwise(page_text).alias("full_text"), "post_text", method.alias("extraction_method"), "external_urls", "referenced_tweet_urls", "external_articles", images.alias("image_urls"), (F.lit(None).cast("timestamp") if now is None else now).alias("extracted_at"))
     fields = [images.alias(c) if c == "image_urls" else F.col(c) for c in bookmarks.columns]
     return rows.select(F.struct(*fields).alias("bookmark"), content.alias("content"))

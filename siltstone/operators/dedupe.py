@@ -40,12 +40,18 @@ def keep_richest_notes(notes: DataFrame) -> DataFrame:
     return keep_richest(notes, "norm_url", scores, path_order(F.col("path")))
 
 
+def note_score() -> Column:
+    """What ranks a note, as one value: enrichment, sidecar, richness, bytes, whole seconds since 1970."""
+    return F.struct(*[(F.unix_seconds(c) if c == "modified" else F.col(c).cast("long")).alias(c) for c in NOTE_SCORES])
+
+
 def dedupe_report(notes: DataFrame) -> DataFrame:
-    """(norm_url, kept, moved): a row for each note that has to give way to the richest of its address."""
-    kept = keep_richest_notes(notes).select("norm_url", F.col("path").alias("kept"))
+    """(norm_url, kept, kept_score, moved, moved_score), ordered by address and path: a row for each note that has to
+    give way to the richest of its address."""
+    kept = keep_richest_notes(notes).select("norm_url", F.col("path").alias("kept"), note_score().alias("kept_score"))
     sizes = notes.groupBy("norm_url").agg(F.count("*").alias("rows_of_key")).where("rows_of_key > 1")
-    several = attach(notes.select("norm_url", "path"), "norm_url", sizes.join(kept, "norm_url"))
-    return several.where(F.col("path") != F.col("kept")).select("norm_url", "kept", F.col("path").alias("moved"))
+    several = attach(notes.select("norm_url", "path", note_score().alias("moved_score")), "norm_url", sizes.join(kept, "norm_url"))
+    return several.where(F.col("path") != F.col("kept")).select("norm_url", "kept", "kept_score", F.col("path").alias("moved"), "moved_score").orderBy("norm_url", path_order(F.col("moved")))
 
 
 def dedupe_summary(notes: DataFrame) -> DataFrame:

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Largest limit that Spark pushes below a window's shuffle, and parts of a group beyond it.
+SPARK_CUTS, PARTS = 1000, 64
+
+
 def known_set(*frames: DataFrame) -> DataFrame:
     """The union of one-column frames, each key once."""
     out = frames[0]
@@ -36,10 +40,17 @@ def upsert(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def cap_per_group(df: DataFrame, group: str, order: list, most: int) -> DataFrame:
-    """The first ``most`` rows of each group. Spark cuts each task's rows to ``most`` before the shuffle."""
+    """The first ``most`` rows of each group.
+
+    Up to SPARK_CUTS rows Spark cuts each task's rows before the shuffle; for larger limits rows are cut in PARTS parts
+    of each group first, so that no task gets more than that many times the limit of one group."""
     from pyspark.sql import Window
 
     w = Window.partitionBy(group).orderBy(*order)
+    if most > SPARK_CUTS:
+        parts = Window.partitionBy(group, "part").orderBy(*order)
+        df = df.withColumn("part", F.pmod(F.xxhash64(*df.columns), F.lit(PARTS)))
+        df = df.withColumn("place", F.row_number().over(parts)).where(F.col("place") <= most).drop("place", "part")
     return df.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most).drop("place")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +20,9 @@ def ask(df: DataFrame, prompt_col: str, endpoints: list[Endpoint], tries: int =
 
     Endpoints are asked in order, each up to ``tries`` times; the first answer counts. A row that none answers gets the
     last error, so one bad row does not fail its task."""
-    schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.StringType()) for n in ("answer", "model_used", "error"))])
+    names = ["answer", "model_used", "error"]
+    schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.StringType()) for n in names)])
+    at = df.columns.index(prompt_col)
 
     def one(text: str) -> tuple[str | None, str | None, str | None]:
         error = "no endpoint"
@@ -34,12 +36,14 @@ def ask(df: DataFrame, prompt_col: str, endpoints: list[Endpoint], tries: int =
                     error = str(exc)
         return None, None, f"All models exhausted. Last error: {error}"
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = [one(t) for t in frame[prompt_col]]
-            yield frame.assign(answer=[f[0] for f in found], model_used=[f[1] for f in found], error=[f[2] for f in found])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # a few rows at a time: an answer takes longer than a row
+            for i in range(0, batch.num_rows, 100):
+                part = batch.slice(i, 100)
+                found = [one(t) for t in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array([f[k] for f in found], pa.string()) for k in range(3))], names=[*part.schema.names, *names])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def enrichment_of(answer: Column, source: Column, title: Column, model: Column) -> Column:
@@ -55,13 +59,14 @@ def enrichment_of(answer: Column, source: Column, title: Column, model: Column)
 
 
 def enrich(rows: DataFrame, endpoints: list[Endpoint]) -> DataFrame:
-    """rows(bookmark, content) -> (bookmark, content, enrichment, error); a failed row stays, without enrichment."""
+    """rows(bookmark, content) -> (bookmark, content, enrichment, error); a failed row stays, without enrichment.
+
+    Each row is asked for by itself, also where addresses repeat or are null. The result is lazy: whoever computes it
+    several times asks as often, so write it once (``plans.ingest.process`` does)."""
     b, c = F.col("bookmark"), F.col("content")
     text = prompt(b["source"], b["title"], b["url"], b["post_text"], c["full_text"], c["extraction_method"], b["external_urls"])
-    keyed = rows.withColumn("prompt", text).withColumn("id", b["url"])
-    answers = ask(keyed.select("id", "prompt"), "prompt", endpoints).drop("prompt").dropDuplicates(["id"])
-    joined = keyed.join(answers, "id", "left")
-    return joined.select("bookmark", "content", enrichment_of(F.col("answer"), b["source"], b["title"], F.col("model_used")).alias("enrichment"), "error")
+    answers = ask(rows.withColumn("prompt", F.coalesce(text, F.lit(""))), "prompt", endpoints)
+    return answers.select("bookmark", "content", enrichment_of(F.col("answer"), b["source"], b["title"], F.col("model_used")).alias("enrichment"), "error")
 
 
 def split_failed(rows: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
@@ -71,7 +76,7 @@ def split_failed(rows: DataFrame, error: str = "error") -> tuple[DataFrame, Data
 
 def dead_letters(rows: DataFrame, stage: str, now: Column) -> DataFrame:
     """Failed rows of ``enrich`` in the schema of dead letters."""
-    return rows.where("error IS NOT NULL").select(F.col("bookmark.url").alias("url"), F.col("bookmark.source").alias("source"), F.lit(stage).alias("stage"), "error", now.alias("timestamp"))
+    return rows.where("error IS NOT NULL").select("bookmark", "error", F.lit(stage).alias("stage"), now.alias("timestamp"))
 
 
 def result_counts(rows: DataFrame) -> DataFrame:
@@ -79,6 +84,7 @@ def result_counts(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("processed"), F.count_if(F.col("enrichment").isNotNull()).alias("enriched"), F.count_if(F.col("error").isNotNull()).alias("dead_letter"))
 
 
-def classify_status(status: Column, timed_out: Column) -> Column:
-    """'ok', 'retry' (server errors and timeouts) or 'give up' (all else)."""
-    return F.when(timed_out | (status >= 500), "retry").when(status.between(200, 299), "ok").otherwise("give up")
+def classify_status(status: Column, timed_out: Column, redirects: Column | None = None, most_redirects: int = 20) -> Column:
+    """'ok', 'retry' (server errors and timeouts) or 'give up' (all else, and more redirects than ``most_redirects``)."""
+    loops = F.lit(False) if redirects is None else F.coalesce(redirects > most_redirects, F.lit(False))
+    return F.when(loops, "give up").when(timed_out | (status >= 500), "retry").when(status.between(200, 299), "ok").otherwise("give up")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..tables import materialize
 from .skew import attach
 
 
@@ -19,7 +20,8 @@ def before_known_sequence(df: DataFrame, group: str, order: str, known: str, sto
     spark = df.sparkSession
     n = blocks_of or int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = df.columns
-    ranges = df.repartitionByRange(n, F.col(group), F.col(order)).withColumn("block", F.spark_partition_id())
+    # written, so that all that follows sees the same ranges
+    ranges = materialize(df.repartitionByRange(n, F.col(group), F.col(order)).withColumn("block", F.spark_partition_id()), "frontier-ranges")
     here = Window.partitionBy(group, "block").orderBy(order)
     unknowns = ranges.withColumn("gaps", F.sum((~F.col(known)).cast("int")).over(here))
     runs = unknowns.withColumn("run", F.sum(F.col(known).cast("int")).over(Window.partitionBy(group, "block", "gaps").orderBy(order)))
@@ -32,7 +34,7 @@ def before_known_sequence(df: DataFrame, group: str, order: str, known: str, sto
     runs = runs.join(entering.select(group, "block", "carry"), [group, "block"])
     total = F.col("run") + F.when(F.col("gaps") == 0, F.col("carry")).otherwise(0)
     stops = runs.groupBy(group).agg(F.min(F.when(F.col(known) & (total >= stop_after), F.col(order))).alias("stop"), F.count("*").alias("rows_of_key"))
-    return attach(df.where(~F.col(known)), group, stops).where(F.col("stop").isNull() | (F.col(order) < F.col("stop"))).select(*columns)
+    return attach(ranges.drop("block").where(~F.col(known)), group, materialize(stops, "frontier-stops")).where(F.col("stop").isNull() | (F.col(order) < F.col("stop"))).select(*columns)
 
 
 def recent(df: DataFrame, group: str, order: str, most: int) -> DataFrame:

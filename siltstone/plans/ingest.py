@@ -8,22 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import normalize_url
+from ..tables import materialize
 from ..operators.content import with_content
 from ..operators.dedupe import first_seen
 from ..operators.delta import cap_per_group, new_rows, with_known_flag
 from ..operators.enrich import Endpoint, dead_letters, enrich
 from ..operators.frontier import before_known_sequence
+from ..schemas import BOOKMARK
 from ..sources.feeds import bookmarks_from_posts, bookmarks_from_statuses, post_elements, posts, statuses
 from .render import notes
 
 
 @dataclass
 class Options:
-    """What a run is told. ``sources`` not named are never read."""
+    """What a run is told. ``sources`` not named are never read; without ``most_per_source`` there is no limit."""
 
     sources: tuple[str, ...] = ("x", "linkedin")
     stop_after_known: int = 0
-    most_per_source: int = 500
+    most_per_source: int | None = 500
 
 
 def bookmarks(responses: DataFrame, options: Options, now: Column, columns: list[str] | None = None) -> DataFrame:
@@ -33,15 +35,18 @@ def bookmarks(responses: DataFrame, options: Options, now: Column, columns: list
     parts = []
     if "x" in options.sources:
         rows = bookmarks_from_statuses(statuses(responses.where(F.col("source") == "x")), now)
-        parts.append(rows.withColumn("place", F.col("position.step") * 1_000_000 + F.col("position.place")).drop("position"))
+        parts.append(rows.withColumn("place", F.struct(F.col("position.step").alias("step"), F.col("position.place").alias("place"))).drop("position"))
     if "linkedin" in options.sources:
         rows = bookmarks_from_posts(posts(post_elements(responses.where(F.col("source") == "linkedin"))), now)
-        parts.append(rows.withColumn("place", F.col("position").cast("long")).drop("position"))
+        parts.append(rows.withColumn("place", F.struct(F.lit(0).alias("step"), F.col("position").alias("place"))).drop("position"))
+    if not parts:
+        none = responses.sparkSession.createDataFrame([], BOOKMARK)
+        return none.select(F.lit("").alias("norm_url"), "*", F.struct(F.lit(0).cast("long").alias("seq"), F.lit(0).alias("step"), F.lit(0).alias("place")).alias("order"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     out = out if columns is None else out.select("seq", "place", *dict.fromkeys(["url", *columns]))
-    keyed = out.withColumn("norm_url", normalize_url(F.col("url"))).withColumn("order", F.col("seq") * 1_000_000_000 + F.col("place"))
+    keyed = out.withColumn("norm_url", normalize_url(F.col("url"))).withColumn("order", F.struct("seq", F.col("place.step").alias("step"), F.col("place.place").alias("place")))
     return first_seen(keyed, "norm_url", "order").drop("seq", "place")
 
 
@@ -49,7 +54,8 @@ def new_bookmarks(responses: DataFrame, known: DataFrame, options: Options, now:
     """Bookmarks that are not in ``known(norm_url)``, before the feed reaches what is known, capped for each source."""
     seen = with_known_flag(bookmarks(responses, options, now, columns), known, "norm_url")
     fresh = before_known_sequence(seen, "source", "order", "is_known", options.stop_after_known).drop("is_known")
-    return cap_per_group(new_rows(fresh, known, "norm_url"), "source", [F.col("order")], options.most_per_source)
+    unknown = new_rows(fresh, known, "norm_url")
+    return unknown if options.most_per_source is None else cap_per_group(unknown, "source", [F.col("order")], options.most_per_source)
 
 
 def would_process(responses: DataFrame, known: DataFrame, options: Options, now: Column) -> DataFrame:
@@ -60,8 +66,10 @@ def would_process(responses: DataFrame, known: DataFrame, options: Options, now:
 
 
 def process(fresh: DataFrame, pages: DataFrame, endpoints: list[Endpoint], now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(notes, dead letters, processed addresses) of new bookmarks. A row whose enrichment fails still gets its note."""
+    """(notes, dead letters, processed addresses) of new bookmarks. A row whose enrichment fails still gets its note.
+
+    Endpoints are asked once: their answers are written to the shared folder, and all three results read them there."""
     columns = [c for c in fresh.columns if c not in ("norm_url", "order")]
-    done = enrich(with_content(fresh.select(*columns), pages), endpoints)
+    done = materialize(enrich(with_content(fresh.select(*columns), pages, now), endpoints), "enriched")
     processed = done.select(normalize_url(F.col("bookmark.url")).alias("norm_url"), now.alias("first_seen"), F.col("bookmark.source").alias("source"))
     return notes(done), dead_letters(done, "llm", now), processed

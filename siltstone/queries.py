@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,19 +10,25 @@ from pyspark.sql import functions as F
 
 from .functions.strings import merge_unique
 from .functions.strict import normalize_url_strict
-from .functions.texts import NOISE_PASSAGES, NOISE_PHRASES, accepted_article, clean_text, fallback_text, is_noise, title_of
+from .functions.texts import NOISE_PASSAGES, NOISE_PHRASES, accepted_article, card_text, clean_text, fallback_text, is_noise, redact_tokens, title_of
 from .functions.times import epoch_time, relative_time
-from .functions.urls import TRACKING_PARAMS, host, normalize_url, note_name, stable_id
-from .operators.content import thread_texts
+from .functions.urls import TRACKING_PARAMS, host, normalize_url, note_name, stable_id, status_url, valid_url
+from .operators.content import thread_texts, with_content
 from .operators.dedupe import dedupe_report, duplicate_groups, first_seen, keep_richest
 from .operators.delta import cap_per_group, counts_with_zeros, insert_absent, known_set, new_rows, upsert, with_known_flag
-from .operators.enrich import enrich, result_counts
+from .operators.enrich import classify_status, dead_letters, enrich, result_counts
 from .operators.frontier import before_known_sequence, recent
 from .plans.ingest import Options, would_process
 from .plans.render import notes
-from .sources.feeds import at, bookmarks_from_posts, bookmarks_from_statuses, last_cursor, outside_links, post_elements, posts, statuses
-from .sources.html import html_images, html_links, html_posts, html_text, page_content
+from .plans.sinks import append_dead_letters, export_raw, write_manifest, write_notes
+from .schemas import CURSORS, ENRICHMENT
+from .sources.feeds import at, bookmarks_from_posts, bookmarks_from_statuses, bookmarks_from_visible_statuses, last_cursor, outside_links, post_cursors, post_elements, posts, service_responses, session_holds, statuses
+from .sources.html import html_images, html_links, html_posts, html_status, html_statuses, html_text, page_content, thread_of_page
+from .sources.notes import head_value, note_urls, notes_with_sidecars, read_dead_letters, read_notes, read_sidecars
+from .sources.stores import add_processed, frontier_urls, load, load_processed, save_cursors, save_frontiers
 from .streaming.frontier import ROCKSDB, run_in_order
+from .streaming.ingest import once_per_url, run
+from .tables import materialize, new_path
 
 def now() -> Column:
     """A fixed time, so that results repeat."""
@@ -84,7 +91,7 @@ def duplicate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("html").alias("bytes"),
         F.lit("2024-01-01").cast("timestamp").alias("modified"),
     )
-    return dedupe_report(rows)
+    return dedupe_report(rows).select("norm_url", "kept", "moved")
 
 
 def first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,11 +124,7 @@ def frontier_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frontier_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rule over a stream of the events, with state in the state store; the stream ends when all is read."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", "") or "file://" + tempfile.mkdtemp(prefix="spark-")
-    folder = f"{base.rstrip('/')}/siltstone/frontier-{uuid.uuid4().hex}"
+    folder = new_path(spark, "frontier")
     provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     try:
@@ -260,7 +263,7 @@ def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = status_bodies(spark, sf_dir).unionByName(post_bodies(spark, sf_dir))
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id")
     known = docs.join(labels, "doc_id").select(F.concat(F.lit("https://x.com/"), "source", F.lit("/status/"), "doc_id").alias("norm_url"))
-    return would_process(bodies, known, Options(most_per_source=1 << 30), now())
+    return would_process(bodies, known, Options(most_per_source=None), now())
 
 
 # Pages and notes ----------------------------------------------------------------------------------------------------
@@ -293,19 +296,19 @@ def bookmark_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("array<string>")
     source = F.when(F.col("doc_id") % 2 == 0, "x").otherwise("linkedin")
     url = F.concat(F.lit("https://example.org/"), "source", F.lit("/"), "doc_id")
-    bookmark = F.struct(source.alias("source"), url.alias("url"), title_of(F.col("text"), F.col("source")).alias("title"), F.col("text").alias("post_text"), none.alias("external_urls"), none.alias("referenced_urls"), none.alias("image_urls"), now().alias("published_at"), F.lit(None).cast("timestamp").alias("saved_at"), now().alias("retrieved_at"))
-    content = F.struct(url.alias("url"), F.col("text").alias("full_text"), F.substring("text", 1, 80).alias("post_text"), F.lit("trafilatura").alias("extraction_method"), F.lit(None).cast("array<struct<url:string,text:string,image_urls:array<string>,extraction_method:string>>").alias("external_articles"), none.alias("image_urls"))
+    bookmark = F.struct(source.alias("source"), url.alias("url"), title_of(F.col("text"), F.col("source")).alias("title"), F.col("text").alias("post_text"), none.alias("external_urls"), none.alias("referenced_tweet_urls"), none.alias("image_urls"), now().alias("published_at"), F.lit(None).cast("timestamp").alias("saved_at"), now().alias("retrieved_at"))
+    content = F.struct(url.alias("url"), F.col("text").alias("full_text"), F.concat(F.lit("> "), "text").alias("post_text"), F.lit("trafilatura").alias("extraction_method"), none.alias("external_urls"), none.alias("referenced_tweet_urls"), F.lit(None).cast("array<struct<url:string,text:string,image_urls:array<string>,extraction_method:string>>").alias("external_articles"), none.alias("image_urls"), now().alias("extracted_at"))
     return docs.select(bookmark.alias("bookmark"), content.alias("content"))
 
 
 def answer_or_fail(prompt: str) -> str:
     """A stand-in for a model: it answers from the prompt alone and fails on one in ten."""
-    import zlib
+    import hashlib
 
-    n = zlib.crc32(prompt.encode())
+    n = int(hashlib.md5(prompt.encode()).hexdigest()[:6], 16)
     if n % 10 == 0:
         raise ValueError("refused")
-    return f"SUMMARY:\n- words {len(prompt.split())}\n- code {n}\n\nTAKEAWAY: takes {n % 7}\nTAGS: A{n % 3}, b"
+    return f"SUMMARY:\n- characters {len(prompt)}\n- code {n}\n\nTAKEAWAY: takes {n % 7}\nTAGS: A{n % 3}, b"
 
 
 def enrichment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,7 +317,234 @@ def enrichment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rendered_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = enrich(bookmark_rows(spark, sf_dir), [("first", answer_or_fail)])
-    return notes(rows).select("path", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.length("sidecar").alias("sidecar_chars"))
+    side = F.try_parse_json("sidecar")
+    return notes(rows).select("path", F.md5(F.col("text").cast("binary")).alias("text_md5"), at(side, ".enrichment.takeaway").alias("takeaway"), F.md5(at(side, ".content.full_text").cast("binary")).alias("content_md5"))
+
+
+def dead_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose enrichment failed, written as JSON lines with a broken one among them, and read back."""
+    rows = materialize(enrich(bookmark_rows(spark, sf_dir), [("first", answer_or_fail)]), "enriched")
+    path = new_path(spark, "dead")
+    append_dead_letters(dead_letters(rows, "llm", now()), path)
+    spark.range(1).select(F.lit('{"error": broken').alias("value")).write.mode("append").text(path)
+    back = read_dead_letters(spark, path)
+    return back.select("bookmark.url", "bookmark.source", F.md5(F.col("bookmark.post_text").cast("binary")).alias("text_md5"), "error", "stage", F.date_format("timestamp", "yyyy-MM-dd").alias("day"))
+
+
+# Cards and pages whose HTML Spark builds from documents ----------------------------------------------------------------
+
+
+def escaped(c: Column) -> Column:
+    return F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
+def built(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
+    """(doc_id, html): in the parts, {text}, {lang}, {source} and {id} stand for the document's values."""
+    values = {"text": escaped(F.col("text")), "lang": F.col("lang"), "source": F.col("source"), "id": F.col("doc_id").cast("string")}
+    pieces = re.split(r"\{(text|lang|source|id)\}", "".join(parts))
+    html = F.concat(*[F.coalesce(values[x], F.lit("")) if k % 2 else F.lit(x) for k, x in enumerate(pieces)])
+    return table(spark, sf_dir, "documents").select("doc_id", html.alias("html"))
+
+
+def status_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = built(
+        spark, sf_dir, '<main><article data-testid="tweet"><a href="/{source}/status/{id}">at</a><div data-testid="tweetText">{text}</div><time datetime="2026-05-13T01:00:00.000Z">May</time>',
+        '<a href="https://example.org/{lang}/{id}">out</a><a href="https://x.com/other/status/9{id}">quoted</a><img src="https://pbs.twimg.com/media/{id}.jpg"><img src="https://a.example/profile_images/1.jpg"></article>',
+        '<article><a href="/{source}/status/{id}">again</a></article><article><p>no address</p></article></main>',
+    )
+    cards = pages.select(F.col("doc_id").alias("seq"), F.explode(html_statuses(F.col("html"))).alias("c")).select("seq", "c.*")
+    rows = bookmarks_from_visible_statuses(cards, now())
+    lists = [F.array_join(c, " ").alias(c) for c in ("external_urls", "referenced_tweet_urls", "image_urls")]
+    return rows.select("url", "title", F.md5(F.col("post_text").cast("binary")).alias("text_md5"), *lists, F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"))
+
+
+def post_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three kinds of cards: around a link to a post, an element named as an activity, a saved card without much text."""
+    filler = "enough words to make of this element a card of its own, as cards have more than a few of them"
+    pages = built(
+        spark, sf_dir, '<body><div class="feed"><div class="one"><a href="/feed/update/urn:li:activity:7{id}">at</a><span class="update-actor"><p>{source}</p><p>View {source} profile</p></span><p>{text}</p>',
+        f'<p>{filler}</p><p>3d • edited</p><img src="https://media.licdn.com/{{id}}.png"><img src="https://media.licdn.com/profile-displayphoto/1.png"></div>',
+        '<div data-urn="urn:li:activity:8{id}"><a href="https://example.org/8{id}">x</a><p>named</p></div></div></body>',
+    )
+    cards = pages.select("doc_id", F.explode(html_posts(F.col("html"))).alias("c"))
+    return cards.select("doc_id", "c.url", "c.author", F.md5(F.col("c.text").cast("binary")).alias("text_md5"), "c.created_text", F.array_join("c.image_urls", " ").alias("images"))
+
+
+def status_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = built(spark, sf_dir, '<article><div data-testid="tweetText">{text}</div><p lang="{lang}">in {lang} as document {id}</p></article>')
+    return pages.select("doc_id", F.md5(html_status(F.col("html")).cast("binary")).alias("text_md5"))
+
+
+def post_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = built(spark, sf_dir, '<body><nav>menu</nav><main><div class="update-components-text"><p>{text}</p><div class="social-share">share</div></div>', '<div class="comments-container">c</div><p>tail words here</p></main></body>')
+    rows = pages.select("doc_id", page_content(F.concat(F.lit("https://www.linkedin.com/posts/"), "doc_id"), F.col("html"), of_post=True).alias("c"))
+    return rows.select("doc_id", "c.url", F.md5(F.col("c.full_text").cast("binary")).alias("text_md5"))
+
+
+def post_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and pictures of a page with holders inside holders; each address once."""
+    pages = built(
+        spark, sf_dir, '<main><article><div dir="ltr"><span class="break-words"><a href="https://example.org/{id}">a</a><a href="https://www.linkedin.com/in/{source}">b</a></span></div><a href="/help/x">h</a>',
+        '<a href="https://example.org/{lang}">c</a><a href="https://example.org/hashtag/x">d</a><img src="https://i.example/{id}.webp"><img src="https://i.example/logo.png"></article><a href="https://example.org/outside">e</a></main>',
+    )
+    return pages.select("doc_id", F.array_join(html_links(F.col("html")), " ").alias("links"), F.array_join(html_images(F.col("html")), " ").alias("images"))
+
+
+def thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards of an author's thread with others between them."""
+    card = '<div data-testid="tweet"><div data-testid="User-Name"><a href="/{who}?s=1">n</a></div><div data-testid="tweetText">{what}</div></div>'
+    parts = [card.replace("{who}", "{source}").replace("{what}", "{text}"), card.replace("{who}", "other").replace("{what}", "a reply by another one"), card.replace("{who}", "{source}").replace("{what}", "{text}")]
+    pages = built(spark, sf_dir, *parts, card.replace("{who}", "{source}").replace("{what}", "in the end of {id}"), '<div data-testid="tweet"><div data-testid="tweetText">short</div></div>')
+    rows = pages.select("doc_id", F.explode(thread_of_page(F.col("html"))).alias("c")).select("doc_id", "c.*").where("coalesce(author, '') <> 'other'")
+    return thread_texts(rows, "doc_id").select("doc_id", F.md5(F.col("thread_text").cast("binary")).alias("thread_md5"))
+
+
+# Stores and notes ----------------------------------------------------------------------------------------------------
+
+
+def stored_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store after two runs: the first saw documents with even ids, the second those of one language or more."""
+    docs, folder = table(spark, sf_dir, "documents"), new_path(spark, "cursors")
+    for mode, rows in (("bootstrap", docs.where("doc_id % 2 = 0")), ("delta", docs.where("doc_id % 2 = 1"))):
+        save_cursors(rows.groupBy("source").agg(F.max("doc_id").cast("string").alias("cursor")).select("source", "cursor", F.lit(mode).alias("mode"), now().alias("last_run")), folder)
+    return load(spark, folder, CURSORS).select("source", "cursor", "mode")
+
+
+def stored_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = table(spark, sf_dir, "pages"), new_path(spark, "processed")
+    first = F.timestamp_seconds(1_700_000_000 + F.col("page_id"))
+    for k in (0, 1):
+        add_processed(pages.where(F.col("page_id") % 2 == k).select(F.col("url").alias("norm_url"), first.alias("first_seen"), F.lit(f"run{k}").alias("source")), folder)
+    return load_processed(spark, folder).select("norm_url", F.unix_seconds("first_seen").alias("first_seen"), "source")
+
+
+def stored_frontiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events, folder = table(spark, sf_dir, "events"), new_path(spark, "frontiers")
+    rows = events.select(F.col("user_id").cast("string").alias("source"), F.col("event_id").alias("seq"), F.concat(F.lit("https://example.org/"), "event_type", F.lit("/"), "event_id", F.lit("/?utm_source=x")).alias("url"))
+    save_frontiers(rows, folder, 20, now())
+    return frontier_urls(spark, folder)
+
+
+def note_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes written as files, with their sidecars, and read back with what ranks them."""
+    folder = new_path(spark, "notes")
+    rows = bookmark_rows(spark, sf_dir).withColumn("enrichment", F.lit(None).cast(ENRICHMENT))
+    write_notes(notes(rows), folder)
+    read = notes_with_sidecars(read_notes(spark, folder), read_sidecars(spark, folder))
+    return read.select("norm_url", F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("path"), "has_enrichment", "has_sidecar", "richness", F.md5(F.col("text").cast("binary")).alias("text_md5"), head_value(F.col("text"), "source").alias("source"))
+
+
+def vault_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What notes in a folder say is known already."""
+    folder = new_path(spark, "vault")
+    rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("---\nsource: x\nurl: '"), "url", F.lit("'\n---\n\nbody "), "page_id").alias("text"), F.format_string("x/%d.md", "page_id").alias("path"), F.lit("{}").alias("sidecar"))
+    write_notes(rows, folder)
+    return note_urls(read_notes(spark, folder))
+
+
+def duplicate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report over documents under their text's hash: what each note that goes scores, and the one that stays."""
+    rows = table(spark, sf_dir, "documents").select(
+        F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("norm_url"),
+        F.concat(F.coalesce("source", F.lit("x")), F.format_string("/%08d.md", "doc_id")).alias("path"),
+        (F.col("doc_id") % 3 == 0).cast("int").alias("has_enrichment"),
+        F.lit(1).alias("has_sidecar"),
+        F.length(F.coalesce("text", F.lit(""))).alias("richness"),
+        F.lit(10).alias("bytes"),
+        F.timestamp_seconds(1_700_000_000 + F.col("doc_id") % 2).alias("modified"),
+    )
+    report = dedupe_report(rows)
+    score = lambda c: F.concat_ws("/", *[F.col(f"{c}.{x}").cast("string") for x in ("has_enrichment", "has_sidecar", "richness", "bytes", "modified")])
+    return report.select("norm_url", "kept", score("kept_score").alias("kept_score"), "moved", score("moved_score").alias("moved_score"))
+
+
+# Shapes of responses, and what becomes of content ----------------------------------------------------------------------
+
+
+def author_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The author's handle at four places; a post quoted, media of three kinds, a long text beside a short one."""
+    docs = table(spark, sf_dir, "documents")
+    user = F.element_at(
+        F.array(F.lit('"core":{"user_results":{"result":{"core":{"screen_name":"@"}}}}'), F.lit('"core":{"user_results":{"result":{"screen_name":"@"}}}'), F.lit('"core":{"user_results":{"result":{"legacy":{"screen_name":"@"}}}}'), F.lit('"user_results":{"result":{"legacy":{"screen_name":"@"}}}')),
+        (F.col("doc_id") % 4 + 1).cast("int"),
+    )
+    quoted = F.concat(F.lit('"quoted_status_result":{"result":{"rest_id":"9'), "doc_id", F.lit('","core":{"user_results":{"result":{"core":{"screen_name":"other"}}}}}}'))
+    media = F.concat(F.lit('"extended_entities":{"media":[{"type":"photo","media_url_https":"https://pbs.twimg.com/media/'), "doc_id", F.lit('.jpg"},{"type":"audio","media_url_https":"https://a/1.mp3"},{"media_url":"http://pbs.twimg.com/media/v"}]}'))
+    long = F.concat(F.lit('"note_tweet":{"note_tweet_results":{"result":{"text":'), F.get_json_object(F.to_json(F.struct(F.to_json(F.array("text")).alias("t"))), "$.t"), F.lit("}}}"))
+    long = F.replace(F.replace(long, F.lit('"text":['), F.lit('"text":')), F.lit("]}}}"), F.lit("}}}"))
+    tweet = F.concat(F.lit('{"tweet":{"rest_id":"'), "doc_id", F.lit('",'), F.replace(user, F.lit("@"), F.col("source")), F.lit(","), quoted, F.lit(","), long, F.lit(',"legacy":{"full_text":"short",'), media, F.lit("}}}"))
+    rows = bookmarks_from_statuses(docs.select(F.col("doc_id").alias("seq"), F.lit(0).alias("position"), F.try_parse_json(tweet).alias("raw")), now())
+    return rows.select("url", F.md5(F.col("post_text").cast("binary")).alias("text_md5"), F.array_join("referenced_tweet_urls", " ").alias("references"), F.array_join("image_urls", " ").alias("images"))
+
+
+def post_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies of four shapes, with pictures deep inside and a token for the next page."""
+    docs = table(spark, sf_dir, "documents")
+    item = F.concat(F.lit('{"url":"https://www.linkedin.com/feed/update/urn:li:activity:'), F.col("doc_id") + 1, F.lit('","author":"'), "source", F.lit('","createdAt":"'), 1_700_000_000 + F.col("doc_id"), F.lit('","x":{"y":{"z":["https://media.licdn.com/'), "doc_id", F.lit('"]}}}'))
+    shapes = [('{"data":{"elements":[', '],"paging":{"nextCursor":"n@"}}}'), ('{"elements":[', '],"paging":{"start":"n@"}}'), ('{"included":[', '],"metadata":{"nextCursor":"n@"}}'), ("[", "]")]
+    k = (F.col("doc_id") % 4 + 1).cast("int")
+    opening, closing = (F.element_at(F.array(*[F.lit(x[i]) for x in shapes]), k) for i in (0, 1))
+    bodies = docs.select(F.col("doc_id").alias("seq"), F.concat(opening, item, F.replace(closing, F.lit("@"), F.col("doc_id").cast("string"))).alias("body"))
+    rows = bookmarks_from_posts(posts(post_elements(bodies)), now()).join(post_cursors(bodies), "seq", "left")
+    return rows.select(F.col("seq").alias("doc_id"), "url", "title", F.array_join("image_urls", " ").alias("images"), F.unix_seconds("published_at").alias("published"), "cursor")
+
+
+def service_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all responses those of the feed's services; whether the session holds; and what a status means."""
+    pages = table(spark, sf_dir, "pages")
+    status = F.element_at(F.array(*map(F.lit, (200, 302, 404, 503))), (F.col("page_id") % 4 + 1).cast("int"))
+    rows = pages.select("page_id", F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("https://a/voyager/api/"), "page_id")).otherwise(F.col("url")).alias("url"), status.alias("status"))
+    ours = service_responses(rows).select("page_id", F.lit(True).alias("ours"))
+    meaning = classify_status(F.col("status"), F.col("page_id") % 7 == 0, F.col("page_id") % 30)
+    return rows.join(ours, "page_id", "left").crossJoin(F.broadcast(session_holds(rows))).select("page_id", F.coalesce("ours", F.lit(False)).alias("ours"), "holds", meaning.alias("meaning"))
+
+
+def content_of_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts with a link each, pages for two in three: the text that is chosen, its method, and the article."""
+    docs = table(spark, sf_dir, "documents").withColumn("url", F.concat(F.lit("https://example.org/"), "doc_id"))
+    link = F.concat(F.lit("https://news.example/"), F.col("doc_id") % 50)
+    source = F.when(F.col("doc_id") % 2 == 0, "x").otherwise("linkedin")
+    none = F.lit(None).cast("array<string>")
+    marks = docs.select(source.alias("source"), "url", F.lit("title").alias("title"), F.concat(F.lit("post "), "doc_id").alias("post_text"), F.array(link).alias("external_urls"), none.alias("referenced_tweet_urls"), none.alias("image_urls"))
+    own = docs.where("doc_id % 3 > 0").select(F.col("url").alias("page_url"), F.col("text").alias("full_text"), F.lit(None).cast("string").alias("fallback_text"), none.alias("image_urls"), F.col("text").alias("thread_text"))
+    linked = docs.groupBy(link.alias("page_url")).agg(F.max("text").alias("full_text")).select("page_url", "full_text", F.lit(None).cast("string").alias("fallback_text"), none.alias("image_urls"), F.lit(None).cast("string").alias("thread_text"))
+    c = F.col("content")
+    first = F.get(c["external_articles"], F.lit(0))
+    rows = with_content(marks, own.unionByName(linked), now())
+    return rows.select(c["url"].alias("url"), c["extraction_method"].alias("method"), F.md5(c["full_text"].cast("binary")).alias("text_md5"), first["url"].alias("article"), F.md5(first["text"].cast("binary")).alias("article_md5"), first["extraction_method"].alias("article_method"))
+
+
+def address_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which addresses are valid, statuses' addresses in running text, a bot's address without its token, a card on one line."""
+    docs = table(spark, sf_dir, "documents")
+    url = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("https://twitter.com/"), "source", F.lit("/status/"), "doc_id", F.lit("?s=20"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("ftp://e.org/"), "doc_id")).otherwise(F.concat(F.lit("no address "), "doc_id"))
+    bot = F.concat(F.lit("https://api.example/bot"), "doc_id", F.lit(":token/sendMessage?x="), "lang")
+    return docs.select("doc_id", valid_url(url).alias("valid"), status_url(url).alias("status"), redact_tokens(bot).alias("bot"), F.md5(card_text(F.coalesce("text", F.lit(""))).cast("binary")).alias("card_md5"))
+
+
+def once_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of pages as a stream in two runs, with good rows and dead letters by batch; each address comes once."""
+    pages, folder = table(spark, sf_dir, "pages").select("page_id", "url"), new_path(spark, "once")
+    for k in (0, 1):
+        pages.where(F.col("page_id") % 2 == k).select("url").write.mode("append").parquet(f"{folder}/in")
+        stream = once_per_url(spark.readStream.schema("url string").parquet(f"{folder}/in")).select("norm_url")
+        run(stream, lambda rows: (rows.where("norm_url NOT LIKE '%/de/%'"), rows.where("norm_url LIKE '%/de/%'")), f"{folder}/good", f"{folder}/bad", f"{folder}/state").awaitTermination()
+    bad = spark.read.schema("norm_url string").option("recursiveFileLookup", "true").json(f"{folder}/bad").select("norm_url", F.lit(False).alias("good"))
+    good = spark.read.schema("norm_url string").option("recursiveFileLookup", "true").parquet(f"{folder}/good").select("norm_url", F.lit(True).alias("good"))
+    return good.unionByName(bad)
+
+
+def source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of an export, read back: a source without a bookmark counts 0."""
+    folder = new_path(spark, "export")
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id")
+    sources = [f"src{k}" for k in range(8)] + ["none"]
+    write_manifest(rows, sources, folder, None, now())
+    export_raw(rows, folder)
+    one = spark.read.schema("total long, by_source map<string,long>").json(f"{folder}/manifest")
+    exported = spark.read.schema("doc_id long, source string").json(f"{folder}/raw").groupBy("source").agg(F.count("*").alias("exported"))
+    counts = one.select("total", F.explode("by_source").alias("source", "n"))
+    return counts.join(exported, "source", "left").select("source", "n", F.coalesce("exported", F.lit(0)).alias("exported"))
 
 
 QUERIES = [
@@ -322,7 +552,9 @@ QUERIES = [
     delta_documents, known_customers, known_ids, frontier_stop, frontier_recent, frontier_stream, rows_per_source, nation_counts,
     source_cursors, processed_urls, cleaned_texts, noise_flags, chosen_texts, threads, page_href_heads, event_ages, event_epochs,
     event_fields, parsed_statuses, parsed_posts, feed_cursor, nested_links, dry_run, page_texts, page_links, page_images, page_cards,
-    page_contents, enrichment_counts, rendered_notes,
+    page_contents, enrichment_counts, rendered_notes, dead_rows, status_cards, post_cards, status_pages, post_pages, post_links,
+    thread_pages, stored_cursors, stored_urls, stored_frontiers, note_files, vault_urls, duplicate_scores, author_places, post_shapes,
+    service_bodies, content_of_posts, address_parts, once_seen, source_manifest,
 ]
 
 
@@ -365,6 +597,29 @@ def _noise(text: str) -> str:
 
 SLUG = "trim(regexp_replace(regexp_replace(regexp_replace(lower(title), '[^a-zA-Z0-9 _-]', '', 'g'), '[ _]+', '-', 'g'), '-{2,}', '-', 'g'), '-')"
 TITLE = "CASE WHEN coalesce(text, '') <> '' THEN substring(text, 1, 120) ELSE 'Post by ' || source END"
+TIDY = _strip(f"regexp_replace(coalesce(text, ''), '{WHITE}', ' ', 'g')")
+_LINES = r"regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '[\r\n]', ' ', 'g'), '</?(?:h1|p|br|article)>', chr(10), 'g'), '<[^>]*>', '', 'g')"
+_PLAIN = f"replace(replace(replace({_LINES}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+PAGE_TEXTS = rf"""
+WITH t AS (SELECT page_id, url, {_strip(rf"regexp_replace(regexp_replace({_PLAIN}, '[ \t\x{{0b}}\x{{85}}\x{{a0}}]+', ' ', 'g'), ' *\n[\s]*', chr(10), 'g')")} AS text FROM pages)
+"""
+# The prompt of a row, what the stand-in answers, and the note that comes of both.
+_PROMPT = """'Summarise this ' || CASE WHEN b = 'x' THEN 'short post, perhaps of a thread; tell only what it says itself' ELSE 'saved article or post' END || ': three bullets, one takeaway, three to five lower-case tags.'
+  || chr(10) || 'Title: ' || title || chr(10) || 'URL: ' || url || chr(10)
+  || CASE WHEN text <> '' THEN chr(10) || 'Content:' || chr(10) || text ELSE chr(10) || '(No additional content available)' END
+  || chr(10) || chr(10) || 'Answer in this form:' || chr(10) || 'SUMMARY:' || chr(10) || '- bullet 1' || chr(10) || '- bullet 2' || chr(10) || '- bullet 3' || chr(10) || 'TAKEAWAY: one sentence' || chr(10) || 'TAGS: tag1, tag2, tag3'"""
+ANSWERS = f"""
+WITH marks AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN 'x' ELSE 'linkedin' END AS b, 'https://example.org/' || source || '/' || doc_id AS url, {TITLE} AS title FROM documents),
+asked AS (SELECT *, {_PROMPT} AS prompt FROM marks),
+code AS (SELECT *, ('0x' || substr(md5(prompt), 1, 6))::BIGINT AS n FROM asked),
+answers AS (SELECT *, n % 10 <> 0 AS ok, 'takes ' || (n % 7) AS takeaway FROM code)
+"""
+NOTE_NAME = f"CASE WHEN {SLUG} = '' THEN 'untitled' ELSE {SLUG} END || '-' || substring(sha1(url), 1, 10) || '.md'"
+NOTE = f"""'---' || chr(10) || 'title: ' || to_json(title)::VARCHAR || chr(10) || 'source: ' || b || chr(10) || 'url: "' || url || '"' || chr(10)
+  || 'published: ''2024-06-01T00:00:00+00:00''' || chr(10) || 'retrieved: ''2024-06-01T00:00:00+00:00''' || chr(10)
+  || CASE WHEN ok THEN 'tags:' || chr(10) || '- "a' || (n % 3) || '"' || chr(10) || '- "b"' || chr(10) || 'model: "first"' ELSE 'tags: []' || chr(10) || 'model: none' END || chr(10) || '---' || chr(10) || chr(10)
+  || CASE WHEN ok THEN '## Summary' || chr(10) || chr(10) || '- characters ' || length(prompt) || chr(10) || '- code ' || n || chr(10) || '- Key point from ' || b || ': ' || substring(title, 1, 80) || chr(10) || chr(10) || '## Takeaway' || chr(10) || chr(10) || takeaway || chr(10) || chr(10) ELSE '' END
+  || '## Original' || chr(10) || chr(10) || '> ' || text || chr(10) || CASE WHEN text <> '' AND {_strip('text')} <> {_strip("('> ' || text)")} THEN chr(10) || '## Article Text' || chr(10) || chr(10) || text || chr(10) ELSE '' END"""
 FRONTIER = """
 WITH flags AS (SELECT event_id, user_id, event_type IN ('view', 'click') AS k FROM events),
 gaps AS (SELECT *, sum(CASE WHEN k THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS g FROM flags),
@@ -411,10 +666,11 @@ def oracle_sql() -> dict[str, str]:
             WITH p AS (SELECT doc_id, text, {chosen_primary} AS first FROM documents),
             c AS (SELECT doc_id, CASE WHEN (coalesce(length({_strip('first')}) < 50, true) OR {_noise('first')}) AND NOT {_noise('text')} AND length(text) > length(coalesce(first, '')) THEN text ELSE first END AS text FROM p)
             SELECT doc_id, length(text)::INTEGER AS chars, CASE WHEN NOT {_noise('text')} AND length({_strip('text')}) >= 200 THEN least(length(text), 8000)::INTEGER END AS article_chars FROM c""",
-        "threads": """
-            WITH once AS (SELECT conv_id, substring(text, 1, 100) AS head, arg_min((turn, text), (turn, text)) AS f FROM conversations GROUP BY 1, 2),
+        "threads": f"""
+            WITH shown AS (SELECT conv_id, turn, {_strip('text')} AS text FROM conversations WHERE length({_strip('text')}) > 10),
+            once AS (SELECT conv_id, substring(text, 1, 100) AS head, arg_min((turn, text), (turn, text)) AS f FROM shown GROUP BY 1, 2),
             placed AS (SELECT conv_id, f, row_number() OVER (PARTITION BY conv_id ORDER BY f) AS k FROM once)
-            SELECT conv_id, md5(string_agg(f[2], chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY k)) AS thread_md5 FROM placed WHERE k <= 10 GROUP BY conv_id""",
+            SELECT conv_id, md5(string_agg(f[2], chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY k)) AS thread_md5 FROM placed GROUP BY conv_id""",
         "page_href_heads": """
             WITH h AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]+)"', 1) AS l FROM pages)
             SELECT page_id, array_to_string(l[1:3], ' ') AS hrefs, len(list_distinct(list_filter(l, lambda x: x <> '')))::INTEGER AS n_different FROM h""",
@@ -426,6 +682,69 @@ def oracle_sql() -> dict[str, str]:
         "parsed_posts": f"SELECT 'https://www.linkedin.com/feed/update/urn:li:activity:' || (doc_id + 1) AS url, {TITLE} AS title, md5(nullif(text, '')) AS text_md5, strftime(make_timestamp((1700000000 + doc_id) * 1000000), '%Y-%m-%d %H:%M:%S') AS published FROM documents",
         "feed_cursor": "SELECT 'c' || max(floor(doc_id / 20))::BIGINT AS cursor FROM documents",
         "nested_links": "SELECT page_id, url || ' https://example.org/p/' || page_id AS links FROM pages",
+        "url_strict": PAGES + "SELECT page_id, norm_url FROM normal",
+        "page_texts": PAGE_TEXTS + f"SELECT page_id, {_cleaned('text')} AS text FROM t",
+        "page_contents": PAGE_TEXTS + f"SELECT page_id, url, CASE WHEN length(c) >= 50 THEN substring(c, 1, 50000) END AS full_text FROM (SELECT *, {_cleaned('text')} AS c FROM t)",
+        "page_links": "SELECT page_id, '' AS links FROM pages",
+        "page_images": "SELECT page_id, '' AS images FROM pages",
+        "page_cards": "SELECT page_id, 0 AS cards FROM pages",
+        "enrichment_counts": ANSWERS + "SELECT count(*) AS processed, count(*) FILTER (WHERE ok) AS enriched, count(*) FILTER (WHERE NOT ok) AS dead_letter FROM answers",
+        "rendered_notes": ANSWERS + f"""
+            SELECT b || '/' || {NOTE_NAME} AS path, md5({NOTE}) AS text_md5, CASE WHEN ok THEN takeaway END AS takeaway, md5(text) AS content_md5 FROM answers""",
+        "dead_rows": ANSWERS + "SELECT url, b AS source, md5(text) AS text_md5, 'All models exhausted. Last error: refused' AS error, 'llm' AS stage, '2024-06-01' AS day FROM answers WHERE NOT ok",
+        "status_cards": f"""
+            WITH d AS (SELECT *, {TIDY} AS t FROM documents)
+            SELECT 'https://x.com/' || source || '/status/' || doc_id AS url, CASE WHEN t <> '' THEN substring(t, 1, 120) ELSE 'Post by @' || source END AS title, md5(nullif(t, '')) AS text_md5,
+                   'https://example.org/' || lang || '/' || doc_id AS external_urls, 'https://x.com/other/status/9' || doc_id AS referenced_tweet_urls, 'https://pbs.twimg.com/media/' || doc_id || '.jpg' AS image_urls, '2026-05-13 01:00:00' AS published FROM d""",
+        "post_cards": f"""
+            WITH d AS (SELECT *, {TIDY} AS t FROM documents)
+            SELECT doc_id, 'https://www.linkedin.com/feed/update/urn:li:activity:7' || doc_id AS url, source AS author,
+                   md5('at' || chr(10) || source || chr(10) || 'View ' || source || ' profile' || CASE WHEN t = '' THEN '' ELSE chr(10) || t END || chr(10) || 'enough words to make of this element a card of its own, as cards have more than a few of them' || chr(10) || '3d • edited') AS text_md5,
+                   '3d' AS created_text, 'https://media.licdn.com/' || doc_id || '.png' AS images FROM d
+            UNION ALL SELECT doc_id, 'https://example.org/8' || doc_id, 'unknown', md5('x' || chr(10) || 'named'), '3d', '' FROM d""",
+        "status_pages": f"SELECT doc_id, md5(CASE WHEN length({TIDY}) > 10 THEN {TIDY} ELSE 'in ' || lang || ' as document ' || doc_id END) AS text_md5 FROM documents",
+        "post_pages": f"""
+            WITH d AS (SELECT doc_id, {TIDY} AS t FROM documents), e AS (SELECT *, CASE WHEN t = '' THEN '' ELSE t || chr(10) END AS h FROM d),
+            f AS (SELECT doc_id, CASE WHEN length(t) > 50 THEN t WHEN length(h) + 15 >= 50 THEN h || 'tail words here' ELSE h || 'c' || chr(10) || 'tail words here' END AS x FROM e),
+            g AS (SELECT doc_id, {_cleaned('x')} AS x FROM f)
+            SELECT doc_id, 'https://www.linkedin.com/posts/' || doc_id AS url, CASE WHEN length(x) >= 50 THEN md5(substring(x, 1, 50000)) END AS text_md5 FROM g""",
+        "post_links": "SELECT doc_id, 'https://example.org/' || doc_id || ' https://example.org/' || lang AS links, 'https://i.example/' || doc_id || '.webp' AS images FROM documents",
+        "thread_pages": f"""
+            WITH d AS (SELECT *, {TIDY} AS t FROM documents)
+            SELECT doc_id, md5(CASE WHEN length(t) > 10 AND substring(t, 1, 100) <> 'in the end of ' || doc_id THEN t || chr(10) || chr(10) || '---' || chr(10) || chr(10) ELSE '' END || 'in the end of ' || doc_id) AS thread_md5 FROM d""",
+        "stored_cursors": """
+            WITH r AS (SELECT source, CASE WHEN bool_or(doc_id % 2 = 1) THEN 1 ELSE 0 END AS k FROM documents GROUP BY source)
+            SELECT source, max(doc_id)::VARCHAR AS cursor, CASE WHEN any_value(k) = 1 THEN 'delta' ELSE 'bootstrap' END AS mode FROM documents JOIN r USING (source) WHERE doc_id % 2 = k GROUP BY source""",
+        "stored_urls": PAGES + """SELECT norm_url, 1700000000 + min(page_id) FILTER (WHERE page_id % 2 = k) AS first_seen, 'run' || any_value(k) AS source
+            FROM normal JOIN (SELECT norm_url, min(page_id % 2) AS k FROM normal GROUP BY 1) USING (norm_url) GROUP BY norm_url""",
+        "stored_frontiers": "SELECT user_id::VARCHAR AS source, 'https://example.org/' || event_type || '/' || event_id AS norm_url FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 20",
+        "note_files": ANSWERS.replace("FROM code", "FROM (SELECT *, false AS no FROM code)") + f"""
+            , plain AS (SELECT * REPLACE (false AS ok) FROM answers)
+            SELECT url AS norm_url, b || '/' || {NOTE_NAME} AS path, 0 AS has_enrichment, 1 AS has_sidecar, (2 * length(text) + 2)::INTEGER AS richness, md5({NOTE}) AS text_md5, b AS source FROM plain""",
+        "vault_urls": PAGES + "SELECT DISTINCT norm_url FROM normal",
+        "duplicate_scores": """
+            WITH d AS (SELECT md5(coalesce(text, '')) AS norm_url, coalesce(source, 'x') || '/' || lpad(doc_id::VARCHAR, 8, '0') || '.md' AS path, (doc_id % 3 = 0)::INTEGER AS e, length(coalesce(text, '')) AS r, 1700000000 + doc_id % 2 AS m FROM documents),
+            s AS (SELECT *, e || '/1/' || r || '/10/' || m AS score, row_number() OVER (PARTITION BY norm_url ORDER BY e DESC, r DESC, m DESC, path) AS k FROM d)
+            SELECT a.norm_url, b.path AS kept, b.score AS kept_score, a.path AS moved, a.score AS moved_score FROM s a JOIN s b ON a.norm_url = b.norm_url AND b.k = 1 WHERE a.k > 1""",
+        "author_places": "SELECT 'https://x.com/' || source || '/status/' || doc_id AS url, md5(coalesce(nullif(text, ''), 'short')) AS text_md5, 'https://x.com/other/status/9' || doc_id AS references, 'https://pbs.twimg.com/media/' || doc_id || '.jpg http://pbs.twimg.com/media/v' AS images FROM documents",
+        "post_shapes": "SELECT doc_id, 'https://www.linkedin.com/feed/update/urn:li:activity:' || (doc_id + 1) AS url, 'Post by ' || source AS title, 'https://media.licdn.com/' || doc_id AS images, 1700000000 + doc_id AS published, CASE WHEN doc_id % 4 < 3 THEN 'n' || doc_id END AS cursor FROM documents",
+        "service_bodies": """
+            SELECT page_id, page_id % 3 = 0 AND page_id % 4 < 2 AS ours, true AS holds,
+                   CASE WHEN page_id % 30 > 20 THEN 'give up' WHEN page_id % 7 = 0 OR page_id % 4 = 3 THEN 'retry' WHEN page_id % 4 = 0 THEN 'ok' ELSE 'give up' END AS meaning FROM pages""",
+        "content_of_posts": f"""
+            WITH linked AS (SELECT doc_id % 50 AS k, max(text) AS a FROM documents GROUP BY 1),
+            d AS (SELECT doc_id, 'post ' || doc_id AS p, CASE WHEN doc_id % 3 > 0 THEN text END AS t, a, 'https://news.example/' || (doc_id % 50) AS link FROM documents JOIN linked ON k = doc_id % 50),
+            e AS (SELECT *, coalesce(length({_strip('t')}), 0) > length(p) AS longer, NOT {_noise('a')} AND length({_strip('a')}) >= 200 AS good FROM d)
+            SELECT 'https://example.org/' || doc_id AS url,
+                   CASE WHEN doc_id % 2 = 0 THEN CASE WHEN longer THEN 'playwright_x_thread' ELSE 'tweet_text' END WHEN t IS NULL THEN 'post_only' ELSE 'playwright_linkedin' END AS method,
+                   md5(CASE WHEN doc_id % 2 = 0 THEN CASE WHEN longer THEN t ELSE p END || chr(10) || chr(10) || 'Referenced links:' || chr(10) || '- ' || link ELSE t END) AS text_md5,
+                   link AS article, CASE WHEN good THEN md5(substring(a, 1, 8000)) END AS article_md5, CASE WHEN good THEN 'playwright' ELSE 'failed' END AS article_method FROM e""",
+        "address_parts": f"""
+            SELECT doc_id, doc_id % 3 = 0 AS valid, CASE WHEN doc_id % 3 = 0 THEN 'https://x.com/' || source || '/status/' || doc_id END AS status,
+                   'https://api.example/bot<redacted>/sendMessage?x=' || lang AS bot, md5({TIDY}) AS card_md5 FROM documents""",
+        "once_seen": PAGES + "SELECT DISTINCT norm_url, norm_url NOT LIKE '%/de/%' AS good FROM normal",
+        "source_manifest": """
+            SELECT s AS source, count(doc_id) AS n, count(doc_id) AS exported FROM (SELECT unnest(['src0', 'src1', 'src2', 'src3', 'src4', 'src5', 'src6', 'src7', 'none']) AS s) LEFT JOIN documents ON source = s GROUP BY s""",
         "dry_run": """
             SELECT 'x' AS source, count(*) AS scanned, count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS would_process FROM documents
             UNION ALL SELECT 'linkedin', count(*), count(*) FROM documents""",

@@ -99,7 +99,7 @@ def bookmarks_from_statuses(rows: DataFrame, retrieved_at: Column) -> DataFrame:
         title_of(text, F.concat(F.lit("@"), "author")).alias("title"),
         text.alias("post_text"),
         some(outside).alias("external_urls"),
-        some(referenced).alias("referenced_urls"),
+        some(referenced).alias("referenced_tweet_urls"),
         some(merge_unique(images)).alias("image_urls"),
         status_time(text_at(tweet, ".legacy.created_at")).alias("published_at"),
         F.lit(None).cast("timestamp").alias("saved_at"),
@@ -108,13 +108,13 @@ def bookmarks_from_statuses(rows: DataFrame, retrieved_at: Column) -> DataFrame:
 
 
 def bookmarks_from_visible_statuses(rows: DataFrame, retrieved_at: Column) -> DataFrame:
-    """Statuses as seen on a page: rows (seq, url, text, author, published_at, external_urls, referenced_urls, image_urls).
+    """Statuses as seen on a page: rows (seq, url, text, author, published_at, external_urls, referenced_tweet_urls, image_urls).
 
     Rows without an address go. A link is outside by its host, so hosts that only end like the site's stay."""
     rows = rows.where(F.coalesce("url", F.lit("")) != "").withColumn("url", F.substring_index("url", "?", 1))
     none = F.array().cast("array<string>")
     outside = F.filter(F.coalesce("external_urls", none), lambda u: ~F.contains(u, F.lit("/status/")) & ~under(host(u), "x.com") & (u != ""))
-    referenced = F.filter(F.transform(F.coalesce("referenced_urls", none), status_url), lambda u: u.isNotNull() & (u != F.col("url")))
+    referenced = F.filter(F.transform(F.coalesce("referenced_tweet_urls", none), status_url), lambda u: u.isNotNull() & (u != F.col("url")))
     images = F.filter(F.coalesce("image_urls", none), lambda u: F.startswith(u, F.lit("http")))
     author = F.concat(F.lit("@"), F.coalesce("author", F.lit("unknown")))
     return rows.select(
@@ -124,7 +124,7 @@ def bookmarks_from_visible_statuses(rows: DataFrame, retrieved_at: Column) -> Da
         title_of(F.col("text"), author).alias("title"),
         F.nullif("text", F.lit("")).alias("post_text"),
         some(outside).alias("external_urls"),
-        some(referenced).alias("referenced_urls"),
+        some(referenced).alias("referenced_tweet_urls"),
         some(images).alias("image_urls"),
         status_time(F.col("published_at")).alias("published_at"),
         F.lit(None).cast("timestamp").alias("saved_at"),
@@ -246,7 +246,7 @@ def bookmarks_from_posts(rows: DataFrame, retrieved_at: Column) -> DataFrame:
         title_of(text, F.col("author")).alias("title"),
         text.alias("post_text"),
         some(F.coalesce("external_urls", none)).alias("external_urls"),
-        F.lit(None).cast("array<string>").alias("referenced_urls"),
+        F.lit(None).cast("array<string>").alias("referenced_tweet_urls"),
         some(F.coalesce("image_urls", none)).alias("image_urls"),
         F.coalesce(post_time(F.col("created_at")), relative_time(F.coalesce("created_text", "created_at"), retrieved_at)).alias("published_at"),
         post_time(F.col("saved_at")).alias("saved_at"),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column
@@ -11,42 +14,69 @@ from pyspark.sql import functions as F
 
 # Elements that hold the article, best first; and elements that never do.
 CONTENT = [
-    "[data-testid=article-body]", "article", "[role=article]", ".post-content", ".article-content", ".entry-content", ".post-body",
-    ".story-body", ".main-content", "#main-content", "#article-body", ".article-body", ".ArticleBody", ".styled-body", "[data-article]",
-    ".blog-post-content", ".content-body", "main", "[role=main]",
+    '[data-testid="article-body"]', 'article', '[role="article"]', '.post-content', '.article-content', '.entry-content', '.post-body',
+    '.story-body', '.main-content', '#main-content', '#article-body', '.article-body', '.ArticleBody', '.styled-body', '[data-article]',
+    '.blog-post-content', '.content-body', 'main', '[role="main"]',
 ]
+REMOVED = [
+    'nav', 'header', 'footer', 'aside', '[role="navigation"]', '[role="banner"]', '[role="contentinfo"]', '[role="complementary"]', '.sidebar',
+    '.ad', '.advertisement', '.social-share', '.share-buttons', '.related-posts', '.comments', '#comments', '.newsletter', '.popup',
+    '.modal', 'script', 'style', 'noscript', 'iframe',
+]
+# The same for pages of single posts.
 POST_CONTENT = [
-    ".update-components-text", ".feed-shared-update-v2__description", ".break-words", ".article-content", "article", "[role=article]",
-    ".reader-article-content", "[data-article-body]", ".main-content",
+    '.update-components-text', '.feed-shared-update-v2__description', '.break-words', '.article-content', 'article', '[role="article"]',
+    '.reader-article-content', '[data-article-body]', '.main-content',
 ]
-REMOVED = [
-    "nav", "header", "footer", "aside", "[role=navigation]", "[role=banner]", "[role=contentinfo]", "[role=complementary]", ".sidebar",
-    ".ad", ".advertisement", ".social-share", ".share-buttons", ".related-posts", ".comments", "#comments", ".newsletter", ".popup",
-    ".modal", "script", "style", "noscript", "iframe",
+POST_REMOVED = [
+    'nav', 'footer', 'aside', '[role="navigation"]', '[role="banner"]', '[role="contentinfo"]', '.sidebar', '.ad', '.social-share',
+    '.share-buttons', '.comments-container', '#comments', 'script', 'style', 'noscript', 'iframe',
 ]
-LINK_HOLDERS = [".update-components-text", ".feed-shared-update-v2__description", ".break-words", "[dir=ltr]", "article"]
+# Where links of a post stand; pictures that are no content, and what marks those that are.
+LINK_HOLDERS = ['.update-components-text', '.feed-shared-update-v2__description', '.break-words', '[dir="ltr"]', 'article']
 NO_IMAGE = ["profile_images", "profile-displayphoto", "emoji", "avatar", "logo", "icon", "sprite"]
 IMAGE_MARKS = [".jpg", ".jpeg", ".png", ".webp", "pbs.twimg.com/media", "media.licdn.com"]
+# Links, authors and cards of a page of saved posts, and ages as it writes them.
+POST_LINKS = ['a[href*="/feed/update/"]', 'a[href*="/posts/"]', 'a[href*="/activity/"]']
+POST_AUTHORS = ['[class*="actor"]', '[class*="author"]', 'a[href*="/in/"]']
+POST_URNS = ['[data-urn*="activity"]', '[data-urn*="update"]', '[data-urn*="post"]']
+POST_CARDS = ['[class*="save-caFE"]', '[class*="saved-item"]', '[class*="entity-result"]', '[class*="occludable"]']
+AGE = re.compile(r"\b\d+\s*(?:s|sec|secs|m|min|mins|h|hr|hrs|d|day|days|w|wk|wks|mo|mos|month|months|y|yr|yrs|year|years)\b\s*•", re.IGNORECASE)
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 LINES = {"address", "article", "blockquote", "br", "div", "dl", "dt", "dd", "fieldset", "figure", "form", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "li", "main", "ol", "p", "pre", "section", "table", "tr", "ul"}
 
 
+@lru_cache(maxsize=1000)
+def read_selector(selector: str) -> tuple[str, str, str, str]:
+    """(tag, attribute, '' or '=' or '*=', value) of a selector of one condition."""
+    tag, sign, rest = re.fullmatch(r"([a-z0-9]*)([.#[]?)(.*)", selector).groups()
+    if sign in (".", "#"):
+        return tag, "class" if sign == "." else "id", "~=" if sign == "." else "=", rest
+    name, how, value = re.fullmatch(r"([^*=]*)(\*?=?)(.*)", rest.removesuffix("]")).groups()
+    return tag, name, how, value.strip("\"'")
+
+
 class Node:
-    __slots__ = ("attrs", "children", "tag")
+    __slots__ = ("attrs", "children", "parent", "tag")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None = None):
+        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
     def matches(self, selector: str) -> bool:
-        if selector[0] == ".":
-            return selector[1:] in self.attrs.get("class", "").split()
-        if selector[0] == "#":
-            return self.attrs.get("id") == selector[1:]
-        if selector[0] == "[":
-            name, equals, value = selector[1:-1].partition("=")
-            return name in self.attrs and (not equals or self.attrs[name] == value)
-        return self.tag == selector
+        tag, name, how, value = read_selector(selector)
+        if tag and tag != self.tag:
+            return False
+        if not name:
+            return True
+        if name not in self.attrs:
+            return False
+        own = self.attrs[name]
+        return value in own.split() if how == "~=" else value in own if how == "*=" else own == value if how == "=" else True
+
+    def below(self, *selectors: str) -> Iterator[Node]:
+        """Elements below this one that match one of the selectors."""
+        return (n for n in self.walk() if n is not self and any(n.matches(s) for s in selectors))
 
     def walk(self) -> Iterator[Node]:
         """This element and all below it, in the order of the page."""
@@ -80,7 +110,7 @@ class TreeParser(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in ("p", "li", "tr") and self.open[-1].tag == tag:
             self.open.pop()
-        node = Node(tag, {k: v or "" for k, v in attrs})
+        node = Node(tag, {k: v or "" for k, v in attrs}, self.open[-1])
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -102,44 +132,127 @@ def parse(html: str | None) -> Node:
     return parser.root
 
 
-def readable_text(root: Node, selectors: list[str], least: int) -> str:
-    """The text of the first element in the order of ``selectors`` with more than ``least`` characters, else of the body."""
+def readable_text(root: Node, selectors: list[str], least: int, removed: list[str] = REMOVED, last: tuple[str, ...] = ("body",)) -> str:
+    """The text of the first element in the order of ``selectors`` with more than ``least`` characters, else of ``last``."""
     nodes = list(root.walk())
     for selector in selectors:
         found = next((n for n in nodes if n.matches(selector)), None)
-        if found is not None and len(text := found.text(REMOVED)) > least:
+        if found is not None and len(text := found.text(removed)) > least:
+            return text
+    return next((n for n in nodes if any(n.matches(s) for s in last)), root).text(removed)
+
+
+def post_text(root: Node) -> str:
+    """The text of a single post's page; as an article's page if it holds less than 50 characters."""
+    text = readable_text(root, POST_CONTENT, 50, POST_REMOVED, ("main", '[role="main"]'))
+    return text if len(text.strip()) >= 50 else readable_text(root, CONTENT, 200)
+
+
+def status_text(root: Node) -> str | None:
+    """The text of a single status: its text element, else the first element with a language in an article or card."""
+    for n in root.below('[data-testid="tweetText"]'):
+        if len(text := n.text([])) > 10:
+            return text
+        break
+    for holder in root.below("article"):
+        for n in holder.below("[lang]"):
+            text = n.text([])
+            return text if len(text) > 10 else None
+    for holder in root.below('[data-testid="tweet"]'):
+        if (n := next(holder.below("[lang]"), None)) is not None and len(text := n.text([])) > 10:
             return text
-    return next((n for n in nodes if n.tag == "body"), root).text(REMOVED)
+    return None
 
 
 def links(root: Node, own_domain: str) -> list[str]:
     def inside(selectors: list[str]) -> list[str]:
-        holders = [n for n in root.walk() if any(n.matches(s) for s in selectors)]
-        hrefs = [a.attrs["href"] for n in holders for a in n.walk() if a.tag == "a" and "href" in a.attrs]
+        hrefs, stack = [], [(root, False)]
+        while stack:  # one walk, however deep holders stand in each other
+            node, within = stack.pop()
+            if within and node.tag == "a" and "href" in node.attrs:
+                hrefs.append(node.attrs["href"])
+            within = within or any(node.matches(s) for s in selectors)
+            stack += [(c, within) for c in reversed(node.children) if isinstance(c, Node)]
         good = [h for h in hrefs if h.startswith("http") and own_domain not in h and "/help/" not in h and "/hashtag/" not in h]
         return list(dict.fromkeys(good))
 
-    return inside(LINK_HOLDERS) or inside(["main", "[role=main]"])
+    return inside(LINK_HOLDERS) or inside(["main", '[role="main"]'])
 
 
 def images(root: Node, most: int = 20) -> list[str]:
-    holders = [n for n in root.walk() if n.tag in ("article", "main") or n.matches("[role=main]")]
-    found = [i.attrs.get("src", "") for n in holders for i in n.walk() if i.tag == "img"]
+    found, stack = [], [(root, False)]
+    while stack:
+        node, within = stack.pop()
+        if within and node.tag == "img":
+            found.append(node.attrs.get("src", ""))
+        within = within or node.tag in ("article", "main") or node.matches('[role="main"]')
+        stack += [(c, within) for c in reversed(node.children) if isinstance(c, Node)]
     found += [n.attrs.get("content", "") for n in root.walk() if n.tag == "meta" and ("og:image" == n.attrs.get("property") or "twitter:image" == n.attrs.get("name"))]
     good = [u for u in found if u.startswith("http") and not any(m in u.lower() for m in NO_IMAGE) and any(m in u.lower() for m in IMAGE_MARKS)]
     return list(dict.fromkeys(good))[:most]
 
 
-def visible_posts(root: Node) -> list[dict]:
-    """Cards of a page of saved posts: (url, author, text), each address once."""
+def absolute(base: str, href: str) -> str:
+    try:
+        return urljoin(base, href)
+    except ValueError:
+        return href
+
+
+def visible_statuses(root: Node, base: str = "https://x.com/") -> list[dict]:
+    """Cards of a page of saved statuses, each address once, in the order of the page."""
     found: dict[str, dict] = {}
-    for card in root.walk():
-        if card.tag not in ("article", "li") and not card.matches("[data-testid=tweet]"):
+    for card in root.below("article"):
+        hrefs = [absolute(base, a.attrs["href"]) for a in card.below("a[href]")]
+        numbered = [h for h in hrefs if re.search(r"/status/\d+", h)]
+        if not numbered or numbered[0] in found:
             continue
-        hrefs = [a.attrs.get("href", "") for a in card.walk() if a.tag == "a"]
-        url = next((h for h in hrefs if "/status/" in h or "/feed/update/" in h or "/posts/" in h), None)
-        if url:
-            found.setdefault(url.partition("?")[0], {"url": url.partition("?")[0], "text": card.text(REMOVED)})
+        url = numbered[0]
+        own, time = next(card.below('[data-testid="tweetText"]'), card), next(card.below("time[datetime]"), None)
+        author = re.search(r"x\.com/([^/]+)/status/", url)
+        found[url] = {
+            "url": url,
+            "text": own.text([]),
+            "author": author[1] if author else "unknown",
+            "published_at": time.attrs["datetime"] if time else None,
+            "external_urls": [h for h in hrefs if h.startswith("http") and "x.com" not in h and "twitter.com" not in h],
+            "referenced_tweet_urls": [h for h in numbered if h != url],
+            "image_urls": [i.attrs["src"] for i in card.below("img[src]") if "pbs.twimg.com/media/" in i.attrs["src"]],
+        }
+    return list(found.values())
+
+
+def visible_posts(root: Node, base: str = "https://www.linkedin.com/") -> list[dict]:
+    """Cards of a page of saved posts, each address once: around links to posts, elements named as posts, and saved cards."""
+
+    def up(node: Node | None, steps: int) -> Iterator[Node]:
+        for _ in range(steps):
+            if node is None or node.tag in ("body", ""):
+                return
+            yield node
+            node = node.parent
+
+    def tidy(text: str) -> str:
+        return re.sub(r"(?m)^Status is (?:online|offline)\n", "", re.sub(r"\n{3,}", "\n\n", text)).strip()
+
+    def add(url: str, card: Node, near: Node) -> None:
+        author = next(card.below(*POST_AUTHORS), None)
+        name = re.sub(r"(?is)\nView (?:company:|.*?profile).*$", "", tidy(author.text([]))).strip() if author else ""
+        ages = (AGE.search(n.text([])) for n in up(near, 10))
+        age = next((m for m in ages if m), None)
+        images = [i.attrs["src"] for i in card.below("img[src]") if i.attrs["src"].startswith("http") and "profile-displayphoto" not in i.attrs["src"]]
+        found[url] = {"url": url, "text": tidy(card.text([])), "author": name or "unknown", "created_text": age[0].replace("•", "").strip() if age else None, "image_urls": images}
+
+    found: dict[str, dict] = {}
+    for link in root.below(*POST_LINKS):
+        url = absolute(base, link.attrs["href"])
+        if url not in found:
+            add(url, next((n for n in up(link, 12) if next(n.below(*POST_LINKS), None) and len(n.text([]).strip()) > 80), link), link)
+    for selectors, wanted in ((POST_URNS, ["a[href]"]), (POST_CARDS, POST_LINKS)):
+        for card in root.below(*selectors):
+            link = next(card.below(*wanted), None)
+            if link and (url := absolute(base, link.attrs["href"])) and url not in found:
+                add(url, card, card)
     return list(found.values())
 
 
@@ -169,18 +282,65 @@ def html_images(html: Column) -> Column:
     return run(html)
 
 
+def html_status(html: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda p: status_text(parse(p)))
+
+    return run(html)
+
+
+def html_post(html: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda p: post_text(parse(p)))
+
+    return run(html)
+
+
+def html_statuses(html: Column) -> Column:
+    """The cards of a page, as ``feeds.bookmarks_from_visible_statuses`` reads them."""
+
+    @F.pandas_udf("array<struct<url:string,text:string,author:string,published_at:string,external_urls:array<string>,referenced_tweet_urls:array<string>,image_urls:array<string>>>")
+    def run(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda p: visible_statuses(parse(p)))
+
+    return run(html)
+
+
 def html_posts(html: Column) -> Column:
-    @F.pandas_udf("array<struct<url:string,text:string>>")
+    @F.pandas_udf("array<struct<url:string,text:string,author:string,created_text:string,image_urls:array<string>>>")
     def run(pages: pd.Series) -> pd.Series:
         return pages.map(lambda p: visible_posts(parse(p)))
 
     return run(html)
 
 
-def page_content(url: Column, html: Column) -> Column:
-    """struct(url, full_text, image_urls): cleaned text of at most 50,000 characters, null if under 50."""
+def thread_of_page(html: Column) -> Column:
+    """array(ord, author, text) of the cards of a thread's page; the author is null where the card does not tell."""
+
+    def cards(page: str | None) -> list[dict]:
+        out = []
+        for card in parse(page).below('[data-testid="tweet"]'):
+            name, text = next(card.below('[data-testid="User-Name"]'), None), next(card.below('[data-testid="tweetText"]'), None)
+            handles = [m[1] for a in (name.below("a[href]") if name else ()) if (m := re.fullmatch(r"/([A-Za-z0-9_]+)", a.attrs["href"].partition("?")[0]))]
+            if text:
+                out.append({"ord": len(out), "author": handles[0].lower() if handles else None, "text": text.text([])})
+        return out
+
+    @F.pandas_udf("array<struct<ord:int,author:string,text:string>>")
+    def run(pages: pd.Series) -> pd.Series:
+        return pages.map(cards)
+
+    return run(html)
+
+
+def page_content(url: Column, html: Column, of_post: bool = False) -> Column:
+    """struct(url, full_text, image_urls): cleaned text of at most 50,000 characters, null if under 50.
+
+    ``of_post``: the page of a single post of the second feed."""
     from ..functions.strings import some
     from ..functions.texts import clean_text
 
-    text = clean_text(html_text(html))
+    text = clean_text(html_post(html) if of_post else html_text(html))
     return F.struct(url.alias("url"), F.when(F.length(text) >= 50, F.substring(text, 1, 50_000)).alias("full_text"), some(html_images(html)).alias("image_urls"))

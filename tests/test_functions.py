@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from siltstone.functions.enrichment import parse_answer, takeaway_of, three_bullets, word_count
@@ -132,3 +133,8 @@ def test_answers(spark):
     assert apply(spark, lambda v: takeaway_of(parse_answer(v)["takeaway"], v), answers[3:]) == ["free text"]
     assert apply(spark, lambda v: three_bullets(v, F.lit("x"), F.lit("T" * 99)), [["a"], list("abcd")], "array<string>") == [["a", *["Key point from x: " + "T" * 80] * 2], ["a", "b", "c"]]
     assert apply(spark, word_count, ["a b\n c", "", None, "  "]) == [3, 0, 0, 0]
+
+
+@pytest.mark.parametrize("url", ["http://[abc/x", "http://[::1", "//[", None, ""])
+def test_strict_leaves_what_it_cannot_read(url):
+    assert rewrite(url) == url

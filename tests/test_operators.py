@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from siltstone.schemas import DEAD_LETTER
 from siltstone.operators import content, dedupe, delta, enrich, frontier
 from siltstone.operators.skew import attach
 
@@ -71,13 +72,14 @@ def test_delta(spark):
 
 
 def test_threads(spark):
-    rows = [("u", 2, "Me", "second"), ("u", 1, "me", "first"), ("u", 3, "other", "no"), ("u", 4, None, "third"), ("u", 5, "me", "first")]
-    df = spark.createDataFrame(rows, "url string, ord int, author string, text string")
-    assert content.thread_texts(df, "url", "ME").first()["thread_text"] == "first\n\n---\n\nsecond\n\n---\n\nthird"
+    long = [f"post number {k} of a long thread" for k in range(30)]
+    rows = [("u", 2, "Me", long[1]), ("u", 1, "me", f" {long[0]}\n"), ("u", 3, "other", "not of the thread"), ("u", 4, None, long[2]), ("u", 5, "me", long[0]), ("u", 6, "me", "too short"), ("u", 7, "me", None)]
+    df = spark.createDataFrame(rows + [("u", 10 + k, "me", long[k]) for k in range(3, 30)], "url string, ord int, author string, text string")
+    assert content.thread_texts(df, "url", "ME").first()["thread_text"] == "\n\n---\n\n".join(long)
 
 
 def bookmarks(spark):
-    schema = "source string, url string, title string, post_text string, external_urls array<string>, referenced_urls array<string>, image_urls array<string>"
+    schema = "source string, url string, title string, post_text string, external_urls array<string>, referenced_tweet_urls array<string>, image_urls array<string>"
     rows = [("x", "https://x.com/u/status/1", "t", "post", ["https://e.org/1", "https://e.org/2", "https://e.org/3", "https://e.org/4"], ["https://x.com/v/status/9"], None), ("linkedin", "https://l/1", "t", "own", None, None, ["i0"]), ("linkedin", "https://l/2", "t", "own", None, None, None)]
     return spark.createDataFrame(rows, schema)
 
@@ -112,9 +114,25 @@ def test_enrichment_falls_back_and_fails_by_row(spark):
     e = good.first()["enrichment"]
     assert e["model_used"] == "two" and len(e["summary_bullets"]) == 3 and e["tags"] == ["c"] and e["tokens"] == 7
     letters = enrich.dead_letters(done, "llm", F.lit("2026-01-01").cast("timestamp"))
-    assert letters.first()["stage"] == "llm" and letters.first()["url"] == "https://l/2"
+    assert letters.first()["stage"] == "llm" and letters.first()["bookmark"]["url"] == "https://l/2"
+    assert letters.columns == DEAD_LETTER.fieldNames()
+
+
+def test_rows_without_an_address_are_enriched(spark):
+    """Each row is asked for by itself, whatever its address."""
+    rows = spark.range(20).select(F.struct(F.lit("x").alias("source"), F.lit(None).cast("string").alias("url"), F.concat(F.lit("t"), "id").alias("title"), F.lit("p").alias("post_text"), F.array("id").cast("array<string>").alias("external_urls")).alias("bookmark"), F.struct(F.lit(None).cast("string").alias("full_text"), F.lit("post_only").alias("extraction_method")).alias("content"))
+    done = enrich.enrich(rows, [("one", lambda prompt: "TAKEAWAY: " + str(prompt.count("\n")))])
+    assert enrich.result_counts(done).first().asDict() == {"processed": 20, "enriched": 20, "dead_letter": 0}
+    assert sorted(r["bookmark"]["title"] for r in done.collect()) == sorted(f"t{k}" for k in range(20))
 
 
 def test_status_classes(spark):
     df = spark.createDataFrame([(200, False), (404, False), (503, False), (None, True), (302, False)], "s int, t boolean")
     assert [r[0] for r in df.select(enrich.classify_status(F.col("s"), F.col("t"))).collect()] == ["ok", "give up", "retry", "retry", "give up"]
+    assert {r[0] for r in df.select(enrich.classify_status(F.col("s"), F.col("t"), F.lit(21))).collect()} == {"give up"}
+
+
+def test_large_limits_for_groups(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.col("id").alias("v"))
+    got = delta.cap_per_group(df, "g", [F.col("v")], 1500)
+    assert sorted(tuple(r) for r in got.collect()) == sorted((v % 2, v) for v in range(3000)) and got.columns == ["g", "v"]

@@ -23,7 +23,7 @@ def now():
 
 
 def enriched(spark):
-    bookmark = "struct<source:string,url:string,title:string,post_text:string,external_urls:array<string>,referenced_urls:array<string>,image_urls:array<string>,published_at:timestamp,saved_at:timestamp,retrieved_at:timestamp>"
+    bookmark = "struct<source:string,url:string,title:string,post_text:string,external_urls:array<string>,referenced_tweet_urls:array<string>,image_urls:array<string>,published_at:timestamp,saved_at:timestamp,retrieved_at:timestamp>"
     content = "struct<url:string,full_text:string,post_text:string,extraction_method:string,external_articles:array<struct<url:string,text:string,image_urls:array<string>,extraction_method:string>>,image_urls:array<string>>"
     enrichment = "struct<summary_bullets:array<string>,takeaway:string,tags:array<string>,model_used:string,tokens:int>"
     from datetime import datetime
@@ -58,7 +58,16 @@ def test_a_run_then_another(spark, tmp_path):
     options = ingest.Options(most_per_source=30)
     fresh = ingest.new_bookmarks(bodies, none, options, now())
     pages = spark.createDataFrame([], "page_url string, full_text string, fallback_text string, image_urls array<string>, thread_text string")
-    written, dead, processed = ingest.process(fresh, pages, [("m", queries.answer_or_fail)], now())
+    calls = tmp_path / "calls"
+
+    def counted(prompt):
+        with open(calls, "a") as f:
+            f.write("x")
+        return queries.answer_or_fail(prompt)
+
+    written, dead, processed = ingest.process(fresh, pages, [("m", counted)], now())
+    written.collect(), dead.collect(), processed.collect()
+    assert len(calls.read_text()) == 60 + 2 * dead.count()  # each row once, failed ones three times, whoever reads the results
     counts = {r["source"]: r["n"] for r in sinks.manifest(fresh.select("source"), ["x", "linkedin", "none"]).collect()}
     assert counts == {"x": 30, "linkedin": 30, "none": 0}
     assert written.count() == processed.count() == 60 and 0 < dead.count() < 60
@@ -66,6 +75,11 @@ def test_a_run_then_another(spark, tmp_path):
     assert sorted(map(tuple, again.collect())) == [("linkedin", 40, 10), ("x", 40, 10)]
     only = ingest.bookmarks(bodies, ingest.Options(sources=("x",)), now())
     assert {r["source"] for r in only.collect()} == {"x"}
+    assert ingest.new_bookmarks(bodies, none, ingest.Options(sources=()), now()).count() == 0
+    assert ingest.new_bookmarks(bodies, none, ingest.Options(most_per_source=None), now()).count() == 80
+    sinks.write_manifest(fresh, ["x", "linkedin", "none"], str(tmp_path), 30, now())
+    told = json.loads(next((tmp_path / "manifest").glob("part-*.json")).read_text())
+    assert told["total"] == 60 and told["by_source"] == {"linkedin": 30, "none": 0, "x": 30} and told["max_items_per_source"] == 30
     sinks.export_raw(fresh, str(tmp_path / "raw"))
     assert spark.read.json(str(tmp_path / "raw/raw")).count() == 60
     sinks.append_dead_letters(dead, str(tmp_path / "dead"))

@@ -5,7 +5,9 @@ import json
 from pyspark.sql import functions as F
 
 from siltstone.sources import feeds, notes
-from siltstone.sources.html import html_images, html_links, html_posts, html_text, page_content
+from siltstone.schemas import CURSORS
+from siltstone.sources import stores
+from siltstone.sources.html import html_images, html_links, html_posts, html_status, html_text, page_content, parse
 
 NOW = "2026-05-14 00:00:00"
 
@@ -63,17 +65,17 @@ def test_status_details(spark):
     a, b = feeds.bookmarks_from_statuses(feeds.statuses(responses(spark, body)), now()).orderBy("position").collect()
     assert a["title"] == "L" * 120 and a["post_text"] == "L" * 200
     assert a["external_urls"] == ["https://example.com/a", "https://netflix.com/status/1"]
-    assert a["referenced_urls"] == ["https://x.com/o/status/5", "https://x.com/quoted/status/7"]
+    assert a["referenced_tweet_urls"] == ["https://x.com/o/status/5", "https://x.com/quoted/status/7"]
     assert a["image_urls"] == ["https://i/1.jpg", "https://i/2.jpg"]
     assert b["url"] == "https://x.com/unknown/status/8" and b["title"] == "Post by @unknown" and b["post_text"] is None
 
 
 def test_visible_statuses(spark):
-    schema = "seq long, url string, text string, author string, published_at string, external_urls array<string>, referenced_urls array<string>, image_urls array<string>"
+    schema = "seq long, url string, text string, author string, published_at string, external_urls array<string>, referenced_tweet_urls array<string>, image_urls array<string>"
     rows = spark.createDataFrame([(0, "https://x.com/a/status/1?s=20", "", "a", "2026-05-13T01:00:00.000Z", ["https://netflix.com/z", "https://x.com/y", "https://e.org/status/1/x", "https://e.org"], ["https://twitter.com/b/status/2", "junk", "https://x.com/a/status/1"], ["data:1", "https://i/1"]), (1, "", "t", "a", None, None, None, None)], schema)
     (r,) = feeds.bookmarks_from_visible_statuses(rows, now()).collect()
     assert r["url"] == "https://x.com/a/status/1" and r["title"] == "Post by @a" and r["post_text"] is None
-    assert r["external_urls"] == ["https://netflix.com/z", "https://e.org"] and r["referenced_urls"] == ["https://x.com/b/status/2"] and r["image_urls"] == ["https://i/1"]
+    assert r["external_urls"] == ["https://netflix.com/z", "https://e.org"] and r["referenced_tweet_urls"] == ["https://x.com/b/status/2"] and r["image_urls"] == ["https://i/1"]
 
 
 def test_post_shapes(spark):
@@ -172,5 +174,46 @@ def test_pages(spark):
     assert rows.select("k", html_images(F.col("html")).alias("t")).orderBy("k").first()["t"] == ["https://i.org/1.jpg", "https://i.org/og.png"]
     contents = rows.select("k", page_content(F.col("url"), F.col("html")).alias("c")).orderBy("k").collect()
     assert contents[0]["c"]["full_text"].startswith("Title & more") and contents[3]["c"]["full_text"] is None
-    cards = spark.createDataFrame([('<li><a href="https://x.com/a/status/1?x=1">l</a> text</li><li>none</li>',)], "html string")
-    assert [tuple(c) for c in cards.select(html_posts(F.col("html")).alias("c")).first()["c"]] == [("https://x.com/a/status/1", "l text")]
+    cards = spark.createDataFrame([('<body><div><li><a href="/posts/a-1?x=1">l</a> text</li></div><li>none</li><p class="entity-result">Status is online<br><a href="https://l/activity/2">second</a> 2w •</p></body>',)], "html string")
+    got = cards.select(html_posts(F.col("html")).alias("c")).first()["c"]
+    assert [tuple(c) for c in got] == [("https://www.linkedin.com/posts/a-1?x=1", "l", "unknown", None, []), ("https://l/activity/2", "second", "unknown", "2w", [])]
+    deep = spark.createDataFrame([("<div dir='ltr'>" * 3000 + '<a href="https://e.org/1">x</a>',)], "html string")
+    assert deep.select(html_links(F.col("html")).alias("l")).first()["l"] == ["https://e.org/1"]
+
+
+def test_texts_of_single_pages(spark):
+    rows = [
+        '<div data-testid="tweetText">a text of some length</div>',
+        '<div data-testid="tweetText">short</div><article><b lang="en">words of an article</b></article>',
+        '<article><b lang="en">few</b></article><div data-testid="tweet"><i lang="en">words of a card</i></div>',
+        '<div data-testid="tweet"><i lang="en">words of a card</i></div>',
+        "",
+        None,
+    ]
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(rows)], "k int, html string").orderBy("k")
+    assert [r["t"] for r in df.select(html_status(F.col("html")).alias("t")).collect()] == ["a text of some length", "words of an article", None, "words of a card", None, None]
+
+
+def test_selectors():
+    node = parse('<a href="/in/x" class="b c" data-x="1"></a>').children[0]
+    for selector, expected in {"a": True, "b": False, ".b": True, ".d": False, '[data-x="1"]': True, "[data-x=1]": True, '[href*="/in/"]': True, 'a[href*="/in/"]': True, "i[href]": False, '[class*="b"]': True, "#b": False}.items():
+        assert node.matches(selector) is expected, selector
+
+
+def test_stores(spark, tmp_path):
+    at = str(tmp_path / "cursors")
+    assert stores.load(spark, at, CURSORS).count() == 0
+    row = "source string, cursor string, mode string, last_run timestamp"
+    stores.save_cursors(spark.createDataFrame([("x", "a", "delta", None), ("y", "b", "delta", None)], row), at)
+    stores.save_cursors(spark.createDataFrame([("x", "c", "delta", None)], row), at)
+    (tmp_path / "cursors" / "v=3").mkdir()  # a run that died while saving
+    assert sorted((r["source"], r["cursor"]) for r in stores.load(spark, at, CURSORS).collect()) == [("x", "c"), ("y", "b")]
+    (tmp_path / "processed_urls.json").write_text('{"urls": {"https://E.org/a/?utm_source=x": {"first_seen": "2026-01-01T00:00:00+00:00", "source": "x"}}}')
+    (tmp_path / "bad.json").write_text("{broken")
+    (tmp_path / "cursors.json").write_text('{"x": {"cursor": null, "mode": "delta", "last_run": "2026-01-01T00:00:00+00:00"}}')
+    (tmp_path / "frontiers.json").write_text('{"x": {"updated_at": "2026-01-01T00:00:00+00:00", "recent_urls": ["https://e.org/b/", "https://E.org/c"]}}')
+    assert [(r["norm_url"], r["source"], r["first_seen"].year) for r in stores.processed_from_json(spark, str(tmp_path / "processed_urls.json")).collect()] == [("https://e.org/a", "x", 2026)]
+    assert [(r["source"], r["cursor"], r["mode"]) for r in stores.cursors_from_json(spark, str(tmp_path / "cursors.json")).collect()] == [("x", None, "delta")]
+    assert [r["recent_urls"] for r in stores.frontiers_from_json(spark, str(tmp_path / "frontiers.json")).collect()] == [["https://e.org/b", "https://e.org/c"]]
+    for read in (stores.processed_from_json, stores.cursors_from_json, stores.frontiers_from_json):
+        assert read(spark, str(tmp_path / "bad.json")).count() == 0 and read(spark, str(tmp_path / "none.json")).count() == 0
