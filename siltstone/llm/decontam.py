@@ -6,7 +6,8 @@ size, so the search misses nothing. Items are partitioned by shingle width and b
 partition has one small range of hashes in which its sketches lie, and only a document's hashes in that range are
 looked up. Candidates are verified by exact containment of the item's shingles in the document's.
 
-Items are a stated query set: they go to the documents in blocks of bounded size, and documents are not shuffled.
+Items are a stated query set: they go to the documents in blocks of bounded size, one block after the other if there
+are several, and documents are not shuffled.
 """
 
 from __future__ import annotations
@@ -97,7 +98,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
     Words are runs of ASCII letters, digits and non-ASCII characters, ASCII in lower case, so punctuation and case do
     not hide an item; shingles are 5 words and count once. Items of fewer words match where their words follow each
-    other in a document. Null and wordless items and documents match nothing. Repeated rows give repeated pairs."""
+    other in a document. Null and wordless items and documents match nothing. Repeated rows give repeated pairs, null
+    ids stay null; very long texts are read whole; empty tables give no row."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     items = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
@@ -123,5 +125,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                 yield pa.RecordBatch.from_arrays(cols, names=["id", "item_id", "n_shingles", "n_shared", "containment"])
 
         part = rows.mapInArrow(search, "id long, item_id long, n_shingles long, n_shared long, containment double")
+        if blocks > 1:  # only one block is held at a time
+            part = materialize(part, "leaks")
+            shared.destroy()
         out = part if out is None else out.unionByName(part)
     return out.withColumnRenamed("id", id_col)

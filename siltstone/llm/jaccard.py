@@ -75,7 +75,10 @@ def at_least(n: int | np.ndarray) -> int | np.ndarray:
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """docs(doc, text) -> rows (doc, key, n) for each document and (token, docs) for shingles that are common in a batch."""
+    """docs(doc, text, more longs) -> rows (doc, key, n, more) for each document and (token, docs) for shingles that are
+    common in a batch."""
+    more = docs.columns[2:]
+    names = ["doc", "key", "n", "token", "docs", *more]
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = batch.column(1).to_pylist()
@@ -86,18 +89,18 @@ def profile(docs: DataFrame) -> DataFrame:
                 keys[i] = set_key(s)
                 sets[keys[i]] = s
         empty = pa.nulls(len(texts), pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64(), mask=sizes == 0), pa.array(sizes, pa.int64()), empty, empty], names=["doc", "key", "n", "token", "docs"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64(), mask=sizes == 0), pa.array(sizes, pa.int64()), empty, empty, *batch.columns[2:]], names=names)
         if sets:
             token, docs_with = np.unique(np.concatenate(list(sets.values())), return_counts=True)
             heavy = docs_with >= max(8, int(len(texts) * HOT_DOCS / 2))
             empty = pa.nulls(int(heavy.sum()), pa.int64())
-            yield pa.RecordBatch.from_arrays([empty, empty, empty, pa.array(token[heavy], pa.int64()), pa.array(docs_with[heavy], pa.int64())], names=["doc", "key", "n", "token", "docs"])
+            yield pa.RecordBatch.from_arrays([empty, empty, empty, pa.array(token[heavy], pa.int64()), pa.array(docs_with[heavy], pa.int64()), *([empty] * len(more))], names=names)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from run(batch)
 
-    return docs.mapInArrow(each, "doc long, key long, n long, token long, docs long")
+    return docs.mapInArrow(each, ", ".join(f"{c} long" for c in names))
 
 
 def frequent_sets(docs: DataFrame, survivors: KeyFilter, hot: np.ndarray) -> DataFrame:
@@ -389,22 +392,30 @@ def similar_sets(docs: DataFrame, profiled: DataFrame) -> DataFrame:
     return grouped.unionByName(alone)
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_key: list[str] | None = None) -> DataFrame:
     """One row per input row: id, ``n_shingles`` long, ``component_id`` long (the smallest id reachable by links).
 
     Null texts and texts without words have no shingle, link with nothing and are their own component. A row with a
     null id links as others do but is never a component's name; a component of null ids alone has a null name.
-    Repeated rows are equal sets, so they share a component."""
-    docs = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    Repeated rows are equal sets, so they share a component.
+
+    With ``row_key``, long columns that tell rows apart, these and ``leads`` follow: true in the row of each component
+    that has the smallest id (null ids last), of equals the smallest key, and in rows without a shingle."""
+    keys = row_key or []
+    docs = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), *[F.col(c).cast("long").alias(f"row_{k}") for k, c in enumerate(keys)])
+    more = docs.columns[2:]
     profiled = materialize(profile(docs), "jaccard-profile")
-    roots = similar_sets(docs, profiled)
-    rows = profiled.where(F.col("n").isNotNull()).select("doc", "key", "n")
-    classes = rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc").alias("first"), F.count("*").alias("copies"))
+    roots = similar_sets(docs.select("doc", "text"), profiled)
+    rows = profiled.where(F.col("n").isNotNull()).select("doc", "key", "n", *more)
+    own = F.struct(F.col("doc").isNull().alias("last"), "doc", *more)
+    classes = rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc").alias("first"), F.min(own).alias("lead"), F.count("*").alias("copies"))
     rooted = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     rooted = materialize(rooted, "jaccard-roots")
-    names = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("classes")), "jaccard-names")
-    named = materialize(attach(rooted, "root", names, "classes", rooted.count()).select("key", "copies", "component_id"), "jaccard-named")
-    placed = attach(rows.where(F.col("key").isNotNull()), "key", named, "copies", rows.count())
-    alone = rows.where(F.col("key").isNull()).select("doc", "n", F.col("doc").alias("component_id"))
-    both = placed.select("doc", "n", "component_id").unionByName(alone)
-    return both.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    names = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.min("lead").alias("lead"), F.count("*").alias("classes")), "jaccard-names")
+    named = materialize(attach(rooted.drop("lead"), "root", names, "classes", rooted.count()).select("key", "copies", "component_id", "lead"), "jaccard-named")
+    placed = attach(rows.where(F.col("key").isNotNull()), "key", named, "copies", rows.count()).withColumn("leads", own.eqNullSafe(F.col("lead")))
+    alone = rows.where(F.col("key").isNull()).withColumns({"component_id": F.col("doc"), "leads": F.lit(True)})
+    columns = ["doc", "n", "component_id", *more, "leads"]
+    both = placed.select(*columns).unionByName(alone.select(*columns))
+    out = both.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), "component_id", *[F.col(f"row_{k}").alias(c) for k, c in enumerate(keys)], "leads")
+    return out if keys else out.drop("leads")

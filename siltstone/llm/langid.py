@@ -15,12 +15,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import bound_batches, map_arrow
 from .hashing import char_ngrams, char_pieces, ngram_sums
 from .sampling import labelled_sample
 
 SIZES = [1, 2, 3]
 BITS = 16
+#: Shares of n-grams are small numbers; steps are right for values of this size.
+SCALE = 30
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -53,8 +55,76 @@ def term_frequencies(text: str) -> tuple[np.ndarray, np.ndarray]:
     return ids, n / max(1, n.sum())
 
 
+class Ftrl:
+    """Follow the regularised leader for each coordinate, with elastic net, for softmax regression."""
+
+    def __init__(self, features: int, classes: int, alpha: float, beta: float, l1: float, l2: float):
+        self.z, self.n = np.zeros((features, classes)), np.zeros((features, classes))
+        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
+
+    def weights(self, ids: np.ndarray) -> np.ndarray:
+        z = self.z[ids]
+        return np.where(np.abs(z) <= self.l1, 0.0, -(z - np.sign(z) * self.l1) / ((self.beta + np.sqrt(self.n[ids])) / self.alpha + self.l2))
+
+    def step(self, ids: np.ndarray, x: np.ndarray, y: int) -> None:
+        """One row: the values x of the features ``ids``, class y."""
+        w = self.weights(ids)
+        s = x @ w
+        p = np.exp(s - s.max())
+        p /= p.sum()
+        p[y] -= 1
+        g = x[:, None] * p
+        self.z[ids] += g - (np.sqrt(self.n[ids] + g * g) - np.sqrt(self.n[ids])) / self.alpha * w
+        self.n[ids] += g * g
+
+
+def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
+    """Number of texts(text) that are not null, and how many of them have each feature. All texts count, whole."""
+    features = len(SIZES) << BITS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, texts_seen = np.zeros(features, np.int64), 0
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                some = [t.lower() for t in batch.column(0).slice(i, 1024).to_pylist() if t is not None]
+                texts_seen += len(some)
+                total += distinct_features(some)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(total[at], texts_seen), pa.int64())], names=["feature", "n"])
+
+    rows = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(features)
+    for r in rows:  # one for each feature at most
+        if r["feature"] >= 0:
+            out[r["feature"]] = r["n"]
+    return next((r["n"] for r in rows if r["feature"] < 0), 0), out
+
+
+def distinct_features(texts: list[str]) -> np.ndarray:
+    """How many of the texts have each feature."""
+    total = np.zeros(len(SIZES) << BITS, np.int64)
+    open_text, open_ids = -1, [np.empty(0, np.int64) for _ in SIZES]  # the last text so far, which may go on
+    for codes, offsets, starts, owner in char_pieces(texts, max(SIZES) - 1):
+        for k, size in enumerate(SIZES):
+            at = char_ngrams(codes, size, BITS)
+            first = np.minimum(offsets[:-1], len(at))
+            last = np.clip(np.minimum(offsets[1:] - size + 1, offsets[:-1] + starts), first, len(at))
+            n = last - first
+            place = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            pairs = np.unique((np.repeat(owner, n) << BITS) | at[place])
+            text, ids = pairs >> BITS, pairs & ((1 << BITS) - 1)
+            known = (text == open_text) & np.isin(ids, open_ids[k])
+            total[k << BITS : (k + 1) << BITS] += np.bincount(ids[~known], minlength=1 << BITS)
+            own = ids[text == owner[-1]]
+            open_ids[k] = np.union1d(open_ids[k], own) if owner[-1] == open_text else own
+        open_text = owner[-1]
+    return total
+
+
 def fit_language_model(texts: DataFrame, labels: DataFrame, per_language: int = 400, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-4) -> LanguageModel:
-    """texts(id, text), labels(id, label). ``per_language`` bounds the labelled rows that are used for each language."""
+    """texts(id, text), labels(id, label). ``per_language`` bounds the labelled rows that the classifier is fitted on for
+    each language; the document frequencies behind the IDF are those of all ``texts``."""
+    bound_batches(texts.sparkSession)
     sample, _ = labelled_sample(texts, labels.select("id", "label", F.lit("").alias("group")), per_language)
     languages = sorted({label for _, label, _ in sample})
     features = len(SIZES) << BITS
@@ -62,35 +132,16 @@ def fit_language_model(texts: DataFrame, labels: DataFrame, per_language: int =
         return LanguageModel([], [], np.zeros(0))
     found = [(*term_frequencies(t), languages.index(label)) for t, label, _ in sample if t]
     train, tune = [x for i, x in enumerate(found) if i % 5], [x for i, x in enumerate(found) if not i % 5]
-    df = np.zeros(features)
-    for ids, _, _ in train:
-        df[ids] += 1
-    idf = np.log((1 + len(train)) / (1 + df)) + 1
-    z, n = np.zeros((features, len(languages))), np.zeros((features, len(languages)))
+    n_texts, df = document_frequencies(texts)
+    idf = np.log((1 + n_texts) / (1 + df)) + 1
+    learner = Ftrl(features, len(languages), alpha, beta, l1, l2)
     rng = np.random.default_rng(0)
-
-    def weights(ids: np.ndarray) -> np.ndarray:
-        zz, nn = z[ids], n[ids]
-        return np.where(np.abs(zz) <= l1, 0.0, -(zz - np.sign(zz) * l1) / ((beta + np.sqrt(nn)) / alpha + l2))
-
-    def logits(ids: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        return (tf * idf[ids] * 30) @ weights(ids)
-
     for _ in range(epochs):
         for i in rng.permutation(len(train)):
             ids, tf, y = train[i]
-            if not len(ids):
-                continue
-            x, w = tf * idf[ids] * 30, weights(ids)
-            s = x @ w
-            p = np.exp(s - s.max())
-            p /= p.sum()
-            p[y] -= 1
-            g = x[:, None] * p
-            sigma = (np.sqrt(n[ids] + g * g) - np.sqrt(n[ids])) / alpha
-            z[ids] += g - sigma * w
-            n[ids] += g * g
-    held = [(logits(ids, tf), y) for ids, tf, y in tune if len(ids)]
+            if len(ids):
+                learner.step(ids, tf * idf[ids] * SCALE, y)
+    held = [((tf * idf[ids] * SCALE) @ learner.weights(ids), y) for ids, tf, y in tune if len(ids)]
 
     def loss(t: float) -> float:
         total = 0.0
@@ -100,7 +151,7 @@ def fit_language_model(texts: DataFrame, labels: DataFrame, per_language: int =
         return total
 
     temperature = min(np.geomspace(0.05, 5, 40), key=loss) if held else 1.0
-    w = weights(np.arange(features)) * idf[:, None] * 30 / temperature
+    w = learner.weights(np.arange(features)) * idf[:, None] * SCALE / temperature
     return LanguageModel(languages, [np.ascontiguousarray(w[k << BITS : (k + 1) << BITS], np.float32) for k in range(len(SIZES))], np.zeros(len(languages)))
 
 

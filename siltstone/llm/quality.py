@@ -1,8 +1,9 @@
 """Quality classifier: supervised subword embeddings.
 
-Vectors of hashed words and character n-grams are learned, averaged over a document (words and n-grams each, so that
-the many n-grams do not drown the words) and given to a softmax, all by stochastic gradient descent in numpy. As the average and the output layer are linear, scoring needs one number for
-each bucket, looked up for every feature of the whole text.
+Vectors of hashed words, pairs of neighbouring words and character n-grams are learned, averaged over a document (each
+kind apart, so that the many n-grams do not drown the words) and given to a softmax, all by stochastic gradient descent
+in numpy. As the average and the output layer are linear, scoring needs one number for each bucket, looked up for every
+feature of the whole text.
 """
 
 from __future__ import annotations
@@ -16,22 +17,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow
-from .hashing import char_ngrams, char_pieces, groups, ngram_sums, text_words
+from .hashing import char_ngrams, char_pieces, groups, ngram_sums, text_words, window_hashes
 from .sampling import labelled_sample
 
 SIZES = [2, 3, 4]
 BITS = 16
-FEATURES = (len(SIZES) + 1) << BITS
+#: Kinds of features: n-grams of each size, then words, then pairs of words; each has 2 ** BITS buckets.
+WORDS, PAIRS = len(SIZES), len(SIZES) + 1
+FEATURES = (len(SIZES) + 2) << BITS
 
 
-def word_buckets(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Bucket of each word; a word that repeats the one before it in its text is the feature in bucket 0."""
-    out = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
-    again = np.zeros(len(hashes), bool)
-    again[1:] = hashes[1:] == hashes[:-1]
-    again[first[:-1][first[:-1] < len(hashes)]] = False
-    out[again] = 0
-    return out
+def word_buckets(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def pair_buckets(hashes: np.ndarray) -> np.ndarray:
+    """Bucket of each word with the one after it, also across texts; one fewer than words."""
+    return word_buckets(window_hashes(hashes, 2))
 
 
 @dataclass
@@ -42,25 +44,29 @@ class QualityModel:
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Probability of label 1; texts without a feature get the share of label 1 among the labels."""
         clean = [t or "" for t in texts]
-        sums, counts = ngram_sums(clean, SIZES, BITS, self.tables[:-1])
-        sums, word_sums, word_counts = sums[:, 0], np.zeros(len(clean)), np.zeros(len(clean), np.int64)
+        sums, counts = ngram_sums(clean, SIZES, BITS, self.tables[:WORDS])
+        logit = sums[:, 0] / np.maximum(counts, 1) + self.bias
         for a, b in groups(clean):
             words, first = text_words(clean[a:b], lower=False)
-            run = np.zeros(len(words) + 1)
-            np.cumsum(self.tables[-1][word_buckets(words, first)], dtype=np.float64, out=run[1:])
-            word_sums[a:b] = run[first[1:]] - run[first[:-1]]
-            word_counts[a:b] = first[1:] - first[:-1]
-        return 1 / (1 + np.exp(-(sums / np.maximum(counts, 1) + word_sums / np.maximum(word_counts, 1) + self.bias)))
+            for table, found, size in ((self.tables[WORDS], word_buckets(words), 1), (self.tables[PAIRS], pair_buckets(words), 2)):
+                run = np.zeros(len(found) + 1)
+                np.cumsum(table[found], dtype=np.float64, out=run[1:])
+                n = np.maximum(first[1:] - first[:-1] - size + 1, 0)
+                begin = np.minimum(first[:-1], len(found))
+                logit[a:b] += (run[begin + n] - run[begin]) / np.maximum(n, 1)
+        return 1 / (1 + np.exp(-logit))
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Feature ids (kind and bucket) of a text, and the share that each has of all of its kind (n-grams are one kind)."""
     found = []
     for codes, _, _, _ in char_pieces([text], max(SIZES) - 1, limit=1 << 40):
         found += [char_ngrams(codes, s, BITS).astype(np.int64) + (k << BITS) for k, s in enumerate(SIZES)]
-    found.append(word_buckets(*text_words([text], lower=False)) + (len(SIZES) << BITS))
+    words, _ = text_words([text], lower=False)
+    found += [word_buckets(words) + (WORDS << BITS), pair_buckets(words) + (PAIRS << BITS)]
     ids, n = np.unique(np.concatenate(found), return_counts=True)
-    is_word = ids >= len(SIZES) << BITS
-    return ids, n / np.where(is_word, max(1, n[is_word].sum()), max(1, n[~is_word].sum()))
+    kind = np.maximum(ids >> BITS, WORDS - 1)
+    return ids, n / np.maximum(np.bincount(kind, n, FEATURES >> BITS), 1)[kind]
 
 
 def fit_quality_model(texts: DataFrame, labels: DataFrame, per_label: int = 1500, dim: int = 8, epochs: int = 6, rate: float = 0.3) -> QualityModel:
@@ -69,7 +75,7 @@ def fit_quality_model(texts: DataFrame, labels: DataFrame, per_label: int = 1500
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
     prior = float(np.log((n1 + 1) / (n0 + 1)))
     if not n0 or not n1:
-        return QualityModel([np.zeros(1 << BITS, np.float32) for _ in range(len(SIZES) + 1)], prior)
+        return QualityModel([np.zeros(1 << BITS, np.float32) for _ in range(PAIRS + 1)], prior)
     found = [(*features(t), int(y)) for t, y, _ in sample]
     used = [sum(y == k for _, _, y in found) for k in (0, 1)]
     rng = np.random.default_rng(0)
@@ -100,7 +106,7 @@ def fit_quality_model(texts: DataFrame, labels: DataFrame, per_label: int = 1500
             vectors[ids] = own - (step * share / np.sqrt(grown[ids]))[:, None] * back
     each = vectors @ (out[:, 1] - out[:, 0])
     balance = float(np.log(weight[1] * max(1, used[1]) / (weight[0] * max(1, used[0]))))
-    return QualityModel([np.ascontiguousarray(each[k << BITS : (k + 1) << BITS], np.float32) for k in range(len(SIZES) + 1)], float(bias[1] - bias[0]) + prior - balance)
+    return QualityModel([np.ascontiguousarray(each[k << BITS : (k + 1) << BITS], np.float32) for k in range(PAIRS + 1)], float(bias[1] - bias[0]) + prior - balance)
 
 
 def score_quality(df: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

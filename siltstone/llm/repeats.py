@@ -180,10 +180,21 @@ def split_by_filter(df: DataFrame, id_col: str, keys: KeyFilter) -> tuple[DataFr
     return side(True), side(False)
 
 
-def without(df: DataFrame, id_col: str, dropped: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose id is not in the one long column of ``dropped``. Rows with a null id stay.
-
-    Only rows that a filter cannot clear are shuffled for the exact anti-join."""
-    ids = dropped.toDF(id_col).distinct()
-    doubtful, clear = split_by_filter(df, id_col, KeyFilter.build(ids))
-    return clear.unionByName(doubtful.join(ids, id_col, "left_anti").select(*df.columns))
+def without(df: DataFrame, keys: list[str], dropped: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose long ``keys`` are not together in ``dropped``. Rows with a null in the first key stay.
+
+    Only rows that a filter of the first key cannot clear are shuffled for the exact anti-join."""
+    gone = dropped.toDF(*keys).distinct()
+    doubtful, clear = split_by_filter(df, keys[0], KeyFilter.build(dropped.toDF(*keys).select(keys[0])))
+    return clear.unionByName(doubtful.join(gone, keys, "left_anti").select(*df.columns))
+
+
+def once(df: DataFrame, keys: list[str], repeated: DataFrame) -> DataFrame:
+    """``df`` with one row for each of the long ``keys`` that ``repeated`` holds; all other rows stay. Rows of one key must
+    be equal; only what a filter cannot clear is shuffled, and cut to one row before that."""
+    doubtful, clear = split_by_filter(df, keys[0], KeyFilter.build(repeated.select(keys[0])))
+    wanted = repeated.select(*keys).distinct().withColumn("again", F.lit(True))
+    marked = doubtful.join(wanted, keys, "left").select(*df.columns, "again")
+    others = [c for c in df.columns if c not in keys]
+    one = marked.where("again").groupBy(*keys).agg(F.first(F.struct(*others)).alias("row")).select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in df.columns])
+    return clear.unionByName(marked.where("again IS NULL").drop("again")).unionByName(one)

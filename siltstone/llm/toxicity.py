@@ -1,6 +1,6 @@
 """Toxicity: a convolutional classifier over hashed word embeddings.
 
-Words (runs of ASCII letters, digits and non-ASCII bytes, ASCII in lower case) and their first bytes are hashed to
+Words (runs of ASCII letters, digits and non-ASCII bytes, ASCII in lower case) and their beginnings are hashed to
 buckets; buckets seen in training have a vector each, all others share one, and a word's embedding is the sum of its
 own and its beginnings' vectors, so that unseen forms of a word are known by how they begin. Filters of several widths slide over the words, the maximum of each
 filter over the whole text goes through a ReLU and a dense layer. Trained in numpy; a threshold for each language,
@@ -31,7 +31,7 @@ MISS_COST = 3
 WORDS = 100_000
 
 
-#: Bytes of a word's beginnings that are hashed beside the word.
+#: Bytes, at most, of a word's beginnings that are hashed beside the word; whole characters.
 PREFIXES = (7, 5)
 KINDS = 1 + len(PREFIXES)
 
@@ -42,7 +42,11 @@ def buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     data = LOWER[data]
     begin, end = word_spans(data, offsets[:-1][offsets[:-1] < offsets[1:]], NOT_ALNUM)
     hashes = [word_hashes(data, begin, end)]
-    hashes += [mix(word_hashes(data, begin, np.minimum(end, begin + n)) + np.uint64(n)) for n in PREFIXES]
+    for n in PREFIXES:
+        stop = np.minimum(end, begin + n)
+        for _ in range(3):  # not inside a character
+            stop -= (stop < end) & ((data[np.minimum(stop, len(data) - 1)] & 0xC0) == 0x80)
+        hashes.append(mix(word_hashes(data, begin, stop) + np.uint64(n)))
     return np.stack([(h >> np.uint64(64 - BITS)).astype(np.int64) for h in hashes], axis=1), np.searchsorted(begin, offsets)
 
 
@@ -92,16 +96,21 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(logits - self.thresholds[langs], -30, 30)))
 
 
-def fit_toxicity_model(texts: DataFrame, labels: DataFrame, per_label: int = 2000, dim: int = 16, filters: int = 8, epochs: int = 6, rate: float = 0.1, least_words: int = 3) -> ToxicityModel:
-    """texts(id, text), labels(id, label in 0, 1, group). ``per_label`` bounds the labelled rows that are used for each
-    label; ``group``, the language, only forms the groups for thresholds and teaches the guess from words."""
-    sample, counts = labelled_sample(texts, labels, per_label)
+def fit_toxicity_model(texts: DataFrame, labels: DataFrame, per_label: int = 2000, dim: int = 16, filters: int = 8, epochs: int = 6, rate: float = 0.1, least_words: int = 3, least_steps: int = 12_000, own_rows: int = 20) -> ToxicityModel:
+    """texts(id, text), labels(id, label in 0, 1, group).
+
+    ``per_label`` bounds the labelled rows that are used for each label (half as many more where languages are small);
+    ``group``, the language, only forms the groups for thresholds and teaches the guess from words. Buckets that
+    ``least_words`` rows of the sample have get a vector. Training goes ``epochs`` times through the sample, a small one
+    (up to five times as often) until ``least_steps`` rows were seen. A language's threshold stands between the common
+    one and its own best, the nearer to its own the more tuning rows of its rarer label it has, half way at ``own_rows``."""
+    sample, counts = labelled_sample(texts, labels, per_label, by_group=True)
     langs_of, docs_text, labels_of = [x[2] or "" for x in sample], [x[0] for x in sample], [int(x[1]) for x in sample]
     names = sorted(set(langs_of)) or [""]
     docs = [buckets([t])[0] for t in docs_text]
     seen, n = np.unique(np.concatenate([np.unique(d) for d in docs]) if docs else np.empty(0, np.int64), return_counts=True)
-    kept = seen[n >= least_words][np.argsort(-n[n >= least_words], kind="stable")][:60_000]
-    row_of = np.zeros(1 << BITS, np.uint16)
+    kept = seen[n >= least_words]
+    row_of = np.zeros(1 << BITS, np.int32)
     row_of[kept] = np.arange(1, len(kept) + 1)
     size = len(kept) + 2
     docs = [np.concatenate([row_of[d].astype(np.int64), np.full((PAD + 1, KINDS), size - 1)]) for d in docs]
@@ -116,8 +125,7 @@ def fit_toxicity_model(texts: DataFrame, labels: DataFrame, per_label: int = 200
     fit, tune = [i for i in range(len(docs)) if i % 4], [i for i in range(len(docs)) if not i % 4]
     total = [max(1, sum(labels_of[i] == k for i in fit)) for k in (0, 1)]
     weight = [len(fit) / (2 * t) for t in total]
-    # small samples are gone through more often
-    for _ in range(max(epochs, min(30, 12_000 // max(1, len(fit))))):
+    for _ in range(max(epochs, min(5 * epochs, least_steps // max(1, len(fit))))):
         for i in rng.permutation(fit):
             doc, y = docs[i], labels_of[i]
             places = len(doc) - PAD
@@ -178,8 +186,9 @@ def fit_toxicity_model(texts: DataFrame, labels: DataFrame, per_label: int = 200
         model.thresholds[:] = common
         for k in range(len(names)):
             own = guess == k
-            if y[own].sum() >= 20 and (1 - y[own]).sum() >= 20:
-                model.thresholds[k] = best(own)
+            rarer = min(y[own].sum(), (1 - y[own]).sum())
+            if rarer:
+                model.thresholds[k] = (own_rows * common + rarer * best(own)) / (own_rows + rarer)
     return model
 
 

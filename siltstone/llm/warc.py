@@ -136,7 +136,7 @@ def write_warc(df: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     again = marked.where("refers_to IS NOT NULL")
     # revisits need no payload; records of one chunk are not shuffled; those of several are led by a row with the digest
     revisits = again.withColumns({"n_chunks": F.lit(1).cast("long"), "chunk_no": F.lit(0).cast("long"), "data": F.lit(b"")}).select(*columns)
-    small = without(chunks.where("n_chunks = 1"), "row", again.where("n_chunks = 1").select("row")).select("*", none)
+    small = without(chunks.where("n_chunks = 1"), ["row"], again.where("n_chunks = 1").select("row")).select("*", none)
     leads = marked.where("refers_to IS NULL AND n_chunks > 1").withColumns({"chunk_no": F.lit(-1).cast("long"), "data": F.lit(b"")}).select(*columns)
     large = chunks.where("n_chunks > 1").join(again.where("n_chunks > 1").select("row"), "row", "left_anti").select("*", none)
     large = large.select(*columns).unionByName(leads).repartition(F.col("row")).sortWithinPartitions("row", "chunk_no")

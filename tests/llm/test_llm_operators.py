@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontam, hashing, idfiles, jaccard, langid, media, passages, quality, repeats, toxicity, warc
+from siltstone.llm import bpe, decontam, hashing, idfiles, jaccard, langid, media, passages, quality, repeats, sampling, toxicity, warc
 from siltstone.llm.common import attach
 from siltstone.llm.components import connected_components
 
@@ -83,7 +83,7 @@ def test_repeated_items_and_filter(spark):
     assert keys.passes(ids)[:5000:5].all() and keys.passes(ids).sum() < 1100
     assert repeats.KeyFilter.build(spark.range(0)).passes(ids).sum() == 0
     rows = docs(spark, odd_rows())
-    left = repeats.without(rows, "doc_id", spark.createDataFrame([(4,), (9,), (None,)], "k long"))
+    left = repeats.without(rows, ["doc_id"], spark.createDataFrame([(4,), (9,), (None,)], "k long"))
     assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(map(str, [1, 2, 3, None, 5, 6, 7, 8])) and left.columns == rows.columns
 
 
@@ -608,6 +608,72 @@ def test_language_id(spark):
     assert abs(whole[0] - parts[0]) < 0.05
 
 
+def test_language_scores_equal_a_naive_average():
+    rng = np.random.default_rng(2)
+    model = langid.LanguageModel(["a", "b"], [rng.normal(size=(1 << langid.BITS, 2)).astype(np.float32) for _ in langid.SIZES], rng.normal(size=2))
+    texts = ["Hello wörld", "x", "日本語 text " * 40, "ab"]
+    langs, scores = model.predict(texts)
+    for t, lang, score in zip(texts, langs, scores, strict=True):
+        t = t.lower()
+        rows = [model.tables[k][int(hashing.char_ngrams(np.array([ord(c) for c in t[i : i + size]], np.uint32), size, langid.BITS)[0])] for k, size in enumerate(langid.SIZES) for i in range(len(t) - size + 1)]
+        e = np.exp(np.mean(rows, axis=0, dtype=np.float64) + model.bias)
+        assert lang == model.languages[e.argmax()] and abs(score - e.max() / e.sum()) < 1e-6
+
+
+def test_ftrl_equals_the_formula():
+    """A dense loop over all coordinates, one number at a time."""
+    rng, features, classes = np.random.default_rng(3), 6, 3
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.05, 0.1
+    own = langid.Ftrl(features, classes, alpha, beta, l1, l2)
+    z, n = [[0.0] * classes for _ in range(features)], [[0.0] * classes for _ in range(features)]
+
+    def weight(i, c):
+        sign = np.sign(z[i][c])
+        return 0.0 if abs(z[i][c]) <= l1 else -(z[i][c] - sign * l1) / ((beta + n[i][c] ** 0.5) / alpha + l2)
+
+    for _ in range(60):
+        ids = np.sort(rng.choice(features, rng.integers(1, features), replace=False))
+        x, y = rng.normal(size=len(ids)), int(rng.integers(classes))
+        own.step(ids, x, y)
+        w = [[weight(i, c) for c in range(classes)] for i in range(features)]
+        s = [sum(v * w[i][c] for i, v in zip(ids, x, strict=True)) for c in range(classes)]
+        e = [np.exp(v) for v in s]
+        for i, v in zip(ids, x, strict=True):
+            for c in range(classes):
+                g = v * (e[c] / sum(e) - (c == y))
+                z[i][c] += g - ((n[i][c] + g * g) ** 0.5 - n[i][c] ** 0.5) / alpha * w[i][c]
+                n[i][c] += g * g
+    assert np.allclose(own.z, z) and np.allclose(own.n, n)
+    assert np.allclose(own.weights(np.arange(features)), [[weight(i, c) for c in range(classes)] for i in range(features)])
+
+
+def test_document_frequencies_count_all_texts(spark, monkeypatch):
+    texts = [t for _, t in odd_rows()] + ["La casa", "la CASA la casa"]
+    n, df = langid.document_frequencies(docs(spark, [(k, t) for k, t in enumerate(texts)]).repartition(3))
+    expected = np.zeros(len(langid.SIZES) << langid.BITS)
+    for t in texts:
+        if t:
+            expected[langid.term_frequencies(t)[0]] += 1
+    assert n == sum(t is not None for t in texts) and (df == expected).all()
+
+
+def test_quality_scores_equal_a_naive_average():
+    rng = np.random.default_rng(4)
+    tables = [rng.normal(size=1 << quality.BITS).astype(np.float32) for _ in range(quality.PAIRS + 1)]
+    model = quality.QualityModel(tables, 0.3)
+    texts = ["one two two three", "Ünï ©ode words", "x", "", None, "same same same " * 30]
+    for t, score in zip(texts, model.score(texts), strict=True):
+        t = t or ""
+        grams = [tables[k][int(hashing.char_ngrams(np.array([ord(c) for c in t[i : i + size]], np.uint32), size, quality.BITS)[0])] for k, size in enumerate(quality.SIZES) for i in range(len(t) - size + 1)]
+        words = [hashing.text_words([w], lower=False)[0] for w in t.split()]
+        single = [tables[quality.WORDS][int(quality.word_buckets(w)[0])] for w in words]
+        pairs = [tables[quality.PAIRS][int(quality.pair_buckets(np.concatenate(p))[0])] for p in zip(words, words[1:], strict=False)]
+        logit = 0.3 + sum(float(np.mean(x, dtype=np.float64)) for x in (grams, single, pairs) if x)
+        assert abs(score - 1 / (1 + np.exp(-logit))) < 1e-6
+        ids, share = quality.features(t)
+        assert abs(np.concatenate(tables)[ids] @ share + 0.3 - logit) < 1e-5
+
+
 def test_quality(spark):
     texts, labels = labelled(spark, "quality", "quality")
     model = quality.fit_quality_model(texts, labels.where("id % 4 <> 0"))
@@ -621,6 +687,65 @@ def test_quality(spark):
     assert quality.score_quality(docs(spark, []), model).count() == 0
 
 
+def test_toxicity_scores_equal_a_naive_forward_pass():
+    """Word by word, filter by filter, for a model of random weights."""
+    import re
+
+    rng, filters, rows = np.random.default_rng(5), 3, 50
+    row_of = rng.integers(0, rows, 1 << toxicity.BITS).astype(np.int32)
+    responses = [rng.normal(size=(w, rows + 1, filters)).astype(np.float32) for w in toxicity.WIDTHS]
+    for r in responses:
+        r[:, -1] = 0
+    model = toxicity.ToxicityModel(row_of, responses, rng.normal(size=(len(toxicity.WIDTHS), filters)), rng.normal(size=len(toxicity.WIDTHS) * filters), 0.1, rng.normal(size=(rows + 1, 2)).astype(np.float32), np.array([0.5, -0.5]))
+    model.languages[-1] = 0
+    texts = ["One, two three ñandúes", "", None, "a", "longword_beginnings and übergrößenträger again " * 20]
+    got = model.score(texts)
+
+    def mean_of(word):
+        whole = word.encode()
+        parts = [whole]
+        for most in toxicity.PREFIXES:
+            cut = min(most, len(whole))
+            while 0 < cut < len(whole) and whole[cut] & 0xC0 == 0x80:
+                cut -= 1
+            parts.append(whole[:cut])
+        buckets = []
+        for k, x in enumerate(parts):
+            data = np.frombuffer(x, np.uint8)
+            h = hashing.word_hashes(data, np.array([0]), np.array([len(x)]))
+            h = h if not k else hashing.mix(h + np.uint64(toxicity.PREFIXES[k - 1]))
+            buckets.append(int(h[0] >> np.uint64(64 - toxicity.BITS)))
+        return [int(row_of[b]) for b in buckets]
+
+    for t, score in zip(texts, got, strict=True):
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+        words = [mean_of(w) for w in re.findall(r"[0-9a-z\u0080-\U0010ffff]+", low)]
+        places = words + [[rows] * toxicity.KINDS] * toxicity.PAD
+        if not words:
+            places = [[rows] * toxicity.KINDS] * (toxicity.PAD + 1)
+        hidden = []
+        for k, width in enumerate(toxicity.WIDTHS):
+            for f in range(filters):
+                best = max(sum(float(responses[k][j][r][f]) for j in range(width) for r in places[i + j]) for i in range(max(1, len(words))))
+                hidden.append(max(0.0, best + float(model.filter_bias[k][f])))
+        logit = sum(h * o for h, o in zip(hidden, model.out.tolist(), strict=True)) + 0.1
+        guess = sum((model.languages[w[0]] for w in words), np.zeros(2)).argmax()
+        assert abs(score - 1 / (1 + np.exp(-(logit - model.thresholds[guess])))) < 1e-4
+
+
+def test_samples_do_not_depend_on_how_rows_are_dealt(spark):
+    """Repeated ids with different texts and labels; a rare group has rows too."""
+    rows = [(k % 900, f"text {k}", int(k % 10 == 0), "rare" if k % 50 == 0 else "common") for k in range(1000)]
+    df = spark.createDataFrame(rows, "id long, text string, label int, group string")
+    found = []
+    for n in (1, 7):
+        dealt = df.repartition(n, "text")
+        found.append(sampling.labelled_sample(dealt.select("id", "text"), dealt.select("id", "label", "group"), 40, by_group=True))
+    assert found[0] == found[1]
+    sample, counts = found[0]
+    assert counts == {0: 900, 1: 100} and sum(g == "rare" for _, _, g in sample) >= 8 and len(sample) <= 120
+
+
 def test_toxicity(spark):
     # sf0.01 has 51 toxic rows, too few to learn ten words in four languages from
     texts, labels = labelled(spark, "toxic", "toxic", "/root/testdata/sf0.1")

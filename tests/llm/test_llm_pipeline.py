@@ -1,10 +1,15 @@
 """The corpus pipeline and the registered queries."""
 
+import hashlib
+import struct
+import zlib
+
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from siltstone.llm import queries
+from siltstone.llm import bpe, media, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,6 +40,29 @@ def test_stages(spark):
     assert set(after["bpe"]) == set(after["decontamination"]) and after["bpe"][9009]["n_tokens"] > 5
 
 
+def test_stages_on_odd_rows(spark):
+    """Ids that repeat or are null, equal rows, long texts, nulls in all columns, and columns with names of the operators' own."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+    good = "this is the text of a document that has its own words and stays " + " ".join(f"stay{k}" for k in range(30))
+    copy = "these are other words of a text that several rows have in common here " + " ".join(f"copy{k}" for k in range(60))
+    long = " ".join(f"the{k % 977}" for k in range(60_000))
+    rows = [(1, good), (1, copy), (2, copy), (2, copy), (None, copy), (3, good.replace("stay", "other")), (3, f"leak {item} leak"), (None, "some words without an id that are no copy"), (None, None), (4, None), (5, ""), (6, long), (6, long), (7, "one two"), (7, "three four")]
+    df = spark.createDataFrame([(i, t, None, None, None, 1, 1, "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, row_key int, key int, doc string")
+    stages = dict(corpus_pipeline.STAGES)
+    once = stages["jaccard_join"](spark, df, SF)
+    assert once.columns == corpus_pipeline.COLUMNS
+    kept = sorted(((r["doc_id"], r["text"]) for r in once.collect()), key=str)
+    # equal texts: the row with the smallest id stays, once; texts without words are in no group
+    assert kept == sorted([(1, good), (1, copy), (3, good.replace("stay", "other")), (3, f"leak {item} leak"), (None, "some words without an id that are no copy"), (None, None), (4, None), (5, ""), (6, long), (7, "one two"), (7, "three four")], key=str)
+    left = stages["decontamination"](spark, df, SF).collect()
+    assert len(left) == len(rows) - 1 and not any("leak" in (r["text"] or "") for r in left)
+    cut = stages["substring_dedup"](spark, df, SF)
+    assert cut.columns == corpus_pipeline.COLUMNS and cut.count() == len(rows)
+    assert stages["bpe"](spark, df, SF).count() == len(rows)
+    # without rows to learn from, no language is known and nothing is identified
+    assert stages["language_id"](spark, df, SF).count() == 0
+
+
 def test_stages_without_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
     for name, stage in corpus_pipeline.STAGES:
@@ -61,3 +89,44 @@ def test_query_has_a_row_for_each_document(spark, name):
     df = queries.queries()[name](spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert df.count() == df.select("doc_id").distinct().count() == docs.count()
+
+
+def rows_of(spark, name, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in queries.queries()[name](spark, SF).collect()), key=str)
+
+
+def test_tokens_equal_the_library(spark):
+    """op7 and op9 row by row, from the library alone."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.default_path())
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    seven, nine, at = [], [], 0
+    for r in docs:
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids
+        raw = np.array(ids, "<u4").tobytes()
+        seven.append((r["doc_id"], len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+        nine.append((r["doc_id"], at, len(ids) + 1, zlib.crc32(raw + np.array([2], "<u4").tobytes())))
+        at += len(ids) + 1
+    assert rows_of(spark, "op7_bpe", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(seven, key=str)
+    assert rows_of(spark, "op9_token_files", "doc_id", "start", "n_tokens", "ids_crc32") == sorted(nine, key=str)
+
+
+def test_media_equal_a_plain_computation(spark):
+    expected = []
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        raw = (r["text"] or "").encode()
+        p = raw + b" " * (-len(raw) % 192 or (0 if raw else 192))
+        wav = b"RIFF" + struct.pack("<I", 36 + len(p)) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, 8000, 8000, 1, 8) + b"data" + struct.pack("<I", len(p)) + p
+        crossings = sum((a < 128) != (b < 128) for a, b in zip(p, p[1:], strict=False))
+        chunks, begin, h = 0, 0, 0
+        for k, b in enumerate(wav):
+            h = ((h << 1) + int(media.GEAR[b])) & 0xFFFFFFFF
+            n = k + 1 - begin
+            if (n >= media.LEAST and h >> (32 - media.MASK_BITS) == 0) or n == media.MOST:
+                chunks, begin = chunks + 1, k + 1
+        chunks += begin < len(wav)
+        feature = f"samples={len(p)};sum={sum(p)};squares={sum(x * x for x in p)};min={min(p)};max={max(p)};crossings={crossings};chunks={chunks}"
+        expected.append((r["doc_id"], len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:]), len(wav), hashlib.sha256(wav).hexdigest(), feature))
+    got = rows_of(spark, "op8_media", "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    assert got == sorted(expected, key=str)
