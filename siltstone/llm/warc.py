@@ -79,8 +79,9 @@ def write_warc(df: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     """Write one record per row; returns the manifest (file, records), in Parquet written by Spark's commit protocol.
 
     Null payloads are empty payloads. Payloads of fewer than ``least_bytes`` bytes are never deduplicated. A null url
-    is written as an empty one. Rows with a null id are responses and never referred to. Repeated ids write repeated
-    records; of equal payloads, each record that has not the smallest id is a revisit."""
+    is written as an empty one, and white space in a url as one blank, as a head has lines. Rows with a null id are
+    responses and never referred to. Repeated ids write repeated records with one WARC-Record-ID, which names the row's
+    id; of equal payloads, each record that has not the smallest id is a revisit. An empty table writes no file."""
     folder = new_path(df.sparkSession, "warc")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,6 +145,10 @@ def write_warc(df: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     return materialize(rows.mapInArrow(write, "file string, records long"), "warc-manifest")
 
 
+#: Bytes of a record's head at most; addresses are the longest part.
+MOST_HEAD = 1 << 24
+
+
 class GzipText:
     """Bytes of a file of gzip members, a bounded piece at a time."""
 
@@ -163,7 +168,12 @@ class GzipText:
         return True
 
     def until(self, mark: bytes) -> bytes | None:
-        while (at := self.held.find(mark)) < 0:
+        """What stands before the mark, which has to come within MOST_HEAD bytes; None at the end of the file."""
+        seen = 0
+        while (at := self.held.find(mark, max(0, seen - len(mark) + 1))) < 0:
+            seen = len(self.held)
+            if seen > MOST_HEAD:
+                raise ValueError("not a record's head")
             if not self.more():
                 return None
         got, self.held = self.held[:at], self.held[at + len(mark) :]
