@@ -10,7 +10,10 @@ two passes:
 1. Each set goes to the trees of SEEDS of its prefix shingles, those with the lowest hashes. Copies and near copies meet
    here, and their components are formed.
 2. A prefix shingle whose sets are all in one component has nothing more to tell. For the others, each list of sets once,
-   however many shingles have that list, trees look for links between different components.
+   however many shingles have that list, trees of the prefixes alone look for pairs in different components that may be
+   similar: what the prefixes share and what the rest could add must suffice. The few pairs that are left are counted
+   in full. A tree that has more of them than MOST_PAIRS for each set is grown again from whole sets, which finds links
+   without listing pairs.
 
 Long lists are dealt in blocks: the sets of the commonest component go to one block each, the others to all of them.
 """
@@ -37,6 +40,8 @@ PART, WHOLE = 80, 100
 BLOCK_SETS, BLOCK_SHINGLES = 4096, 1_000_000
 #: Trees that each set goes to in the first pass.
 SEEDS = 2
+#: Pairs to count in full for each set of a tree of prefixes; beyond that, a tree of whole sets finds the links.
+MOST_PAIRS = 4
 #: Document frequencies count to this; commoner shingles are ordered by their hash alone.
 MOST_DOCS = 10_000
 HOT_DOCS = 1 / 200
@@ -104,9 +109,10 @@ def profile(docs: DataFrame) -> DataFrame:
 
 
 def frequent_sets(docs: DataFrame, survivors: KeyFilter, hot: np.ndarray) -> DataFrame:
-    """(key, n, tokens, prefix): sets of which at least 0.8 of the shingles are in another set too.
+    """(key, n, tokens, prefix, last): sets of which at least 0.8 of the shingles are in another set too.
 
-    ``tokens`` are those shingles, rare first; the first ``prefix`` of them must hold one of any similar set's."""
+    ``tokens`` are those shingles, rare first; the first ``prefix`` of them must hold one of any similar set's, and
+    ``last`` is the document frequency of the last one of these, which is its place in the order."""
     spark = docs.sparkSession
     passed, common = spark.sparkContext.broadcast(survivors), spark.sparkContext.broadcast(hot)
 
@@ -187,18 +193,19 @@ def frequent_sets(docs: DataFrame, survivors: KeyFilter, hot: np.ndarray) -> Dat
                 df, token = pairs[order, 0], pairs[order, 1]
                 if len(token):
                     once = np.concatenate([[True], (token[1:] != token[:-1]) | (df[1:] != df[:-1])])
-                    token = token[once]
+                    token, df = token[once], df[once]
                 need = at_least(n)
                 if len(token) >= need:
-                    rows.append((key, n, token.astype("<i8").tobytes(), n - need + 1 - (n - len(token))))
+                    prefix = n - need + 1 - (n - len(token))
+                    rows.append((key, n, token.astype("<i8").tobytes(), prefix, int(df[prefix - 1])))
             if rows:
                 cols = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)], names=["key", "n", "tokens", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["key", "n", "tokens", "prefix", "last"])
 
     spread_rows = docs.mapInArrow(spread, "token long, key long, n long, hot binary")
     settled = spread_rows.repartition(F.col("token")).sortWithinPartitions("token").mapInArrow(settle, "key long, n long, packed binary")
     by_key = settled.groupBy("key").agg(F.max("n").alias("n"), F.collect_list("packed").alias("packed"))  # a set's own shingles
-    return by_key.mapInArrow(choose, "key long, n long, tokens binary, prefix long")
+    return by_key.mapInArrow(choose, "key long, n long, tokens binary, prefix long, last long")
 
 
 class PrefixTree:
@@ -272,38 +279,111 @@ class PrefixTree:
         return [(self.order[a], self.order[b]) for a, b in found]
 
 
-def tree_links(rows: DataFrame) -> DataFrame:
-    """rows(token, i, j, key, n, tokens, root): one tree for each (token, i, j). Returns links (u, v) between roots.
+    def pairs(self, label: np.ndarray, size: np.ndarray, place: list[tuple[int, int]], most: int) -> list[tuple[int, int]] | None:
+        """For a tree of prefixes: pairs of sets of different ``label`` that may be similar; None if there are more than ``most``.
+
+        ``size`` has all frequent shingles of a set, ``place`` its last prefix shingle in the order of all. Whatever two
+        sets share up to the earlier of their last prefix shingles stands in both prefixes; beyond it the set that ends
+        earlier has its rest, and the other one no more than it has not shared yet."""
+        label, size = label[self.order], size[self.order]
+        rest = size - np.array([len(s) for s in self.sets])
+        place = [place[i] for i in self.order]
+        most_rest = int(rest.max())
+        found = []
+        own = np.zeros(self.alphabet, bool)
+        for x in range(1, len(self.sets)):
+            s, n = self.sets[x], int(self.sizes[x])
+            own[s] = True
+            stack = [(self.root, 0)]
+            while stack:
+                (run, lo, hi, low, high, longest, children), overlap = stack.pop()
+                if lo >= x or PART * low > WHOLE * n or WHOLE * high < PART * n or (label[lo : min(hi, x)] == label[x]).all():
+                    continue
+                overlap += int(own[run].sum())
+                left = len(s) - int(np.searchsorted(s, run[-1], "right")) if len(run) else len(s) - overlap
+                if (PART + WHOLE) * (overlap + min(left, longest) + most_rest) < PART * (n + low):
+                    continue
+                first_child = min((c[1] for c in children), default=hi)
+                for y in range(lo, min(first_child, x)):
+                    first, other = (x, y) if place[x] <= place[y] else (y, x)
+                    more = min(int(rest[first]), int(size[other]) - overlap)
+                    if label[y] != label[x] and (PART + WHOLE) * (overlap + more) >= PART * (n + int(self.sizes[y])):
+                        found.append((y, x))
+                stack += [(c, overlap) for c in children]
+            own[s] = False
+            if len(found) > most:
+                return None
+        return [(self.order[a], self.order[b]) for a, b in found]
+
+
+def trees(rows: DataFrame, columns: list[str], found, schema: str) -> DataFrame:
+    """rows(token, i, j, columns): ``found`` makes a batch, or None, of the rows of each (token, i, j).
 
     Trees of a task follow each other; only one is in memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
-
-        def grown() -> Iterator[pa.RecordBatch]:
-            n, root = (np.concatenate([x[k] for x in held]) for k in (0, 2))
-            if len(n) > 1 and (root != root[0]).any():
-                tree = PrefixTree([np.frombuffer(t, "<i8") for x in held for t in x[1]], n)
-                found = tree.links(root)
-                if found:
-                    a, b = np.array(found).T
-                    yield pa.RecordBatch.from_arrays([pa.array(root[a], pa.int64()), pa.array(root[b], pa.int64())], names=["u", "v"])
-
         for batch in batches:
-            token, i, j, n, root = (batch.column(k).to_numpy() for k in (0, 1, 2, 4, 6))
-            tokens = batch.column(5).to_pylist()
-            cut = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(token)], strict=True):
+            token, i, j = (batch.column(k).to_numpy() for k in range(3))
+            cut = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])) if len(token) else ()
+            for a, b in zip(cut, [*cut[1:], len(token)], strict=True):
                 if current != (token[a], i[a], j[a]):
-                    if held:
-                        yield from grown()
+                    if held and (out := found(pa.Table.from_batches(held))) is not None:
+                        yield out
                     current, held = (token[a], i[a], j[a]), []
-                held.append((n[a:b], tokens[a:b], root[a:b]))
-        if held:
-            yield from grown()
+                held.append(batch.slice(a, b - a))
+        if held and (out := found(pa.Table.from_batches(held))) is not None:
+            yield out
+
+    key = ["token", "i", "j"]
+    return rows.select(*key, *columns).repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
+
+
+def tree_links(rows: DataFrame) -> DataFrame:
+    """rows(token, i, j, n, tokens, root): links (u, v) between roots, from trees of whole sets."""
+
+    def found(rows: pa.Table) -> pa.RecordBatch | None:
+        n, root = rows["n"].to_numpy(), rows["root"].to_numpy()
+        if len(n) < 2 or (root == root[0]).all():
+            return None
+        a, b = np.array(PrefixTree([np.frombuffer(t, "<i8") for t in rows["tokens"].to_pylist()], n).links(root), np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(root[a], pa.int64()), pa.array(root[b], pa.int64())], names=["u", "v"])
+
+    return trees(rows, ["n", "tokens", "root"], found, "u long, v long")
+
+
+def tree_pairs(rows: DataFrame) -> DataFrame:
+    """rows(token, i, j, key, n, size, last, head, root): pairs (a, b) of keys to count in full, from trees of prefixes;
+    for a tree with too many of them one row that names it."""
+
+    def found(rows: pa.Table) -> pa.RecordBatch | None:
+        key, n, size, last, root = (rows[c].to_numpy() for c in ("key", "n", "size", "last", "root"))
+        if len(n) < 2 or (root == root[0]).all():
+            return None
+        heads = [np.frombuffer(t, "<i8") for t in rows["head"].to_pylist()]
+        place = [(df, int(h[-1])) for df, h in zip(last.tolist(), heads, strict=True)]
+        got = PrefixTree(heads, n).pairs(root, size, place, MOST_PAIRS * len(n))
+        a, b = np.array(got or [], np.int64).reshape(-1, 2).T
+        whole = [[rows[c][0].as_py()] for c in ("token", "i", "j")] if got is None else [[None] * len(a)] * 3
+        pairs = [[None]] * 2 if got is None else [key[a], key[b]]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*pairs, *whole], (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["a", "b", "token", "i", "j"])
+
+    return trees(rows, ["key", "n", "size", "last", "head", "root"], found, "a long, b long, token long, i int, j int")
+
+
+def counted_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs(a, b) of sets(key, n, tokens, root): links (u, v) between roots of those that are similar."""
+    one, other = (sets.select(F.col("key").alias(k), F.struct("n", "tokens", "root").alias(f"set_{k}")) for k in ("a", "b"))
+    both = pairs.join(one, "a").join(other, "b").select("set_a.root", F.col("set_b.root").alias("v"), "set_a.n", F.col("set_b.n").alias("m"), "set_a.tokens", F.col("set_b.tokens").alias("more"))
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            shared = [len(np.intersect1d(np.frombuffer(x, "<i8"), np.frombuffer(y, "<i8"), assume_unique=True)) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+            ok = pa.array((PART + WHOLE) * np.array(shared, np.int64) >= PART * n)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["u", "v"])
 
-    dealt = rows.select("token", "i", "j", "key", "n", "tokens", "root").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return dealt.mapInArrow(run, "u long, v long")
+    return both.mapInArrow(similar, "u long, v long")
 
 
 def blocks_of(sets, shingles):
@@ -367,12 +447,13 @@ def similar_sets(docs: DataFrame, profiled: DataFrame) -> DataFrame:
         for batch in batches:
             prefix = np.minimum(batch.column(2).to_numpy(), [len(t) // 8 for t in batch.column(1).to_pylist()])
             token = np.frombuffer(b"".join([t[: 8 * p] for t, p in zip(batch.column(1).to_pylist(), prefix.tolist(), strict=True)]), "<i8")
-            cols = [pa.array(token, pa.int64()), *(pa.array(np.repeat(batch.column(k).to_numpy(), prefix), pa.int64()) for k in (0, 3)), pa.array(np.repeat([len(t) // 8 for t in batch.column(1).to_pylist()], prefix), pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=["token", "key", "root", "shingles"])
+            cols = [pa.array(token, pa.int64()), *(pa.array(np.repeat(batch.column(k).to_numpy(), prefix), pa.int64()) for k in (0, 3, 4)), pa.array(np.repeat([len(t) // 8 for t in batch.column(1).to_pylist()], prefix), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["token", "key", "root", "n", "shingles"])
 
-    entries = materialize(rooted.select("key", "tokens", "prefix", "root").mapInArrow(prefix_rows, "token long, key long, root long, shingles long"), "jaccard-prefixes")
-    by_root = entries.groupBy("token", "root").agg(F.count("*").alias("sets"), F.sum("shingles").alias("shingles"), F.bit_xor(F.xxhash64("key")).alias("one"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("other"))
-    open_lists = by_root.groupBy("token").agg(F.sum("sets").alias("sets"), F.sum("shingles").alias("shingles"), F.max_by("root", "sets").alias("commonest"), F.max("sets").alias("most"), F.bit_xor("one").alias("one"), F.bit_xor("other").alias("other"), F.count("*").alias("roots")).where("roots > 1")
+    entries = materialize(rooted.select("key", "tokens", "prefix", "root", "n").mapInArrow(prefix_rows, "token long, key long, root long, n long, shingles long"), "jaccard-prefixes")
+    by_root = entries.groupBy("token", "root").agg(F.count("*").alias("sets"), F.sum("shingles").alias("shingles"), F.min("n").alias("low"), F.max("n").alias("high"), F.bit_xor(F.xxhash64("key")).alias("one"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("other"))
+    open_lists = by_root.groupBy("token").agg(F.sum("sets").alias("sets"), F.sum("shingles").alias("shingles"), F.max_by("root", "sets").alias("commonest"), F.max("sets").alias("most"), F.bit_xor("one").alias("one"), F.bit_xor("other").alias("other"), F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("roots")).where("roots > 1")
+    open_lists = open_lists.where((F.col("sets") > 2) | (F.col("high") * PART <= F.col("low") * WHOLE))  # two sets of one size, or more
     # one shingle for each list of sets
     once = open_lists.groupBy("one", "other", "sets").agg(F.min_by(F.struct("token", "shingles", "commonest", "most"), "token").alias("l"))
     once = once.select("l.token", "sets", "l.commonest", (F.col("sets") - F.col("l.most")).alias("others"), blocks_of(F.col("sets"), F.col("l.shingles")).alias("blocks"))
@@ -383,8 +464,13 @@ def similar_sets(docs: DataFrame, profiled: DataFrame) -> DataFrame:
     spread = F.when((F.col("others") <= BLOCK_SETS) & (F.col("root") == F.col("commonest")), F.array(F.struct(block.alias("i"), F.lit(-1).alias("j"))))
     spread = spread.when(F.col("others") <= BLOCK_SETS, F.transform(all_blocks, lambda k: F.struct(k.alias("i"), F.lit(-1).alias("j"))))
     spread = spread.otherwise(F.transform(all_blocks, lambda k: F.struct(F.least(k, block).alias("i"), F.greatest(k, block).alias("j"))))
-    wide = members.select("token", "key", F.explode(spread).alias("at")).join(rooted.select("key", "n", "tokens", "root"), "key")
-    second = tree_links(wide.select("token", "at.i", "at.j", "key", "n", "tokens", "root"))
+    places = members.select("token", "key", F.explode(spread).alias("at")).select("token", "at.i", "at.j", "key")
+    heads = rooted.select("key", "n", (F.octet_length("tokens") / 8).cast("long").alias("size"), "last", F.substring(F.col("tokens"), F.lit(1), (8 * F.col("prefix")).cast("int")).alias("head"), "root")
+    tried = materialize(tree_pairs(places.join(heads, "key")), "jaccard-pairs")
+    second = counted_links(tried.where("a IS NOT NULL").select("a", "b").distinct(), rooted)
+    crowded = materialize(tried.where("a IS NULL").select("token", "i", "j"), "jaccard-crowded")
+    if not crowded.isEmpty():
+        second = second.unionByName(tree_links(places.join(crowded, ["token", "i", "j"]).join(rooted.select("key", "n", "tokens", "root"), "key")))
     merged = materialize(connected_components(second), "jaccard-second").select(F.col("node").alias("root"), F.col("root").alias("top"))
     grouped = known_roots.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     # components of one set that the second pass joined

@@ -441,9 +441,10 @@ def chained_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize("blocks", [4096, 3])
-def test_one_group_of_prefixes(spark, monkeypatch, blocks):
+@pytest.mark.parametrize(("blocks", "pairs"), [(4096, 4), (3, 4), (4096, 0)])
+def test_one_group_of_prefixes(spark, monkeypatch, blocks, pairs):
     monkeypatch.setattr(jaccard, "BLOCK_SETS", blocks)
+    monkeypatch.setattr(jaccard, "MOST_PAIRS", pairs)
     monkeypatch.setattr(jaccard, "MOST_DOCS", 6)
     rows = chained_rows(blocks)
     got = jaccard.near_duplicates(docs(spark, rows).repartition(4))
@@ -490,6 +491,13 @@ def test_prefix_tree_joins_what_is_linked(sets):
     across = jaccard.PrefixTree(arrays, np.array([len(s) for s in sets])).links(label)
     same = [(a, b) for a in range(len(sets)) for b in range(a) if label[a] == label[b]]
     assert all(label[a] != label[b] for a, b in across) and classes(across + same) == classes(linked + same)
+    # prefixes in the order of numbers: all linked pairs are among the pairs to count, if their prefixes meet at all
+    heads = [a[: len(a) - jaccard.at_least(len(a)) + 1] for a in arrays]
+    size = np.array([len(a) for a in arrays])
+    tree = jaccard.PrefixTree(heads, size)
+    pairs = tree.pairs(label, size, [(0, int(h[-1])) for h in heads], 10**6)
+    wanted = {p for p in linked if label[p[0]] != label[p[1]]}
+    assert wanted <= {(max(p), min(p)) for p in pairs} and len(pairs) == len(set(pairs))
 
 
 # 5: benchmark items --------------------------------------------------------------------------------------------------
