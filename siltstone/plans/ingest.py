@@ -37,7 +37,8 @@ def bookmarks(responses: DataFrame, options: Options, now: Column, columns: list
         rows = bookmarks_from_statuses(statuses(responses.where(F.col("source") == "x")), now)
         parts.append(rows.withColumn("place", F.struct(F.col("position.step").alias("step"), F.col("position.place").alias("place"))).drop("position"))
     if "linkedin" in options.sources:
-        rows = bookmarks_from_posts(posts(post_elements(responses.where(F.col("source") == "linkedin"))), now)
+        wanted = columns is None or bool({"external_urls", "image_urls"} & set(columns))
+        rows = bookmarks_from_posts(posts(post_elements(responses.where(F.col("source") == "linkedin")), wanted), now)
         parts.append(rows.withColumn("place", F.struct(F.lit(0).alias("step"), F.col("position").alias("place"))).drop("position"))
     if not parts:
         none = responses.sparkSession.createDataFrame([], BOOKMARK)

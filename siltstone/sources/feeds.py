@@ -201,8 +201,11 @@ def image_links(post: Column, depth: int = 8) -> Column:
     return merge_unique(F.filter(walk(post, depth), lambda s: F.startswith(s, F.lit("http")) & marked(s)))
 
 
-def posts(elements: DataFrame) -> DataFrame:
-    """(seq, position, url, text, author, created_at, created_text, saved_at, external_urls, image_urls) of elements with an address."""
+def posts(elements: DataFrame, with_links: bool = True) -> DataFrame:
+    """(seq, position, url, text, author, created_at, created_text, saved_at, external_urls, image_urls) of elements with an address.
+
+    Links and pictures are looked for at all depths; without ``with_links`` they are null, and the plan is a small one."""
+    none = F.lit(None).cast("array<string>")
     element = F.col("element")
     card_url = F.coalesce(text_at(element, ".navigationUrl"), text_at(element, ".trackableAction.navigationUrl"))
     content = F.coalesce(at(element, ".content.data", "variant"), at(element, ".content", "variant"), element)
@@ -224,8 +227,8 @@ def posts(elements: DataFrame) -> DataFrame:
         time(".createdAt", ".time", ".createdTime").alias("created_at"),
         time(".createdAtText").alias("created_text"),
         time(".savedAt", ".savedTime", ".saved_at").alias("saved_at"),
-        outside_links(post).alias("external_urls"),
-        image_links(post).alias("image_urls"),
+        (outside_links(post) if with_links else none).alias("external_urls"),
+        (image_links(post) if with_links else none).alias("image_urls"),
     )
     return out.where(F.coalesce("url", F.lit("")) != "")
 
