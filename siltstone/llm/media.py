@@ -107,22 +107,13 @@ def store_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     shared table (digest, data) has them. A null text is an empty text; repeated rows are repeated media."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each text is cut and digested here, once; what follows finds chunks by their ends."""
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                n_bytes, sha, names, ends = [], [], [], []
-                for text in part.column(1).to_pylist():
-                    parts, medium, n = chunks_of(text)
-                    n_bytes.append(n)
-                    sha.append(hashlib.sha256(medium).hexdigest())
-                    names.append([digest(c) for c in parts])
-                    ends.append(np.cumsum([len(c) for c in parts]))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n_bytes, pa.int64()), pa.array(sha, pa.string()), pa.array(names, pa.list_(pa.binary())), pa.array(ends, pa.list_(pa.int64()))], names=["id", "text", "n_bytes", "media_sha256", "digests", "ends"])
+            for i in range(0, batch.num_rows, 1024):
+                found = [digest(c) for t in batch.column(0).slice(i, 1024).to_pylist() for c in chunks_of(t)[0]]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["digest"])
 
-    chunked = materialize(rows.mapInArrow(cut, "id long, text string, n_bytes long, media_sha256 string, digests array<binary>, ends array<long>"), "media-chunks")
-    counted = chunked.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
+    counted = rows.select("text").mapInArrow(digests, "digest binary").groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
     counted = materialize(counted, "chunk-counts")
 
     @F.pandas_udf("long")
@@ -132,39 +123,32 @@ def store_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     # a filter tells which chunks may occur again; a chunk it is wrong about is shared by one medium only
     maybe = df.sparkSession.sparkContext.broadcast(KeyFilter.build(counted.select(as_key("digest").alias("key"))))
 
-    def parts_of(text: str | None, ends: list[int]) -> list[bytes]:
-        medium = to_wav(payload_of(text)[0])
-        return [medium[x:y] for x, y in zip([0, *ends], ends, strict=False)]
-
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[bytes, bytes] = {}
-            held = 0
-            for i in range(batch.num_rows):
-                names = batch.column(1)[i].as_py()
-                ok = maybe.value.passes(key_of(names))
-                if ok.any():
-                    parts = parts_of(batch.column(0)[i].as_py(), batch.column(2)[i].as_py())
-                    new = {d: c for c, d, k in zip(parts, names, ok.tolist(), strict=True) if k and d not in seen}
-                    seen.update(new)
-                    held += sum(map(len, new.values()))
-                if held > 8 << 20 or i == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.binary())], names=["digest", "data"])
-                    seen, held = {}, 0
-
-    shared = materialize(chunked.select("text", "digests", "ends").mapInArrow(again, "digest binary, data binary").groupBy("digest").agg(F.first("data").alias("data")), "shared-chunks")
-
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Media, and beside the first medium of a batch that has it each chunk that may occur again."""
+        chunk = pa.struct([("digest", pa.binary()), ("data", pa.binary())])
+        names = ["id", "n_bytes", "media_sha256", "digests", "own", "again"]
         for batch in batches:
+            seen: set[bytes] = set()
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                own = []
-                for text, names, ends in zip(*(part.column(k).to_pylist() for k in (1, 4, 5)), strict=True):
-                    ok = maybe.value.passes(key_of(names)).tolist()
-                    own.append([None] * len(ok) if all(ok) else [None if k else c for c, k in zip(parts_of(text, ends), ok, strict=True)])
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in (0, 2, 3, 4)), pa.array(own, pa.list_(pa.binary()))], names=["id", "n_bytes", "media_sha256", "digests", "own"])
-
-    media = materialize(chunked.mapInArrow(pack, "id long, n_bytes long, media_sha256 string, digests array<binary>, own array<binary>"), "media")
+                n_bytes, sha, lists, own, again = [], [], [], [], []
+                for text in part.column(1).to_pylist():
+                    parts, medium, n = chunks_of(text)
+                    found = [digest(c) for c in parts]
+                    ok = maybe.value.passes(key_of(found)).tolist()
+                    new = {d: c for c, d, k in zip(parts, found, ok, strict=True) if k and d not in seen}
+                    seen.update(new)
+                    n_bytes.append(n)
+                    sha.append(hashlib.sha256(medium).hexdigest())
+                    lists.append(found)
+                    own.append([None if k else c for c, k in zip(parts, ok, strict=True)])
+                    again.append([{"digest": d, "data": c} for d, c in new.items()])
+                kinds = (pa.int64(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(chunk))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip((n_bytes, sha, lists, own, again), kinds, strict=True))], names=names)
+
+    packed = materialize(rows.mapInArrow(pack, "id long, n_bytes long, media_sha256 string, digests array<binary>, own array<binary>, again array<struct<digest:binary,data:binary>>"), "media")
+    shared = packed.select(F.explode("again").alias("c")).groupBy("c.digest").agg(F.first("c.data").alias("data"))
+    shared, media = materialize(shared, "shared-chunks"), packed.drop("again")
     return media.withColumnRenamed("id", id_col), shared
 
 
