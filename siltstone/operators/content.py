@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.strings import merge_unique, some, strip
 from ..functions.texts import accepted_article, fallback_text, longer_text, with_references
+from ..tables import materialize
 from .skew import attach
 
 MOST_ARTICLES = 3
@@ -49,7 +50,7 @@ def articles_of(bookmarks: DataFrame, pages: DataFrame) -> DataFrame:
     wanted = bookmarks.select("url", F.posexplode(kinds).alias("place", "want")).select("url", "place", "want.post", "want.page_url")
     # a page that many bookmarks link to is not one task's group
     sizes = wanted.groupBy("page_url").agg(F.count("*").alias("rows_of_key"))
-    found = attach(wanted, "page_url", sizes.join(pages, "page_url", "left"))
+    found = attach(wanted, "page_url", materialize(sizes.join(pages, "page_url", "left"), "linked-pages"))
     built = F.when(F.col("post"), referenced_article(F.col("page_url"), F.col("thread_text"), F.col("image_urls"))).otherwise(article(F.col("page_url"), F.col("full_text"), F.col("fallback_text"), F.col("image_urls")))
     lists = found.groupBy("url").agg(F.array_sort(F.collect_list(F.struct("place", built.alias("article")))).alias("articles"))
     return lists.select("url", F.transform("articles", lambda x: x["article"]).alias("external_articles"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..tables import materialize
 from .skew import attach, best_row
 
 
@@ -50,7 +51,7 @@ def dedupe_report(notes: DataFrame) -> DataFrame:
     give way to the richest of its address."""
     kept = keep_richest_notes(notes).select("norm_url", F.col("path").alias("kept"), note_score().alias("kept_score"))
     sizes = notes.groupBy("norm_url").agg(F.count("*").alias("rows_of_key")).where("rows_of_key > 1")
-    several = attach(notes.select("norm_url", "path", note_score().alias("moved_score")), "norm_url", sizes.join(kept, "norm_url"))
+    several = attach(notes.select("norm_url", "path", note_score().alias("moved_score")), "norm_url", materialize(sizes.join(kept, "norm_url"), "kept-notes"))
     return several.where(F.col("path") != F.col("kept")).select("norm_url", "kept", "kept_score", F.col("path").alias("moved"), "moved_score").orderBy("norm_url", path_order(F.col("moved")))
 
 

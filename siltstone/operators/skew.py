@@ -12,7 +12,7 @@ HOT_SHARE = 1 / 200
 def attach(df: DataFrame, key: str, groups: DataFrame, how: str = "inner") -> DataFrame:
     """``df`` with the columns of ``groups``, one row for each key with its number of rows in ``rows_of_key``.
 
-    Keys with HOT_SHARE of all rows are broadcast, a bounded number whatever the data; the others are shuffled."""
+    ``groups`` is read several times, so it should be a written table. Keys with HOT_SHARE of all rows are broadcast, a bounded number whatever the data; the others are shuffled."""
     total = groups.agg(F.sum("rows_of_key")).first()[0] or 0
     hot = F.col("rows_of_key") >= max(2, int(total * HOT_SHARE))
     few, many = groups.where(hot).drop("rows_of_key"), groups.where(~hot).drop("rows_of_key")

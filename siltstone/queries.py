@@ -600,7 +600,9 @@ SLUG = "trim(regexp_replace(regexp_replace(regexp_replace(lower(title), '[^a-zA-
 TITLE = "CASE WHEN coalesce(text, '') <> '' THEN substring(text, 1, 120) ELSE 'Post by ' || source END"
 TIDY = _strip(f"regexp_replace(coalesce(text, ''), '{WHITE}', ' ', 'g')")
 _LINES = r"regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '[\r\n]', ' ', 'g'), '</?(?:h1|p|br|article)>', chr(10), 'g'), '<[^>]*>', '', 'g')"
-_PLAIN = f"replace(replace(replace({_LINES}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+_PLAIN = _LINES
+for _name, _sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#x27", "''"), ("#39", "''"), ("amp", "&")):
+    _PLAIN = f"regexp_replace({_PLAIN}, '&{_name};?', '{_sign}', 'g')"
 PAGE_TEXTS = rf"""
 WITH t AS (SELECT page_id, url, {_strip(rf"regexp_replace(regexp_replace({_PLAIN}, '[ \t\x{{0b}}\x{{85}}\x{{a0}}]+', ' ', 'g'), ' *\n[\s]*', chr(10), 'g')")} AS text FROM pages)
 """
