@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow
-from .hashing import FIRST_BYTES, LOWER, WHITE, eights, groups, joined, mix, word_spans
+from .common import bound_batches
+from .hashing import FIRST_BYTES, LOWER, WHITE, eights, groups, joined, mix, trim, word_spans
 
 #: Spark's tasks are the parallelism; threads of the library's own would only contend with them.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -194,6 +194,12 @@ class WordBpe:
             return self.pieces_of_new_characters(word)
         return self.pieces.findall(word.lower())
 
+    def forget(self) -> None:
+        """At the end of a task: words come back in the next one soon enough, and tables of idle workers add up."""
+        self.pool = None
+        self.keys_of, self.at, self.length = [], None, None
+        trim()
+
     def _forget(self, room: int) -> None:
         shape = (2, 1 << SLOT_BITS)
         self.keys_of = [np.zeros(shape, np.uint64) for _ in range(3)]  # head, tail, length of the word in each slot
@@ -242,6 +248,8 @@ class WordBpe:
 
     def encode_group(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin (one more entry for the end)."""
+        if self.pool is None:
+            self._forget(POOL_IDS)
         data, begin, end, first = self._words(texts)
         if not len(begin):
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
@@ -384,17 +392,20 @@ def bpe_encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     words are encoded whole. ``path`` is the vocabulary file, which every executor must have."""
     path = path or default_path()
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = worker_bpe(path)
-        for i in range(0, batch.num_rows, 512):
-            part = batch.slice(i, 512)
-            ids = pa.array(bpe.encode(part.column(1).to_pylist()), pa.binary())
-            n = pa.array([len(x) // 4 for x in ids.to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(0), n, ids], names=["id", "n_tokens", "ids"])
-
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                ids = pa.array(bpe.encode(part.column(1).to_pylist()), pa.binary())
+                n = pa.array([len(x) // 4 for x in ids.to_pylist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), n, ids], names=["id", "n_tokens", "ids"])
+        bpe.forget()
+
+    bound_batches(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_arrow(rows, run, f"id {kind}, n_tokens long, ids binary").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary").withColumnRenamed("id", id_col)
 
 
 def bpe_decode(df: DataFrame, ids_col: str = "ids", out_col: str = "decoded", path: str | None = None) -> DataFrame:

@@ -21,6 +21,14 @@ def give_back_memory() -> None:
         pass
 
 
+def trim() -> None:
+    """Give freed memory back at the end of a task; the worker goes on to other tasks, perhaps to none."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 if TaskContext.get() is not None:  # in Spark's workers only, never in the user's own process
     give_back_memory()
 

@@ -80,6 +80,7 @@ def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
                 total[: len(found)] += found
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names=columns)
+        library.forget()
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=columns)
 
     bound_batches(spark)

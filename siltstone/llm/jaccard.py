@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import attach, materialize
 from .components import connected_components
-from .hashing import groups, mix, text_words, window_hashes
+from .hashing import groups, mix, text_words, trim, window_hashes
 from .repeats import KeyFilter, repeated_items
 
 GRAM = 5
@@ -183,6 +183,7 @@ def frequent_sets(docs: DataFrame, survivors: KeyFilter, hot: np.ndarray) -> Dat
             many = many[many == token[-1]]
             held = token[last:], key[last:], n[last:]
         yield from counted(*held, many)
+        trim()
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches, map_arrow
-from .hashing import char_ngrams, char_pieces, ngram_sums
+from .hashing import char_ngrams, char_pieces, ngram_sums, trim
 from .sampling import labelled_sample
 
 SIZES = [1, 2, 3]
@@ -90,6 +90,7 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
                 texts_seen += len(some)
                 total += distinct_features(some)
         at = np.flatnonzero(total)
+        trim()
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(total[at], texts_seen), pa.int64())], names=["feature", "n"])
 
     rows = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
@@ -184,5 +185,6 @@ def keep_identified(df: DataFrame, model: LanguageModel, text_col: str = "text",
                 part = batch.slice(i, 1024)
                 langs, scores = shared.value.predict(part.column(at).to_pylist())
                 yield part.filter(pa.array([lang != "und" and s >= least_score for lang, s in zip(langs, scores, strict=True)], pa.bool_()))
+        trim()
 
     return df.mapInArrow(run, df.schema)

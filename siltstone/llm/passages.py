@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach, materialize
-from .hashing import groups, joined, mix, text_words, window_hashes, word_hashes, word_spans
+from .hashing import groups, joined, mix, text_words, trim, window_hashes, word_hashes, word_spans
 from .repeats import KeyFilter, repeated_items, split_by_filter
 
 GRAM = 5
@@ -277,6 +277,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     least[k], most[k], uses[k] = min(least[k], low), max(most[k], high), uses[k] + 1
         if index:
             yield from flush()
+        trim()
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Windows of a batch's stretches, each once for a shard, with the smallest and the largest document."""

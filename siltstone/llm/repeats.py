@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import mix
+from .hashing import mix, trim
 
 #: Items of a row at most, so that the rows follow the items and not the number of partitions.
 PACKED = 4
@@ -98,6 +98,7 @@ def repeated_items(df: DataFrame, extract: Callable[[pa.RecordBatch], Iterator[t
                 for a in range(0, len(who), 100_000):
                     yield pa.RecordBatch.from_arrays([pa.array(who[a : a + 100_000], pa.int64()), pa.array(packed[a : a + 100_000], pa.binary())], names=["owner", "packed"])
             carry = (items[-1:], owners[-1:], several[-1:])
+        trim()
 
     return df.mapInArrow(spread, SCHEMA).repartition(F.col("item")).sortWithinPartitions("item").mapInArrow(settle, "owner long, packed binary")
 
