@@ -39,7 +39,7 @@ PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 NONE = np.int32(2**31 - 1)
 LONG = 64
 #: Two tables of so many words that were encoded before, and ids that these may hold together.
-SLOT_BITS, POOL_IDS = 19, 4_000_000
+SLOT_BITS, POOL_IDS = 18, 2_000_000
 #: Words that are encoded at once when they are new.
 NEW_WORDS = 10_000
 GROUP_CHARS = 250_000

@@ -24,7 +24,7 @@ HOT_SHARE = 1 / 200
 
 
 #: Bytes of an Arrow batch that a task hands to Python at once; rows of text differ too much for a count to bound them.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
