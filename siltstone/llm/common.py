@@ -63,9 +63,20 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
+    return written(df, label)[0]
+
+
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """What was written and read back, and where it is, for ``discard``."""
     spark, path = df.sparkSession, new_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -48,3 +48,44 @@ link AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id =
 reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
 SELECT reach.a AS doc_id, any_value(coalesce(n.n, 0))::BIGINT AS n_shingles, min(reach.b) AS component_id FROM reach LEFT JOIN n ON n.doc_id = reach.a GROUP BY reach.a
 """
+
+_DISTANCE = "list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+
+def _rounds(n: int) -> str:
+    """Centroids c0, c1, ... of the rounds, and each round's vectors by nearest centroid a0, a1, ..."""
+    assign = "a{r} AS MATERIALIZED (SELECT id, v, arg_min(k, d * 100 + k) AS k, min(d) AS d FROM (SELECT row AS id, v, k, %s AS d FROM x, c{r}) GROUP BY id, v)" % _DISTANCE
+    parts = [assign.format(r=0)]
+    for r in range(1, n + 1):
+        parts.append(f"s{r} AS (SELECT k, i, sum(v[i])::BIGINT AS s, count(*)::BIGINT AS n FROM a{r - 1}, range(1, 65) t(i) GROUP BY k, i)")
+        parts.append(f"m{r} AS (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{r} GROUP BY k)")
+        parts.append(f"c{r} AS MATERIALIZED (SELECT k, coalesce(m{r}.c, c{r - 1}.c) AS c FROM c{r - 1} LEFT JOIN m{r} USING (k))")
+        parts.append(assign.format(r=r))
+    return ",\n".join(parts)
+
+
+CENTROIDS = f"""
+WITH x AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY h, v) - 1)::INT AS k, v AS c FROM (SELECT sha256('1:' || vec_id) AS h, v FROM x ORDER BY h, v LIMIT 16)),
+{_rounds(3)}
+SELECT vec_id, k AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN x ON x.row = a3.id JOIN c3 USING (k)
+"""
+
+_TERMS = rf"regexp_extract_all({LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
+
+SEARCH = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+c AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS docs, sum(len(ts))::HUGEINT AS terms FROM d),
+t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS term FROM d) GROUP BY doc_id, term),
+q AS (SELECT item_id, term, count(*) AS r FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t, c GROUP BY term, docs),
+m AS (SELECT doc_id, (75 + (25 * len(ts) * docs) // terms)::BIGINT AS m FROM d, c WHERE len(ts) > 0),
+s AS (SELECT item_id, doc_id, sum(r * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM q JOIN t USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id HAVING score > 0),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20
+"""

@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from . import oracles
 from .bpe import bpe_decode, bpe_encode
+from .centroids import cluster_vectors
 from .common import held_out, table
 from .decontam import find_leaks
 from .idfiles import read_token_files, write_token_files
 from .jaccard import near_duplicates
 from .langid import fit_language_model, predict_languages
+from .lexical import ranked_search
 from .media import read_media, store_media
 from .passages import remove_repeats
+from .pieces import piece_decode, piece_encode
 from .quality import fit_quality_model, score_quality
 from .toxicity import fit_toxicity_model, score_toxicity
 from .warc import read_warc, write_warc
@@ -86,9 +89,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = piece_decode(piece_encode(table(spark, sf_dir, "documents")))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
+    return decoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_warc, op3_language_id, op4_passages, op5_decontamination, op6_jaccard_join, op7_bpe, op8_media, op9_token_files, op10_quality)}
+    return {f.__name__: f for f in (op1_toxicity, op2_warc, op3_language_id, op4_passages, op5_decontamination, op6_jaccard_join, op7_bpe, op8_media, op9_token_files, op10_quality, op11_search, op12_pieces, op13_centroids)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": oracles.WARC, "op4_passages": oracles.PASSAGES, "op5_decontamination": oracles.LEAKS, "op6_jaccard_join": oracles.JACCARD}
+    return {"op2_warc": oracles.WARC, "op4_passages": oracles.PASSAGES, "op5_decontamination": oracles.LEAKS, "op6_jaccard_join": oracles.JACCARD, "op11_search": oracles.SEARCH, "op13_centroids": oracles.CENTROIDS}
