@@ -195,7 +195,8 @@ def ngram_sums(texts: list[str], sizes: list[int], bits: int, tables: list[np.nd
     """For each text the sum of table rows over all its n-grams of each size, and how many there are."""
     width = tables[0].shape[1] if tables[0].ndim == 2 else 1
     sums, counts = np.zeros((len(texts), width)), np.zeros(len(texts), np.int64)
-    for codes, offsets, starts, owner in char_pieces(texts, max(sizes) - 1):
+    # wide rows are added up for fewer characters at once
+    for codes, offsets, starts, owner in char_pieces(texts, max(sizes) - 1, max(1000, BLOCK * 8 // max(8, width))):
         for size, rows in zip(sizes, tables, strict=True):
             at = char_ngrams(codes, size, bits)
             run = np.zeros((len(at) + 1, width))

@@ -20,7 +20,9 @@ from .hashing import char_ngrams, char_pieces, ngram_sums, trim
 from .sampling import labelled_sample
 
 SIZES = [1, 2, 3]
-BITS = 16
+#: Buckets of each n-gram size, as powers of two: BITS, and as many fewer as keep a model under MOST_WEIGHTS where there
+#: are many languages (from 43 on), but LEAST_BITS at least.
+BITS, LEAST_BITS, MOST_WEIGHTS = 16, 9, 1 << 23
 #: Shares of n-grams are small numbers; steps are right for values of this size.
 SCALE = 30
 LETTER = regex.compile(r"\p{L}")
@@ -37,7 +39,7 @@ class LanguageModel:
         und = np.array([not (t and LETTER.search(t)) for t in texts], bool)
         if not self.languages or und.all():
             return ["und"] * len(texts), np.zeros(len(texts))
-        sums, counts = ngram_sums([(t or "").lower() for t in texts], SIZES, BITS, self.tables)
+        sums, counts = ngram_sums([(t or "").lower() for t in texts], SIZES, len(self.tables[0]).bit_length() - 1, self.tables)
         logits = sums / np.maximum(counts, 1)[:, None] + self.bias
         logits -= logits.max(axis=1, keepdims=True)
         p = np.exp(logits)
@@ -46,11 +48,18 @@ class LanguageModel:
         return ["und" if u else self.languages[b] for u, b in zip(und, best, strict=True)], np.where(und, 0.0, p[np.arange(len(best)), best])
 
 
-def term_frequencies(text: str) -> tuple[np.ndarray, np.ndarray]:
+def bits_for(languages: int) -> int:
+    bits = BITS
+    while bits > LEAST_BITS and (len(SIZES) << bits) * languages > MOST_WEIGHTS:
+        bits -= 1
+    return bits
+
+
+def term_frequencies(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Feature ids (size and bucket) of a text and the share that each has of all its n-grams."""
     found = []
     for codes, offsets, _starts, _ in char_pieces([text.lower()], max(SIZES) - 1, limit=1 << 40):
-        found += [char_ngrams(codes[: offsets[-1]], s, BITS).astype(np.int64) + (k << BITS) for k, s in enumerate(SIZES)]
+        found += [char_ngrams(codes[: offsets[-1]], s, bits).astype(np.int64) + (k << bits) for k, s in enumerate(SIZES)]
     ids, n = np.unique(np.concatenate(found), return_counts=True)
     return ids, n / max(1, n.sum())
 
@@ -78,9 +87,9 @@ class Ftrl:
         self.n[ids] += g * g
 
 
-def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
+def document_frequencies(texts: DataFrame, bits: int = BITS) -> tuple[int, np.ndarray]:
     """Number of texts(text) that are not null, and how many of them have each feature. All texts count, whole."""
-    features = len(SIZES) << BITS
+    features = len(SIZES) << bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, texts_seen = np.zeros(features, np.int64), 0
@@ -88,7 +97,7 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
             for i in range(0, batch.num_rows, 1024):
                 some = [t.lower() for t in batch.column(0).slice(i, 1024).to_pylist() if t is not None]
                 texts_seen += len(some)
-                total += distinct_features(some)
+                total += distinct_features(some, bits)
         at = np.flatnonzero(total)
         trim()
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(total[at], texts_seen), pa.int64())], names=["feature", "n"])
@@ -101,39 +110,41 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
     return next((r["n"] for r in rows if r["feature"] < 0), 0), out
 
 
-def distinct_features(texts: list[str]) -> np.ndarray:
+def distinct_features(texts: list[str], bits: int = BITS) -> np.ndarray:
     """How many of the texts have each feature."""
-    total = np.zeros(len(SIZES) << BITS, np.int64)
+    total = np.zeros(len(SIZES) << bits, np.int64)
     open_text, open_ids = -1, [np.empty(0, np.int64) for _ in SIZES]  # the last text so far, which may go on
     for codes, offsets, starts, owner in char_pieces(texts, max(SIZES) - 1):
         for k, size in enumerate(SIZES):
-            at = char_ngrams(codes, size, BITS)
+            at = char_ngrams(codes, size, bits)
             first = np.minimum(offsets[:-1], len(at))
             last = np.clip(np.minimum(offsets[1:] - size + 1, offsets[:-1] + starts), first, len(at))
             n = last - first
             place = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            pairs = np.unique((np.repeat(owner, n) << BITS) | at[place])
-            text, ids = pairs >> BITS, pairs & ((1 << BITS) - 1)
+            pairs = np.unique((np.repeat(owner, n) << bits) | at[place])
+            text, ids = pairs >> bits, pairs & ((1 << bits) - 1)
             known = (text == open_text) & np.isin(ids, open_ids[k])
-            total[k << BITS : (k + 1) << BITS] += np.bincount(ids[~known], minlength=1 << BITS)
+            total[k << bits : (k + 1) << bits] += np.bincount(ids[~known], minlength=1 << bits)
             own = ids[text == owner[-1]]
             open_ids[k] = np.union1d(open_ids[k], own) if owner[-1] == open_text else own
         open_text = owner[-1]
     return total
 
 
-def fit_language_model(texts: DataFrame, labels: DataFrame, per_language: int = 400, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-4) -> LanguageModel:
+def fit_language_model(texts: DataFrame, labels: DataFrame, per_language: int = 400, most_rows: int = 10_000, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-4) -> LanguageModel:
     """texts(id, text), labels(id, label). ``per_language`` bounds the labelled rows that the classifier is fitted on for
-    each language; the document frequencies behind the IDF are those of all ``texts``."""
+    each language, ``most_rows`` those of all languages; the document frequencies behind the IDF are those of all ``texts``."""
     bound_batches(texts.sparkSession)
-    sample, _ = labelled_sample(texts, labels.select("id", "label", F.lit("").alias("group")), per_language)
+    sample, _ = labelled_sample(texts, labels.select("id", "label", F.lit("").alias("group")), per_language, most_rows=most_rows)
     languages = sorted({label for _, label, _ in sample})
-    features = len(SIZES) << BITS
     if not sample:
         return LanguageModel([], [], np.zeros(0))
-    found = [(*term_frequencies(t), languages.index(label)) for t, label, _ in sample if t]
+    bits = bits_for(len(languages))
+    features = len(SIZES) << bits
+    number = {language: k for k, language in enumerate(languages)}
+    found = [(*term_frequencies(t, bits), number[label]) for t, label, _ in sample if t]
     train, tune = [x for i, x in enumerate(found) if i % 5], [x for i, x in enumerate(found) if not i % 5]
-    n_texts, df = document_frequencies(texts)
+    n_texts, df = document_frequencies(texts, bits)
     idf = np.log((1 + n_texts) / (1 + df)) + 1
     learner = Ftrl(features, len(languages), alpha, beta, l1, l2)
     rng = np.random.default_rng(0)
@@ -153,7 +164,7 @@ def fit_language_model(texts: DataFrame, labels: DataFrame, per_language: int =
 
     temperature = min(np.geomspace(0.05, 5, 40), key=loss) if held else 1.0
     w = learner.weights(np.arange(features)) * idf[:, None] * SCALE / temperature
-    return LanguageModel(languages, [np.ascontiguousarray(w[k << BITS : (k + 1) << BITS], np.float32) for k in range(len(SIZES))], np.zeros(len(languages)))
+    return LanguageModel(languages, [np.ascontiguousarray(w[k << bits : (k + 1) << bits], np.float32) for k in range(len(SIZES))], np.zeros(len(languages)))
 
 
 def predict_languages(df: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -10,6 +10,7 @@ language is guessed from the words themselves.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -96,16 +97,19 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(logits - self.thresholds[langs], -30, 30)))
 
 
-def fit_toxicity_model(texts: DataFrame, labels: DataFrame, per_label: int = 2000, dim: int = 16, filters: int = 8, epochs: int = 6, rate: float = 0.1, least_words: int = 3, least_steps: int = 12_000, own_rows: int = 20) -> ToxicityModel:
+def fit_toxicity_model(texts: DataFrame, labels: DataFrame, per_label: int = 2000, dim: int = 16, filters: int = 8, epochs: int = 6, rate: float = 0.1, least_words: int = 3, least_steps: int = 12_000, own_rows: int = 20, most_languages: int = 64) -> ToxicityModel:
     """texts(id, text), labels(id, label in 0, 1, group).
 
     ``per_label`` bounds the labelled rows that are used for each label (half as many more where languages are small);
     ``group``, the language, only forms the groups for thresholds and teaches the guess from words. Buckets that
     ``least_words`` rows of the sample have get a vector. Training goes ``epochs`` times through the sample, a small one
     (up to five times as often) until ``least_steps`` rows were seen. A language's threshold stands between the common
-    one and its own best, the nearer to its own the more tuning rows of its rarer label it has, half way at ``own_rows``."""
+    one and its own best, the nearer to its own the more tuning rows of its rarer label it has, half way at ``own_rows``.
+    The ``most_languages`` that most rows of the sample have are told apart; all others have one threshold together."""
     sample, counts = labelled_sample(texts, labels, per_label, by_group=True)
     langs_of, docs_text, labels_of = [x[2] or "" for x in sample], [x[0] for x in sample], [int(x[1]) for x in sample]
+    common_ones = {lang for lang, _ in Counter(langs_of).most_common(most_languages)}
+    langs_of = [lang if lang in common_ones else "" for lang in langs_of]
     names = sorted(set(langs_of)) or [""]
     docs = [buckets([t])[0] for t in docs_text]
     seen, n = np.unique(np.concatenate([np.unique(d) for d in docs]) if docs else np.empty(0, np.int64), return_counts=True)

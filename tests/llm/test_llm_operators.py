@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontam, hashing, idfiles, jaccard, langid, media, passages, quality, repeats, sampling, toxicity, warc
+from siltstone.llm import bpe, centroids, decontam, hashing, idfiles, jaccard, langid, lexical, media, passages, pieces, quality, repeats, sampling, toxicity, warc
 from siltstone.llm.common import attach
 from siltstone.llm.components import connected_components
 
@@ -754,6 +754,33 @@ def test_samples_do_not_depend_on_how_rows_are_dealt(spark):
     assert counts == {0: 900, 1: 100} and sum(g == "rare" for _, _, g in sample) >= 8 and len(sample) <= 120
 
 
+def many_languages(spark):
+    """2,000 languages of two texts, and one that holds most rows; each text has a word of its language's own."""
+    rows = [(k, f"wort{k % 2000:04d}x the text {k}", k % 2, f"l{k % 2000}") for k in range(4000)] + [(10_000 + k, f"plain common words {k}", int(k % 7 == 0), "big") for k in range(3000)]
+    return spark.createDataFrame(rows, "id long, text string, label int, group string")
+
+
+def test_many_languages(spark):
+    df = many_languages(spark)
+    sample, counts = sampling.labelled_sample(df.select("id", "text"), df.select("id", "label", "group"), 500, by_group=True)
+    assert counts == {label: df.where(f"label = {label}").count() for label in (0, 1)} and 400 < len(sample) <= 2 * 1.5 * 1.2 * 500
+    model = toxicity.fit_toxicity_model(df.select("id", "text"), df.select("id", "label", "group"), per_label=300, epochs=1, least_steps=0)
+    assert model.languages.shape[1] <= 65 and len(model.score(["plain words", None])) == 2
+    known = df.select("id", F.col("group").alias("label"))
+    few, _ = sampling.labelled_sample(df.select("id", "text"), known.select("id", "label", F.lit("").alias("group")), 400, most_rows=2_000)
+    assert 1_000 < len(few) <= 2_500
+    model = langid.fit_language_model(df.select("id", "text"), known, most_rows=600, epochs=1)
+    assert 300 < len(model.languages) <= 800 and (len(langid.SIZES) * len(model.tables[0])) * len(model.languages) <= langid.MOST_WEIGHTS
+    assert langid.predict_languages(docs(spark, odd_rows()), model).count() == len(odd_rows())
+
+
+def test_quotas_that_are_too_many_to_broadcast(spark, monkeypatch):
+    df = many_languages(spark)
+    first = sampling.labelled_sample(df.select("id", "text"), df.select("id", "label", "group"), 300, by_group=True)
+    monkeypatch.setattr(sampling, "FEW_KINDS", 10)
+    assert sampling.labelled_sample(df.select("id", "text"), df.select("id", "label", "group"), 300, by_group=True) == first
+
+
 def test_toxicity(spark):
     # sf0.01 has 51 toxic rows, too few to learn ten words in four languages from
     texts, labels = labelled(spark, "toxic", "toxic", "/root/testdata/sf0.1")
@@ -771,3 +798,171 @@ def test_toxicity(spark):
     assert np.allclose(whole, model.score(text), atol=1e-6)
     toxicity.WORDS = words
     assert len(toxicity.fit_toxicity_model(texts.where("false"), labels.where("false")).score(["a", None])) == 2
+
+
+# 11: ranked search ---------------------------------------------------------------------------------------------------
+
+
+def plain_search(rows, items, best):
+    """(item, rank, id, score) from words in Python dictionaries."""
+    import math
+    import re
+
+    def terms(t):
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        return re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", low)
+
+    bags = [(i, terms(t)) for i, t in rows]
+    n, total = sum(bool(b) for _, b in bags), sum(len(b) for _, b in bags)
+    out = []
+    for item, text in items:
+        found = []
+        for i, bag in bags:
+            score = 0
+            for w in terms(text):
+                if w in bag:
+                    df = sum(w in b for _, b in bags)
+                    m = 75 + 25 * len(bag) * n // total
+                    score += math.floor(1000 * math.log((2 * n + 2) / (2 * df + 1))) * (1_000_000_000 * bag.count(w) // (1000 * bag.count(w) + 12 * m))
+            if score > 0:
+                found.append((-score, i is None, i or 0))
+        out += [(item, k + 1, None if none else i, -s) for k, (s, none, i) in enumerate(sorted(found)[:best])]
+    return sorted(out, key=str)
+
+
+def test_ranked_search(spark, monkeypatch):
+    rng = random.Random(11)
+    vocabulary = [*"abcdefgh", "Été", "日本", "x1", "averylongtermofmorethaneight", "averylongtermofmorethaneighT2"]
+    rows = [(k, " ".join(rng.choices(vocabulary, k=rng.randrange(1, 30)))) for k in range(150)] + [(1000 + k, "a b, same-text é") for k in range(40)]
+    rows += [(None, "a b c"), (None, "a b c"), (7, "h h h"), (7, "h h h"), (3000, None), (3001, ""), (3002, "--- ..."), (3003, "a " * 5000 + "unique\x01end")]
+    items = [(1, "a B"), (2, "h h é x1"), (3, "averylongtermofmorethaneight 日本!"), (4, "nowhere"), (5, None), (6, "..."), (None, "unique END b"), (2, "z larger text that does not count")]
+    expected = plain_search(rows, [(i, t) for i, t in items if t != "z larger text that does not count"], 20)
+    queries = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, rank int")
+    for limits in ({}, {"SPAN": 50, "CELLS": 16, "ENTRIES": 3, "BLOCK_CHARS": 300}):
+        for name, value in limits.items():
+            monkeypatch.setattr(lexical, name, value)
+        got = lexical.ranked_search(docs(spark, rows).repartition(5), queries)
+        assert got.columns == ["item_id", "rank", "doc_id", "score"]
+        assert sorted(map(tuple, got.collect()), key=str) == expected
+    odd = lexical.ranked_search(docs(spark, odd_rows()), spark.createDataFrame([(1, "one"), (2, "w5 日本語")], "item_id long, text string")).collect()
+    assert {(r["item_id"], r["doc_id"]) for r in odd} == {(1, 1), (1, 4), (2, 7), (2, 8)} and sum(r["item_id"] == 1 for r in odd) == 3
+    assert lexical.ranked_search(docs(spark, []), queries).count() == 0
+    assert lexical.ranked_search(docs(spark, rows), queries.where("false")).count() == 0
+
+
+def test_search_compares_terms_of_equal_hash(spark, monkeypatch):
+    """Words are told apart by their bytes, also where hashes say that they are equal."""
+    index = lexical.Index.of([1], ["abcdefghijkl"])
+    monkeypatch.setattr(lexical, "word_hashes", lambda data, begin, end: np.full(len(begin), index.hashes[0]))
+    doc, _, n, length = index.counts(["abcdefghijkl abcdefghijkm abcdefgh other abcdefghijkl"])
+    assert n.tolist() == [2] and doc.tolist() == [0] and length.tolist() == [5]
+
+
+# 12: pieces ----------------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def piece_model():
+    return pieces.PieceModel(pieces.default_path())
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(st.one_of(st.text(max_size=40), st.text(alphabet="ab \n▁é日<0x41>.,  ", max_size=60)), max_size=4))
+def test_pieces_equal_the_library(piece_model, texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    for t, ids in zip(texts, piece_model.encode(texts), strict=True):
+        ids = np.frombuffer(ids, pieces.ID)
+        assert ids.tolist() == piece_model.library.encode(t)
+        assert piece_model.decode(ids) == piece_model.library.decode(ids.tolist())
+
+
+def test_pieces_of_long_texts_and_small_tables(piece_model, monkeypatch):
+    texts = [" " * 3000, "ab" * 2000, "日本語" * 900, " " * 777 + "x" + " " * 9000 + "the end", "a b" * 4000, "the cat " * 30 + "\x00\ufeff", "", None]
+    expected = [piece_model.library.encode(t or "") for t in texts]
+    for span, most, kept in ((500_000, 150_000, 48), (100, 5, 3)):
+        monkeypatch.setattr(pieces, "SPAN", span)
+        monkeypatch.setattr(pieces, "MOST_CHUNKS", most)
+        monkeypatch.setattr(pieces, "MOST_KEPT", kept)
+        piece_model.clear()
+        assert [np.frombuffer(x, pieces.ID).tolist() for x in piece_model.encode(texts)] == expected
+        assert all(len(c) <= kept for c in piece_model)
+
+
+@settings(max_examples=200, deadline=None)
+@given(ids=st.lists(st.one_of(st.integers(0, 31_999), st.integers(0, 300)), max_size=8))
+def test_any_ids_decode_as_in_the_library(piece_model, ids):
+    assert piece_model.decode(np.array(ids, np.int64)) == piece_model.library.decode(ids)
+
+
+def test_a_model_whose_pieces_cross_markers(piece_model, monkeypatch):
+    monkeypatch.setattr(piece_model, "crosses", True)
+    piece_model.clear()
+    for t in ("a b  c", " ", "x" * 100 + " y"):
+        assert np.frombuffer(piece_model.encode([t])[0], pieces.ID).tolist() == piece_model.library.encode(t)
+    piece_model.clear()
+
+
+def test_piece_rows(spark, piece_model):
+    rows = odd_rows()
+    encoded = pieces.piece_encode(docs(spark, rows))
+    assert encoded.columns == ["doc_id", "n_tokens", "ids"]
+    found = pieces.piece_decode(encoded).collect()
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["decoded"]) for r in found) == sorted((str(i), len(piece_model.library.encode(t or "")), t or "") for i, t in rows)
+    own = spark.createDataFrame([(1, [264, None, 287], "clash"), (2, None, "x"), (3, [], None)], "k long, ids array<int>, decoded string")
+    assert {r["k"]: r["decoded"] for r in pieces.piece_decode(own).collect()} == {1: "a b", 2: "", 3: ""}
+    assert {r["k"]: r["ids"] for r in pieces.piece_decode(own, out_col="ids").collect()} == {1: "a b", 2: "", 3: ""}
+    assert pieces.piece_encode(docs(spark, [])).count() == 0
+
+
+# 13: centroids -------------------------------------------------------------------------------------------------------
+
+
+def plain_clusters(rows, k, dim, rounds):
+    """(id, cluster, distance, inertia of the cluster, inertia, hash) by scanning all centroids each time."""
+    import math
+
+    kept = [(i, [max(-centroids.LARGEST, min(centroids.LARGEST, math.floor(64.0 * x))) for x in v]) for i, v in rows if v is not None and len(v) == dim and all(x is not None and math.isfinite(x) for x in v)]
+    order = sorted((hashlib.sha256(f"1:{'' if i is None else i}".encode()).hexdigest(), v) for i, v in kept)
+    points = [v for _, v in order[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), n) for n, c in enumerate(points))
+
+    for _ in range(rounds):
+        at = [nearest(v)[1] for _, v in kept]
+        points = [[sum(x) // len(own) for x in zip(*own, strict=True)] if (own := [v for (_, v), a in zip(kept, at, strict=True) if a == n]) else c for n, c in enumerate(points)]
+    found = [(i, *nearest(v)) for i, v in kept]
+    total = {n: sum(d for _, d, m in found if m == n) for n in range(len(points))}
+    return sorted(((i, n, d, total[n], sum(total.values()), hashlib.sha256(",".join(map(str, points[n])).encode()).hexdigest()) for i, d, n in found), key=str)
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 6])
+def test_clusters_equal_a_plain_computation(spark, monkeypatch, rounds):
+    rng = random.Random(13)
+    nan, inf = float("nan"), float("inf")
+    rows = [(k, [rng.choice([-1.0, 0.0, 0.26]) + rng.gauss(0, 0.2) for _ in range(4)]) for k in range(300)]
+    rows += [(1000 + k, [0.5, 0.5, -0.5, 0.25]) for k in range(60)]  # ties and equal vectors, centroids among them
+    rows += [(5, [0.1] * 4), (5, [0.1] * 4), (None, [0.2] * 4), (None, [0.3] * 4), (400, None), (401, []), (402, [0.1] * 3), (403, [0.1] * 5), (404, [nan, 0.0, 0.0, 0.0]), (405, [0.0, inf, 0.0, 0.0]), (406, [0.0, None, 0.0, 0.0]), (407, [3e6, -3e6, 0.0, -0.0])]
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<double>, cluster string, distance int").repartition(3)
+    expected = plain_clusters(rows, 12, 4, rounds)
+    for size in (4096, 7):
+        monkeypatch.setattr(centroids, "BLOCK_ROWS", size)
+        got = centroids.cluster_vectors(df, k=12, dim=4, rounds=rounds)
+        assert got.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+        assert sorted(map(tuple, got.collect()), key=str) == expected
+    for some in (rows[:1], rows[:5], [(400, None)], []):
+        few = spark.createDataFrame(some, "vec_id long, embedding array<float>")
+        exact = [(i, [float(np.float32(x)) for x in v] if v else v) for i, v in some]
+        assert sorted(map(tuple, centroids.cluster_vectors(few, k=12, dim=4, rounds=rounds).collect()), key=str) == plain_clusters(exact, 12, 4, rounds)
+
+
+def test_heaps_spare_vectors_whose_gap_holds():
+    """Only vectors whose gap the drift has used up are measured; all others are as a full scan would have them."""
+    rng = np.random.default_rng(4)
+    v = np.concatenate([rng.normal(m, 3, (200, 8)) for m in (-40, 0, 40)]).astype(np.int64)
+    row = {"ids": np.arange(600, dtype="<i8").tobytes(), "null_ids": np.packbits(np.zeros(600, bool)).tobytes(), "vectors": centroids.narrow(v), "clusters": np.full(600, -1, "<i4").tobytes(), "keys": b"", "members": b"", "sizes": []}
+    block, points, drift = centroids.Block(row, 8, 3), np.array([[-38] * 8, [1] * 8, [41] * 8]), [0.0, 0.0, 0.0]
+    block.scan(np.arange(600), points, drift)
+    again = centroids.Block(row | block.state(), 8, 3)
+    assert all(h[k] <= min(h[2 * k + 1 : 2 * k + 3], default=h[k]) for h in again.heaps for k in range(len(h)))
+    assert again.expired([1.0, 1.0, 1.0]) == [] and len(again.expired([200.0, 0.0, 0.0])) == len(np.flatnonzero(again.clusters == 0))

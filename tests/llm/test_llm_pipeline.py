@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from siltstone.llm import bpe, media, queries
+from siltstone.llm import bpe, media, pieces, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -73,7 +73,7 @@ def test_stages_without_rows(spark):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.queries()[name](spark, SF)
     columns = sorted(df.columns)
@@ -84,7 +84,7 @@ def test_query_equals_sql(spark, name):
     assert sorted(repr(tuple(r[c] for c in columns)) for r in df.collect()) == expected
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))  # rows of documents, all of them
 def test_query_has_a_row_for_each_document(spark, name):
     df = queries.queries()[name](spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -112,6 +112,30 @@ def test_tokens_equal_the_library(spark):
     assert rows_of(spark, "op9_token_files", "doc_id", "start", "n_tokens", "ids_crc32") == sorted(nine, key=str)
 
 
+def test_pieces_equal_the_library(spark):
+    """op12 row by row, from the library alone."""
+    library = pieces.PieceModel(pieces.default_path()).library
+    expected = []
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        ids = library.encode(r["text"] or "")
+        expected.append((r["doc_id"], len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest()))
+    assert rows_of(spark, "op12_pieces", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize(("name", "label", "folds", "fold", "least", "accuracy"), [("op1_toxicity", "toxic", 5, 0, 0.5, 0.96), ("op10_quality", "quality", 4, 2, 0.7, 0.93), ("op3_language_id", "lang", 5, 0, None, 0.97)])
+def test_classifiers_on_the_rows_held_out(spark, name, label, folds, fold, least, accuracy):
+    """The registered queries on their own split: which rows are held out, what is predicted, and how often it is right."""
+    sf = "/root/testdata/sf0.1"
+    got = queries.queries()[name](spark, sf).collect()
+    docs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
+    truth = docs if label == "lang" else {r["doc_id"]: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % folds == fold) and 0 <= r["score"] <= 1 for r in got) and len(got) == len(docs)
+    if least:
+        assert all(r["predicted"] == int(r["score"] >= least) for r in got)
+    right = [(r["lang_pred"] if label == "lang" else int(r["score"] >= 0.5)) == truth[r["doc_id"]] for r in got if r["held_out"] and truth.get(r["doc_id"]) is not None]
+    assert len(right) > 100 and sum(right) > accuracy * len(right), sum(right) / len(right)
+
+
 def test_media_equal_a_plain_computation(spark):
     expected = []
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
