@@ -22,7 +22,8 @@ from .plans.ingest import Options, would_process
 from .plans.render import notes
 from .plans.sinks import append_dead_letters, export_raw, write_manifest, write_notes
 from .schemas import CURSORS, ENRICHMENT
-from .sources.feeds import at, bookmarks_from_posts, bookmarks_from_statuses, bookmarks_from_visible_statuses, last_cursor, outside_links, post_cursors, post_elements, posts, service_responses, session_holds, statuses
+from .sources.captured import capture, feed_stream, offset_log
+from .sources.feeds import at, bookmarks_from_pages, bookmarks_from_posts, bookmarks_from_statuses, bookmarks_from_visible_statuses, last_cursor, outside_links, post_cursors, post_elements, posts, service_responses, session_holds, statuses
 from .sources.html import html_images, html_links, html_posts, html_status, html_statuses, html_text, page_content, thread_of_page
 from .sources.notes import head_value, note_urls, notes_with_sidecars, read_dead_letters, read_notes, read_sidecars
 from .sources.stores import add_processed, frontier_urls, load, load_processed, save_cursors, save_frontiers
@@ -251,6 +252,28 @@ def feed_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_cursor(status_bodies(spark, sf_dir))
 
 
+def captured(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """What a stream over both feeds made of their pages, which came in two lots, and its checkpoint."""
+    folder, out = new_path(spark, "captured"), new_path(spark, "from-feeds")
+    bodies = materialize(status_bodies(spark, sf_dir).unionByName(post_bodies(spark, sf_dir)), "bodies")
+    middle = bodies.agg(F.floor(F.max("seq") / 2)).first()[0] or 0
+    for lot in (F.col("seq") <= middle, F.col("seq") > middle):
+        capture(bodies.where(lot), folder)
+        run(feed_stream(spark, folder), lambda pages: (bookmarks_from_pages(pages, now()), pages.where("status >= 400").select("url")), f"{out}/good", f"{out}/bad", f"{out}/log").awaitTermination()
+    return spark.read.parquet(f"{out}/good"), f"{out}/log"
+
+
+def streamed_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of both feeds, read as a stream from pages that were captured."""
+    rows = captured(spark, sf_dir)[0]
+    return rows.select("source", "url", F.md5(F.col("post_text").cast("binary")).alias("text_md5"))
+
+
+def feed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where that stream stands: the last page and cursor of each feed."""
+    return offset_log(spark, captured(spark, sf_dir)[1])
+
+
 def nested_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses at several depths of a JSON object."""
     pages = table(spark, sf_dir, "pages")
@@ -552,7 +575,7 @@ QUERIES = [
     url_canonical, url_strict, richest_pages, page_hosts, page_ids, note_names, repeated_texts, duplicate_pages, first_events,
     delta_documents, known_customers, known_ids, frontier_stop, frontier_recent, frontier_stream, rows_per_source, nation_counts,
     source_cursors, processed_urls, cleaned_texts, noise_flags, chosen_texts, threads, page_href_heads, event_ages, event_epochs,
-    event_fields, parsed_statuses, parsed_posts, feed_cursor, nested_links, dry_run, page_texts, page_links, page_images, page_cards,
+    event_fields, parsed_statuses, parsed_posts, feed_cursor, streamed_feeds, feed_offsets, nested_links, dry_run, page_texts, page_links, page_images, page_cards,
     page_contents, enrichment_counts, rendered_notes, dead_rows, status_cards, post_cards, status_pages, post_pages, post_links,
     thread_pages, stored_cursors, stored_urls, stored_frontiers, note_files, vault_urls, duplicate_scores, author_places, post_shapes,
     service_bodies, content_of_posts, address_parts, once_seen, source_manifest,
@@ -684,6 +707,8 @@ def oracle_sql() -> dict[str, str]:
         "parsed_statuses": f"SELECT 'https://x.com/' || source || '/status/' || doc_id AS url, {TITLE.replace("'Post by '", "'Post by @'")} AS title, md5(nullif(text, '')) AS text_md5, 'https://example.org/' || lang || '/' || doc_id AS links, '2026-05-13 01:00:00' AS published FROM documents",
         "parsed_posts": f"SELECT 'https://www.linkedin.com/feed/update/urn:li:activity:' || (doc_id + 1) AS url, {TITLE} AS title, md5(nullif(text, '')) AS text_md5, strftime(make_timestamp((1700000000 + doc_id) * 1000000), '%Y-%m-%d %H:%M:%S') AS published FROM documents",
         "feed_cursor": "SELECT 'c' || max(floor(doc_id / 20))::BIGINT AS cursor FROM documents",
+        "streamed_feeds": "SELECT 'x' AS source, 'https://x.com/' || source || '/status/' || doc_id AS url, md5(nullif(text, '')) AS text_md5 FROM documents UNION ALL SELECT 'linkedin', 'https://www.linkedin.com/feed/update/urn:li:activity:' || (doc_id + 1), md5(nullif(text, '')) FROM documents",
+        "feed_offsets": "SELECT s AS source, max(doc_id) // 20 AS seq, p || (max(doc_id) // 20) AS cursor FROM documents, (VALUES ('x', 'c'), ('linkedin', 't')) v(s, p) GROUP BY s, p",
         "nested_links": "SELECT page_id, url || ' https://example.org/p/' || page_id AS links FROM pages",
         "url_strict": PAGES + "SELECT page_id, norm_url FROM normal",
         "page_texts": PAGE_TEXTS + f"SELECT page_id, {_cleaned('text')} AS text FROM t",

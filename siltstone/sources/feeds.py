@@ -257,6 +257,12 @@ def bookmarks_from_posts(rows: DataFrame, retrieved_at: Column) -> DataFrame:
     )
 
 
+def bookmarks_from_pages(pages: DataFrame, retrieved_at: Column) -> DataFrame:
+    """Bookmarks of pages(source, seq, body) of both feeds."""
+    from_x = bookmarks_from_statuses(statuses(pages.where("source = 'x'")), retrieved_at).drop("position")
+    return from_x.unionByName(bookmarks_from_posts(posts(post_elements(pages.where("source = 'linkedin'"))), retrieved_at).drop("position"))
+
+
 # What marks an address as one of the feed's services.
 SERVICE_MARKS = ["/voyager/", "/feed/recommendedEntities", "/saved-items"]
 
