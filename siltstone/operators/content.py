@@ -13,13 +13,13 @@ from .skew import attach
 MOST_ARTICLES = 3
 
 
-def thread_texts(rows: DataFrame, key: str, handle: str | None = None, least: int = 11) -> DataFrame:
+def thread_texts(rows: DataFrame, key: str, handle: Column | str | None = None, least: int = 11) -> DataFrame:
     """(key, thread_text) of rows (key, ord, author, text): posts of the thread's author in order, joined by rules.
 
     Texts are taken without white space around them and count from ``least`` characters on; those whose first 100
-    characters repeat count once; an unknown author passes. A thread's text is one value, as in a page."""
+    characters repeat count once; an unknown author passes. ``handle``, one for all or a column, names the thread's author. A thread's text is one value, as in a page."""
     if handle is not None:
-        rows = rows.where(F.col("author").isNull() | (F.lower("author") == F.lower(F.lit(handle))))
+        rows = rows.where(F.col("author").isNull() | (F.lower("author") == F.lower(handle if isinstance(handle, Column) else F.lit(handle))))
     shown = rows.withColumn("text", strip(F.col("text"))).where(F.length("text") >= least)
     once = shown.groupBy(key, F.substring("text", 1, 100).alias("head")).agg(F.min(F.struct("ord", "text")).alias("first"))
     return once.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list("first")), lambda x: x["text"]), "\n\n---\n\n").alias("thread_text"))

@@ -23,8 +23,9 @@ from .plans.render import notes
 from .plans.sinks import append_dead_letters, export_raw, write_manifest, write_notes
 from .schemas import CURSORS, ENRICHMENT
 from .sources.captured import capture, feed_stream, offset_log
-from .sources.feeds import at, bookmarks_from_pages, bookmarks_from_posts, bookmarks_from_statuses, bookmarks_from_visible_statuses, last_cursor, outside_links, post_cursors, post_elements, posts, service_responses, session_holds, statuses
-from .sources.html import html_images, html_links, html_posts, html_status, html_statuses, html_text, page_content, thread_of_page
+from .sources.feeds import at, bookmarks_from_pages, bookmarks_from_posts, bookmarks_from_statuses, bookmarks_from_visible_statuses, last_cursor, post_cursors, post_elements, posts, service_responses, session_holds, statuses, with_nested_links
+from .sources.cards import post_rows, status_rows, thread_rows
+from .sources.html import html_images, html_links, html_status, html_text, page_content
 from .sources.notes import head_value, note_urls, notes_with_sidecars, read_dead_letters, read_notes, read_sidecars
 from .sources.stores import add_processed, frontier_urls, load, load_processed, save_cursors, save_frontiers
 from .streaming.frontier import ROCKSDB, run_in_order
@@ -279,7 +280,8 @@ def nested_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     inner = F.struct(F.array(F.struct(F.col("url").alias("href")), F.struct(F.lit("https://www.linkedin.com/in/a").alias("href"))).alias("refs"))
     post = F.struct(F.concat(F.lit("see https://example.org/p/"), "page_id", F.lit(" there")).alias("text"), F.struct(inner.alias("inner")).alias("outer"))
-    return pages.select("page_id", F.array_join(outside_links(F.parse_json(F.to_json(post))), " ").alias("links"))
+    rows = with_nested_links(pages.select("page_id", F.parse_json(F.to_json(post)).alias("post")))
+    return rows.select("page_id", F.array_join("external_urls", " ").alias("links"))
 
 
 def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,7 +308,9 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", F.size(html_posts(F.col("html"))).alias("cards"))
+    pages = table(spark, sf_dir, "pages")
+    counts = post_rows(pages, ["page_id"]).groupBy("page_id").agg(F.count("*").cast("int").alias("cards"))
+    return pages.select("page_id").join(counts, "page_id", "left").select("page_id", F.coalesce("cards", F.lit(0)).alias("cards"))
 
 
 def page_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,8 +380,7 @@ def status_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<a href="https://example.org/{lang}/{id}">out</a><a href="https://x.com/other/status/9{id}">quoted</a><img src="https://pbs.twimg.com/media/{id}.jpg"><img src="https://a.example/profile_images/1.jpg"></article>',
         '<article><a href="/{source}/status/{id}">again</a></article><article><p>no address</p></article></main>',
     )
-    cards = pages.select(F.col("doc_id").alias("seq"), F.explode(html_statuses(F.col("html"))).alias("c")).select("seq", "c.*")
-    rows = bookmarks_from_visible_statuses(cards, now())
+    rows = bookmarks_from_visible_statuses(status_rows(pages.withColumnRenamed("doc_id", "seq"), ["seq"]), now())
     lists = [F.array_join(c, " ").alias(c) for c in ("external_urls", "referenced_tweet_urls", "image_urls")]
     return rows.select("url", "title", F.md5(F.col("post_text").cast("binary")).alias("text_md5"), *lists, F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"))
 
@@ -390,8 +393,8 @@ def post_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
         f'<p>{filler}</p><p>3d • edited</p><img src="https://media.licdn.com/{{id}}.png"><img src="https://media.licdn.com/profile-displayphoto/1.png"></div>',
         '<div data-urn="urn:li:activity:8{id}"><a href="https://example.org/8{id}">x</a><p>named</p></div></div></body>',
     )
-    cards = pages.select("doc_id", F.explode(html_posts(F.col("html"))).alias("c"))
-    return cards.select("doc_id", "c.url", "c.author", F.md5(F.col("c.text").cast("binary")).alias("text_md5"), "c.created_text", F.array_join("c.image_urls", " ").alias("images"))
+    cards = post_rows(pages, ["doc_id"])
+    return cards.select("doc_id", "url", "author", F.md5(F.col("text").cast("binary")).alias("text_md5"), "created_text", F.array_join("image_urls", " ").alias("images"))
 
 
 def status_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,12 +418,13 @@ def post_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cards of an author's thread with others between them."""
+    """Cards of an author's thread with others between them; only the author's own count, and those that don't tell whose they are."""
     card = '<div data-testid="tweet"><div data-testid="User-Name"><a href="/{who}?s=1">n</a></div><div data-testid="tweetText">{what}</div></div>'
     parts = [card.replace("{who}", "{source}").replace("{what}", "{text}"), card.replace("{who}", "other").replace("{what}", "a reply by another one"), card.replace("{who}", "{source}").replace("{what}", "{text}")]
     pages = built(spark, sf_dir, *parts, card.replace("{who}", "{source}").replace("{what}", "in the end of {id}"), '<div data-testid="tweet"><div data-testid="tweetText">short</div></div>')
-    rows = pages.select("doc_id", F.explode(thread_of_page(F.col("html"))).alias("c")).select("doc_id", "c.*").where("coalesce(author, '') <> 'other'")
-    return thread_texts(rows, "doc_id").select("doc_id", F.md5(F.col("thread_text").cast("binary")).alias("thread_md5"))
+    handles = table(spark, sf_dir, "documents").select("doc_id", F.upper("source").alias("handle"))
+    rows = thread_rows(pages.join(handles, "doc_id"), ["doc_id", "handle"])
+    return thread_texts(rows, "doc_id", handle=F.col("handle")).select("doc_id", F.md5(F.col("thread_text").cast("binary")).alias("thread_md5"))
 
 
 # Stores and notes ----------------------------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from ..functions.strings import filled, find_urls, merge_unique, some, strip
 from ..functions.texts import title_of
 from ..functions.times import post_time, relative_time, status_time
 from ..functions.urls import host, normalize_url, status_url, under
+from ..tables import materialize
 
 LIST, STR = "array<variant>", "string"
 
@@ -170,41 +171,66 @@ def nested(v: Column, kind: str) -> Column:
     return F.map_values(F.coalesce(F.try_variant_get(v, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
 
 
-def walk(v: Column, depth: int) -> Column:
-    """All strings inside a VARIANT down to ``depth`` levels, level by level.
+WALK = """
+WITH RECURSIVE walk(id, depth, path, v) MAX RECURSION LEVEL {levels} AS (
+  SELECT id, 0, CAST(array() AS ARRAY<INT>), v FROM {{rows}}
+  UNION ALL
+  SELECT w.id, w.depth + 1, concat(w.path, array(e.pos)), e.value FROM walk w, LATERAL variant_explode(w.v) e WHERE w.depth < {depth})
+SELECT id, depth, path, CAST(v AS STRING) AS text FROM walk WHERE schema_of_variant(v) = 'STRING'
+"""
 
-    An expression of its own: each level is the objects' and lists' members of the level above."""
-    step = lambda xs: F.flatten(F.transform(xs, lambda x: F.concat(nested(x, "object"), F.coalesce(F.try_variant_get(x, "$", LIST), F.array().cast(LIST)))))
-    levels = [F.array(v)]
-    for _ in range(depth):
-        levels.append(step(levels[-1]))
-    strings = [F.transform(F.filter(xs, lambda x: F.schema_of_variant(x) == "STRING"), lambda x: F.try_variant_get(x, "$", STR)) for xs in levels]
-    return reduce(lambda a, b: F.concat(a, b), strings)
 
+def json_strings(rows: DataFrame, depth: int) -> DataFrame:
+    """rows(id, v) -> (id, depth, path, text): all strings inside a VARIANT down to ``depth`` levels, each where it stands.
 
-def outside_links(post: Column, own_domain: str = "linkedin.com", depth: int = 6) -> Column:
-    """Addresses anywhere in a post that do not lead back to the site, and those in its texts; once each without query."""
-    links = F.filter(walk(post, depth), lambda s: F.startswith(s, F.lit("http")) & ~F.contains(s, F.lit(own_domain)))
-    texts = F.concat_ws(" ", *[text_at(post, p) for p in (".text", ".commentary", ".description", ".text.text", ".commentary.text", ".description.text", ".commentary.value", ".commentary.value.text")])
-    more = F.filter(find_urls(texts), lambda u: ~F.contains(u, F.lit(own_domain)))
-    both = F.concat(links, more)
-    bare = F.transform(both, lambda u: F.substring_index(u, "?", 1))
-    return F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.size(both), F.lit(1))), lambda k: F.when(F.array_position(bare, F.try_element_at(bare, k.cast("int"))) == k, F.try_element_at(both, k.cast("int")))), lambda u: u.isNotNull())
+    One recursive query: a step is the members of the objects and lists that the step before it found, for all rows at once,
+    so the plan is the same for any depth. Paths order strings as they stand in the body (keys of an object by name)."""
+    return rows.sparkSession.sql(WALK.format(levels=depth + 2, depth=depth), rows=rows.select("id", "v"))
+
+
+TEXT_PLACES = (".text", ".commentary", ".description", ".text.text", ".commentary.text", ".description.text", ".commentary.value", ".commentary.value.text")
 
 
 # What marks an address as a picture's.
 IMAGE_MARKS = [".jpg", ".jpeg", ".png", ".webp", "media.licdn.com", "image"]
 
 
-def image_links(post: Column, depth: int = 8) -> Column:
-    marked = lambda s: reduce(lambda a, b: a | b, [F.contains(F.lower(s), F.lit(m)) for m in IMAGE_MARKS])
-    return merge_unique(F.filter(walk(post, depth), lambda s: F.startswith(s, F.lit("http")) & marked(s)))
+def with_nested_links(rows: DataFrame, post: str = "post", own_domain: str = "linkedin.com", depth: int = 6, image_depth: int = 8) -> DataFrame:
+    """Rows with ``external_urls`` and ``image_urls``, in the order in which they stand in the VARIANT ``post``; null where there are none.
+
+    External are addresses down to ``depth`` levels that don't lead back to the site, once each without query, and those in
+    the post's texts that are none of these. Rows may repeat. Addresses of a row are brought together by one shuffle of
+    addresses, not of bodies; the rows are written once, as they are read twice."""
+    spark = rows.sparkSession
+    if "row_id" in rows.columns:
+        raise ValueError("row_id is a name of the walk's own")
+    rows = materialize(rows.withColumn("row_id", F.monotonically_increasing_id()), "posts")
+    text = F.col("text")
+    strings = json_strings(rows.select(F.col("row_id").alias("id"), F.col(post).alias("v")), max(depth, image_depth)).where(F.startswith(text, F.lit("http")))
+    marked = reduce(lambda a, b: a | b, [F.contains(F.lower(text), F.lit(m)) for m in IMAGE_MARKS])
+    place = lambda kind, path, at: F.struct(F.lit(kind).alias("kind"), path.alias("path"), at.alias("at"))
+    outside = F.when((F.col("depth") <= depth) & ~F.contains(text, F.lit(own_domain)), F.struct(F.lit("link").alias("sort"), F.substring_index(text, "?", 1).alias("key")))
+    picture = F.when((F.col("depth") <= image_depth) & marked, F.struct(F.lit("image").alias("sort"), text.alias("key")))
+    walked = strings.select("id", F.explode(F.array_compact(F.array(outside, picture))).alias("as"), place(0, F.col("path"), F.lit(0)).alias("place"), text.alias("url"))
+    texts = F.concat_ws(" ", *[text_at(F.col(post), p) for p in TEXT_PLACES])
+    written = rows.select(F.col("row_id").alias("id"), F.posexplode(find_urls(texts)).alias("at", "url")).where(~F.contains("url", F.lit(own_domain)))
+    written = written.select("id", F.struct(F.lit("link").alias("sort"), F.col("url").alias("key")).alias("as"), place(1, F.array().cast("array<int>"), F.col("at")).alias("place"), "url")
+    once = walked.unionByName(written).groupBy("id", "as").agg(F.min_by("url", "place").alias("url"), F.min("place").alias("place"))
+    of = lambda sort: some(F.transform(F.array_sort(F.collect_list(F.when(F.col("as.sort") == sort, F.struct("place", "url")))), lambda x: x["url"]))
+    name = "spark.sql.cteRecursionRowLimit"
+    most = spark.conf.get(name)
+    spark.conf.set(name, "-1")  # else a step may have a million rows at most
+    try:
+        found = materialize(once.groupBy("id").agg(of("link").alias("external_urls"), of("image").alias("image_urls")), "post-links")
+    finally:
+        spark.conf.set(name, most)
+    return rows.join(found, rows["row_id"] == found["id"], "left").drop("row_id", "id")
 
 
 def posts(elements: DataFrame, with_links: bool = True) -> DataFrame:
     """(seq, position, url, text, author, created_at, created_text, saved_at, external_urls, image_urls) of elements with an address.
 
-    Links and pictures are looked for at all depths; without ``with_links`` they are null, and the plan is a small one."""
+    Links and pictures are looked for by ``with_nested_links``; without ``with_links`` they are null, and nothing is written."""
     none = F.lit(None).cast("array<string>")
     element = F.col("element")
     card_url = F.coalesce(text_at(element, ".navigationUrl"), text_at(element, ".trackableAction.navigationUrl"))
@@ -227,10 +253,9 @@ def posts(elements: DataFrame, with_links: bool = True) -> DataFrame:
         time(".createdAt", ".time", ".createdTime").alias("created_at"),
         time(".createdAtText").alias("created_text"),
         time(".savedAt", ".savedTime", ".saved_at").alias("saved_at"),
-        (outside_links(post) if with_links else none).alias("external_urls"),
-        (image_links(post) if with_links else none).alias("image_urls"),
-    )
-    return out.where(F.coalesce("url", F.lit("")) != "")
+        "post",
+    ).where(F.coalesce("url", F.lit("")) != "")
+    return with_nested_links(out).drop("post") if with_links else out.drop("post").withColumns({"external_urls": none, "image_urls": none})
 
 
 def bookmarks_from_posts(rows: DataFrame, retrieved_at: Column) -> DataFrame:

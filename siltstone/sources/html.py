@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
-from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column
@@ -36,13 +36,6 @@ POST_REMOVED = [
 LINK_HOLDERS = ['.update-components-text', '.feed-shared-update-v2__description', '.break-words', '[dir="ltr"]', 'article']
 NO_IMAGE = ["profile_images", "profile-displayphoto", "emoji", "avatar", "logo", "icon", "sprite"]
 IMAGE_MARKS = [".jpg", ".jpeg", ".png", ".webp", "pbs.twimg.com/media", "media.licdn.com"]
-# Links, authors and cards of a page of saved posts, and ages as it writes them.
-POST_LINKS = ['a[href*="/feed/update/"]', 'a[href*="/posts/"]', 'a[href*="/activity/"]']
-POST_AUTHORS = ['[class*="actor"]', '[class*="author"]', 'a[href*="/in/"]']
-POST_URNS = ['[data-urn*="activity"]', '[data-urn*="update"]', '[data-urn*="post"]']
-POST_CARDS = ['[class*="save-caFE"]', '[class*="saved-item"]', '[class*="entity-result"]', '[class*="occludable"]']
-AGE = re.compile(r"\b\d+\s*(?:s|sec|secs|m|min|mins|h|hr|hrs|d|day|days|w|wk|wks|mo|mos|month|months|y|yr|yrs|year|years)\b\s*•", re.IGNORECASE)
-
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 LINES = {"address", "article", "blockquote", "br", "div", "dl", "dt", "dd", "fieldset", "figure", "form", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "li", "main", "ol", "p", "pre", "section", "table", "tr", "ul"}
 
@@ -106,20 +99,26 @@ class TreeParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
+        self.open_tags: Counter[str] = Counter()
 
     def handle_starttag(self, tag, attrs):
         if tag in ("p", "li", "tr") and self.open[-1].tag == tag:
-            self.open.pop()
+            self.close_one()
         node = Node(tag, {k: v or "" for k, v in attrs}, self.open[-1])
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
+            self.open_tags[tag] += 1
+
+    def close_one(self) -> str:
+        tag = self.open.pop().tag
+        self.open_tags[tag] -= 1
+        return tag
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                break
+        if self.open_tags[tag]:  # else it closes nothing, and nothing is searched
+            while self.close_one() != tag:
+                pass
 
     def handle_data(self, data):
         self.open[-1].children.append(data.replace("\n", " ").replace("\r", " "))
@@ -192,70 +191,6 @@ def images(root: Node, most: int = 20) -> list[str]:
     return list(dict.fromkeys(good))[:most]
 
 
-def absolute(base: str, href: str) -> str:
-    try:
-        return urljoin(base, href)
-    except ValueError:
-        return href
-
-
-def visible_statuses(root: Node, base: str = "https://x.com/") -> list[dict]:
-    """Cards of a page of saved statuses, each address once, in the order of the page."""
-    found: dict[str, dict] = {}
-    for card in root.below("article"):
-        hrefs = [absolute(base, a.attrs["href"]) for a in card.below("a[href]")]
-        numbered = [h for h in hrefs if re.search(r"/status/\d+", h)]
-        if not numbered or numbered[0] in found:
-            continue
-        url = numbered[0]
-        own, time = next(card.below('[data-testid="tweetText"]'), card), next(card.below("time[datetime]"), None)
-        author = re.search(r"x\.com/([^/]+)/status/", url)
-        found[url] = {
-            "url": url,
-            "text": own.text([]),
-            "author": author[1] if author else "unknown",
-            "published_at": time.attrs["datetime"] if time else None,
-            "external_urls": [h for h in hrefs if h.startswith("http") and "x.com" not in h and "twitter.com" not in h],
-            "referenced_tweet_urls": [h for h in numbered if h != url],
-            "image_urls": [i.attrs["src"] for i in card.below("img[src]") if "pbs.twimg.com/media/" in i.attrs["src"]],
-        }
-    return list(found.values())
-
-
-def visible_posts(root: Node, base: str = "https://www.linkedin.com/") -> list[dict]:
-    """Cards of a page of saved posts, each address once: around links to posts, elements named as posts, and saved cards."""
-
-    def up(node: Node | None, steps: int) -> Iterator[Node]:
-        for _ in range(steps):
-            if node is None or node.tag in ("body", ""):
-                return
-            yield node
-            node = node.parent
-
-    def tidy(text: str) -> str:
-        return re.sub(r"(?m)^Status is (?:online|offline)\n", "", re.sub(r"\n{3,}", "\n\n", text)).strip()
-
-    def add(url: str, card: Node, near: Node) -> None:
-        author = next(card.below(*POST_AUTHORS), None)
-        name = re.sub(r"(?is)\nView (?:company:|.*?profile).*$", "", tidy(author.text([]))).strip() if author else ""
-        ages = (AGE.search(n.text([])) for n in up(near, 10))
-        age = next((m for m in ages if m), None)
-        images = [i.attrs["src"] for i in card.below("img[src]") if i.attrs["src"].startswith("http") and "profile-displayphoto" not in i.attrs["src"]]
-        found[url] = {"url": url, "text": tidy(card.text([])), "author": name or "unknown", "created_text": age[0].replace("•", "").strip() if age else None, "image_urls": images}
-
-    found: dict[str, dict] = {}
-    for link in root.below(*POST_LINKS):
-        url = absolute(base, link.attrs["href"])
-        if url not in found:
-            add(url, next((n for n in up(link, 12) if next(n.below(*POST_LINKS), None) and len(n.text([]).strip()) > 80), link), link)
-    for selectors, wanted in ((POST_URNS, ["a[href]"]), (POST_CARDS, POST_LINKS)):
-        for card in root.below(*selectors):
-            link = next(card.below(*wanted), None)
-            if link and (url := absolute(base, link.attrs["href"])) and url not in found:
-                add(url, card, card)
-    return list(found.values())
-
-
 def html_text(html: Column, selectors: list[str] = CONTENT, least: int = 200) -> Column:
     """Readable text; clean it with ``functions.texts.clean_text``."""
 
@@ -298,43 +233,6 @@ def html_post(html: Column) -> Column:
     return run(html)
 
 
-def html_statuses(html: Column) -> Column:
-    """The cards of a page, as ``feeds.bookmarks_from_visible_statuses`` reads them."""
-
-    @F.pandas_udf("array<struct<url:string,text:string,author:string,published_at:string,external_urls:array<string>,referenced_tweet_urls:array<string>,image_urls:array<string>>>")
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: visible_statuses(parse(p)))
-
-    return run(html)
-
-
-def html_posts(html: Column) -> Column:
-    @F.pandas_udf("array<struct<url:string,text:string,author:string,created_text:string,image_urls:array<string>>>")
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: visible_posts(parse(p)))
-
-    return run(html)
-
-
-def thread_of_page(html: Column) -> Column:
-    """array(ord, author, text) of the cards of a thread's page; the author is null where the card does not tell."""
-
-    def cards(page: str | None) -> list[dict]:
-        out = []
-        for card in parse(page).below('[data-testid="tweet"]'):
-            name, text = next(card.below('[data-testid="User-Name"]'), None), next(card.below('[data-testid="tweetText"]'), None)
-            handles = [m[1] for a in (name.below("a[href]") if name else ()) if (m := re.fullmatch(r"/([A-Za-z0-9_]+)", a.attrs["href"].partition("?")[0]))]
-            if text:
-                out.append({"ord": len(out), "author": handles[0].lower() if handles else None, "text": text.text([])})
-        return out
-
-    @F.pandas_udf("array<struct<ord:int,author:string,text:string>>")
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(cards)
-
-    return run(html)
-
-
 def page_content(url: Column, html: Column, of_post: bool = False) -> Column:
     """struct(url, full_text, image_urls): cleaned text of at most 50,000 characters, null if under 50.
 

@@ -2,12 +2,13 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from siltstone.sources import feeds, notes
 from siltstone.schemas import CURSORS
-from siltstone.sources import stores
-from siltstone.sources.html import html_images, html_links, html_posts, html_status, html_text, page_content, parse
+from siltstone.sources import feeds, notes, stores
+from siltstone.sources.cards import Page, post_cards, post_rows, status_cards, status_rows, thread_rows
+from siltstone.sources.html import html_images, html_links, html_status, html_text, page_content, parse
 
 NOW = "2026-05-14 00:00:00"
 
@@ -175,8 +176,7 @@ def test_pages(spark):
     contents = rows.select("k", page_content(F.col("url"), F.col("html")).alias("c")).orderBy("k").collect()
     assert contents[0]["c"]["full_text"].startswith("Title & more") and contents[3]["c"]["full_text"] is None
     cards = spark.createDataFrame([('<body><div><li><a href="/posts/a-1?x=1">l</a> text</li></div><li>none</li><p class="entity-result">Status is online<br><a href="https://l/activity/2">second</a> 2w •</p></body>',)], "html string")
-    got = cards.select(html_posts(F.col("html")).alias("c")).first()["c"]
-    assert [tuple(c) for c in got] == [("https://www.linkedin.com/posts/a-1?x=1", "l", "unknown", None, []), ("https://l/activity/2", "second", "unknown", "2w", [])]
+    assert [tuple(c) for c in post_rows(cards, []).collect()] == [("https://www.linkedin.com/posts/a-1?x=1", "l", "unknown", None, []), ("https://l/activity/2", "second", "unknown", "2w", [])]
     deep = spark.createDataFrame([("<div dir='ltr'>" * 3000 + '<a href="https://e.org/1">x</a>',)], "html string")
     assert deep.select(html_links(F.col("html")).alias("l")).first()["l"] == ["https://e.org/1"]
 
@@ -217,3 +217,104 @@ def test_stores(spark, tmp_path):
     assert [r["recent_urls"] for r in stores.frontiers_from_json(spark, str(tmp_path / "frontiers.json")).collect()] == [["https://e.org/b", "https://e.org/c"]]
     for read in (stores.processed_from_json, stores.cursors_from_json, stores.frontiers_from_json):
         assert read(spark, str(tmp_path / "bad.json")).count() == 0 and read(spark, str(tmp_path / "none.json")).count() == 0
+
+
+# Cards as rows -------------------------------------------------------------------------------------------------------
+
+
+def test_lookups_of_a_page_equal_searches_in_the_tree():
+    """Lengths, texts, first elements and ages of every element, against the tree walked again for each of them."""
+    import random
+
+    from siltstone.sources import cards
+
+    rng = random.Random(5)
+    for _ in range(40):
+        html = "".join(rng.choice(["<div>", "</div>", "<p>", "</p>", "<b>", "</b>", "<a href='/posts/1'>", "</a>", "<img src='http://i'>", "<br>", "word", "3d •", " ", "\n", "x 1", "2 days  •", "\u00a0", "é\u3000日"]) for _ in range(60))
+        page = Page(html)
+        links = page.places("a[href]")
+        for i, node in enumerate(page.nodes):
+            text = node.text([])
+            assert page.text(i) == text and page.chars(i) == len(text), html
+            below = list(node.below("a[href]"))
+            assert [page.nodes[k] for k in page.below(links, i)] == below
+            assert (page.first(links, i) is None) == (not below) and (not below or page.nodes[page.first(links, i)] is below[0])
+            found = cards.AGE.search(text)
+            assert page.age(i) == (" ".join(found[0].replace("•", "").split()) if found else None), (html, text)
+
+
+def test_cards_take_time_in_proportion_to_the_page():
+    import time
+
+    many = "<div>" + "".join(f'<p><a href="/posts/a-{k}">link</a> {"some words of a post " * 6}<img src="http://i/{k}"></p>' for k in range(1000)) + "</div>"
+    one_card = "<div>" + "".join(f'<a href="/posts/a-{k}">link</a>' for k in range(1000)) + "</div>"
+    nested = "".join(f'<article><a href="/u/status/{k}">s</a>' for k in range(600)) + "</article>" * 600
+    unmatched = "<div>" * 4000 + "</span>" * 4000
+    for f, html, n in ((post_cards, many, 1000), (post_cards, one_card, 1000), (status_cards, nested, 600), (status_cards, unmatched, 0)):
+        began = time.process_time()
+        assert sum(1 for _ in f(html)) == n
+        assert time.process_time() - began < 1.5
+
+
+def test_rows_of_cards_beside_their_pages(spark):
+    """Pages without a card have no row; the lateral join shuffles nothing."""
+    html = '<article><a href="/ann/status/7">a</a><div data-testid="tweetText">one</div></article><div data-testid="tweet"><div data-testid="User-Name"><a href="/Ann?s=1">n</a></div><div data-testid="tweetText">two words</div></div>'
+    pages = spark.createDataFrame([(1, html, "own"), (2, None, None), (3, "", "x"), (1, html, "own")], "k int, page string, note string")
+    rows = status_rows(pages, ["k", "note"], "page")
+    assert sorted((r["k"], r["note"], r["url"], r["author"], r["text"]) for r in rows.collect()) == [(1, "own", "https://x.com/ann/status/7", "ann", "one")] * 2
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in thread_rows(pages, ["k"], "page").collect()) == [(1, 0, "ann", "two words")] * 2
+    assert post_rows(pages, ["k"], "page").count() == 0
+
+
+# The recursive walk --------------------------------------------------------------------------------------------------
+
+
+def strings_of(value, depth, path=(), at=0):
+    """(depth, path, text) as a walk in Python has them, keys by name."""
+    if isinstance(value, str):
+        yield at, list(path), value
+    members = [v for _, v in sorted(value.items())] if isinstance(value, dict) else value if isinstance(value, list) else []
+    for k, v in enumerate(members if at < depth else []):
+        yield from strings_of(v, depth, (*path, k), at + 1)
+
+
+def test_strings_of_json_at_any_depth(spark):
+    import json
+    import random
+
+    rng = random.Random(3)
+
+    def value(level):
+        kind = rng.randrange(6) if level else 5
+        if kind < 2:
+            return {rng.choice("abcde") * rng.randrange(1, 3): value(level - 1) for _ in range(rng.randrange(4))}
+        return [value(level - 1) for _ in range(rng.randrange(4))] if kind < 4 else rng.choice(["text", "http://a/b", "", 3, None, True, 1.5])
+
+    bodies = [value(7) for _ in range(60)] + ["top", {}, [], None]
+    rows = spark.createDataFrame([(k, json.dumps(b)) for k, b in enumerate(bodies)], "id long, body string").select("id", F.try_parse_json("body").alias("v"))
+    sizes = []
+    for depth in (0, 1, 6, 20):
+        found = feeds.json_strings(rows, depth)
+        sizes.append(len(found._jdf.queryExecution().optimizedPlan().toString()))
+        expected = sorted((k, *x) for k, b in enumerate(bodies) for x in strings_of(b, depth))
+        assert sorted((r["id"], r["depth"], r["path"], r["text"]) for r in found.collect()) == expected
+    assert max(sizes) - min(sizes) < 20  # the same plan for any depth
+
+
+def test_nested_links(spark):
+    """Order, repeats with and without query, the site's own, texts, depths, pictures; repeated rows and a broken body."""
+    import json
+
+    post = {"a": {"href": "https://e.org/1?x=1"}, "b": ["https://e.org/1?x=2", "https://www.linkedin.com/in/z", "https://i.org/P.PNG"], "c": {"d": {"e": {"f": {"g": {"h": "https://e.org/deep"}}}}}, "text": "see https://e.org/t?q=1 and https://e.org/1 (https://www.linkedin.com/x)"}
+    deep = {"l": "https://media.licdn.com/9"}
+    for _ in range(7):
+        deep = {"x": deep}
+    rows = spark.createDataFrame([(1, json.dumps(post)), (1, json.dumps(post)), (2, json.dumps(deep)), (3, "broken {"), (4, "{}")], "k int, body string").select("k", F.try_parse_json("body").alias("post"))
+    got = sorted((r["k"], r["external_urls"], r["image_urls"]) for r in feeds.with_nested_links(rows).collect())
+    links = ["https://e.org/1?x=1", "https://i.org/P.PNG", "https://e.org/deep", "https://e.org/t?q=1"]
+    assert got == [(1, links, ["https://i.org/P.PNG"])] * 2 + [(2, None, ["https://media.licdn.com/9"]), (3, None, None), (4, None, None)]
+    shallow = {r["k"]: r["external_urls"] for r in feeds.with_nested_links(rows, depth=2, image_depth=2).collect()}
+    assert shallow[1] == [links[0], links[1], links[3]]
+    with pytest.raises(ValueError, match="row_id"):
+        feeds.with_nested_links(rows.withColumn("row_id", F.lit(1)))
