@@ -1,46 +1,23 @@
-"""State between runs: cursors, processed addresses and frontiers, as tables, and in the JSON files of earlier runs.
+"""State between runs: cursors, processed addresses and frontiers, as keyed stores, and in the JSON files of earlier runs.
 
-A store is a folder of versions. A save writes the whole next version with Spark's commit protocol; a load reads the
-newest one that was written to its end, so a run that dies while saving leaves the one before. A store that is not there
-is empty. One run at a time saves."""
+A store (``sources.keyed``) is changed by merging rows into it: a save costs what the buckets of its own keys hold, a run
+that dies while saving leaves the version before, and of two runs that save at a time neither undoes the other. A store
+that is not there is empty."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.urls import normalize_url
-from ..operators.delta import insert_absent, upsert
 from ..operators.dedupe import first_seen
 from ..schemas import CURSORS, FRONTIERS, PROCESSED
-
-
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the versions that were written to their end."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return []
-    names = [s.getPath().getName() for s in files.listStatus(root)]
-    done = [n for n in names if n.startswith("v=") and files.exists(jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/_SUCCESS"))]
-    return sorted(int(n[2:]) for n in done)
-
-
-def load(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    found = _versions(spark, folder)
-    return spark.read.schema(schema).parquet(f"{folder}/v={found[-1]}") if found else spark.createDataFrame([], schema)
-
-
-def save(df: DataFrame, folder: str, schema: T.StructType) -> None:
-    found = _versions(df.sparkSession, folder)
-    df.select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{folder}/v={found[-1] + 1 if found else 1}")
+from .keyed import load, merge
 
 
 def save_cursors(new: DataFrame, folder: str) -> None:
     """new(source, cursor, mode, last_run): sources in it are replaced, others stay."""
-    save(upsert(load(new.sparkSession, folder, CURSORS), new, "source"), folder, CURSORS)
+    merge(new, folder, CURSORS, "source", "last")
 
 
 def load_processed(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,8 +28,7 @@ def load_processed(spark: SparkSession, folder: str) -> DataFrame:
 
 def add_processed(new: DataFrame, folder: str) -> None:
     """new(norm_url, first_seen, source): an address that is there keeps its entry."""
-    once = first_seen(new.withColumn("norm_url", normalize_url(F.col("norm_url"))), "norm_url", "first_seen", "source")
-    save(insert_absent(load_processed(new.sparkSession, folder), once.select(*PROCESSED.fieldNames()), "norm_url"), folder, PROCESSED)
+    merge(first_seen(new.withColumn("norm_url", normalize_url(F.col("norm_url"))), "norm_url", "first_seen", "source"), folder, PROCESSED, "norm_url", "first")
 
 
 def save_frontiers(observed: DataFrame, folder: str, most: int, now: Column) -> None:
@@ -62,7 +38,7 @@ def save_frontiers(observed: DataFrame, folder: str, most: int, now: Column) ->
     rows = recent(observed.select("source", "seq", normalize_url(F.col("url")).alias("norm_url")), "source", "seq", most)
     lists = rows.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("seq", "norm_url"))).alias("found"))  # ``most`` rows each
     new = lists.select("source", now.alias("updated_at"), F.col("found.norm_url").alias("recent_urls"))
-    save(upsert(load(observed.sparkSession, folder, FRONTIERS), new, "source"), folder, FRONTIERS)
+    merge(new, folder, FRONTIERS, "source", "last")
 
 
 def frontier_urls(spark: SparkSession, folder: str) -> DataFrame:

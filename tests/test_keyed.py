@@ -1,0 +1,132 @@
+"""The keyed store: what a merge reads and writes, and what becomes of several at a time."""
+
+import random
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from siltstone.schemas import PROCESSED
+from siltstone.sources import keyed, stores
+from siltstone.sources.files import claim, resolve
+
+SCHEMA = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+
+
+def rows(spark, found):
+    return spark.createDataFrame(list(found), SCHEMA)
+
+
+def content(spark, at):
+    found = [tuple(r) for r in keyed.load(spark, at, SCHEMA).collect()]
+    assert len(found) == len({k for k, _ in found})
+    return dict(found)
+
+
+def test_merges_equal_a_dictionary(spark, tmp_path, monkeypatch):
+    """Through several sizes of the table; keys that are there stay or go by the rule; null keys are left out."""
+    monkeypatch.setattr(keyed, "MOST_ROWS", 8)
+    rng, at, expected, sizes = random.Random(1), str(tmp_path / "s"), {}, []
+    assert content(spark, at) == {}
+    for step in range(7):
+        new = {f"k{rng.randrange(90)}": 1000 * step + i for i in range(12)}
+        keep = rng.choice(["first", "last"])
+        keyed.merge(rows(spark, [*new.items(), (None, 5)]), at, SCHEMA, "k", keep)
+        expected = {**new, **expected} if keep == "first" else {**expected, **new}
+        assert content(spark, at) == expected
+        sizes.append(keyed.newest(at).buckets)
+    assert sizes[0] < sizes[-1] <= 16 and sizes == sorted(sizes)
+    before = keyed.newest(at).number
+    assert keyed.merge(rows(spark, []), at, SCHEMA, "k", "last").number == before == 7
+    assert keyed.newest(at).rows == len(expected)
+
+
+def test_only_the_buckets_of_new_keys_are_written(spark, tmp_path, monkeypatch):
+    at = str(tmp_path / "s")
+    monkeypatch.setattr(keyed, "MOST_ROWS", 40)
+    keyed.merge(rows(spark, ((f"k{i}", i) for i in range(2000))), at, SCHEMA, "k", "last")
+    old = keyed.newest(at)
+    new = keyed.merge(rows(spark, [("k7", -7)]), at, SCHEMA, "k", "last")
+    changed = [k for k in new.places if new.places[k] != old.places.get(k)]
+    assert old.buckets == 64 and len(changed) == 1 and new.places[changed[0]][1] < 100
+    assert content(spark, at)["k7"] == -7 and len(content(spark, at)) == 2000
+
+
+@pytest.mark.parametrize("others", [["k7"], ["k7", "a", "b"], [f"x{i}" for i in range(300)]])
+def test_who_comes_second_merges_on_top_of_the_first(spark, tmp_path, monkeypatch, others):
+    """Another saver claims the version while this one writes: the same bucket, others, or so many rows that the table grows."""
+    at = str(tmp_path / "s")
+    monkeypatch.setattr(keyed, "MOST_ROWS", 10)
+    keyed.merge(rows(spark, ((f"k{i}", i) for i in range(100))), at, SCHEMA, "k", "last")
+    real, left = keyed.claim, [True]
+
+    def interrupted(store, path, value):
+        if left:
+            left.clear()
+            keyed.merge(rows(spark, ((k, 555) for k in others)), at, SCHEMA, "k", "first")
+        return real(store, path, value)
+
+    monkeypatch.setattr(keyed, "claim", interrupted)
+    keyed.merge(rows(spark, [("k7", -7), ("a", -1), ("new", 3)]), at, SCHEMA, "k", "last")
+    expected = {f"k{i}": i for i in range(100)} | {k: 555 for k in others if k != "k7"} | {"k7": -7, "a": -1, "new": 3}
+    assert content(spark, at) == expected and keyed.newest(at).number == 3
+
+
+def test_savers_at_a_time(spark, tmp_path):
+    at, errors = str(tmp_path / "s"), []
+
+    def save(n):
+        try:
+            new = spark.createDataFrame([(f"https://e.org/{n}/{i}", n) for i in range(20)] + [("https://e.org/shared", n)], "norm_url string, n int")
+            stores.add_processed(new.select("norm_url", F.timestamp_seconds("n").alias("first_seen"), F.lit("x").alias("source")), at)
+        except Exception as e:  # noqa: BLE001
+            errors.append(e)
+
+    threads = [threading.Thread(target=save, args=(n,)) for n in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not errors and keyed.newest(at).number == 4
+    found = [r["norm_url"] for r in keyed.load(spark, at, PROCESSED).collect()]
+    assert len(found) == len(set(found)) == 81
+
+
+def test_a_run_that_dies_before_it_claims(spark, tmp_path, monkeypatch):
+    at = str(tmp_path / "s")
+    keyed.merge(rows(spark, [("a", 1)]), at, SCHEMA, "k", "last")
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "claim", dies)
+        with pytest.raises(KeyboardInterrupt):
+            keyed.merge(rows(spark, [("a", 2), ("b", 2)]), at, SCHEMA, "k", "last")
+    assert content(spark, at) == {"a": 1}
+    keyed.merge(rows(spark, [("b", 3)]), at, SCHEMA, "k", "last")
+    assert content(spark, at) == {"a": 1, "b": 3}
+
+
+def test_vacuum(spark, tmp_path):
+    at = str(tmp_path / "s")
+    for i in range(5):
+        keyed.merge(rows(spark, [("a", i), (f"k{i}", i)]), at, SCHEMA, "k", "last")
+    assert keyed.vacuum(spark, at, keep=2) == 3 and keyed.vacuum(spark, at, keep=2) == 0
+    assert content(spark, at) == {"a": 4, **{f"k{i}": i for i in range(5)}}
+    store, root = resolve(at)
+    assert len([p for p in (tmp_path / "s" / "data").glob("*/bucket=*")]) == 2
+    keyed.merge(rows(spark, [("z", 1)]), at, SCHEMA, "k", "last")
+    assert content(spark, at)["z"] == 1
+
+
+def test_claims(tmp_path):
+    store, root = resolve(str(tmp_path))
+    won = []
+    threads = [threading.Thread(target=lambda n=n: won.append(n) if claim(store, f"{root}/name.json", {"n": n}) else None) for n in range(16)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(won) == 1 and (tmp_path / "name.json").read_text() == f'{{"n": {won[0]}}}' and len(list(tmp_path.iterdir())) == 1

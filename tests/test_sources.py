@@ -206,7 +206,7 @@ def test_stores(spark, tmp_path):
     row = "source string, cursor string, mode string, last_run timestamp"
     stores.save_cursors(spark.createDataFrame([("x", "a", "delta", None), ("y", "b", "delta", None)], row), at)
     stores.save_cursors(spark.createDataFrame([("x", "c", "delta", None)], row), at)
-    (tmp_path / "cursors" / "v=3").mkdir()  # a run that died while saving
+    (tmp_path / "cursors" / "versions" / "000000000009.json.x.part").write_text("{")  # a run that died while saving
     assert sorted((r["source"], r["cursor"]) for r in stores.load(spark, at, CURSORS).collect()) == [("x", "c"), ("y", "b")]
     (tmp_path / "processed_urls.json").write_text('{"urls": {"https://E.org/a/?utm_source=x": {"first_seen": "2026-01-01T00:00:00+00:00", "source": "x"}}}')
     (tmp_path / "bad.json").write_text("{broken")
