@@ -13,6 +13,7 @@ from .functions.strict import normalize_url_strict
 from .functions.texts import NOISE_PASSAGES, NOISE_PHRASES, accepted_article, card_text, clean_text, fallback_text, is_noise, redact_tokens, title_of
 from .functions.times import epoch_time, relative_time
 from .functions.urls import TRACKING_PARAMS, host, normalize_url, note_name, stable_id, status_url, valid_url
+from .operators.boundary import before_known_walk
 from .operators.content import thread_texts, with_content
 from .operators.dedupe import dedupe_report, duplicate_groups, first_seen, keep_richest
 from .operators.delta import cap_per_group, counts_with_zeros, insert_absent, known_set, new_rows, upsert, with_known_flag
@@ -120,6 +121,17 @@ def frontier_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return before_known_sequence(events, "user_id", "event_id", "is_known", 2).select("event_id", "user_id")
 
 
+def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as feeds in which addresses come back: (event_id, user_id, url, is_known)."""
+    url = F.concat_ws("/", "event_type", (F.col("event_id") * 7 % 11).cast("string"))
+    return table(spark, sf_dir, "events").select("event_id", "user_id", url.alias("url"), (F.col("event_type").isin("view", "click") | (F.col("event_id") % 11 < 3)).alias("is_known"))
+
+
+def frontier_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stop rule where addresses come back: one of the last 5 neither lengthens nor breaks a run."""
+    return before_known_walk(event_feed(spark, sf_dir), "user_id", "event_id", "url", "is_known", 3, 5).select("event_id", "user_id")
+
+
 def frontier_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recent(table(spark, sf_dir, "events").select("event_id", "user_id"), "user_id", "event_id", 20)
 
@@ -577,7 +589,7 @@ def source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [
     url_canonical, url_strict, richest_pages, page_hosts, page_ids, note_names, repeated_texts, duplicate_pages, first_events,
-    delta_documents, known_customers, known_ids, frontier_stop, frontier_recent, frontier_stream, rows_per_source, nation_counts,
+    delta_documents, known_customers, known_ids, frontier_stop, frontier_repeats, frontier_recent, frontier_stream, rows_per_source, nation_counts,
     source_cursors, processed_urls, cleaned_texts, noise_flags, chosen_texts, threads, page_href_heads, event_ages, event_epochs,
     event_fields, parsed_statuses, parsed_posts, feed_cursor, streamed_feeds, feed_offsets, nested_links, dry_run, page_texts, page_links, page_images, page_cards,
     page_contents, enrichment_counts, rendered_notes, dead_rows, status_cards, post_cards, status_pages, post_pages, post_links,
@@ -657,6 +669,19 @@ runs AS (SELECT *, sum(CASE WHEN k THEN 1 ELSE 0 END) OVER (PARTITION BY user_id
 stops AS (SELECT user_id, min(CASE WHEN k AND run >= 2 THEN event_id END) AS stop FROM runs GROUP BY user_id)
 SELECT event_id, user_id FROM runs JOIN stops USING (user_id) WHERE NOT k AND (stop IS NULL OR event_id < stop)
 """
+# A walk of each feed, a row of all feeds at a step.
+WALKS = """
+WITH RECURSIVE rows AS (
+  SELECT event_id, user_id, event_type || '/' || (event_id * 7 % 11) AS url, event_type IN ('view', 'click') OR event_id % 11 < 3 AS known,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+walk AS (
+  SELECT DISTINCT user_id, 0::BIGINT AS rn, []::VARCHAR[] AS recent, 0 AS streak, false AS stopped, NULL::BIGINT AS event_id, false AS kept FROM rows
+  UNION ALL
+  SELECT user_id, rn, CASE WHEN held THEN recent ELSE list_append(recent, url)[-5:] END, run, stopped OR run >= 3, event_id, NOT known AND NOT (stopped OR run >= 3)
+  FROM (SELECT r.user_id, r.rn, r.event_id, r.url, r.known, recent, stopped, list_contains(recent, url) AS held, CASE WHEN list_contains(recent, url) THEN streak WHEN known THEN streak + 1 ELSE 0 END AS run
+        FROM walk w JOIN rows r ON r.user_id = w.user_id AND r.rn = w.rn + 1))
+SELECT event_id, user_id FROM walk WHERE kept
+"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -681,6 +706,7 @@ def oracle_sql() -> dict[str, str]:
         "known_ids": "SELECT doc_id FROM labels UNION SELECT doc_id FROM documents WHERE lang = 'fr' UNION SELECT doc_id FROM documents WHERE source = 'src3'",
         "frontier_stop": FRONTIER,
         "frontier_stream": FRONTIER,
+        "frontier_repeats": WALKS,
         "frontier_recent": "SELECT event_id, user_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 20",
         "rows_per_source": "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 500",
         "nation_counts": "SELECT n_nationkey, count(c_custkey) AS n FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey",

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from siltstone.schemas import DEAD_LETTER
-from siltstone.operators import content, dedupe, delta, enrich, frontier
+from siltstone.operators import boundary, content, dedupe, delta, enrich, frontier
 from siltstone.operators.skew import attach
 
 
@@ -33,6 +33,56 @@ def test_frontier_equals_a_walk(spark):
     assert frontier.before_known_sequence(empty, "g", "o", "known", 2).count() == 0
 
 
+def plain_walk(rows, stop_after, limit):
+    """(feed, place) of rows (feed, place, url, known), feed by feed, row by row."""
+    out = []
+    for feed in {r[0] for r in rows if r[0] is not None}:
+        recent, streak, stopped = [], 0, False
+        for _, place, url, known in sorted((r for r in rows if r[0] == feed), key=lambda r: r[1]):
+            if url not in recent:
+                recent = [*recent, url][-limit:]
+                streak = streak + 1 if known else 0
+                stopped |= streak >= stop_after > 0
+            if not known and not stopped:
+                out.append((feed, place))
+    return sorted(out)
+
+
+def test_walk_of_feeds_with_repeats(spark):
+    """Addresses that come back within and beyond what is remembered, feeds over many blocks, runs over borders."""
+    rng = random.Random(9)
+    for stop_after, limit, addresses, p in ((2, 3, 5, 0.6), (4, 5, 9, 0.7), (3, 20, 25, 0.5), (30, 4, 6, 0.97), (3, 1, 2, 0.5), (0, 3, 5, 0.5)):
+        known = {k: rng.random() < p for k in range(addresses)}
+        rows = []
+        for k in range(500):
+            a = rng.randrange(addresses)
+            rows.append((rng.choice(["big"] * 6 + ["b", "c", None]), k, None if a == 0 else f"u{a}", known[a] or None if rng.random() < 0.1 else known[a]))
+        # a run that begins in one block and is long enough only some blocks later
+        rows += [("runs", 1000 + k, f"v{k % 7}" if k < 40 else f"w{k}", k >= 40) for k in range(140)]
+        df = spark.createDataFrame([(*r, "x") for r in rows], "feed string, place long, url string, known boolean, walk_stop string")
+        expected = plain_walk([(f, o, u, bool(n)) for f, o, u, n in rows], stop_after, limit)
+        for blocks in (1, 7, 40):
+            got = boundary.before_known_walk(df, "feed", "place", "url", "known", stop_after, limit, blocks)
+            assert sorted((r["feed"], r["place"]) for r in got.collect() if r["feed"] is not None) == expected, (stop_after, limit, blocks)
+    assert boundary.before_known_walk(df.where("false"), "feed", "place", "url", "known", 2).count() == 0
+
+
+def test_blocks_that_are_walked_again(spark, monkeypatch):
+    """Only blocks of a single feed whose remembered addresses are others than before, and few rounds of them."""
+    calls, real = [], boundary.summaries
+
+    def counted(rows, entries, *rest):
+        calls.append(sorted(entries))
+        return real(rows, entries, *rest)
+
+    monkeypatch.setattr(boundary, "summaries", counted)
+    rows = [("big", k, f"u{k % 50}", k % 3 == 0) for k in range(3000)]
+    df = spark.createDataFrame(rows, "feed string, place long, url string, known boolean")
+    got = boundary.before_known_walk(df, "feed", "place", "url", "known", 5, 4, 12)
+    assert sorted((r["feed"], r["place"]) for r in got.collect()) == plain_walk(rows, 5, 4)
+    assert len(calls[0]) == 0 and 1 < len(calls) <= 4
+
+
 def test_frontier_vector(spark):
     rows = [("x", 1, False), ("x", 2, True), ("x", 3, True), ("x", 4, False)]
     df = spark.createDataFrame(rows, "g string, o long, known boolean")
