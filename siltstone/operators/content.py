@@ -25,44 +25,56 @@ def thread_texts(rows: DataFrame, key: str, handle: Column | str | None = None,
     return once.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list("first")), lambda x: x["text"]), "\n\n---\n\n").alias("thread_text"))
 
 
-def article(url: Column, primary: Column, fallback: Column, images: Column) -> Column:
-    """struct ARTICLE from two extractions of a page: the first that holds enough text without noise, else 'failed'."""
+def article(url: Column, primary: Column, fallback: Column, images: Column, error: Column) -> Column:
+    """struct ARTICLE from two extractions of a page: the first that holds enough text without noise, else 'failed', or
+    'error' where an extraction broke off."""
     first, second = accepted_article(primary), accepted_article(fallback)
-    method = F.when(first.isNotNull(), "playwright").when(second.isNotNull(), "trafilatura").otherwise("failed")
-    return F.struct(url.alias("url"), F.coalesce(first, second).alias("text"), F.when(first.isNotNull(), some(images)).alias("image_urls"), method.alias("extraction_method"))
+    method = F.when(error.isNotNull(), "error").when(first.isNotNull(), "playwright").when(second.isNotNull(), "trafilatura").otherwise("failed")
+    good = error.isNull()
+    return F.struct(url.alias("url"), F.when(good, F.coalesce(first, second)).alias("text"), F.when(good & first.isNotNull(), some(images)).alias("image_urls"), method.alias("extraction_method"))
 
 
-def referenced_article(url: Column, text: Column, images: Column) -> Column:
-    found = F.coalesce(text, F.lit("")) != ""
-    return F.struct(url.alias("url"), F.when(found, F.substring(text, 1, 8000)).alias("text"), F.when(found, some(images)).alias("image_urls"), F.when(found, "playwright_x_thread").otherwise("failed_x_thread").alias("extraction_method"))
+def referenced_article(url: Column, text: Column, images: Column, error: Column) -> Column:
+    found = (F.coalesce(text, F.lit("")) != "") & error.isNull()
+    method = F.when(error.isNotNull(), "error_x_thread").when(found, "playwright_x_thread").otherwise("failed_x_thread")
+    return F.struct(url.alias("url"), F.when(found, F.substring(text, 1, 8000)).alias("text"), F.when(found, some(images)).alias("image_urls"), method.alias("extraction_method"))
 
 
-def articles_of(bookmarks: DataFrame, pages: DataFrame) -> DataFrame:
-    """(url, external_articles): for the first MOST_ARTICLES linked posts and linked pages of each bookmark.
+def articles_of(bookmarks: DataFrame, pages: DataFrame, row: str = "url") -> DataFrame:
+    """(row, external_articles): for the first MOST_ARTICLES linked posts and linked pages of each bookmark.
 
-    pages(page_url, full_text, fallback_text, image_urls, thread_text): what extraction has found; a page that is
-    missing there has failed."""
+    ``row`` tells bookmarks apart. pages(page_url, full_text, fallback_text, image_urls, thread_text, error), one row for
+    each address: what extraction has found, or why it broke off; a page that is missing there has failed."""
     none = F.array().cast("array<string>")
     kinds = F.concat(
         F.transform(F.slice(F.coalesce("referenced_tweet_urls", none), 1, MOST_ARTICLES), lambda u: F.struct(F.lit(True).alias("post"), u.alias("page_url"))),
         F.transform(F.slice(F.coalesce("external_urls", none), 1, MOST_ARTICLES), lambda u: F.struct(F.lit(False).alias("post"), u.alias("page_url"))),
     )
-    wanted = bookmarks.select("url", F.posexplode(kinds).alias("place", "want")).select("url", "place", "want.post", "want.page_url")
+    wanted = bookmarks.select(row, F.posexplode(kinds).alias("place", "want")).select(row, "place", "want.post", "want.page_url")
     # a page that many bookmarks link to is not one task's group
     sizes = wanted.groupBy("page_url").agg(F.count("*").alias("rows_of_key"))
-    found = attach(wanted, "page_url", materialize(sizes.join(pages, "page_url", "left"), "linked-pages"))
-    built = F.when(F.col("post"), referenced_article(F.col("page_url"), F.col("thread_text"), F.col("image_urls"))).otherwise(article(F.col("page_url"), F.col("full_text"), F.col("fallback_text"), F.col("image_urls")))
-    lists = found.groupBy("url").agg(F.array_sort(F.collect_list(F.struct("place", built.alias("article")))).alias("articles"))
-    return lists.select("url", F.transform("articles", lambda x: x["article"]).alias("external_articles"))
+    found = attach(wanted, "page_url", materialize(sizes.join(with_errors(pages), "page_url", "left"), "linked-pages"))
+    post = referenced_article(F.col("page_url"), F.col("thread_text"), F.col("image_urls"), F.col("error"))
+    built = F.when(F.col("post"), post).otherwise(article(F.col("page_url"), F.col("full_text"), F.col("fallback_text"), F.col("image_urls"), F.col("error")))
+    lists = found.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("place", built.alias("article")))).alias("articles"))
+    return lists.select(row, F.transform("articles", lambda x: x["article"]).alias("external_articles"))
+
+
+def with_errors(pages: DataFrame) -> DataFrame:
+    return pages if "error" in pages.columns else pages.withColumn("error", F.lit(None).cast("string"))
 
 
 def with_content(bookmarks: DataFrame, pages: DataFrame, now: Column | None = None) -> DataFrame:
-    """(bookmark, content): the struct of each bookmark beside what was extracted for it at ``now``.
+    """(bookmark, content, page_error): the struct of each bookmark beside what was extracted for it at ``now``.
 
+    Each row has its own content, also where addresses repeat or are null. Where the extraction of its own page broke off,
+    ``page_error`` says why.
     A post of the first feed takes the thread's text if it is longer and lists what it links to. A post of the second
     takes its page's text, or the other extractor's if that is better; without any it keeps its own text alone."""
-    own = pages.select(F.col("page_url").alias("url"), "full_text", "fallback_text", "thread_text", F.col("image_urls").alias("page_images"))
-    rows = bookmarks.join(own, "url", "left").join(articles_of(bookmarks, pages), "url", "left")
+    own = with_errors(pages).select(F.col("page_url").alias("url"), "full_text", "fallback_text", "thread_text", F.col("image_urls").alias("page_images"), F.col("error").alias("page_error"))
+    fields_of = bookmarks.columns
+    bookmarks = materialize(bookmarks.withColumn("content_row", F.monotonically_increasing_id()), "bookmarks")
+    rows = bookmarks.join(own, "url", "left").join(articles_of(bookmarks, pages, "content_row"), "content_row", "left")
     post = F.coalesce("post_text", "title", F.lit(""))
     thread = longer_text(post, F.col("thread_text"))
     feed_text = with_references(thread, F.col("external_urls"), F.col("referenced_tweet_urls"))
@@ -77,5 +89,5 @@ def with_content(bookmarks: DataFrame, pages: DataFrame, now: Column | None = No
     )
     images = some(merge_unique(F.col("image_urls"), F.col("page_images")))
     content = F.struct("url", F.when(is_feed, feed_text).otherwise(page_text).alias("full_text"), "post_text", method.alias("extraction_method"), "external_urls", "referenced_tweet_urls", "external_articles", images.alias("image_urls"), (F.lit(None).cast("timestamp") if now is None else now).alias("extracted_at"))
-    fields = [images.alias(c) if c == "image_urls" else F.col(c) for c in bookmarks.columns]
-    return rows.select(F.struct(*fields).alias("bookmark"), content.alias("content"))
+    fields = [images.alias(c) if c == "image_urls" else F.col(c) for c in fields_of]
+    return rows.select(F.struct(*fields).alias("bookmark"), content.alias("content"), "page_error")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import normalize_url
@@ -12,7 +13,7 @@ from ..tables import materialize
 from ..operators.content import with_content
 from ..operators.dedupe import first_seen
 from ..operators.delta import cap_per_group, new_rows, with_known_flag
-from ..operators.enrich import Endpoint, dead_letters, enrich
+from ..operators.enrich import Endpoint, Schedule, counts, dead_letters, enrich
 from ..operators.frontier import before_known_sequence
 from ..schemas import BOOKMARK
 from ..sources.feeds import bookmarks_from_posts, bookmarks_from_statuses, post_elements, posts, statuses
@@ -66,11 +67,33 @@ def would_process(responses: DataFrame, known: DataFrame, options: Options, now:
     return scanned.join(fresh, "source", "left").select("source", "scanned", F.coalesce("would_process", F.lit(0)).alias("would_process"))
 
 
-def process(fresh: DataFrame, pages: DataFrame, endpoints: list[Endpoint], now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(notes, dead letters, processed addresses) of new bookmarks. A row whose enrichment fails still gets its note.
+class Processed(NamedTuple):
+    """What a run made of new bookmarks, and its counts (processed, enriched, dead_letter)."""
 
-    Endpoints are asked once: their answers are written to the shared folder, and all three results read them there."""
+    notes: DataFrame
+    dead_letters: DataFrame
+    addresses: DataFrame
+    counts: dict[str, int]
+
+
+def write_counted(rows: DataFrame, label: str, *metrics: Column) -> tuple[DataFrame, dict[str, int]]:
+    """Rows written and read back, and metrics of them that were taken while they were written: no second pass counts them."""
+    seen = Observation(label)
+    done = materialize(rows.observe(seen, *metrics), label)
+    return done, {k: v or 0 for k, v in seen.get.items()}
+
+
+def process(fresh: DataFrame, pages: DataFrame, endpoints: list[Endpoint], now: Column, schedule: Schedule | None = None) -> Processed:
+    """Notes, dead letters and processed addresses of new bookmarks.
+
+    A row whose enrichment fails still gets its note; one whose page broke off gets none. Both are dead letters, and all are
+    processed. Endpoints are asked once: their answers are written to the shared folder, and all results read them there."""
     columns = [c for c in fresh.columns if c not in ("norm_url", "order")]
-    done = materialize(enrich(with_content(fresh.select(*columns), pages, now), endpoints), "enriched")
+    done, found = write_counted(enrich(with_content(fresh.select(*columns), pages, now), endpoints, schedule), "enriched", *counts())
     processed = done.select(normalize_url(F.col("bookmark.url")).alias("norm_url"), now.alias("first_seen"), F.col("bookmark.source").alias("source"))
-    return notes(done), dead_letters(done, "llm", now), processed
+    return Processed(notes(done.where("stage IS NULL OR stage <> 'processing'")), dead_letters(done, now), processed, found)
+
+
+def run_result(spark: SparkSession, found: dict[str, int], cursor_x: str | None = None, cursor_linkedin: str | None = None) -> DataFrame:
+    """One row: processed, enriched, dead_letter, and the cursors at which the feeds go on."""
+    return spark.createDataFrame([(found["processed"], found["enriched"], found["dead_letter"], cursor_x, cursor_linkedin)], "processed long, enriched long, dead_letter long, new_cursor_x string, new_cursor_linkedin string")

@@ -17,19 +17,19 @@ from .operators.boundary import before_known_walk
 from .operators.content import thread_texts, with_content
 from .operators.dedupe import dedupe_report, duplicate_groups, first_seen, keep_richest
 from .operators.delta import cap_per_group, counts_with_zeros, insert_absent, known_set, new_rows, upsert, with_known_flag
-from .operators.enrich import classify_status, dead_letters, enrich, result_counts
+from .operators.enrich import Schedule, classify_status, dead_letters, enrich, result_counts
 from .operators.frontier import before_known_sequence, recent
 from .plans.ingest import Options, would_process
 from .plans.render import notes
 from .plans.sinks import append_dead_letters, export_raw, write_manifest, write_notes
-from .schemas import CURSORS, ENRICHMENT
+from .schemas import CURSORS, ENRICHMENT, FRONTIERS
 from .sources.captured import capture, feed_stream, offset_log
 from .sources.feeds import at, bookmarks_from_pages, bookmarks_from_posts, bookmarks_from_statuses, bookmarks_from_visible_statuses, last_cursor, post_cursors, post_elements, posts, service_responses, session_holds, statuses, with_nested_links
 from .sources.cards import post_rows, status_rows, thread_rows
 from .sources.html import html_images, html_links, html_status, html_text, page_content
 from .sources.notes import head_value, note_urls, notes_with_sidecars, read_dead_letters, read_notes, read_sidecars
 from .sources.stores import add_processed, frontier_urls, load, load_processed, save_cursors, save_frontiers
-from .streaming.frontier import ROCKSDB, run_in_order
+from .streaming.frontier import ROCKSDB, run_in_order, save_state
 from .streaming.ingest import once_per_url, run
 from .tables import materialize, new_path
 
@@ -149,6 +149,22 @@ def frontier_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("source string, seq long, url string").parquet(f"{folder}/rows").select(F.col("seq").alias("event_id"), F.col("source").cast("long").alias("user_id"))
 
 
+def frontier_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frontiers of a batch run in the store, taken over by a stream, and read back from its state into the store."""
+    events, folder, store = table(spark, sf_dir, "events"), new_path(spark, "frontier"), new_path(spark, "frontiers")
+    rows = events.select(F.concat(F.lit("u"), "user_id").alias("source"), F.col("event_id").alias("seq"), F.concat(F.lit("https://example.org/e/"), "event_id").alias("url"), (F.col("event_id") % 3 == 0).alias("is_known"))
+    first = (F.col("user_id") % 4 == 0) | (F.col("event_id") % 2 == 0)  # the stream brings nothing of every fourth feed
+    save_frontiers(rows.where(first), store, 20, now())
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    try:
+        run_in_order(rows.where(~first), 2, folder, initial=load(spark, store, FRONTIERS))
+        save_state(spark, f"{folder}/state", store, now())
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    return load(spark, store, FRONTIERS).select("source", F.array_join("recent_urls", " ").alias("urls"))
+
+
 def rows_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return cap_per_group(docs, "source", [F.col("doc_id")], 500)
@@ -341,6 +357,10 @@ def bookmark_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(bookmark.alias("bookmark"), content.alias("content"))
 
 
+#: The stand-in needs no waits between tries.
+AT_ONCE = Schedule(wait=0)
+
+
 def answer_or_fail(prompt: str) -> str:
     """A stand-in for a model: it answers from the prompt alone and fails on one in ten."""
     import hashlib
@@ -352,20 +372,20 @@ def answer_or_fail(prompt: str) -> str:
 
 
 def enrichment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return result_counts(enrich(bookmark_rows(spark, sf_dir), [("first", answer_or_fail)]))
+    return result_counts(enrich(bookmark_rows(spark, sf_dir), [("first", answer_or_fail)], AT_ONCE))
 
 
 def rendered_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = enrich(bookmark_rows(spark, sf_dir), [("first", answer_or_fail)])
+    rows = enrich(bookmark_rows(spark, sf_dir), [("first", answer_or_fail)], AT_ONCE)
     side = F.try_parse_json("sidecar")
     return notes(rows).select("path", F.md5(F.col("text").cast("binary")).alias("text_md5"), at(side, ".enrichment.takeaway").alias("takeaway"), F.md5(at(side, ".content.full_text").cast("binary")).alias("content_md5"))
 
 
 def dead_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose enrichment failed, written as JSON lines with a broken one among them, and read back."""
-    rows = materialize(enrich(bookmark_rows(spark, sf_dir), [("first", answer_or_fail)]), "enriched")
+    rows = materialize(enrich(bookmark_rows(spark, sf_dir), [("first", answer_or_fail)], AT_ONCE), "enriched")
     path = new_path(spark, "dead")
-    append_dead_letters(dead_letters(rows, "llm", now()), path)
+    append_dead_letters(dead_letters(rows, now()), path)
     spark.range(1).select(F.lit('{"error": broken').alias("value")).write.mode("append").text(path)
     back = read_dead_letters(spark, path)
     return back.select("bookmark.url", "bookmark.source", F.md5(F.col("bookmark.post_text").cast("binary")).alias("text_md5"), "error", "stage", F.date_format("timestamp", "yyyy-MM-dd").alias("day"))
@@ -589,7 +609,7 @@ def source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [
     url_canonical, url_strict, richest_pages, page_hosts, page_ids, note_names, repeated_texts, duplicate_pages, first_events,
-    delta_documents, known_customers, known_ids, frontier_stop, frontier_repeats, frontier_recent, frontier_stream, rows_per_source, nation_counts,
+    delta_documents, known_customers, known_ids, frontier_stop, frontier_repeats, frontier_recent, frontier_stream, frontier_store, rows_per_source, nation_counts,
     source_cursors, processed_urls, cleaned_texts, noise_flags, chosen_texts, threads, page_href_heads, event_ages, event_epochs,
     event_fields, parsed_statuses, parsed_posts, feed_cursor, streamed_feeds, feed_offsets, nested_links, dry_run, page_texts, page_links, page_images, page_cards,
     page_contents, enrichment_counts, rendered_notes, dead_rows, status_cards, post_cards, status_pages, post_pages, post_links,
@@ -707,6 +727,10 @@ def oracle_sql() -> dict[str, str]:
         "frontier_stop": FRONTIER,
         "frontier_stream": FRONTIER,
         "frontier_repeats": WALKS,
+        "frontier_store": """
+            WITH seen AS (SELECT *, user_id % 4 = 0 OR event_id % 2 = 0 AS first FROM events),
+            placed AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY first, event_id DESC) AS k FROM seen)
+            SELECT 'u' || user_id AS source, string_agg('https://example.org/e/' || event_id, ' ' ORDER BY k DESC) AS urls FROM placed WHERE k <= 20 GROUP BY user_id""",
         "frontier_recent": "SELECT event_id, user_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 20",
         "rows_per_source": "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 500",
         "nation_counts": "SELECT n_nationkey, count(c_custkey) AS n FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey",

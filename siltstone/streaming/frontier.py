@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..schemas import FRONTIERS
+from ..sources.keyed import merge
+
 STATE = T.StructType([T.StructField("streak", T.IntegerType()), T.StructField("matched", T.BooleanType()), T.StructField("recent", T.ArrayType(T.StringType()))])
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Rows that one micro-batch of ``run_in_order`` holds at most, and so one source's frame.
@@ -28,6 +31,11 @@ class KnownSequence(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("sequence", STATE)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+        """What a store remembers of the source; its runs begin anew."""
+        recent = [u for urls in initialState["recent_urls"] for u in (urls if urls is not None else ())]
+        self.state.update((0, False, recent[-self.recent_limit :]))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator:  # noqa: N802, N803
         import pandas as pd
 
@@ -49,13 +57,28 @@ class KnownSequence(StatefulProcessor):
         pass
 
 
-def new_before_known(stream: DataFrame, stop_after: int, recent_limit: int = 20) -> DataFrame:
-    """stream(source, seq, url, is_known) -> (source, seq, url) of new rows. Needs ROCKSDB as the state store provider."""
+def new_before_known(stream: DataFrame, stop_after: int, recent_limit: int = 20, initial: DataFrame | None = None) -> DataFrame:
+    """stream(source, seq, url, is_known) -> (source, seq, url) of new rows. Needs ROCKSDB as the state store provider.
+
+    ``initial``(source, recent_urls), one row for each source, is what a store knows when the stream begins for the first
+    time; sources that never come keep it. A checkpoint that is there already counts more."""
     schema = "source string, seq long, url string"
-    return stream.groupBy("source").transformWithStateInPandas(KnownSequence(stop_after, recent_limit), schema, "Append", "none")
+    start = initial.select("source", "recent_urls").groupBy("source") if initial is not None else None
+    return stream.groupBy("source").transformWithStateInPandas(KnownSequence(stop_after, recent_limit), schema, "Append", "none", start)
+
+
+def state_of(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(source, streak, matched, recent_urls): the state of each source as the stream's last batch left it."""
+    rows = spark.read.format("statestore").option("stateVarName", "sequence").load(checkpoint)
+    return rows.select("key.source", "value.streak", "value.matched", F.col("value.recent").alias("recent_urls"))
+
+
+def save_state(spark: SparkSession, checkpoint: str, folder: str, now: Column) -> None:
+    """What a stream remembers, into the store of frontiers; sources that the stream does not know stay there."""
+    merge(state_of(spark, checkpoint).select("source", now.alias("updated_at"), "recent_urls"), folder, FRONTIERS, "source", "last")
 
 
-def run_in_order(rows: DataFrame, stop_after: int, folder: str, block_rows: int = BLOCK_ROWS) -> list[int]:
+def run_in_order(rows: DataFrame, stop_after: int, folder: str, block_rows: int = BLOCK_ROWS, recent_limit: int = 20, initial: DataFrame | None = None) -> list[int]:
     """``new_before_known`` over all of rows(source, seq, url, is_known), into Parquet in ``folder``/rows.
 
     Rows are dealt by ranges of ``seq``, written as blocks of ``block_rows`` rows at most (rows of one ``seq`` stay
@@ -77,7 +100,7 @@ def run_in_order(rows: DataFrame, stop_after: int, folder: str, block_rows: int
     for k in range(len(cuts) + 2 if cuts else 1):  # the last block has the rows without a seq
         blocks.where(F.col("block") == k).drop("block").write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
-        query = new_before_known(stream, stop_after).writeStream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start(path=f"{folder}/rows", format="parquet")
+        query = new_before_known(stream, stop_after, recent_limit, initial).writeStream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start(path=f"{folder}/rows", format="parquet")
         query.awaitTermination()
         sizes += [p["numInputRows"] for p in query.recentProgress]
     return sizes

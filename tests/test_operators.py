@@ -154,20 +154,97 @@ def test_enrichment_falls_back_and_fails_by_row(spark):
 
     def second(prompt):
         if "https://l/2" in prompt:
-            return ""
-        return "SUMMARY:\n- a\nTAKEAWAY: b\nTAGS: C"
+            return "  \n"
+        return "  SUMMARY:\n- a\nTAKEAWAY: b\nTAGS: C"
 
-    done = enrich.enrich(rows, [("one", first), ("two", second)])
+    done = enrich.enrich(rows, [("one", first), ("two", second)], enrich.Schedule(wait=0))
     assert enrich.result_counts(done).first().asDict() == {"processed": 3, "enriched": 2, "dead_letter": 1}
     good, bad = enrich.split_failed(done)
     assert good.count() == 2 and bad.first()["error"] == "All models exhausted. Last error: empty answer"
     e = good.first()["enrichment"]
     assert e["model_used"] == "two" and len(e["summary_bullets"]) == 3 and e["tags"] == ["c"] and e["tokens"] == 7
-    letters = enrich.dead_letters(done, "llm", F.lit("2026-01-01").cast("timestamp"))
+    letters = enrich.dead_letters(done, F.lit("2026-01-01").cast("timestamp"))
     assert letters.first()["stage"] == "llm" and letters.first()["bookmark"]["url"] == "https://l/2"
     assert letters.columns == DEAD_LETTER.fieldNames()
 
 
+def test_errors_of_extraction(spark):
+    """A broken extraction is told apart from one without text; a bookmark whose own page broke off is not asked for."""
+    schema = "page_url string, full_text string, fallback_text string, image_urls array<string>, thread_text string, error string"
+    pages = spark.createDataFrame([("https://e.org/1", "a" * 250, None, None, None, "timeout"), ("https://x.com/v/status/9", None, None, None, "thread", "crash"), ("https://l/2", None, None, None, None, "gone")], schema)
+    rows = content.with_content(bookmarks(spark), pages)
+    got = {r["bookmark"]["url"]: r for r in rows.collect()}
+    assert [(a["extraction_method"], a["text"]) for a in got["https://x.com/u/status/1"]["content"]["external_articles"]] == [("error_x_thread", None), ("error", None), ("failed", None), ("failed", None)]
+    assert got["https://l/2"]["page_error"] == "gone" and got["https://l/1"]["page_error"] is None
+    asked = enrich.enrich(rows, [("one", lambda prompt: prompt)])
+    letter = enrich.dead_letters(asked, F.lit("2026-01-01").cast("timestamp")).collect()
+    assert [(r["bookmark"]["url"], r["error"], r["stage"]) for r in letter] == [("https://l/2", "gone", "processing")]
+    assert enrich.result_counts(asked).first().asDict() == {"processed": 3, "enriched": 2, "dead_letter": 1}
+
+
+def test_contents_of_bookmarks_with_equal_or_no_addresses(spark):
+    schema = bookmarks(spark).schema
+    rows = [("x", "https://x.com/u/status/1", "t", "p", ["https://e.org/1"], None, None), ("x", "https://x.com/u/status/1", "t", "p", ["https://e.org/2"], None, None), ("x", None, "t", "p", ["https://e.org/3"], None, None)]
+    pages = spark.createDataFrame([(f"https://e.org/{k}", f"{k}" * 300, None, None, None) for k in (1, 2, 3)], "page_url string, full_text string, fallback_text string, image_urls array<string>, thread_text string")
+    got = content.with_content(spark.createDataFrame(rows, schema), pages).collect()
+    assert sorted([a["text"][0] for a in r["content"]["external_articles"]] for r in got) == [["1"], ["2"], ["3"]]
+
+
+class Clock:
+    """Time that passes only while someone sleeps or asks."""
+
+    def __init__(self):
+        self.now, self.slept = 0.0, []
+
+    def time(self):
+        return self.now
+
+    def sleep(self, seconds):
+        self.slept.append(seconds)
+        self.now += seconds
+
+
+def test_waits_between_tries():
+    clock, calls = Clock(), []
+
+    def fails(prompt):
+        calls.append(clock.now)
+        clock.now += 0.5
+        raise ValueError("down")
+
+    def blank(prompt):
+        calls.append(clock.now)
+        return " \n"
+
+    how = enrich.Schedule(clock=clock.time, sleep=clock.sleep)
+    # waits of 1 and 2 seconds, none after the last try, none after a blank answer
+    assert how.ask("q", [("a", fails), ("b", blank), ("c", lambda q: f" {q} ")]) == ("q", "c", None)
+    assert clock.slept == [1.0, 2.0] and calls == [0.0, 1.5, 4.0, 4.5, 4.5, 4.5]
+    clock.now, clock.slept, calls[:] = 0.0, [], []
+    how = enrich.Schedule(tries=9, deadline=4.0, clock=clock.time, sleep=clock.sleep)
+    assert how.ask("q", [("a", fails)]) == (None, None, "No answer within 4 s. Last error: down")
+    assert calls == [0.0, 1.5] and clock.slept == [1.0, 2.0]
+    assert how.ask("q", []) == (None, None, "All models exhausted. Last error: no endpoint")
+
+
+def test_rows_are_asked_for_at_a_time_and_keep_their_order(spark):
+    """No more than the pool has at a time; a slow row does not change the order."""
+    import time
+
+    running, most = [], [0]
+
+    def slow(prompt):
+        running.append(prompt)
+        most[0] = max(most[0], len(running))
+        time.sleep(0.02 if int(prompt) % 5 else 0.1)
+        running.pop()
+        return f"{prompt} of {most[0]}"
+
+    df = spark.range(40, numPartitions=1).select(F.col("id").cast("string").alias("prompt"))
+    got = [r["answer"].split(" of ") for r in enrich.ask(df, "prompt", [("m", slow)], enrich.Schedule(at_a_time=4)).collect()]
+    assert [int(a) for a, _ in got] == list(range(40)) and max(int(n) for _, n in got) == 4
+
+
 def test_rows_without_an_address_are_enriched(spark):
     """Each row is asked for by itself, whatever its address."""
     rows = spark.range(20).select(F.struct(F.lit("x").alias("source"), F.lit(None).cast("string").alias("url"), F.concat(F.lit("t"), "id").alias("title"), F.lit("p").alias("post_text"), F.array("id").cast("array<string>").alias("external_urls")).alias("bookmark"), F.struct(F.lit(None).cast("string").alias("full_text"), F.lit("post_only").alias("extraction_method")).alias("content"))

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from siltstone import queries
+from siltstone.operators.enrich import Schedule
 from siltstone.plans import ingest, render, sinks
+from siltstone.schemas import FRONTIERS
 from siltstone.sources import notes as note_files
-from siltstone.streaming.frontier import ROCKSDB, new_before_known, run_in_order
+from siltstone.sources import stores
+from siltstone.sources.stores import load
+from siltstone.streaming.frontier import ROCKSDB, new_before_known, run_in_order, save_state, state_of
 from siltstone.streaming.ingest import once_per_url, run
 
 SF = "/root/testdata/sf0.001"
@@ -65,9 +69,11 @@ def test_a_run_then_another(spark, tmp_path):
             f.write("x")
         return queries.answer_or_fail(prompt)
 
-    written, dead, processed = ingest.process(fresh, pages, [("m", counted)], now())
+    written, dead, processed, found = ingest.process(fresh, pages, [("m", counted)], now(), Schedule(wait=0))
     written.collect(), dead.collect(), processed.collect()
     assert len(calls.read_text()) == 60 + 2 * dead.count()  # each row once, failed ones three times, whoever reads the results
+    assert found == {"processed": 60, "enriched": 60 - dead.count(), "dead_letter": dead.count()}
+    assert ingest.run_result(spark, found, "c9").first()["new_cursor_x"] == "c9"
     counts = {r["source"]: r["n"] for r in sinks.manifest(fresh.select("source"), ["x", "linkedin", "none"]).collect()}
     assert counts == {"x": 30, "linkedin": 30, "none": 0}
     assert written.count() == processed.count() == 60 and 0 < dead.count() < 60
@@ -100,6 +106,27 @@ def test_streams(spark, tmp_path):
     assert got == [1, 4, 6]
 
 
+def test_state_between_store_and_stream(spark, tmp_path):
+    """The stream remembers what the store had; what it remembers goes back; a source that brings nothing keeps its own."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    store, row = str(tmp_path / "store"), "source string, seq long, url string"
+    for source in ("a", "b"):
+        stores.save_frontiers(spark.createDataFrame([(source, k, f"https://e.org/{source}{k}") for k in range(6)], row), store, 4, F.lit("2026-01-01").cast("timestamp"))
+    start = load(spark, store, FRONTIERS)
+    # a3 and a5 are remembered, so they neither lengthen a run nor break it; a0 is not any more and breaks it
+    rows = [("a", 10, "https://e.org/k1", True), ("a", 11, "https://e.org/a3", False), ("a", 12, "https://e.org/a5", True), ("a", 13, "https://e.org/a0", False), ("a", 14, "https://e.org/k2", True), ("a", 15, "https://e.org/k3", True), ("a", 16, "https://e.org/n", False), ("c", 1, "https://e.org/c", False)]
+    df = spark.createDataFrame(rows, row + ", is_known boolean")
+    run_in_order(df.where("seq < 14"), 2, str(tmp_path / "run"), recent_limit=4, initial=start)
+    run_in_order(df.where("seq >= 14"), 2, str(tmp_path / "run2"), recent_limit=4, initial=state_of(spark, str(tmp_path / "run" / "state")))
+    got = sorted((r["source"], r["seq"]) for k in ("run", "run2") for r in spark.read.parquet(str(tmp_path / k / "rows")).collect())
+    assert got == [("a", 11), ("a", 13), ("c", 1)]
+    at = str(tmp_path / "run2" / "state")
+    state = {r["source"]: (r["matched"], r["recent_urls"]) for r in state_of(spark, at).collect()}
+    assert state == {"a": (True, [f"https://e.org/{x}" for x in ("a0", "k2", "k3", "n")]), "b": (False, [f"https://e.org/b{k}" for k in range(2, 6)]), "c": (False, ["https://e.org/c"])}
+    save_state(spark, at, store, F.lit("2026-01-02").cast("timestamp"))
+    assert {r["source"]: r["recent_urls"] for r in load(spark, store, FRONTIERS).collect()} == {k: v for k, (_, v) in state.items()}
+
+
 def test_a_long_feed_comes_in_blocks(spark, tmp_path):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     known = {40, 80, 81, 120}
