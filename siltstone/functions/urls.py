@@ -11,7 +11,7 @@ TRACKING_PARAMS = [
     "fbclid", "gclid", "irclickid", "ref", "ref_src", "ref_url", "source",
 ]
 
-PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*)://(?:[^/?#@]*@)?([^/?#:]*)(?::\d*)?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+PARTS = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)(?::\d*)?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 POST_HOSTS = ["linkedin.com", "www.linkedin.com"]
 POST_BASE = "https://www.linkedin.com/feed/update/urn:li:"
 
@@ -30,10 +30,15 @@ def decoded(text: Column) -> Column:
 
 
 def kept_query(query: Column) -> Column:
-    """Parameters that don't track. A parameter without '=' gains one; empty parameters go."""
+    """Parameters that don't track, those of one name together where the first of them stands. A parameter without '='
+    gains one; empty parameters go."""
+    name = lambda p: F.substring_index(p, "=", 1)
     pairs = F.filter(F.split(query, "&"), lambda p: p != "")
-    named = F.transform(pairs, lambda p: F.when(F.contains(p, F.lit("=")), p).otherwise(F.concat(p, F.lit("="))))
-    return F.array_join(F.filter(named, lambda p: ~F.substring_index(p, "=", 1).isin(TRACKING_PARAMS)), "&")
+    full = F.transform(pairs, lambda p: F.when(F.contains(p, F.lit("=")), p).otherwise(F.concat(p, F.lit("="))))
+    kept = F.filter(full, lambda p: ~name(p).isin(TRACKING_PARAMS))
+    names = F.array_distinct(F.transform(kept, name))
+    together = F.flatten(F.transform(names, lambda n: F.filter(kept, lambda p: name(p) == n)))
+    return F.array_join(F.when(F.size(names) < F.size(kept), together).otherwise(kept), "&")
 
 
 def canonical_post(url: Column) -> Column:
@@ -49,7 +54,7 @@ def canonical_post(url: Column) -> Column:
 def normalize_url(url: Column) -> Column:
     """Lower-case scheme and host without port and user, no fragment, no tail of slashes, no tracking parameters.
 
-    Parameters keep their order and escapes. Text that is no address with a scheme stays as it is; null stays null."""
+    A host in brackets keeps them; parameters keep their escapes, and their order but for repeated names. Text that is no address with a scheme stays as it is; null stays null."""
     path = F.regexp_replace(part(url, 3), "/+$", "")
     query = kept_query(part(url, 4))
     plain = F.concat(F.lower(part(url, 1)), F.lit("://"), host(url), F.when(path == "", F.lit("/")).otherwise(path), F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query)))

@@ -20,12 +20,14 @@ from .operators.delta import cap_per_group, counts_with_zeros, insert_absent, kn
 from .operators.enrich import Schedule, classify_status, dead_letters, enrich, result_counts
 from .operators.frontier import before_known_sequence, recent
 from .plans.ingest import Options, would_process
+from .plans.moves import resolve_duplicates
 from .plans.render import notes
 from .plans.sinks import append_dead_letters, export_raw, write_manifest, write_notes
 from .schemas import CURSORS, ENRICHMENT, FRONTIERS
 from .sources.captured import capture, feed_stream, offset_log
 from .sources.feeds import at, bookmarks_from_pages, bookmarks_from_posts, bookmarks_from_statuses, bookmarks_from_visible_statuses, last_cursor, post_cursors, post_elements, posts, service_responses, session_holds, statuses, with_nested_links
 from .sources.cards import post_rows, status_rows, thread_rows
+from .sources.density import extracted_pages, html_dense_text
 from .sources.html import html_images, html_links, html_status, html_text, page_content
 from .sources.notes import head_value, note_urls, notes_with_sidecars, read_dead_letters, read_notes, read_sidecars
 from .sources.stores import add_processed, frontier_urls, load, load_processed, save_cursors, save_frontiers
@@ -53,6 +55,12 @@ def url_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", normalize_url_strict(F.col("url")).alias("norm_url"))
 
 
+def address_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses with a host in brackets, a port, a line end in the fragment, repeated and tracking parameters."""
+    url = F.concat(F.lit("HTTP://me@[2001:DB8::"), "doc_id", F.lit("]:8080/p/?b=1&a="), F.coalesce("lang", F.lit("")), F.lit("&utm_source=x&b=3&c&&b#x\ny"))
+    return table(spark, sf_dir, "documents").select("doc_id", normalize_url(url).alias("norm_url"))
+
+
 def richest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of pages under one canonical address the longest; of equals the smallest page_id."""
     pages = table(spark, sf_dir, "pages").select("page_id", normalize_url(F.col("url")).alias("norm_url"), F.length("html").alias("n"))
@@ -429,6 +437,30 @@ def post_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cards.select("doc_id", "url", "author", F.md5(F.col("text").cast("binary")).alias("text_md5"), "created_text", F.array_join("image_urls", " ").alias("images"))
 
 
+def dense_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles in blocks that no selector knows, between menus and asides that are longer than they are."""
+    menu = '<div class="m">' + "".join(f'<p><a href="/{k}">a menu entry that leads to page number {k}</a></p>' for k in range(30)) + "</div>"
+    aside = '<div class="teasers">' + "".join(f"<div><div><p>teaser {k} of others</p></div><div><p>read on</p></div></div>" for k in range(20)) + "</div>"
+    body = '<div class="x"><div class="y"><h2>{lang} {id}</h2><p>{text}</p><p>' + "enough words of an article " * 30 + "</p><table><tr><th>source</th><th>id</th></tr><tr><td>{source}</td><td>{id}</td></tr></table>" + menu + "</div></div>"
+    pages = built(spark, sf_dir, "<html><body>", menu, aside, body, aside, "</body></html>")
+    return pages.select("doc_id", F.md5(html_dense_text(F.col("html")).cast("binary")).alias("text_md5"))
+
+
+def extracted_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of posts to pages; where the first extractor finds a consent page, the second finds the article; others hold nothing."""
+    docs = table(spark, sf_dir, "documents")
+    consent = '<div id="c"><p>Aceptar todas las cookies</p></div>'
+    body = '<div class="x"><p>{text}</p><p>' + "enough words of an article " * 20 + "</p></div>"
+    kinds = [built(spark, sf_dir, "<body>", consent, body, "</body>"), built(spark, sf_dir, "<body><article><p>{text}</p><p>", "words of a known article " * 20, "</p></article></body>"), built(spark, sf_dir, "<body>", consent, "</body>")]
+    html = kinds[0].where("doc_id % 3 = 0").unionByName(kinds[1].where("doc_id % 3 = 1")).unionByName(kinds[2].where("doc_id % 3 = 2"))
+    address = F.concat(F.lit("https://news.example/"), "doc_id")
+    pages = extracted_pages(html.select(address.alias("page_url"), "html"))
+    none = F.lit(None).cast("array<string>")
+    marks = docs.select(F.lit("x").alias("source"), F.concat(F.lit("https://example.org/"), "doc_id").alias("url"), F.lit("t").alias("title"), F.lit("p").alias("post_text"), F.array(address).alias("external_urls"), none.alias("referenced_tweet_urls"), none.alias("image_urls"))
+    first = F.get(F.col("content.external_articles"), F.lit(0))
+    return with_content(marks, pages, now()).select(F.col("bookmark.url").alias("url"), first["extraction_method"].alias("method"), F.md5(first["text"].cast("binary")).alias("text_md5"))
+
+
 def status_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = built(spark, sf_dir, '<article><div data-testid="tweetText">{text}</div><p lang="{lang}">in {lang} as document {id}</p></article>')
     return pages.select("doc_id", F.md5(html_status(F.col("html")).cast("binary")).alias("text_md5"))
@@ -518,6 +550,24 @@ def duplicate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("norm_url", "kept", score("kept_score").alias("kept_score"), "moved", score("moved_score").alias("moved_score"))
 
 
+def moved_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes of documents under their text's hash; duplicates have moved, and the report tells where to."""
+    folder = f"{new_path(spark, 'library')}/vault/bookmarks"
+    docs, n = table(spark, sf_dir, "documents"), F.col("doc_id")
+    digits = F.struct(F.repeat(F.lit("x"), (n % 100).cast("int")).alias("full_text"), F.array_repeat(F.lit("i"), ((n / 100).cast("long") % 5).cast("int")).alias("image_urls"), F.array_repeat(F.lit("a"), (n / 500).cast("int")).alias("external_articles"))
+    text = F.concat(F.lit("---\nurl: https://example.org/"), F.md5(F.coalesce("text", F.lit("")).cast("binary")), F.lit("\n---\n"))
+    write_notes(docs.select(F.format_string("%s/%08d.md", F.coalesce("source", F.lit("x")), n).alias("path"), text.alias("text"), F.to_json(F.struct(digits.alias("content"))).alias("sidecar")), folder)
+    done = resolve_duplicates(spark, folder, "run")
+    stays = read_notes(spark, folder).select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("note"), F.lit("").alias("kept"))
+    if not done.backup:
+        return stays
+    lines = spark.read.schema("url string, kept string, moved array<struct<`from`:string,`to`:string>>").json(done.report)
+    name = lambda path: F.regexp_extract(path, "([^/]+/[^/]+)$", 1)
+    gone = lines.select(F.explode("moved.to").alias("to"), name(F.col("kept")).alias("kept")).select(name(F.col("to")).alias("note"), "kept")
+    there = read_notes(spark, done.backup).select(name(F.col("path")).alias("note"))
+    return stays.unionByName(gone.join(there, "note", "left_semi"))
+
+
 # Shapes of responses, and what becomes of content ----------------------------------------------------------------------
 
 
@@ -601,19 +651,19 @@ def source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = [f"src{k}" for k in range(8)] + ["none"]
     write_manifest(rows, sources, folder, None, now())
     export_raw(rows, folder)
-    one = spark.read.schema("total long, by_source map<string,long>").json(f"{folder}/manifest")
+    one = spark.read.schema("total long, by_source map<string,long>").json(f"{folder}/manifest.json")
     exported = spark.read.schema("doc_id long, source string").json(f"{folder}/raw").groupBy("source").agg(F.count("*").alias("exported"))
     counts = one.select("total", F.explode("by_source").alias("source", "n"))
     return counts.join(exported, "source", "left").select("source", "n", F.coalesce("exported", F.lit(0)).alias("exported"))
 
 
 QUERIES = [
-    url_canonical, url_strict, richest_pages, page_hosts, page_ids, note_names, repeated_texts, duplicate_pages, first_events,
+    url_canonical, url_strict, address_forms, richest_pages, page_hosts, page_ids, note_names, repeated_texts, duplicate_pages, first_events,
     delta_documents, known_customers, known_ids, frontier_stop, frontier_repeats, frontier_recent, frontier_stream, frontier_store, rows_per_source, nation_counts,
     source_cursors, processed_urls, cleaned_texts, noise_flags, chosen_texts, threads, page_href_heads, event_ages, event_epochs,
     event_fields, parsed_statuses, parsed_posts, feed_cursor, streamed_feeds, feed_offsets, nested_links, dry_run, page_texts, page_links, page_images, page_cards,
-    page_contents, enrichment_counts, rendered_notes, dead_rows, status_cards, post_cards, status_pages, post_pages, post_links,
-    thread_pages, stored_cursors, stored_urls, stored_frontiers, note_files, vault_urls, duplicate_scores, author_places, post_shapes,
+    page_contents, enrichment_counts, rendered_notes, dead_rows, status_cards, post_cards, dense_pages, extracted_articles, status_pages, post_pages, post_links,
+    thread_pages, stored_cursors, stored_urls, stored_frontiers, note_files, vault_urls, duplicate_scores, moved_notes, author_places, post_shapes,
     service_bodies, content_of_posts, address_parts, once_seen, source_manifest,
 ]
 
@@ -708,6 +758,7 @@ def oracle_sql() -> dict[str, str]:
     chosen_primary = "CASE WHEN doc_id % 4 <> 0 THEN substring(text, 1, (doc_id % 90)::INTEGER) END"
     return {
         "url_canonical": PAGES + "SELECT page_id, norm_url FROM normal",
+        "address_forms": "SELECT doc_id, 'http://[2001:db8::' || doc_id || ']/p?b=1&b=3&b=&a=' || coalesce(lang, '') || '&c=' AS norm_url FROM documents",
         "richest_pages": PAGES + "SELECT page_id, norm_url, n::INTEGER AS n FROM ranked WHERE place = 1",
         "page_hosts": PAGES + "SELECT host, count(*) AS pages, sum(n)::BIGINT AS chars FROM ranked WHERE place = 1 GROUP BY host",
         "page_ids": r"""
@@ -784,6 +835,13 @@ def oracle_sql() -> dict[str, str]:
                    md5('at' || chr(10) || source || chr(10) || 'View ' || source || ' profile' || CASE WHEN t = '' THEN '' ELSE chr(10) || t END || chr(10) || 'enough words to make of this element a card of its own, as cards have more than a few of them' || chr(10) || '3d • edited') AS text_md5,
                    '3d' AS created_text, 'https://media.licdn.com/' || doc_id || '.png' AS images FROM d
             UNION ALL SELECT doc_id, 'https://example.org/8' || doc_id, 'unknown', md5('x' || chr(10) || 'named'), '3d', '' FROM d""",
+        "dense_pages": f"""
+            SELECT doc_id, md5(trim(coalesce(lang, '') || ' ' || doc_id) || chr(10) || CASE WHEN {TIDY} = '' THEN '' ELSE {TIDY} || chr(10) END || rtrim(repeat('enough words of an article ', 30)) || chr(10)
+              || 'source | id' || chr(10) || CASE WHEN coalesce(source, '') = '' THEN '' ELSE source || ' | ' END || doc_id) AS text_md5 FROM documents""",
+        "extracted_articles": f"""
+            WITH d AS (SELECT doc_id, CASE WHEN {TIDY} = '' THEN '' ELSE {TIDY} || chr(10) END || rtrim(repeat(CASE doc_id % 3 WHEN 0 THEN 'enough words of an article ' ELSE 'words of a known article ' END, 20)) AS x FROM documents)
+            SELECT 'https://example.org/' || doc_id AS url, CASE doc_id % 3 WHEN 0 THEN 'trafilatura' WHEN 1 THEN 'playwright' ELSE 'failed' END AS method,
+                   CASE WHEN doc_id % 3 < 2 THEN md5(substring({_cleaned('x')}, 1, 8000)) END AS text_md5 FROM d""",
         "status_pages": f"SELECT doc_id, md5(CASE WHEN length({TIDY}) > 10 THEN {TIDY} ELSE 'in ' || lang || ' as document ' || doc_id END) AS text_md5 FROM documents",
         "post_pages": f"""
             WITH d AS (SELECT doc_id, {TIDY} AS t FROM documents), e AS (SELECT *, CASE WHEN t = '' THEN '' ELSE t || chr(10) END AS h FROM d),
@@ -808,6 +866,10 @@ def oracle_sql() -> dict[str, str]:
             WITH d AS (SELECT md5(coalesce(text, '')) AS norm_url, coalesce(source, 'x') || '/' || lpad(doc_id::VARCHAR, 8, '0') || '.md' AS path, (doc_id % 3 = 0)::INTEGER AS e, length(coalesce(text, '')) AS r, 1700000000 + doc_id % 2 AS m FROM documents),
             s AS (SELECT *, e || '/1/' || r || '/10/' || m AS score, row_number() OVER (PARTITION BY norm_url ORDER BY e DESC, r DESC, m DESC, path) AS k FROM d)
             SELECT a.norm_url, b.path AS kept, b.score AS kept_score, a.path AS moved, a.score AS moved_score FROM s a JOIN s b ON a.norm_url = b.norm_url AND b.k = 1 WHERE a.k > 1""",
+        "moved_notes": """
+            WITH n AS (SELECT coalesce(source, 'x') || '/' || lpad(doc_id::VARCHAR, 8, '0') || '.md' AS note, row_number() OVER w AS k, first_value(coalesce(source, 'x') || '/' || lpad(doc_id::VARCHAR, 8, '0') || '.md') OVER w AS kept
+              FROM documents WINDOW w AS (PARTITION BY md5(coalesce(text, '')) ORDER BY doc_id DESC))
+            SELECT note, CASE WHEN k = 1 THEN '' ELSE kept END AS kept FROM n""",
         "author_places": "SELECT 'https://x.com/' || source || '/status/' || doc_id AS url, md5(coalesce(nullif(text, ''), 'short')) AS text_md5, 'https://x.com/other/status/9' || doc_id AS references, 'https://pbs.twimg.com/media/' || doc_id || '.jpg http://pbs.twimg.com/media/v' AS images FROM documents",
         "post_shapes": "SELECT doc_id, 'https://www.linkedin.com/feed/update/urn:li:activity:' || (doc_id + 1) AS url, 'Post by ' || source AS title, 'https://media.licdn.com/' || doc_id AS images, 1700000000 + doc_id AS published, CASE WHEN doc_id % 4 < 3 THEN 'n' || doc_id END AS cursor FROM documents",
         "service_bodies": """

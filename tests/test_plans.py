@@ -84,7 +84,8 @@ def test_a_run_then_another(spark, tmp_path):
     assert ingest.new_bookmarks(bodies, none, ingest.Options(sources=()), now()).count() == 0
     assert ingest.new_bookmarks(bodies, none, ingest.Options(most_per_source=None), now()).count() == 80
     sinks.write_manifest(fresh, ["x", "linkedin", "none"], str(tmp_path), 30, now())
-    told = json.loads(next((tmp_path / "manifest").glob("part-*.json")).read_text())
+    told = json.loads((tmp_path / "manifest.json").read_text())
+    assert (tmp_path / "README.md").read_text().startswith("# Export of saved posts\n\n- Exported at: 2026-05-14T00:00:00Z\n- Total: 60\n- linkedin: 30\n- none: 0\n- x: 30\n")
     assert told["total"] == 60 and told["by_source"] == {"linkedin": 30, "none": 0, "x": 30} and told["max_items_per_source"] == 30
     sinks.export_raw(fresh, str(tmp_path / "raw"))
     assert spark.read.json(str(tmp_path / "raw/raw")).count() == 60
