@@ -624,6 +624,29 @@ def content_of_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(c["url"].alias("url"), c["extraction_method"].alias("method"), F.md5(c["full_text"].cast("binary")).alias("text_md5"), first["url"].alias("article"), F.md5(first["text"].cast("binary")).alias("article_md5"), first["extraction_method"].alias("article_method"))
 
 
+def linked_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts with five posts that they refer to and four links: three of each count; extraction found, broke off or found nothing."""
+    docs = table(spark, sf_dir, "documents")
+    at = lambda k: ((F.col("doc_id") + k) % 30).cast("string")
+    refs, links = (F.array(*[F.concat(F.lit(site), at(k)) for k in range(n)]) for site, n in (("https://x.com/v/status/", 5), ("https://news.example/", 4)))
+    marks = docs.select(F.lit("x").alias("source"), F.concat(F.lit("https://example.org/"), "doc_id").alias("url"), F.lit("t").alias("title"), F.lit("p").alias("post_text"), links.alias("external_urls"), refs.alias("referenced_tweet_urls"), F.lit(None).cast("array<string>").alias("image_urls"))
+    numbers = docs.select((F.col("doc_id") % 30).alias("n")).distinct().where("n % 3 < 2")
+    error = F.when(F.col("n") % 3 == 1, F.lit("timeout"))
+    none, words = F.lit(None).cast("string"), F.concat(F.repeat(F.lit("words "), 50), "n")
+    kinds = [(("https://x.com/v/status/"), none, words), (("https://news.example/"), words, none)]
+    found = [numbers.select(F.concat(F.lit(site), "n").alias("page_url"), text.alias("full_text"), none.alias("fallback_text"), F.array(F.lit("i")).alias("image_urls"), thread.alias("thread_text"), error.alias("error")) for site, text, thread in kinds]
+    rows = with_content(marks, found[0].unionByName(found[1]), now())
+    told = F.transform("content.external_articles", lambda a: F.concat_ws(" ", a["url"], a["extraction_method"], F.length(a["text"]).cast("string"), F.size(a["image_urls"]).cast("string")))
+    return rows.select("bookmark.url", F.array_join(told, "; ").alias("articles"))
+
+
+def page_pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page with 25 pictures, one of them twice: the first 20 count, once each."""
+    pictures = "".join(f'<img src="https://i.example/{{id}}-{k}.png">' for k in (0, 0, *range(1, 25)))
+    pages = built(spark, sf_dir, f"<article><p>{{lang}}</p>{pictures}</article>")
+    return pages.select("doc_id", F.array_join(html_images(F.col("html")), " ").alias("images"))
+
+
 def address_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which addresses are valid, statuses' addresses in running text, a bot's address without its token, a card on one line."""
     docs = table(spark, sf_dir, "documents")
@@ -664,7 +687,7 @@ QUERIES = [
     event_fields, parsed_statuses, parsed_posts, feed_cursor, streamed_feeds, feed_offsets, nested_links, dry_run, page_texts, page_links, page_images, page_cards,
     page_contents, enrichment_counts, rendered_notes, dead_rows, status_cards, post_cards, dense_pages, extracted_articles, status_pages, post_pages, post_links,
     thread_pages, stored_cursors, stored_urls, stored_frontiers, note_files, vault_urls, duplicate_scores, moved_notes, author_places, post_shapes,
-    service_bodies, content_of_posts, address_parts, once_seen, source_manifest,
+    service_bodies, content_of_posts, linked_articles, page_pictures, address_parts, once_seen, source_manifest,
 ]
 
 
@@ -866,6 +889,11 @@ def oracle_sql() -> dict[str, str]:
             WITH d AS (SELECT md5(coalesce(text, '')) AS norm_url, coalesce(source, 'x') || '/' || lpad(doc_id::VARCHAR, 8, '0') || '.md' AS path, (doc_id % 3 = 0)::INTEGER AS e, length(coalesce(text, '')) AS r, 1700000000 + doc_id % 2 AS m FROM documents),
             s AS (SELECT *, e || '/1/' || r || '/10/' || m AS score, row_number() OVER (PARTITION BY norm_url ORDER BY e DESC, r DESC, m DESC, path) AS k FROM d)
             SELECT a.norm_url, b.path AS kept, b.score AS kept_score, a.path AS moved, a.score AS moved_score FROM s a JOIN s b ON a.norm_url = b.norm_url AND b.k = 1 WHERE a.k > 1""",
+        "linked_articles": """
+            WITH w AS (SELECT doc_id, s.site, k, (doc_id + k) % 30 AS n, s.post FROM documents, range(3) r(k), (VALUES ('https://x.com/v/status/', true), ('https://news.example/', false)) s(site, post)),
+            t AS (SELECT *, CASE n % 3 WHEN 0 THEN ' playwright' WHEN 1 THEN ' error' ELSE ' failed' END || CASE WHEN post THEN '_x_thread' ELSE '' END || CASE WHEN n % 3 = 0 THEN ' ' || (300 + length(n::VARCHAR)) || ' 1' ELSE '' END AS told FROM w)
+            SELECT 'https://example.org/' || doc_id AS url, string_agg(site || n || told, '; ' ORDER BY post DESC, k) AS articles FROM t GROUP BY doc_id""",
+        "page_pictures": "SELECT doc_id, string_agg('https://i.example/' || doc_id || '-' || k || '.png', ' ' ORDER BY k) AS images FROM documents, range(20) r(k) GROUP BY doc_id",
         "moved_notes": """
             WITH n AS (SELECT coalesce(source, 'x') || '/' || lpad(doc_id::VARCHAR, 8, '0') || '.md' AS note, row_number() OVER w AS k, first_value(coalesce(source, 'x') || '/' || lpad(doc_id::VARCHAR, 8, '0') || '.md') OVER w AS kept
               FROM documents WINDOW w AS (PARTITION BY md5(coalesce(text, '')) ORDER BY doc_id DESC))

@@ -108,6 +108,14 @@ def test_dedupe(spark):
     assert sorted(r["seq"] for r in kept.collect()) == [2, 4, 5]
 
 
+def test_the_report_is_in_order(spark):
+    """By address, then by the parts of the path."""
+    rows = [(f"u{k % 7}", p, 0, 1, k, 10) for k, p in enumerate(f"{d}/{n}" for d in ("b", "a b", "a", "a-b") for n in ("z.md", "y.md", "x-1.md", "x/1.md", "x.md", "q.md", "r.md"))]
+    notes = spark.createDataFrame(rows, "norm_url string, path string, has_enrichment int, has_sidecar int, richness int, bytes int").withColumn("modified", F.lit("2026-01-01").cast("timestamp")).repartition(5)
+    got = [(r["norm_url"], r["moved"].split("/")) for r in dedupe.dedupe_report(notes).collect()]
+    assert len(got) == 21 and got == sorted(got)
+
+
 def test_delta(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     known = spark.createDataFrame([("a",), ("a",), (None,)], "k string")

@@ -139,6 +139,27 @@ def test_a_long_feed_comes_in_blocks(spark, tmp_path):
     assert got == [("x", k) for k in range(80) if k not in known] + [("y", k) for k in range(50)]
 
 
+def test_a_run_at_intervals_goes_on(spark, tmp_path):
+    """With an interval the query takes up what comes later, and ends only when it is stopped."""
+    import time
+
+    rows = lambda *urls: spark.createDataFrame([(u,) for u in urls], "url string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    rows("https://e.org/a")
+    stream = once_per_url(spark.readStream.schema("url string").parquet(str(tmp_path / "in"))).select("norm_url")
+    query = run(stream, lambda df: (df, df.limit(0)), str(tmp_path / "good"), str(tmp_path / "bad"), str(tmp_path / "state"), every="1 second")
+    try:
+        query.processAllAvailable()
+        rows("https://e.org/b", "https://e.org/a/")
+        began = time.time()
+        while spark.read.schema("norm_url string").option("recursiveFileLookup", "true").parquet(str(tmp_path / "good")).count() < 2:
+            assert query.isActive and time.time() - began < 120
+            time.sleep(1)
+    finally:
+        query.stop()
+    found = spark.read.schema("norm_url string").option("recursiveFileLookup", "true").parquet(str(tmp_path / "good"))
+    assert sorted(r[0] for r in found.collect()) == ["https://e.org/a", "https://e.org/b"]
+
+
 def test_catch_up_run(spark, tmp_path):
     schema = "url string, fail boolean"
     for urls in (["https://e.org/a", "https://e.org/a/?utm_source=x"], ["https://E.org/a", "https://e.org/b"]):
