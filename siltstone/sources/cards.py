@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .html import LINES, Node, parse
+from .html import LINES, parse
 
 # Links, authors and cards of a page of saved posts, ages as it writes them, and what is no part of a text or name.
 POST_LINKS = ['a[href*="/feed/update/"]', 'a[href*="/posts/"]', 'a[href*="/activity/"]']
