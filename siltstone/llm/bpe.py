@@ -409,7 +409,9 @@ def bpe_encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
 
 
 def bpe_decode(df: DataFrame, ids_col: str = "ids", out_col: str = "decoded", path: str | None = None) -> DataFrame:
-    """Adds ``out_col``: the tokens joined by one space, as the vocabulary file names no decoder; null ids give ''."""
+    """Adds ``out_col``: the tokens joined by one space, as the vocabulary file names no decoder; null ids give ''.
+
+    All other columns stay, null keys and repeated rows too; very long lists are decoded whole; an empty table gives no row."""
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

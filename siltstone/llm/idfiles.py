@@ -163,7 +163,8 @@ MANIFEST = "file string, part long, seq long, docs long, ids long, start long"
 
 def read_token_files(spark: SparkSession, folder: str, id_col: str = "doc_id", ids_at_once: int = 500_000) -> DataFrame:
     """Per document: id, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids`` (little-endian unsigned
-    32-bit integers), decoded from what ``write_token_files`` left in the folder."""
+    32-bit integers), decoded from what ``write_token_files`` left in the folder. Documents without tokens of their own have
+    the end id alone; null ids and repeated ids come back as they were written; a folder of no document gives no row."""
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     ranks = spark.read.schema("rank long, id long").parquet(f"{folder}/ranks").collect()  # bounded by the vocabulary
     shared = spark.sparkContext.broadcast(np.array([r["id"] for r in sorted(ranks)], np.uint32))

@@ -186,7 +186,10 @@ def predict_languages(df: DataFrame, model: LanguageModel, id_col: str = "doc_id
 
 
 def keep_identified(df: DataFrame, model: LanguageModel, text_col: str = "text", least_score: float = 0.3) -> DataFrame:
-    """Rows of ``df``, all columns, whose text has a letter and a language of ``least_score`` or more."""
+    """Rows of ``df``, all columns, whose text has a letter and a language of ``least_score`` or more.
+
+    Null and empty texts go, as they have no letter; null ids and repeated rows stay as they are; very long texts are read
+    whole, in pieces; an empty table, or a model without languages, gives no row."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     at = df.columns.index(text_col)
 

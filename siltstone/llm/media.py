@@ -104,7 +104,8 @@ def store_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """Write the media. Returns (media table, shared chunk table).
 
     media(id, n_bytes, media_sha256, digests array, own array): ``own`` holds the bytes of each chunk, null where the
-    shared table (digest, data) has them. A null text is an empty text; repeated rows are repeated media."""
+    shared table (digest, data) has them. A null text is an empty text, whose medium is one block of spaces; a null id stays
+    null; repeated rows are repeated media; very long texts are stored whole; an empty table gives empty tables."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +154,10 @@ def store_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def read_media(media: DataFrame, shared: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rebuild each medium from its chunk list, check it, and describe its payload. A wrong byte fails the task."""
+    """Rebuild each medium from its chunk list, check it, and describe its payload. A wrong byte fails the task.
+
+    One row for each row of ``media``: null ids and repeated rows come back as they are, media of equal content are rebuilt
+    once, and empty tables give no row."""
     # media with shared chunks are told apart by what they hold: equal lists need one and the same rebuilding
     lacking = F.exists("own", lambda x: x.isNull())
     whole = media.where(~lacking).select(id_col, "n_bytes", "media_sha256", "digests", "own", F.lit(None).cast("array<struct<at:int,data:binary>>").alias("fetched"))

@@ -191,8 +191,8 @@ def without(df: DataFrame, keys: list[str], dropped: DataFrame) -> DataFrame:
 
 
 def once(df: DataFrame, keys: list[str], repeated: DataFrame) -> DataFrame:
-    """``df`` with one row for each of the long ``keys`` that ``repeated`` holds; all other rows stay. Rows of one key must
-    be equal; only what a filter cannot clear is shuffled, and cut to one row before that."""
+    """``df`` (without a column ``again``) with one row for each of the long ``keys`` that ``repeated`` holds; all other rows
+    stay. Rows of one key must be equal; only what a filter cannot clear is shuffled, and cut to one row before that."""
     doubtful, clear = split_by_filter(df, keys[0], KeyFilter.build(repeated.select(keys[0])))
     wanted = repeated.select(*keys).distinct().withColumn("again", F.lit(True))
     marked = doubtful.join(wanted, keys, "left").select(*df.columns, "again")

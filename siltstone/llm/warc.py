@@ -201,7 +201,8 @@ def read_warc(manifest: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
 
     ``payload_bytes`` and ``payload_digest`` are those of the full payload (for a revisit, of the record it refers to);
     ``running_digest`` is the SHA-1 of the payload up to and including the chunk. A stored payload that does not match
-    its record's digest fails the task."""
+    its record's digest fails the task. Repeated and null ids come back as they were written; an empty manifest gives no
+    row. A record's head is read up to 16 MB: a longer address is written, but its record cannot be read back."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0

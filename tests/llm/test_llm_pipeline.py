@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from siltstone.llm import bpe, media, pieces, queries
+from siltstone.llm import bpe, media, pieces, queries, repeats
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,6 +91,32 @@ def test_query_has_a_row_for_each_document(spark, name):
     assert df.count() == df.select("doc_id").distinct().count() == docs.count()
 
 
+@pytest.mark.parametrize("name", ["op4_passages", "op6_jaccard_join", "op8_media"])
+def test_results_do_not_depend_on_the_filter(spark, name, monkeypatch):
+    """Beyond what a filter can hold there is none, and all rows are joined: the same rows come out."""
+    row = lambda df: sorted(repr(r) for r in df.collect())
+    first = row(queries.queries()[name](spark, SF))
+    built = []
+
+    def none(cls, keys):
+        built.append(keys.columns)
+        return cls(None)
+
+    monkeypatch.setattr(repeats.KeyFilter, "build", classmethod(none))
+    assert row(queries.queries()[name](spark, SF)) == first and built
+
+
+def test_stages_do_not_depend_on_the_filter(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    found = []
+    for off in (False, True):
+        if off:
+            monkeypatch.setattr(repeats.KeyFilter, "build", classmethod(lambda cls, keys: cls(None)))
+        found.append([sorted(repr(r) for r in stages[name](spark, docs, SF).collect()) for name in ("jaccard_join", "decontamination")])
+    assert found[0] == found[1]
+
+
 def rows_of(spark, name, *columns):
     return sorted((tuple(r[c] for c in columns) for r in queries.queries()[name](spark, SF).collect()), key=str)
 
