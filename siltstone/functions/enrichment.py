@@ -41,7 +41,7 @@ def prompt(source: Column, title: Column, url: Column, post_text: Column, full_t
     """The request for a row: what to do, what is known, and the form of the answer.
 
     Only text of the article extractor goes in whole; otherwise the post's own text does."""
-    kind = F.when(source == "x", F.lit("short post, perhaps of a thread; tell only what it says itself")).otherwise(F.lit("saved article or post"))
+    kind = F.when(source == "x", F.lit("short post, perhaps of a thread; tell what it says itself, not what error pages or controls around it say, and invent nothing about pages that it links to")).otherwise(F.lit("saved article or post"))
     body = (
         F.when((method == "trafilatura") & (F.coalesce(full_text, F.lit("")) != ""), F.concat(F.lit("\nContent:\n"), full_text))
         .when(F.coalesce(post_text, F.lit("")) != "", F.concat(F.lit("\nText: "), post_text))

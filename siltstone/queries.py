@@ -739,7 +739,7 @@ PAGE_TEXTS = rf"""
 WITH t AS (SELECT page_id, url, {_strip(rf"regexp_replace(regexp_replace({_PLAIN}, '[ \t\x{{0b}}\x{{85}}\x{{a0}}]+', ' ', 'g'), ' *\n[\s]*', chr(10), 'g')")} AS text FROM pages)
 """
 # The prompt of a row, what the stand-in answers, and the note that comes of both.
-_PROMPT = """'Summarise this ' || CASE WHEN b = 'x' THEN 'short post, perhaps of a thread; tell only what it says itself' ELSE 'saved article or post' END || ': three bullets, one takeaway, three to five lower-case tags.'
+_PROMPT = """'Summarise this ' || CASE WHEN b = 'x' THEN 'short post, perhaps of a thread; tell what it says itself, not what error pages or controls around it say, and invent nothing about pages that it links to' ELSE 'saved article or post' END || ': three bullets, one takeaway, three to five lower-case tags.'
   || chr(10) || 'Title: ' || title || chr(10) || 'URL: ' || url || chr(10)
   || CASE WHEN text <> '' THEN chr(10) || 'Content:' || chr(10) || text ELSE chr(10) || '(No additional content available)' END
   || chr(10) || chr(10) || 'Answer in this form:' || chr(10) || 'SUMMARY:' || chr(10) || '- bullet 1' || chr(10) || '- bullet 2' || chr(10) || '- bullet 3' || chr(10) || 'TAKEAWAY: one sentence' || chr(10) || 'TAGS: tag1, tag2, tag3'"""
