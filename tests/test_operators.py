@@ -61,7 +61,7 @@ def test_walk_of_feeds_with_repeats(spark):
         rows += [("runs", 1000 + k, f"v{k % 7}" if k < 40 else f"w{k}", k >= 40) for k in range(140)]
         df = spark.createDataFrame([(*r, "x") for r in rows], "feed string, place long, url string, known boolean, walk_stop string")
         expected = plain_walk([(f, o, u, bool(n)) for f, o, u, n in rows], stop_after, limit)
-        for blocks in (1, 7, 40):
+        for blocks in (1, 11):
             got = boundary.before_known_walk(df, "feed", "place", "url", "known", stop_after, limit, blocks)
             assert sorted((r["feed"], r["place"]) for r in got.collect() if r["feed"] is not None) == expected, (stop_after, limit, blocks)
     assert boundary.before_known_walk(df.where("false"), "feed", "place", "url", "known", 2).count() == 0
