@@ -8,7 +8,6 @@ same folder, same report. done.json ends it.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedupe import dedupe_report, dedupe_summary
 from ..operators.skew import attach
-from ..sources.files import children, exists, read_bytes, replace, resolve, write_json
+from ..sources.files import as_uri, children, exists, read_bytes, replace, resolve, write_json
 from ..sources.notes import notes_with_sidecars, read_notes, read_sidecars
 from ..tables import materialize
 
@@ -40,11 +39,6 @@ class Resolved:
         return self.backup and f"{self.backup}/{REPORT}"
 
 
-def as_uri(path: str) -> str:
-    """Plain paths and Spark's file:/x as file:///x, with escapes."""
-    return quote(re.sub("^file:/+", "file:///", path), safe=":/%") if re.match("[a-z0-9]+:/", path) else f"file://{quote(path)}"
-
-
 def backup_root(folder: str) -> str:
     """Beside the folder; beside the vault for a vault's own bookmarks."""
     parent, _, name = folder.rstrip("/").rpartition("/")

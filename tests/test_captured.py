@@ -195,3 +195,25 @@ def test_a_killed_run_loses_and_repeats_nothing(spark, tmp_path):
 def test_paths(tmp_path):
     assert resolve(f"file://{tmp_path}")[1] == resolve(str(tmp_path))[1] == str(tmp_path)
     assert NamedFilesWriter("x", __import__("pyspark").sql.types.StructType.fromDDL("path string, content binary"), False).run
+
+
+def test_notes_are_listed_and_published_by_tasks(spark, tmp_path):
+    """Neither names nor files of a large folder are in the driver: its index has the listing's files, its commit moves nothing."""
+    from siltstone.sources import notes
+
+    rows = [(f"d{k % 3}/it's {k}.md", f"text {k}") for k in range(60)] + [(f"d0/it's {k}.json", "{}") for k in range(0, 60, 3)]
+    same = spark.createDataFrame([(0, "same.md", "first"), (1, "same.md", "last")], "k int, path string, content string").repartitionByRange(2, "k").drop("k")
+    write_named(spark.createDataFrame([*rows, ("empty.md", ""), (".hidden/a.md", "x")], "path string, content string").repartition(4).unionByName(same), str(tmp_path))
+    found = notes.read_notes(spark, f"file://{tmp_path}")
+    assert len(found.inputFiles()) < 20
+    assert {r["path"].rpartition("/")[2]: r["text"] for r in found.collect()} == {f"it%27s%20{k}.md": f"text {k}" for k in range(60)} | {"same.md": "last"}
+    assert found.join(notes.read_sidecars(spark, str(tmp_path)), "stem").count() == 20
+    schema = spark.createDataFrame([], "path string, content string").schema
+    at = tmp_path / STAGING / "later" / "000000-1"
+    at.mkdir(parents=True)
+    (at / "00000001").write_text("x")
+    (at / "names").write_text('"late.md"\n')
+    NamedFilesWriter(str(tmp_path), schema, False, "later").commit([named_files.Attempt("000000-1", 1)])
+    assert not (tmp_path / "late.md").exists()
+    write_named(spark.createDataFrame([("more.md", "y")], schema), str(tmp_path))
+    assert (tmp_path / "late.md").read_text() == "x" and not list((tmp_path / STAGING).iterdir())
