@@ -11,10 +11,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..schemas import FRONTIERS
 from ..sources.keyed import merge
+from ..tables import materialize
 
 STATE = T.StructType([T.StructField("streak", T.IntegerType()), T.StructField("matched", T.BooleanType()), T.StructField("recent", T.ArrayType(T.StringType()))])
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: Rows that one micro-batch of ``run_in_order`` holds at most, and so one source's frame.
+#: Rows of one source that a micro-batch of ``run_in_order`` holds at most, and so its frame.
 BLOCK_ROWS = 1_000_000
 
 
@@ -81,23 +82,29 @@ def save_state(spark: SparkSession, checkpoint: str, folder: str, now: Column) -
 def run_in_order(rows: DataFrame, stop_after: int, folder: str, block_rows: int = BLOCK_ROWS, recent_limit: int = 20, initial: DataFrame | None = None) -> list[int]:
     """``new_before_known`` over all of rows(source, seq, url, is_known), into Parquet in ``folder``/rows.
 
-    Rows are dealt by ranges of ``seq``, written as blocks of ``block_rows`` rows at most (rows of one ``seq`` stay
-    together). A block is put into the stream's folder when the one before it has been worked off; state is carried over
-    in the checkpoint. Returns the number of rows of each micro-batch."""
-    from pyspark.ml.feature import Bucketizer
-
-    spark, total = rows.sparkSession, rows.count()
-    n = max(1, -(-total * 5 // (4 * block_rows)))  # quantiles may err by an eighth of a block on either side
-    cuts = sorted(set(rows.approxQuantile("seq", [k / n for k in range(1, n)], 1 / (10 * n)))) if n > 1 else []
+    What has to be bounded is one source's rows in a micro-batch, so only sources with more than ``block_rows`` rows are cut,
+    each by quantiles of its own ``seq`` (rows of one ``seq`` stay together); all others are worked off whole in the first
+    block. So there are as many blocks as the longest feed needs, however many feeds there are. A block is put into the
+    stream's folder when the one before it has been worked off; state is carried over in the checkpoint. Returns the number
+    of rows of each micro-batch."""
+    spark = rows.sparkSession
+    counts = materialize(rows.groupBy("source").agg(F.count("*").alias("n")), "rows-of-sources")
+    longest = counts.agg(F.max("n")).first()[0] or 0
+    n = -(-longest * 5 // (4 * block_rows)) if longest > block_rows else 1  # quantiles may err by an eighth of a block on either side
     ranged = rows.withColumn("block", F.lit(0))
-    if cuts:
-        bucket = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="at", outputCol="block_at", handleInvalid="keep")
-        dealt = bucket.transform(rows.repartitionByRange(n, "seq").withColumn("at", F.col("seq").cast("double")))
-        ranged = dealt.withColumn("block", F.col("block_at").cast("int")).drop("at", "block_at")
+    if n > 1:
+        long = F.broadcast(counts.where(F.col("n") > block_rows).select("source"))  # at most one for each block_rows rows
+        parts = F.percentile_approx("seq", F.array(*[F.lit(k / n) for k in range(1, n)]), 20 * n)
+        same = rows["source"].eqNullSafe(long["source"])
+        cuts = materialize(rows.join(long, same, "left_semi").groupBy("source").agg(parts.alias("cuts")), "cuts-of-sources").withColumnRenamed("source", "long_source")
+        dealt = rows.join(F.broadcast(cuts), rows["source"].eqNullSafe(cuts["long_source"]), "left")
+        # of a long feed the last block has the rows without a seq
+        block = F.when(F.col("cuts").isNull(), 0).when(F.col("seq").isNull(), n).otherwise(F.size(F.filter("cuts", lambda c: c <= F.col("seq"))))
+        ranged = dealt.select(*rows.columns, block.alias("block"))
     ranged.write.partitionBy("block").parquet(f"{folder}/blocks")
     blocks = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("block", T.IntegerType())])).parquet(f"{folder}/blocks")
     sizes = []
-    for k in range(len(cuts) + 2 if cuts else 1):  # the last block has the rows without a seq
+    for k in range(n + 1 if n > 1 else 1):
         blocks.where(F.col("block") == k).drop("block").write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
         query = new_before_known(stream, stop_after, recent_limit, initial).writeStream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start(path=f"{folder}/rows", format="parquet")

@@ -139,6 +139,19 @@ def test_a_long_feed_comes_in_blocks(spark, tmp_path):
     assert got == [("x", k) for k in range(80) if k not in known] + [("y", k) for k in range(50)]
 
 
+def test_many_short_feeds_are_one_block(spark, tmp_path):
+    """The number of micro-batches follows the longest feed, not the number of feeds; a long one without a name or seq is cut too."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    schema = "source string, seq long, url string, is_known boolean"
+    short = [(f"s{k % 40}", k, f"u{k}", k >= 360) for k in range(400)]
+    assert run_in_order(spark.createDataFrame(short, schema), 1, str(tmp_path / "short"), block_rows=50) == [400]
+    long = [("x", k, f"x{k}", k in (10, 90)) for k in range(100)] + [("x", None, "none", False), ("y", 5, "y", False)]
+    sizes = run_in_order(spark.createDataFrame(long + short, schema), 2, str(tmp_path / "long"), block_rows=50)
+    assert len(sizes) == 4 and sizes[0] < 440 and max(sizes[1:]) <= 50 and sum(sizes) == 502
+    got = {(r["source"], r["url"]) for r in spark.read.parquet(str(tmp_path / "long/rows")).collect()}
+    assert got == {(s, u) for s, _, u, known in long + short if not known}
+
+
 def test_a_run_at_intervals_goes_on(spark, tmp_path):
     """With an interval the query takes up what comes later, and ends only when it is stopped."""
     import time
