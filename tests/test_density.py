@@ -76,3 +76,22 @@ def test_pages_with_two_extractors(spark):
     assert got["u1"]["full_text"] == got["u1"]["fallback_text"] and got["u2"]["full_text"].startswith("menu\nwords") and got["u2"]["fallback_text"].startswith("words")
     assert got["u3"]["full_text"] is got["u3"]["fallback_text"] is got["u4"]["fallback_text"] is None
     assert spark.createDataFrame(rows, "page_url string, html string").select(html_dense_text(F.col("html")).alias("t")).where("t = 'short'").count() == 1
+
+
+def test_plain_tags_are_read_as_the_parser_reads_them(monkeypatch):
+    """The short way for plain tags gives the tree that html.parser's own way gives, and parts of raw elements stay text."""
+    from siltstone.sources import html
+
+    pages = ['<div class="ad x" id="a-b"><p>one<p>two</p></div><br><a href="/x?a=1">l</a>', '<script>if (a<b) "</p>"</script>t<title>a<b>c</title>', '<p a="&amp;" B="c" a="d">x</p ><i/><b x="1"/>', '<li>x<li>y</ul></li><td x="<">z', "<!-- <p> --><p>\r\nx</p"]
+    shape = lambda n: (n.tag, n.attrs, [shape(c) if isinstance(c, html.Node) else c for c in n.children])
+    short = [shape(html.parse(p)) for p in pages]
+    calls = []
+    real = html.HTMLParser.parse_starttag
+    with monkeypatch.context() as m:
+        m.setattr(html.HTMLParser, "parse_starttag", lambda self, i: calls.append(i) or real(self, i))
+        html.parse('<div><p class="a">x</p></div>' * 50)
+        assert not calls  # every tag goes the short way
+        m.setattr(html, "PLAIN_START", html.re.compile("(?!)"))
+        m.setattr(html, "PLAIN_END", html.re.compile("(?!)"))
+        assert [shape(html.parse(p)) for p in pages] == short and calls
+    assert [html.any_of(("nav", ".ad", '[id*="-"]'))(n) for n in html.parse(pages[0]).walk()] == [False, True, False, False, False, False]
