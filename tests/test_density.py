@@ -95,3 +95,32 @@ def test_plain_tags_are_read_as_the_parser_reads_them(monkeypatch):
         m.setattr(html, "PLAIN_END", html.re.compile("(?!)"))
         assert [shape(html.parse(p)) for p in pages] == short and calls
     assert [html.any_of(("nav", ".ad", '[id*="-"]'))(n) for n in html.parse(pages[0]).walk()] == [False, True, False, False, False, False]
+
+
+def test_pages_reach_python_in_bounded_batches(spark):
+    """Pages of 100 KB: no batch holds more than about 4 MB of them, and a page is parsed once for all that is read from it."""
+    import pandas as pd
+
+    from siltstone.sources import density, html
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, str(64 << 20))
+        pages = spark.range(200, numPartitions=1).select(F.col("id").cast("string").alias("page_url"), F.concat(F.lit("<article><p>"), F.repeat(F.lit("words "), 17_000), F.lit("</p></article>")).alias("html"))
+        got = density.extracted_pages(pages)
+        assert int(spark.conf.get(name)) <= 4 << 20
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("run(") <= 3  # one function's parts, named thrice
+        rows = got.select(F.length("full_text"), F.length("fallback_text"), "image_urls").distinct().collect()
+        assert [tuple(r) for r in rows] == [(50_000, 50_000, None)]
+
+        @F.pandas_udf("long")
+        def rows_of_batch(texts: pd.Series) -> pd.Series:
+            return pd.Series([len(texts)] * len(texts))
+
+        assert pages.select(rows_of_batch("html").alias("n")).agg(F.max("n")).first()[0] <= 60
+        spark.conf.set(name, "1m")
+        html.html_text(F.col("html"))
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.set(name, before)
