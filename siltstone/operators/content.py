@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.strings import merge_unique, some, strip
 from ..functions.texts import accepted_article, fallback_text, longer_text, with_references
 from ..tables import materialize
-from .skew import attach
+from .skew import hot_rows
 
 MOST_ARTICLES = 3
 
@@ -50,14 +50,25 @@ def articles_of(bookmarks: DataFrame, pages: DataFrame, row: str = "url") -> Dat
         F.transform(F.slice(F.coalesce("referenced_tweet_urls", none), 1, MOST_ARTICLES), lambda u: F.struct(F.lit(True).alias("post"), u.alias("page_url"))),
         F.transform(F.slice(F.coalesce("external_urls", none), 1, MOST_ARTICLES), lambda u: F.struct(F.lit(False).alias("post"), u.alias("page_url"))),
     )
-    wanted = bookmarks.select(row, F.posexplode(kinds).alias("place", "want")).select(row, "place", "want.post", "want.page_url")
-    # a page that many bookmarks link to is not one task's group
-    sizes = wanted.groupBy("page_url").agg(F.count("*").alias("rows_of_key"))
-    found = attach(wanted, "page_url", materialize(sizes.join(with_errors(pages), "page_url", "left"), "linked-pages"))
-    post = referenced_article(F.col("page_url"), F.col("thread_text"), F.col("image_urls"), F.col("error"))
-    built = F.when(F.col("post"), post).otherwise(article(F.col("page_url"), F.col("full_text"), F.col("fallback_text"), F.col("image_urls"), F.col("error")))
-    lists = found.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("place", built.alias("article")))).alias("articles"))
-    return lists.select(row, F.transform("articles", lambda x: x["article"]).alias("external_articles"))
+    wanted = bookmarks.select(row, F.posexplode(kinds).alias("place", "page")).where("page.page_url IS NOT NULL")
+    # what a page gives is worked out once for each, not for each bookmark that links to it
+    sizes = wanted.groupBy("page").agg(F.count("*").alias("rows_of_key"))
+    found = sizes.join(with_errors(pages), F.col("page.page_url") == F.col("page_url"), "left")
+    address = F.col("page.page_url")
+    post = referenced_article(address, F.col("thread_text"), F.col("image_urls"), F.col("error"))
+    built = F.when(F.col("page.post"), post).otherwise(article(address, F.col("full_text"), F.col("fallback_text"), F.col("image_urls"), F.col("error")))
+    linked = materialize(found.select("page", "rows_of_key", built.alias("article")), "linked-pages")
+    # a page that many bookmarks link to is neither one task's group nor shuffled with each of them: there are few, as a map
+    hot = hot_rows(linked)
+    few, many = linked.where(hot), linked.where(~hot).select("page", "article")
+    keys = F.broadcast(few.select("page"))
+    none_yet = F.lit(None).cast(linked.schema["article"].dataType)
+    rows = wanted.join(keys, "page", "left_anti").join(many, "page").select(row, "place", "page", "article")
+    rows = rows.unionByName(wanted.join(keys, "page", "left_semi").select(row, "place", "page", none_yet.alias("article")))
+    lists = rows.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("place", "page", "article"))).alias("articles"))
+    known = few.agg(F.map_from_entries(F.collect_list(F.struct("page", "article"))).alias("known"))  # at most 1/HOT_SHARE entries
+    filled = F.transform("articles", lambda x: F.coalesce(x["article"], F.try_element_at("known", x["page"])))
+    return lists.crossJoin(F.broadcast(known)).select(row, filled.alias("external_articles"))
 
 
 def with_errors(pages: DataFrame) -> DataFrame:

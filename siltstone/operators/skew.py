@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1 / 200
 
 
+def hot_rows(groups: DataFrame) -> Column:
+    """Whether a key of ``groups`` has HOT_SHARE of all rows; ``rows_of_key`` says how many it has."""
+    total = groups.agg(F.sum("rows_of_key")).first()[0] or 0
+    return F.col("rows_of_key") >= max(2, int(total * HOT_SHARE))
+
+
 def attach(df: DataFrame, key: str, groups: DataFrame, how: str = "inner") -> DataFrame:
     """``df`` with the columns of ``groups``, one row for each key with its number of rows in ``rows_of_key``.
 
     ``groups`` is read several times, so it should be a written table. Keys with HOT_SHARE of all rows are broadcast, a bounded number whatever the data; the others are shuffled."""
-    total = groups.agg(F.sum("rows_of_key")).first()[0] or 0
-    hot = F.col("rows_of_key") >= max(2, int(total * HOT_SHARE))
+    hot = hot_rows(groups)
     few, many = groups.where(hot).drop("rows_of_key"), groups.where(~hot).drop("rows_of_key")
     values = [c for c in few.columns if c != key]
     ours = [*df.columns, *values]
