@@ -271,3 +271,29 @@ def test_large_limits_for_groups(spark):
     df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.col("id").alias("v"))
     got = delta.cap_per_group(df, "g", [F.col("v")], 1500)
     assert sorted(tuple(r) for r in got.collect()) == sorted((v % 2, v) for v in range(3000)) and got.columns == ["g", "v"]
+
+
+def test_linked_pages_are_worked_out_once(spark):
+    """Articles are made for each page before they are joined; pages with few and with many links, and null addresses."""
+    from siltstone.operators.content import articles_of
+
+    text = "enough words of an article " * 20
+    rows = [(f"b{k}", ["https://hot.example/", None, f"https://e.org/{k % 300}"], None) for k in range(600)]
+    marks = spark.createDataFrame(rows, "url string, external_urls array<string>, referenced_tweet_urls array<string>")
+    pages = spark.createDataFrame([("https://hot.example/", text), *((f"https://e.org/{k}", f"{k} {text}") for k in range(0, 300, 2))], "page_url string, full_text string")
+    none = F.lit(None).cast("string")
+    found = articles_of(marks, pages.select("page_url", "full_text", none.alias("fallback_text"), F.array().cast("array<string>").alias("image_urls"), none.alias("thread_text")))
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    got = {r["url"]: [(a["url"], a["text"], a["extraction_method"]) for a in r["external_articles"]] for r in found.collect()}
+    hot = ("https://hot.example/", text.strip(), "playwright")
+    cold = lambda n: (f"https://e.org/{n}", f"{n} {text}".strip() if n % 2 == 0 else None, "playwright" if n % 2 == 0 else "failed")
+    assert {u: [(a, t and t.strip(), m) for a, t, m in v] for u, v in got.items()} == {f"b{k}": [hot, cold(k % 300)] for k in range(600)}
+
+
+def test_thread_pages_read_documents_once(spark, tmp_path):
+    from siltstone.queries import thread_pages
+
+    spark.createDataFrame([(1, "a text that is long enough", "fr", "src1"), (2, None, None, None)], "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = thread_pages(spark, str(tmp_path))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    assert {r["doc_id"] for r in found.collect()} >= {1}
