@@ -15,17 +15,21 @@ import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from .feeds import cursors, post_cursors
-from .files import children, read_bytes, resolve
+from .feeds import post_cursor, status_cursor
+from .files import BATCH_BYTES, children, read_bytes, resolve
 
 SCHEMA = "source string, seq long, url string, status int, body string, cursor string"
-#: Pages that one task reads, and files that are looked for at once.
-PAGES_OF_TASK, LOOKED_FOR = 16, 256
+NAMES = ["source", "seq", "url", "status", "body", "cursor"]
+TYPES = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string()]
+#: Pages that one task reads, at least and at most; tasks that a batch should have before they read more than the least; files
+#: that are looked for at once. A task's start costs as much as the reading of some hundred pages.
+PAGES_OF_TASK, MOST_OF_TASK, TASKS, LOOKED_FOR = 16, 256, 64, 256
 
 
 def page_path(source: str, seq: int) -> str:
@@ -43,17 +47,28 @@ def read_page(store: fs.FileSystem, root: str, source: str, seq: int) -> dict:
     return json.loads(read_bytes(store, f"{root}/{page_path(source, seq)}"))
 
 
-def read_pages(folder: str, part: Pages) -> Iterator[tuple]:
+def read_pages(folder: str, part: Pages) -> Iterator[pa.RecordBatch]:
+    """A task holds a batch of pages, however many it reads."""
     store, root = resolve(folder)
+    rows, held = [], 0
     for seq in range(part.first, part.last + 1):
         page = read_page(store, root, part.source, seq)
-        yield (part.source, seq, page.get("url"), page.get("status"), page.get("body"), page.get("cursor"))
+        rows.append((part.source, seq, as_text(page.get("url")), page.get("status"), as_text(page.get("body")), as_text(page.get("cursor"))))
+        held += len(rows[-1][4] or "")
+        if held >= BATCH_BYTES or seq == part.last:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), TYPES, strict=True)], names=NAMES)
+            rows, held = [], 0
+
+
+def as_text(value: object) -> str | None:
+    """As Spark makes strings of Python's values."""
+    return value if value is None or isinstance(value, str) else str(value).lower() if isinstance(value, bool) else str(value)
 
 
 class Feeds:
     """What the driver knows of the folders."""
 
-    def __init__(self, folder: str, pages_of_task: int):
+    def __init__(self, folder: str, pages_of_task: int | None = None):
         self.folder, self.pages_of_task = folder, pages_of_task
         self.last: dict[str, int] = {}  # pages up to these were seen
 
@@ -82,16 +97,14 @@ class Feeds:
         return ""
 
     def between(self, start: dict, end: dict) -> list[Pages]:
-        out = []
-        for source, at in end.items():
-            first = start.get(source, {"seq": -1})["seq"] + 1
-            for k in range(first, at["seq"] + 1, self.pages_of_task):
-                out.append(Pages(source, k, min(k + self.pages_of_task - 1, at["seq"])))
-        return out
+        spans = [(source, start.get(source, {"seq": -1})["seq"] + 1, at["seq"]) for source, at in end.items()]
+        pages = sum(last + 1 - first for _, first, last in spans)
+        n = self.pages_of_task or min(MOST_OF_TASK, max(PAGES_OF_TASK, -(-pages // TASKS)))
+        return [Pages(source, k, min(k + n - 1, last)) for source, first, last in spans for k in range(first, last + 1, n)]
 
 
 class FeedStream(DataSourceStreamReader):
-    def __init__(self, folder: str, pages_of_task: int):
+    def __init__(self, folder: str, pages_of_task: int | None):
         self.folder, self.feeds = folder, Feeds(folder, pages_of_task)
 
     def initialOffset(self) -> dict:  # noqa: N802
@@ -103,19 +116,19 @@ class FeedStream(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         return self.feeds.between(start, end)
 
-    def read(self, partition: Pages) -> Iterator[tuple]:
+    def read(self, partition: Pages) -> Iterator[pa.RecordBatch]:
         return read_pages(self.folder, partition)
 
 
 class FeedTable(DataSourceReader):
-    def __init__(self, folder: str, pages_of_task: int):
+    def __init__(self, folder: str, pages_of_task: int | None):
         self.folder, self.pages_of_task = folder, pages_of_task
 
     def partitions(self) -> Sequence[InputPartition]:
         feeds = Feeds(self.folder, self.pages_of_task)
         return feeds.between({}, feeds.latest()) or [Pages("", 0, -1)]
 
-    def read(self, partition: Pages) -> Iterator[tuple]:
+    def read(self, partition: Pages) -> Iterator[pa.RecordBatch]:
         return read_pages(self.folder, partition)
 
 
@@ -128,10 +141,14 @@ class CapturedFeed(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> FeedTable:
-        return FeedTable(self.options["path"], int(self.options.get("pages_of_task", PAGES_OF_TASK)))
+        return FeedTable(self.options["path"], self.pages_of_task())
 
     def streamReader(self, schema) -> FeedStream:  # noqa: N802
-        return FeedStream(self.options["path"], int(self.options.get("pages_of_task", PAGES_OF_TASK)))
+        return FeedStream(self.options["path"], self.pages_of_task())
+
+    def pages_of_task(self) -> int | None:
+        """As many as the option says, else as the pages of a batch make it."""
+        return int(given) if (given := self.options.get("pages_of_task")) else None
 
 
 def feed_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,9 +170,8 @@ def capture(responses: DataFrame, folder: str) -> None:
     Numbers are those of ``seq``, unique in a source; pages of several runs add up. All of them appear, or none."""
     from ..plans.named_files import write_named
 
-    key = F.struct("source", "seq")
-    found = cursors(responses.where("source = 'x'").withColumn("seq", key)).unionByName(post_cursors(responses.where("source = 'linkedin'").withColumn("seq", key)))
-    rows = responses.join(found.select("seq.source", "seq.seq", "cursor"), ["source", "seq"], "left")
+    v = F.try_parse_json("body")
+    rows = responses.withColumn("cursor", F.when(F.col("source") == "x", status_cursor(v)).when(F.col("source") == "linkedin", post_cursor(v)))
     path = F.format_string("%s/%012d.json", "source", F.col("seq").cast("long"))
     write_named(rows.select(path.alias("path"), F.to_json(F.struct("url", "status", "body", "cursor")).alias("content")), folder)
 

@@ -43,11 +43,15 @@ def author_handle(tweet: Column) -> Column:
     return F.coalesce(*[strip(filled(text_at(tweet, p))) for p in places], strip(filled(direct)), F.lit("unknown"))
 
 
+def instructions(v: Column) -> Column:
+    """The steps of a timeline body, null if there are none."""
+    return F.coalesce(filled_list(v, ".data.bookmark_timeline_v2.timeline.instructions"), filled_list(v, ".data.user.bookmark_timeline.timeline.instructions"))
+
+
 def status_entries(responses: DataFrame) -> DataFrame:
     """Timeline bodies -> (seq, position, entry): a row for each entry, in the order of the body. Broken JSON has none."""
     body = responses.select("seq", F.try_parse_json("body").alias("v"))
-    timeline = F.coalesce(filled_list(F.col("v"), ".data.bookmark_timeline_v2.timeline.instructions"), filled_list(F.col("v"), ".data.user.bookmark_timeline.timeline.instructions"))
-    steps = body.select("seq", F.posexplode(timeline).alias("step", "instruction"))
+    steps = body.select("seq", F.posexplode(instructions(F.col("v"))).alias("step", "instruction"))
     entries = steps.select("seq", "step", F.posexplode(list_at(F.col("instruction"), ".entries")).alias("place", "entry"))
     return entries.select("seq", F.struct("step", "place").alias("position"), "entry", text_at(F.col("entry"), ".entryId").alias("entry_id"))
 
@@ -57,17 +61,22 @@ def statuses(responses: DataFrame) -> DataFrame:
     found = status_entries(responses).where(F.startswith("entry_id", F.lit("tweet-")))
     entry = F.col("entry")
     wrapped, direct = at(entry, ".content.itemContent.tweet_results.result", "variant"), at(entry, ".content.result", "variant")
-    empty = lambda v: v.isNull() | (F.to_json(v) == "{}")
+    empty = lambda v: v.isNull() | F.coalesce(F.cardinality(F.try_variant_get(v, "$", "map<string,variant>")) == 0, F.lit(False))
     raw = F.when(~empty(wrapped), wrapped).when(~empty(direct), direct)
     return found.select("seq", "position", raw.alias("raw")).where(F.col("raw").isNotNull())
 
 
+def status_cursor(v: Column) -> Column:
+    """The bottom cursor of a timeline body; of several, the last."""
+    entries = F.flatten(F.transform(instructions(v), lambda step: list_at(step, ".entries")))
+    bottom = F.filter(entries, lambda e: F.startswith(text_at(e, ".entryId"), F.lit("cursor-bottom-")))
+    values = F.transform(bottom, lambda e: F.coalesce(text_at(e, ".content.value"), text_at(e, ".content.itemContent.value")))
+    return F.try_element_at(values, F.lit(-1))
+
+
 def cursors(responses: DataFrame) -> DataFrame:
-    """(seq, cursor): the bottom cursor of each body; of several, the last."""
-    entry = F.col("entry")
-    value = F.coalesce(text_at(entry, ".content.value"), text_at(entry, ".content.itemContent.value"))
-    rows = status_entries(responses).where(F.startswith("entry_id", F.lit("cursor-bottom-"))).select("seq", "position", value.alias("cursor"))
-    return rows.groupBy("seq").agg(F.max_by("cursor", "position").alias("cursor"))
+    """(seq, cursor): the bottom cursor of each body that has one."""
+    return responses.select("seq", status_cursor(F.try_parse_json("body")).alias("cursor")).where(F.col("cursor").isNotNull())
 
 
 def last_cursor(responses: DataFrame) -> DataFrame:
@@ -146,15 +155,18 @@ def post_elements(responses: DataFrame) -> DataFrame:
     return body.select("seq", F.posexplode(elements).alias("position", "element"))
 
 
-def post_cursors(responses: DataFrame) -> DataFrame:
-    """(seq, cursor): the token for the next page."""
-    body = responses.select("seq", F.try_parse_json("body").alias("v"))
-    whole = F.col("v")
+def post_cursor(whole: Column) -> Column:
+    """The token for the next page that a body gives."""
     inner = F.coalesce(at(whole, ".data.data", "map<string,variant>"), at(whole, ".data", "map<string,variant>"))
     clusters = F.filter(F.map_values(F.coalesce(inner, F.create_map().cast("map<string,variant>"))), lambda c: at(c, ".elements", LIST).isNotNull())
     in_cluster = F.get(F.filter(F.transform(clusters, lambda c: F.coalesce(F.nullif(at(c, ".metadata.paginationToken"), F.lit("")), at(c, ".paging.start"))), lambda x: x.isNotNull()), F.lit(0))
     places = [".data.paging.nextCursor", ".paging.nextCursor", ".data.paging.start", ".paging.start", ".data.metadata.nextCursor", ".metadata.nextCursor"]
-    return body.select("seq", F.coalesce(in_cluster, *[F.nullif(at(whole, p), F.lit("")) for p in places]).alias("cursor")).where(F.col("cursor").isNotNull())
+    return F.coalesce(in_cluster, *[F.nullif(at(whole, p), F.lit("")) for p in places])
+
+
+def post_cursors(responses: DataFrame) -> DataFrame:
+    """(seq, cursor): the token for the next page."""
+    return responses.select("seq", post_cursor(F.try_parse_json("body")).alias("cursor")).where(F.col("cursor").isNotNull())
 
 
 def post_author(post: Column) -> Column:

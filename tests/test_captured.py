@@ -146,6 +146,54 @@ def test_many_pages_are_many_tasks(tmp_path):
     assert feeds.between({"x": {"seq": 599}}, {"x": {"seq": 599}}) == []
 
 
+def test_a_large_feed_is_few_tasks_of_bounded_batches(spark, tmp_path, monkeypatch):
+    """A task's start costs more than its pages: their number follows the batch, up to a limit, and what a task holds doesn't."""
+    stream = captured.CapturedFeed({"path": str(tmp_path)}).streamReader(None)
+    count = lambda n: len(stream.partitions({}, {s: {"seq": n - 1} for s in ("x", "linkedin")}))
+    assert [count(n) for n in (16, 512, 8192, 150_000)] == [2, 64, 64, 1172]
+    parts = stream.partitions({"x": {"seq": 4}}, {"x": {"seq": 99_999}})
+    assert [k for p in parts for k in range(p.first, p.last + 1)] == list(range(5, 100_000))
+    (tmp_path / "x").mkdir()
+    made = [{"url": "u", "status": 200 if k else None, "body": "b" * 40 if k % 3 else None, "cursor": k % 2 == 0 or f"c{k}"} for k in range(10)]
+    for k, page in enumerate(made):
+        (tmp_path / "x" / f"{k:012d}.json").write_text(json.dumps(page))
+    monkeypatch.setattr(captured, "BATCH_BYTES", 100)
+    batches = list(captured.read_pages(str(tmp_path), captured.Pages("x", 0, 9)))
+    assert [b.num_rows for b in batches] == [5, 4, 1]
+    expected = [("x", k, "u", p["status"], p["body"], "true" if k % 2 == 0 else f"c{k}") for k, p in enumerate(made)]
+    assert [tuple(r.values()) for b in batches for r in b.to_pylist()] == expected
+    assert [tuple(r) for r in captured.feed_table(spark, str(tmp_path)).orderBy("seq").collect()] == expected
+
+
+def test_cursors_of_odd_bodies_are_found_where_the_body_is(spark, tmp_path, monkeypatch):
+    bottom = lambda k, **content: {"entryId": f"cursor-bottom-{k}", "content": content}
+    steps = [
+        [{"type": "Clear"}, {"entries": [bottom(0, value="a"), {"entryId": "tweet-1"}]}, {"entries": [bottom(1, itemContent={"value": "b"}), {"content": {}}]}],
+        [{"entries": [bottom(0, value="a"), bottom(1, value="")]}],  # the last one has none
+        [{"entries": "no list"}, "no step", {"entries": [{"entryId": 5}]}],
+        [],
+    ]
+    bodies = [json.dumps({"data": {"bookmark_timeline_v2": {"timeline": {"instructions": s}}}}) for s in steps] + ["broken {", None]
+    posts = [json.dumps({"data": {"c": {"elements": [], "metadata": {"paginationToken": "t"}}}}), json.dumps({"paging": {"start": 20}}), "[]", None]
+    rows = [("x", k, "u", 200, b) for k, b in enumerate(bodies)] + [("linkedin", k, "u", 200, b) for k, b in enumerate(posts)] + [("third", 0, "u", 200, bodies[0])]
+    given = []
+    monkeypatch.setattr("siltstone.plans.named_files.write_named", lambda files, folder, real=write_named: (given.append(files), real(files, folder)))
+    captured.capture(spark.createDataFrame(rows, "source string, seq long, url string, status int, body string"), str(tmp_path))
+    assert "Exchange" not in given[0]._jdf.queryExecution().executedPlan().toString()  # bodies are not shuffled
+    found = {(r["source"], r["seq"]): r["cursor"] for r in captured.feed_table(spark, str(tmp_path)).collect()}
+    assert found == {**{("x", k): c for k, c in enumerate(["b", *[None] * 5])}, **{("linkedin", k): c for k, c in enumerate(["t", "20", None, None])}, ("third", 0): None}
+
+
+def test_an_empty_wrapped_status_gives_way(spark):
+    from siltstone.sources import feeds
+
+    results = [{}, {"rest_id": "1"}, [], "{}", {"a": {}}]
+    entries = [{"entryId": f"tweet-{k}", "content": {"itemContent": {"tweet_results": {"result": r}}, "result": {"rest_id": "direct"}}} for k, r in enumerate(results)]
+    body = json.dumps({"data": {"bookmark_timeline_v2": {"timeline": {"instructions": [{"entries": entries}]}}}})
+    found = feeds.statuses(spark.createDataFrame([(0, body)], "seq int, body string")).orderBy("position").select(F.to_json("raw").alias("raw")).collect()
+    assert [json.loads(r["raw"]) for r in found] == [{"rest_id": "direct"}, *results[1:]]
+
+
 def test_a_batch_that_fails_is_read_again(spark, tmp_path):
     """The batch whose work fails is planned from the offset log, with the same pages, though more have come meanwhile."""
     folder, out = str(tmp_path / "feed"), str(tmp_path / "out")
