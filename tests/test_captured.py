@@ -265,3 +265,13 @@ def test_notes_are_listed_and_published_by_tasks(spark, tmp_path):
     assert not (tmp_path / "late.md").exists()
     write_named(spark.createDataFrame([("more.md", "y")], schema), str(tmp_path))
     assert (tmp_path / "late.md").read_text() == "x" and not list((tmp_path / STAGING).iterdir())
+
+
+def test_files_are_moved_by_as_many_tasks_as_they_need(spark, tmp_path, monkeypatch):
+    """Names are short, so Spark left to itself would have one task move all files."""
+    monkeypatch.setattr(named_files, "FILES_OF_TASK", 10)
+    jobs = []
+    monkeypatch.setattr(type(spark.range(0)), "foreachPartition", lambda df, f: jobs.append(df.rdd.mapPartitions(lambda rows: [(n := list(rows)), f(iter(n))][:1]).map(len).collect()))
+    write_named(spark.range(200).select(F.format_string("d/%d.md", "id").alias("path"), F.lit("x").alias("content")), str(tmp_path))
+    assert sum(jobs[0]) == 200 and len(jobs[0]) == 20 and max(jobs[0]) < 40
+    assert len(files_of(tmp_path)) == 200 and not list((tmp_path / STAGING).iterdir())
