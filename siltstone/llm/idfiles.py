@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import default_path, worker_library
+from .bpe import default_path, forget_library, worker_library
 from .common import bound_batches, materialize, new_path
 from .files import attempt_suffix, reading, writing
 
@@ -55,6 +55,26 @@ def decode_ranks(control: np.ndarray, data: np.ndarray) -> np.ndarray:
     return out
 
 
+def encoded_rows(batches: Iterator[pa.RecordBatch], path: str, end_id: int, kind: str) -> Iterator[pa.RecordBatch]:
+    """Rows of ids, and at the end of the task one row that says how often each id occurred.
+
+    The worker's table of words stays for its next task: most words are new to a table that begins with the task, but not to
+    the worker. ``forget_library`` gives its memory back when the next stage begins."""
+    columns = ["id", "ids", "counts"]
+    end = end_id.to_bytes(np.dtype(kind).itemsize, "little")
+    library, total = worker_library(path), np.zeros(end_id + 1, np.int64)
+    for batch in batches:
+        for i in range(0, batch.num_rows, 512):
+            part = batch.slice(i, 512)
+            ids = [x + end for x in library.encode(part.column(1).to_pylist(), kind)]
+            found = np.bincount(np.frombuffer(b"".join(ids), kind))
+            if len(found) > len(total):
+                total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
+            total[: len(found)] += found
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names=columns)
+    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=columns)
+
+
 def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = 2, ids_per_file: int = 4_000_000) -> str:
     """Encode whole texts, append ``end_id`` to each and write files in ascending id order.
 
@@ -65,27 +85,9 @@ def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark, path = df.sparkSession, path or default_path()
     kind = "<u2" if max(worker_library(path).library.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
     width = np.dtype(kind).itemsize
-    columns = ["id", "ids", "counts"]
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of ids, and at the end of the task one row that says how often each id occurred."""
-        end = end_id.to_bytes(width, "little")
-        library, total = worker_library(path), np.zeros(end_id + 1, np.int64)
-        for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
-                ids = [x + end for x in library.encode(part.column(1).to_pylist(), kind)]
-                found = np.bincount(np.frombuffer(b"".join(ids), kind))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[: len(found)] += found
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names=columns)
-        library.forget()
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=columns)
-
     bound_batches(spark)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    written = materialize(rows.mapInArrow(encode, "id long, ids binary, counts binary"), "token-ids")
+    written = materialize(rows.mapInArrow(lambda batches: encoded_rows(batches, path, end_id, kind), "id long, ids binary, counts binary"), "token-ids")
     encoded = written.where("ids IS NOT NULL").select("id", "ids")
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,6 +113,7 @@ def write_token_files(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         from pyspark import TaskContext
 
         task = TaskContext.get()
+        forget_library(path)
         seq, size = 0, 0
         held: list[pa.RecordBatch] = []
 

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 import subprocess
 import sys
 import zlib
@@ -10,6 +11,7 @@ from collections import defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -179,6 +181,43 @@ def test_bpe_with_equal_slots(library, monkeypatch):
             assert np.frombuffer(next(encoder.encode([text])), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_kept_from_task_to_task(library, monkeypatch):
+    """A worker's next task meets the words of the one before; what was kept is right, and goes when it is told to."""
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(200)]
+    texts = [" ".join(words[k : k + 40]) for k in range(160)] + ["élan ñandú ß àí <|endoftext|> 日本", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["id", "text"])
+    encoder = bpe.worker_library(bpe.default_path())
+    encoder.forget()
+    new = []
+    monkeypatch.setattr(encoder, "new_ids", lambda w, real=encoder.new_ids: (new.append(len(w)), real(w))[1])
+    expected = [library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    for n, last in ((1, False), (1, True), (2, True)):
+        *rows, counts = idfiles.encoded_rows(iter([batch]), bpe.default_path(), 2, "<u2")
+        assert [np.frombuffer(x, "<u2").tolist() for b in rows for x in b.column(1).to_pylist()] == expected
+        assert np.frombuffer(counts.column(2)[0].as_py(), "<i8").sum() == sum(map(len, expected))
+        assert len(new) == n
+        if last:
+            bpe.forget_library(bpe.default_path())
+            assert encoder.pool is None
+
+
+@pytest.mark.parametrize("sizes", [(4, 300), (20, 6_000_000)])
+def test_kept_tables_that_fill_up(library, monkeypatch, sizes):
+    monkeypatch.setattr(bpe, "KEPT_SLOT_BITS", sizes[0])
+    monkeypatch.setattr(bpe, "KEPT_POOL_IDS", sizes[1])
+    encoder, rng = bpe.LibraryBpe(bpe.default_path()), random.Random(6)
+    for _ in range(3):
+        texts = [" ".join("".join(rng.choices("abcdeé", k=rng.randint(1, 7))) for _ in range(60)) for _ in range(40)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_plain_words():
+    plain = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+    words = [w.encode() for w in ["a", "az", "é", "éa", "aß", "÷", "a÷b", "É", "ÿ", "Àa", "a1", "'", "日", "ĸ", "Ãa", "a\u0300", "\u1820", "zzz", "à", "í", "A", "Ÿ", "\xad"]]
+    assert bpe.are_plain(words).tolist() == [plain.fullmatch(w) is not None for w in words]
+    assert [bpe.are_plain([w])[0] for w in words] == bpe.are_plain(words).tolist()
+
+
 def test_bpe_operator_on_odd_rows(spark, library):
     rows = odd_rows()
     got = bpe.bpe_decode(bpe.bpe_encode(docs(spark, rows))).collect()
