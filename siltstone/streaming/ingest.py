@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,7 +25,7 @@ def run(stream: DataFrame, process: Callable[[DataFrame], tuple[DataFrame, DataF
     with it, e.g. '6 hours', the query goes on."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        rows.persist()
+        rows.persist(StorageLevel.DISK_ONLY)  # a batch may be all that a feed has: kept in the heap it leaves tasks no room
         good, bad = process(rows)
         good.write.mode("overwrite").parquet(f"{good_path}/batch={number}")
         bad.write.mode("overwrite").json(f"{bad_path}/batch={number}")

@@ -275,3 +275,12 @@ def test_files_are_moved_by_as_many_tasks_as_they_need(spark, tmp_path, monkeypa
     write_named(spark.range(200).select(F.format_string("d/%d.md", "id").alias("path"), F.lit("x").alias("content")), str(tmp_path))
     assert sum(jobs[0]) == 200 and len(jobs[0]) == 20 and max(jobs[0]) < 40
     assert len(files_of(tmp_path)) == 200 and not list((tmp_path / STAGING).iterdir())
+
+
+def test_a_batch_is_kept_on_disk(spark, tmp_path):
+    """The first batch of a feed may be all of it; kept in the heap, it leaves its tasks no room."""
+    folder, out, levels = str(tmp_path / "feed"), str(tmp_path / "out"), []
+    captured.capture(pages(spark, [("x", 0, "c0"), ("x", 1, "c1")]), folder)
+    run(captured.feed_stream(spark, folder), lambda rows: (levels.append(rows.storageLevel) or rows.drop("body"), rows.select("url")), f"{out}/good", f"{out}/bad", f"{out}/log").awaitTermination()
+    assert [(level.useDisk, level.useMemory) for level in levels] == [(True, False)]
+    assert spark.read.parquet(f"{out}/good").count() == spark.read.json(f"{out}/bad").count() == 2
