@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.bpe import bpe_decode, bpe_encode
+from siltstone.llm.bpe import bpe_encode
 from siltstone.llm.common import materialize, table
 from siltstone.llm.decontam import find_leaks
 from siltstone.llm.jaccard import near_duplicates
@@ -36,9 +36,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     different texts one of them, of equal rows one. Texts without words are in no group."""
     docs = with_row_key(docs)
     groups = materialize(near_duplicates(docs, row_key=ROW_KEY), "pipeline-groups")
-    kept = without(docs, ROW_KEY, groups.where("NOT leads").select(*ROW_KEY))
     again = groups.where("leads AND n_shingles > 0").groupBy(*ROW_KEY).agg(F.count("*").alias("n")).where("n > 1")
-    return once(kept, ROW_KEY, materialize(again, "pipeline-repeated")).select(*COLUMNS)
+    return once(docs, ROW_KEY, materialize(again, "pipeline-repeated"), groups.where("NOT leads").select(*ROW_KEY)).select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +57,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit integers), and the SHA-256 of what they decode to; an empty text has no ids."""
-    decoded = bpe_decode(bpe_encode(docs.select("doc_id", "text")))
+    decoded = bpe_encode(docs.select("doc_id", "text"), decoded_col="decoded")
     return decoded.select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

@@ -196,7 +196,8 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     repeated = materialize(repeated_items(docs, extract).withColumnRenamed("owner", "doc"), "passage-anchors")
     lists = repeated.groupBy("doc").agg(F.collect_list("packed").alias("packed"))  # as many as the document's own anchors at most
-    chosen = split_by_filter(docs, "doc", KeyFilter.build(repeated.select("doc")))[0].join(lists, "doc").select("doc", "text_hash", "text", "packed")
+    # by a shuffle, however small: the next step is Python again, and in one task the two would be two workers
+    chosen = split_by_filter(docs, "doc", KeyFilter.build(repeated.select("doc")))[0].join(lists.hint("merge"), "doc").select("doc", "text_hash", "text", "packed")
 
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -359,17 +360,14 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     touched = KeyFilter.build(spans.select("doc"))
     more = F.struct(*[F.col(c) for c in carry]).alias("more") if carry else F.lit(0).alias("more")
     rows = keyed(df, id_col, text_col, more)
-    doubtful, clear = split_by_filter(rows, "doc", touched)
-    plain = clear.withColumn("spans", F.lit(None).cast("binary"))
-    joined = doubtful.join(spans, ["doc", "text_hash"], "left")
-    both = plain.unionByName(joined.select(*plain.columns)).select("doc", "text", "spans", "more")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 n, removed, kept = [], [], []
-                for text, span in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                listed = part.column("spans").to_pylist() if "spans" in part.schema.names else [None] * part.num_rows
+                for text, span in zip(part.column("text").to_pylist(), listed, strict=True):
                     words = (text or "").encode("utf-8", "surrogatepass").split()
                     n.append(len(words))
                     if span:
@@ -380,8 +378,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                         words = left + words[at:]
                     removed.append(n[-1] - len(words))
                     kept.append(b" ".join(words))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), part.column(3)], names=["doc", "n_words", "n_removed", "kept", "more"])
+                yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), part.column("more")], names=["doc", "n_words", "n_removed", "kept", "more"])
 
-    kind = both.schema["more"].dataType.simpleString()
-    out = both.mapInArrow(cut, f"doc long, n_words long, n_removed long, kept string, more {kind}")
+    schema = f"doc long, n_words long, n_removed long, kept string, more {rows.schema['more'].dataType.simpleString()}"
+    doubtful, clear = split_by_filter(rows, "doc", touched, cut, schema)
+    # by a shuffle, however small, as above
+    joined = doubtful.join(spans.hint("merge"), ["doc", "text_hash"], "left").select("doc", "text", "spans", "more")
+    out = clear.unionByName(joined.mapInArrow(cut, schema))
     return out.select(F.col("doc").alias(id_col), "n_words", "n_removed", "kept", *([f"more.{c}" for c in carry] if carry else []))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
-from .bpe import bpe_decode, bpe_encode
+from .bpe import bpe_encode
 from .centroids import cluster_vectors
 from .common import held_out, table
 from .decontam import find_leaks
@@ -70,8 +70,8 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe_encode(table(spark, sf_dir, "documents"))
-    return bpe_decode(encoded).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    encoded = bpe_encode(table(spark, sf_dir, "documents"), decoded_col="decoded")
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:

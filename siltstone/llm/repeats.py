@@ -160,12 +160,17 @@ class KeyFilter:
         return cls(bitmap, bits)
 
 
-def split_by_filter(df: DataFrame, id_col: str, keys: KeyFilter) -> tuple[DataFrame, DataFrame]:
+def split_by_filter(
+    df: DataFrame, id_col: str, keys: KeyFilter, then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None, schema: str = ""
+) -> tuple[DataFrame, DataFrame]:
     """(rows whose id may be among the keys, rows whose id is not); a null id is not. All columns pass through.
 
+    ``then`` makes rows of ``schema`` of the second half, in the same worker: a ``mapInArrow`` after this one would be a second
+    process for each task.
     Without a filter (there were too many keys for one) the first half is all rows with an id, and no Python is run."""
     if keys.bitmap is None:
-        return df.where(F.col(id_col).isNotNull()), df.where(F.col(id_col).isNull())
+        clear = df.where(F.col(id_col).isNull())
+        return df.where(F.col(id_col).isNotNull()), clear.mapInArrow(then, schema) if then else clear
     shared = df.sparkSession.sparkContext.broadcast(keys)
     at = df.columns.index(id_col)
 
@@ -176,6 +181,8 @@ def split_by_filter(df: DataFrame, id_col: str, keys: KeyFilter) -> tuple[DataFr
                 ok = shared.value.passes(ids.fill_null(0).cast(pa.int64()).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
                 yield batch.filter(pa.array(ok == through))
 
+        if then and not through:
+            return df.mapInArrow(lambda batches: then(run(batches)), schema)
         return df.mapInArrow(run, df.schema)
 
     return side(True), side(False)
@@ -190,11 +197,13 @@ def without(df: DataFrame, keys: list[str], dropped: DataFrame) -> DataFrame:
     return clear.unionByName(doubtful.join(gone, keys, "left_anti").select(*df.columns))
 
 
-def once(df: DataFrame, keys: list[str], repeated: DataFrame) -> DataFrame:
-    """``df`` (without a column ``again``) with one row for each of the long ``keys`` that ``repeated`` holds; all other rows
-    stay. Rows of one key must be equal; only what a filter cannot clear is shuffled, and cut to one row before that."""
-    doubtful, clear = split_by_filter(df, keys[0], KeyFilter.build(repeated.select(keys[0])))
-    wanted = repeated.select(*keys).distinct().withColumn("again", F.lit(True))
+def once(df: DataFrame, keys: list[str], repeated: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``df`` (without a column ``again``) with one row for each of the long ``keys`` that ``repeated`` holds, and without the rows
+    whose keys are in ``dropped``; all other rows stay. Rows of one key in ``repeated`` must be equal; only what one filter of
+    both cannot clear is shuffled, and cut to one row before that."""
+    found = repeated.select(*keys, F.lit(True).alias("again")).unionByName(dropped.select(*keys, F.lit(False).alias("again")))
+    doubtful, clear = split_by_filter(df, keys[0], KeyFilter.build(found.select(keys[0])))
+    wanted = found.groupBy(*keys).agg(F.min("again").alias("again"))  # what is dropped stays dropped
     marked = doubtful.join(wanted, keys, "left").select(*df.columns, "again")
     others = [c for c in df.columns if c not in keys]
     one = marked.where("again").groupBy(*keys).agg(F.first(F.struct(*others)).alias("row")).select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in df.columns])

@@ -40,6 +40,24 @@ def test_stages(spark):
     assert set(after["bpe"]) == set(after["decontamination"]) and after["bpe"][9009]["n_tokens"] > 5
 
 
+def python_steps(plan, above: int = 0) -> int:
+    """The most Python steps that one task of the plan runs at once: each is a worker process."""
+    name, children = plan.nodeName(), plan.children()
+    if name == "AdaptiveSparkPlan":
+        return python_steps(plan.executedPlan(), above)
+    here = 0 if "Exchange" in name else above + (name in ("MapInArrow", "ArrowEvalPython"))
+    return max([here, *(python_steps(children.apply(i), here) for i in range(children.size()))])
+
+
+def test_a_task_of_the_pipeline_has_one_python_worker(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert python_steps(docs._jdf.queryExecution().executedPlan()) == 1, name
+        docs = corpus_pipeline.materialize(docs, name)
+    assert python_steps(queries.op7_bpe(spark, SF)._jdf.queryExecution().executedPlan()) == 1
+
+
 def test_stages_on_odd_rows(spark):
     """Ids that repeat or are null, equal rows, long texts, nulls in all columns, and columns with names of the operators' own."""
     item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
