@@ -9,11 +9,13 @@ two passes:
 
 1. Each set goes to the trees of SEEDS of its prefix shingles, those with the lowest hashes. Copies and near copies meet
    here, and their components are formed.
-2. A prefix shingle whose sets are all in one component has nothing more to tell. For the others, each list of sets once,
-   however many shingles have that list, trees of the prefixes alone look for pairs in different components that may be
-   similar: what the prefixes share and what the rest could add must suffice. The few pairs that are left are counted
-   in full. A tree that has more of them than MOST_PAIRS for each set is grown again from whole sets, which finds links
-   without listing pairs.
+2. A prefix shingle whose sets are all in one component has nothing more to tell. Of the others, each list of sets counts
+   once, however many shingles have that list, and the lists in which one component is the commonest, which have nearly
+   the same sets, are one tree of all their sets, unless the lists by themselves are less to compare. Trees of the
+   prefixes alone look for pairs in different components that may be similar: what the prefixes share and what the rest
+   could add must suffice. The few pairs that are left are counted in full. A tree that has more of them than MOST_PAIRS
+   for each set is grown again from whole sets, which finds links without listing pairs. Only sets outside the commonest
+   component walk a tree, so a group of near copies costs its stragglers times its sets, once.
 
 Long lists are dealt in blocks: the sets of the commonest component go to one block each, the others to all of them.
 """
@@ -48,6 +50,8 @@ HOT_DOCS = 1 / 200
 #: Shingles of a row at most, so that the rows follow the shingles and not the number of partitions.
 PACKED = 8
 COMMON = np.int64(1) << np.int64(62)
+#: Sets that look for all others of a tree before it is known which component is the largest.
+PIVOTS = 8
 
 
 def shingle_sets(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
@@ -74,6 +78,12 @@ def distinct_sets(texts: list[str | None]) -> dict[int, np.ndarray]:
     return {set_key(s): s for _, s in shingle_sets(texts) if len(s)}
 
 
+def spans(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers from each begin to before its end, one span after the other."""
+    n = end - begin
+    return np.repeat(end - n.cumsum(), n) + np.arange(int(n.sum()))
+
+
 def at_least(n: int | np.ndarray) -> int | np.ndarray:
     """Shingles of a set of n that a similar set must have too: ceil(0.8 n)."""
     return -(-n * PART // WHOLE)
@@ -210,7 +220,9 @@ def frequent_sets(docs: DataFrame, survivors: KeyFilter, hot: np.ndarray) -> Dat
 
 
 class PrefixTree:
-    """Sets in one global order (commonest first), stored by common prefixes; nodes hold runs of shingles."""
+    """Sets in one global order (commonest first), stored by common prefixes; nodes hold runs of shingles.
+
+    Nodes stand level by level, a node's children in a row, so that a set walks a whole level at once."""
 
     def __init__(self, sets: list[np.ndarray], sizes: np.ndarray):
         token, inverse, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -222,96 +234,110 @@ class PrefixTree:
         self.sets = [ranked[i] for i in self.order]
         self.sizes = sizes[self.order]
         self.alphabet = len(token)
-        # node: (run of ranks, first set, end of sets, smallest and largest size, most ranks below the run, children)
-        self.root = self._node(0, len(sets), 0)
-
-    def _node(self, lo: int, hi: int, depth: int) -> tuple:
-        """Built without recursion: a stack of nodes whose children are still to come."""
-        root: list = []
-        todo = [(lo, hi, depth, root)]
-        while todo:
-            lo, hi, depth, siblings = todo.pop()
-            a, b = self.sets[lo][depth:], self.sets[hi - 1][depth:]
+        self._grow(np.array([len(s) for s in self.sets], np.int64))
+
+    def _grow(self, lengths: np.ndarray) -> None:
+        """Of each node: its run, the first set, the first that does not end here, the end of sets, smallest and largest
+        size, most ranks below the run, the last rank up to its end, children."""
+        nodes, runs, todo = [], [], [(0, len(self.sets), 0)]
+        for lo, hi, depth in todo:  # children are added while it goes
+            a, b = self.sets[lo], self.sets[hi - 1]
             m = min(len(a), len(b))
-            differ = np.flatnonzero(a[:m] != b[:m])
-            end = depth + (int(differ[0]) if len(differ) else m)
-            children: list = []
-            longest = max(len(s) for s in self.sets[lo:hi]) - end
-            siblings.append((self.sets[lo][depth:end], lo, hi, int(self.sizes[lo:hi].min()), int(self.sizes[lo:hi].max()), longest, children))
+            differ = np.flatnonzero(a[depth:m] != b[depth:m])
+            end = depth + int(differ[0]) if len(differ) else m
+            runs.append(a[depth:end])
             at = lo
-            while at < hi and len(self.sets[at]) == end:
+            while at < hi and lengths[at] == end:
                 at += 1  # sets that end here are the node's own
+            own, first = at, len(todo)
             while at < hi:
                 head, stop = self.sets[at][end], at + 1
                 while stop < hi and self.sets[stop][end] == head:
                     stop += 1
-                todo.append((at, stop, end, children))
+                todo.append((at, stop, end))
                 at = stop
-        return root[0]
+            nodes.append((lo, own, hi, int(self.sizes[lo:hi].min()), int(self.sizes[lo:hi].max()), int(lengths[lo:hi].max()) - end, int(a[end - 1]) if end else -1, first, len(todo)))
+        self.lo, self.own, self.hi, self.low, self.high, self.longest, self.last, self.child, self.children = np.array(nodes, np.int64).T
+        self.runs = np.concatenate(runs)
+        self.run_end = np.cumsum([len(r) for r in runs])
+        self.run = self.run_end - [len(r) for r in runs]
+
+    def meets(self, x: int, other: np.ndarray, mine: np.ndarray, more: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """(set, overlap) of the sets that may be similar to set ``x``, among them all similar ones that ``other`` marks.
+
+        Subtrees are left as soon as sizes, or what may still be shared, keep them below the threshold; ``more`` is what a
+        node's sets and x may share beside the tree. ``mine`` has a 0 for each rank, and is given back so."""
+        s, n = self.sets[x], int(self.sizes[x])
+        marked = np.concatenate([[0], other.cumsum()])
+        mine[s] = 1
+        at, overlap, found = np.zeros(1, np.int64), np.zeros(1, np.int64), []
+        while len(at):
+            keep = (PART * self.low[at] <= WHOLE * n) & (WHOLE * self.high[at] >= PART * n) & (marked[self.hi[at]] > marked[self.lo[at]])
+            at, overlap = at[keep], overlap[keep]
+            if not len(at):
+                break
+            if self.run_end[at[0]] > self.run[at[0]]:  # only the root's run may be empty
+                begin = (self.run_end[at] - self.run[at]).cumsum() - (self.run_end[at] - self.run[at])
+                overlap = overlap + np.add.reduceat(mine[np.concatenate([self.runs[a:b] for a, b in zip(self.run[at].tolist(), self.run_end[at].tolist(), strict=True)])], begin)
+            left = len(s) - np.searchsorted(s, self.last[at], "right")
+            beside = more[at] if isinstance(more, np.ndarray) else more
+            keep = (PART + WHOLE) * (overlap + np.minimum(left, self.longest[at]) + beside) >= PART * (n + self.low[at])
+            at, overlap = at[keep], overlap[keep]
+            found.append((spans(self.lo[at], self.own[at]), np.repeat(overlap, self.own[at] - self.lo[at])))
+            at, overlap = spans(self.child[at], self.children[at]), np.repeat(overlap, self.children[at] - self.child[at])
+        mine[s] = 0
+        return tuple(np.concatenate([np.empty(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
 
     def links(self, label: np.ndarray | None = None) -> list[tuple[int, int]]:
         """Links that join all linked sets (not those whose ends other links join already).
 
-        Sets of one ``label`` count as joined."""
+        Sets of one ``label`` count as joined. A few sets find most of a group of near copies; then only sets outside the
+        commonest label have to look for others, and of them only those that no link has joined to it meanwhile."""
         label = np.arange(len(self.sets)) if label is None else np.unique(label[self.order], return_inverse=True)[1]
-        found = []
-        own = np.zeros(self.alphabet, bool)
-        for x in range(1, len(self.sets)):
-            s, n = self.sets[x], int(self.sizes[x])
-            own[s] = True
-            stack = [(self.root, 0)]
-            while stack:
-                (run, lo, hi, low, high, longest, children), overlap = stack.pop()
-                if lo >= x or PART * low > WHOLE * n or WHOLE * high < PART * n:
-                    continue
-                if (label[lo : min(hi, x)] == label[x]).all():
-                    continue
-                overlap += int(own[run].sum())
-                left = len(s) - int(np.searchsorted(s, run[-1], "right")) if len(run) else len(s) - overlap
-                if (PART + WHOLE) * (overlap + min(left, longest)) < PART * (n + low):
-                    continue
-                first_child = min((c[1] for c in children), default=hi)
-                for y in range(lo, min(first_child, x)):
-                    if label[y] != label[x] and (PART + WHOLE) * overlap >= PART * (n + int(self.sizes[y])):
-                        found.append((y, x))
-                        label[label == label[x]] = label[y]
-                stack += [(c, overlap) for c in children]
-            own[s] = False
-        return [(self.order[a], self.order[b]) for a, b in found]
+        found, mine, done = [], np.zeros(self.alphabet, np.int32), np.zeros(len(self.sets), bool)
 
+        def join(x: int) -> None:
+            other = (label != label[x]) & ~done
+            done[x] = True
+            if not other.any():
+                return
+            y, overlap = self.meets(x, other, mine)
+            y = y[other[y] & ((PART + WHOLE) * overlap >= PART * (int(self.sizes[x]) + self.sizes[y]))]
+            if len(y):
+                met, first = np.unique(label[y], return_index=True)
+                found.extend((k, x) for k in y[first].tolist())
+                label[np.isin(label, met)] = label[x]
+
+        for x in range(0, len(self.sets), -(-len(self.sets) // PIVOTS)):
+            join(x)
+        within = label == np.bincount(label).argmax()
+        seat = int(within.argmax())
+        for x in np.flatnonzero(~within).tolist():
+            if label[x] != label[seat]:
+                join(x)
+        return [(self.order[a], self.order[b]) for a, b in found]
 
     def pairs(self, label: np.ndarray, size: np.ndarray, place: list[tuple[int, int]], most: int) -> list[tuple[int, int]] | None:
         """For a tree of prefixes: pairs of sets of different ``label`` that may be similar; None if there are more than ``most``.
 
         ``size`` has all frequent shingles of a set, ``place`` its last prefix shingle in the order of all. Whatever two
         sets share up to the earlier of their last prefix shingles stands in both prefixes; beyond it the set that ends
-        earlier has its rest, and the other one no more than it has not shared yet."""
-        label, size = label[self.order], size[self.order]
+        earlier has its rest, and the other one no more than it has not shared yet. Prefixes of similar sets meet."""
+        label, size = np.unique(label[self.order], return_inverse=True)[1], size[self.order]
         rest = size - np.array([len(s) for s in self.sets])
-        place = [place[i] for i in self.order]
-        most_rest = int(rest.max())
-        found = []
-        own = np.zeros(self.alphabet, bool)
-        for x in range(1, len(self.sets)):
-            s, n = self.sets[x], int(self.sizes[x])
-            own[s] = True
-            stack = [(self.root, 0)]
-            while stack:
-                (run, lo, hi, low, high, longest, children), overlap = stack.pop()
-                if lo >= x or PART * low > WHOLE * n or WHOLE * high < PART * n or (label[lo : min(hi, x)] == label[x]).all():
-                    continue
-                overlap += int(own[run].sum())
-                left = len(s) - int(np.searchsorted(s, run[-1], "right")) if len(run) else len(s) - overlap
-                if (PART + WHOLE) * (overlap + min(left, longest) + most_rest) < PART * (n + low):
-                    continue
-                first_child = min((c[1] for c in children), default=hi)
-                for y in range(lo, min(first_child, x)):
-                    first, other = (x, y) if place[x] <= place[y] else (y, x)
-                    more = min(int(rest[first]), int(size[other]) - overlap)
-                    if label[y] != label[x] and (PART + WHOLE) * (overlap + more) >= PART * (n + int(self.sizes[y])):
-                        found.append((y, x))
-                stack += [(c, overlap) for c in children]
-            own[s] = False
+        rest_below = np.array([rest[a:b].max() for a, b in zip(self.lo.tolist(), self.hi.tolist(), strict=True)])
+        turn = {p: k for k, p in enumerate(sorted(set(place)))}
+        ends = np.array([turn[place[i]] for i in self.order])
+        found, mine = [], np.zeros(self.alphabet, np.int32)
+        outside = label != np.bincount(label).argmax()
+        for x in np.flatnonzero(outside).tolist():
+            other = label != label[x]
+            other[x + 1 :] &= ~outside[x + 1 :]  # of two outside the second one looks for the first
+            y, overlap = self.meets(x, other, mine, np.maximum(rest_below, rest[x]))
+            y, overlap = (v[other[y] & (overlap > 0)] for v in (y, overlap))
+            more = np.where(ends[x] <= ends[y], np.minimum(rest[x], size[y] - overlap), np.minimum(rest[y], size[x] - overlap))
+            y = y[(PART + WHOLE) * (overlap + more) >= PART * (int(self.sizes[x]) + self.sizes[y])]
+            found += [(k, x) for k in y.tolist()]
             if len(found) > most:
                 return None
         return [(self.order[a], self.order[b]) for a, b in found]
@@ -449,23 +475,31 @@ def similar_sets(docs: DataFrame, profiled: DataFrame) -> DataFrame:
             prefix = np.minimum(batch.column(2).to_numpy(), [len(t) // 8 for t in batch.column(1).to_pylist()])
             token = np.frombuffer(b"".join([t[: 8 * p] for t, p in zip(batch.column(1).to_pylist(), prefix.tolist(), strict=True)]), "<i8")
             cols = [pa.array(token, pa.int64()), *(pa.array(np.repeat(batch.column(k).to_numpy(), prefix), pa.int64()) for k in (0, 3, 4)), pa.array(np.repeat([len(t) // 8 for t in batch.column(1).to_pylist()], prefix), pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=["token", "key", "root", "n", "shingles"])
+            yield pa.RecordBatch.from_arrays(cols, names=["token", "key", "root", "n", "n_shingles"])
 
-    entries = materialize(rooted.select("key", "tokens", "prefix", "root", "n").mapInArrow(prefix_rows, "token long, key long, root long, n long, shingles long"), "jaccard-prefixes")
-    by_root = entries.groupBy("token", "root").agg(F.count("*").alias("sets"), F.sum("shingles").alias("shingles"), F.min("n").alias("low"), F.max("n").alias("high"), F.bit_xor(F.xxhash64("key")).alias("one"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("other"))
+    entries = materialize(rooted.select("key", "tokens", "prefix", "root", "n").mapInArrow(prefix_rows, "token long, key long, root long, n long, n_shingles long"), "jaccard-prefixes")
+    by_root = entries.groupBy("token", "root").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("shingles"), F.min("n").alias("low"), F.max("n").alias("high"), F.bit_xor(F.xxhash64("key")).alias("one"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("other"))
     open_lists = by_root.groupBy("token").agg(F.sum("sets").alias("sets"), F.sum("shingles").alias("shingles"), F.max_by("root", "sets").alias("commonest"), F.max("sets").alias("most"), F.bit_xor("one").alias("one"), F.bit_xor("other").alias("other"), F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("roots")).where("roots > 1")
     open_lists = open_lists.where((F.col("sets") > 2) | (F.col("high") * PART <= F.col("low") * WHOLE))  # two sets of one size, or more
     # one shingle for each list of sets
     once = open_lists.groupBy("one", "other", "sets").agg(F.min_by(F.struct("token", "shingles", "commonest", "most"), "token").alias("l"))
-    once = once.select("l.token", "sets", "l.commonest", (F.col("sets") - F.col("l.most")).alias("others"), blocks_of(F.col("sets"), F.col("l.shingles")).alias("blocks"))
-    once = materialize(once, "jaccard-open")
-    members = materialize(attach(entries.select("token", "key", "root"), "token", once, "sets", entries.count()), "jaccard-open-sets")
+    once = materialize(once.select("l.token", "sets", "l.shingles", "l.commonest", (F.col("sets") - F.col("l.most")).alias("others")), "jaccard-open")
+    listed = materialize(attach(entries.select("token", "key", "root", "n_shingles"), "token", once, "sets", entries.count()), "jaccard-open-sets")
+    # near copies of one component have many lists, of nearly the same sets: one tree of all of them, where that is less to compare
+    united = listed.select("commonest", "key", "root", "n_shingles").distinct()
+    around = united.groupBy("commonest").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("shingles"), F.count_if(F.col("root") != F.col("commonest")).alias("others"))
+    apart = once.groupBy("commonest").agg(F.sum("sets").alias("rows"), F.sum(F.col("sets") * F.col("others")).alias("work"))
+    around = materialize(around.join(apart, "commonest").withColumn("one", F.col("sets") * F.col("others") <= F.col("work")), "jaccard-around")
+    of_one = attach(united, "commonest", around.where("one").select("commonest", "sets", "shingles", "others"), "sets", around.agg(F.coalesce(F.sum("sets"), F.lit(0))).first()[0])
+    of_lists = attach(listed, "commonest", around.where("NOT one").select("commonest", "rows"), "rows", listed.count())
+    columns = ["key", "root", "commonest", "others", blocks_of(F.col("sets"), F.col("shingles")).alias("blocks")]
+    members = of_one.select(F.col("commonest").alias("token"), *columns).unionByName(of_lists.select("token", *columns))
     block, all_blocks = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
     # few outside the commonest component: they go to all its blocks; else blocks meet by pairs
     spread = F.when((F.col("others") <= BLOCK_SETS) & (F.col("root") == F.col("commonest")), F.array(F.struct(block.alias("i"), F.lit(-1).alias("j"))))
     spread = spread.when(F.col("others") <= BLOCK_SETS, F.transform(all_blocks, lambda k: F.struct(k.alias("i"), F.lit(-1).alias("j"))))
     spread = spread.otherwise(F.transform(all_blocks, lambda k: F.struct(F.least(k, block).alias("i"), F.greatest(k, block).alias("j"))))
-    places = members.select("token", "key", F.explode(spread).alias("at")).select("token", "at.i", "at.j", "key")
+    places = materialize(members.select("token", "key", F.explode(spread).alias("at")).select("token", "at.i", "at.j", "key"), "jaccard-places")
     heads = rooted.select("key", "n", (F.octet_length("tokens") / 8).cast("long").alias("size"), "last", F.substring(F.col("tokens"), F.lit(1), (8 * F.col("prefix")).cast("int")).alias("head"), "root")
     tried = materialize(tree_pairs(places.join(heads, "key")), "jaccard-pairs")
     second = counted_links(tried.where("a IS NOT NULL").select("a", "b").distinct(), rooted)

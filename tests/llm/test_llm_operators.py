@@ -509,6 +509,26 @@ def test_one_group_of_prefixes(spark, monkeypatch, blocks, pairs):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows)
 
 
+def test_lists_of_near_copies_are_one_tree(spark, monkeypatch):
+    rng = random.Random(5)
+    base, rows = [f"w{k}" for k in range(200)], []
+    for k in range(80):
+        w = list(base)
+        for j in rng.sample(range(200), rng.choice([1, 2, 9, 12])):
+            w[j] = f"e{rng.randrange(4)}"
+        rows.append((k, " ".join(w)))
+    compared, trees = [], jaccard.tree_pairs
+
+    def counted(rows):
+        compared.append(rows.count())
+        return trees(rows)
+
+    monkeypatch.setattr(jaccard, "tree_pairs", counted)
+    got = jaccard.near_duplicates(docs(spark, rows).repartition(4))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows)
+    assert 0 < compared[0] <= 2 * len(rows)  # they were 968 when each list was a tree of its own
+
+
 def test_words_that_hashes_confuse_are_not_similar(spark):
     one, other = thue_morse(2048)
     rows = [(1, one), (2, other), (3, f"a b c {one} d e"), (4, f"a b c {other} d e"), (5, f"a b c {other} d e")]
