@@ -104,7 +104,7 @@ def resolve_duplicates(spark: SparkSession, folder: str, run: str, root: str | N
     store, at = resolve(as_uri(folder))
     if not exists(store, at):
         return Resolved(0, 0, 0)
-    notes = materialize(notes_with_sidecars(read_notes(spark, folder), read_sidecars(spark, folder)), "scored-notes")
+    notes = materialize(notes_with_sidecars(read_notes(spark, folder), read_sidecars(spark, folder)).drop("text"), "scored-notes")
     summary = dedupe_summary(notes).first().asDict()
     if not summary["moved"]:
         return Resolved(**summary)

@@ -1,6 +1,7 @@
 """Captured bodies, notes, state files and pages."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -313,3 +314,30 @@ def test_nested_links(spark):
     assert shallow[1] == [links[0], links[1], links[3]]
     with pytest.raises(ValueError, match="row_id"):
         feeds.with_nested_links(rows.withColumn("row_id", F.lit(1)))
+
+
+def test_scores_of_notes_move_no_texts(spark, tmp_path):
+    (tmp_path / "a.md").write_text("---\nurl: https://example.org/1\n---\n\nbody")
+    (tmp_path / "a.json").write_text('{"content": {"full_text": "abc"}, "enrichment": {"x": 1}}')
+    found = notes.read_notes(spark, str(tmp_path)).withColumn("own", F.length("text"))
+    rows = notes.notes_with_sidecars(found, notes.read_sidecars(spark, str(tmp_path)))
+    few = rows.select("norm_url", "has_enrichment", "has_sidecar", "richness", "own")
+    assert [tuple(r) for r in few.collect()] == [("https://example.org/1", 1, 1, 3, 40)]
+    plan = few._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(k for k, line in enumerate(plan) if "Join LeftOuter" in line)
+    depth = plan[at].index("Join")
+    sides = [line for line in plan[at + 1 :] if line[depth : depth + 3] in (":- ", "+- ")]
+    assert len(sides) == 2 and not any(re.search(r"(\[|, |AS )(text|sidecar|content)#\d+(, |\])", line) for line in sides), sides
+
+
+def test_sidecars_of_moved_notes_do_not_grow_with_ids(spark, tmp_path, monkeypatch):
+    from siltstone import queries
+
+    rows = [(3_000_000 + k, f"text {k % 3}", "en", "s", 6) for k in range(8)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "new_path", lambda _, label: str(tmp_path / label))
+    got = {r["note"]: r["kept"] for r in queries.moved_notes(spark, str(tmp_path)).collect()}
+    last = {k: max(j for j in range(8) if j % 3 == k % 3) for k in range(8)}
+    assert got == {f"s/{3_000_000 + k:08d}.md": "" if last[k] == k else f"s/{3_000_000 + last[k]:08d}.md" for k in range(8)}
+    sizes = [p.stat().st_size for p in tmp_path.rglob("*.json") if p.name.startswith("0")]
+    assert len(sizes) == 8 and max(sizes) < 1000
