@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.urls import normalize_url
-from ..tables import materialize, temporary
+from ..tables import temporary
 
 
 def once_per_url(stream: DataFrame, url: str = "url") -> DataFrame:
@@ -25,11 +26,12 @@ def run(stream: DataFrame, process: Callable[[DataFrame], tuple[DataFrame, DataF
     with it, e.g. '6 hours', the query goes on."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        # a batch may be all that a feed has: kept in the heap it leaves tasks no room, as blocks it is as long as the pages
+        rows.persist(StorageLevel.DISK_ONLY)  # a batch may be all that a feed has: kept in the heap it leaves tasks no room
         with temporary(rows.sparkSession):
-            good, bad = process(materialize(rows, "batch"))
+            good, bad = process(rows)
             good.write.mode("overwrite").option("compression", "zstd").parquet(f"{good_path}/batch={number}")
             bad.write.mode("overwrite").json(f"{bad_path}/batch={number}")
+        rows.unpersist()
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
